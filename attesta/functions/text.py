@@ -11,6 +11,7 @@ from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from attesta import lexicon as lx
 
@@ -75,7 +76,7 @@ def fold_job_board(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_exact(text: pd.Series) -> pd.Series:
     """Full Unicode folding in Arrow batches, for text outside the native table."""
     nordic = str.maketrans({"ø": "o", "Ø": "O", "å": "a", "Å": "A", "æ": "ae", "Æ": "AE"})
@@ -273,7 +274,7 @@ def format_address(street: Column, postcode: Column, town: Column, country: Colu
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def fuzzy_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity, which no built-in expression measures."""
     from difflib import SequenceMatcher
