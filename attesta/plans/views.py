@@ -25,6 +25,16 @@ def _legal_form(segment: Column) -> Column:
     )
 
 
+def _industry(segment: Column) -> Column:
+    return (
+        F.when(segment == "MACHINERY", "28.1")
+        .when(segment == "BUILDING", "41.2")
+        .when(segment == "AUTOMOBILE", "45.1")
+        .when(segment == "FURNITURE", "68.2")
+        .otherwise("96.0")
+    )
+
+
 def profiles(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as register profiles; a negative balance leaves employees unknown."""
     customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
@@ -41,7 +51,7 @@ def profiles(spark: SparkSession, sf: str) -> DataFrame:
         F.when(balance > 5000, F.concat(F.lit("www.customer-"), F.col("c_custkey").cast("string"), F.lit(".example.com/"))).alias("website"),
         balance.alias("revenue"),
         F.col("c_mktsegment").alias("industry_label"),
-        F.lower(F.substring("c_mktsegment", 1, 2)).alias("industry_code"),
+        _industry(F.col("c_mktsegment")).alias("industry_code"),
     )
 
 
@@ -55,7 +65,7 @@ profiles AS (
          c_acctbal < -500 AS bankrupt,
          (c_acctbal >= -500 AND c_acctbal < -250) AS liquidating,
          CASE WHEN c_acctbal > 5000 THEN 'www.customer-' || c_custkey || '.example.com/' END AS website,
-         c_acctbal AS revenue, c_mktsegment AS industry_label, lower(substr(c_mktsegment, 1, 2)) AS industry_code
+         c_acctbal AS revenue, c_mktsegment AS industry_label, CASE c_mktsegment WHEN 'MACHINERY' THEN '28.1' WHEN 'BUILDING' THEN '41.2' WHEN 'AUTOMOBILE' THEN '45.1' WHEN 'FURNITURE' THEN '68.2' ELSE '96.0' END AS industry_code
   FROM customer JOIN nation ON c_nationkey = n_nationkey)
 """
 
