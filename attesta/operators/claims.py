@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from attesta import lexicon as lx
 from attesta.functions.ids import claim_key
+from attesta.operators.ordering import number_within
 
 
 def with_claim_key(claims: DataFrame) -> DataFrame:
@@ -292,18 +293,7 @@ def attempt_ledger(attempts: DataFrame, order: list[str], buckets: int = 256) ->
     of the earlier buckets, whose counts are tiny.
     """
     lead = F.unix_micros(F.col(order[0])).cast("double")
-    span = attempts.groupBy("org").agg(F.min(lead).alias("lo"), F.max(lead).alias("hi"), F.count(F.lit(1)).alias("rows"))
-    width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / buckets).otherwise(F.lit(1.0))
-    placed = attempts.join(span, "org").withColumn("bucket", F.floor((lead - F.col("lo")) / width).cast("int")).drop("lo", "hi", "rows")
-    return _number_in_buckets(placed, ["org"], order, "sequence")
-
-
-def _number_in_buckets(placed: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
-    from pyspark.sql import Window as W
-
-    sizes = placed.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("size"))
-    before = W.partitionBy(*keys).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    shifts = sizes.select(*keys, "bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("shift"))
-    inside = W.partitionBy(*keys, "bucket").orderBy(*order)
-    numbered = placed.withColumn("inside", F.row_number().over(inside))
-    return numbered.join(shifts, [*keys, "bucket"]).withColumn(out, F.col("shift") + F.col("inside")).drop("bucket", "inside", "shift")
+    span = attempts.groupBy("org").agg(F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
+    width = F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / buckets).otherwise(F.lit(1.0))
+    bucket = F.floor((lead - F.col("_lo")) / width).cast("int")
+    return number_within(attempts.join(span, "org"), ["org"], bucket, order, "sequence").drop("_lo", "_hi")
