@@ -213,7 +213,7 @@ def number_in_text(number: Column, text: Column) -> Column:
 
 def proof_span(text: Column, needle: Column, width: int = 120) -> Column:
     """The words around the first hit of ``needle``, or NULL."""
-    direct = F.locate_expr(text, needle) if hasattr(F, "locate_expr") else F.position(F.lower(needle), F.lower(text))
+    direct = F.position(F.lower(needle), F.lower(text))
     place = F.when(direct > 0, direct).otherwise(F.position(F.lower(needle), fold(text)))
     start = F.greatest(F.lit(1), place - width // 2)
     length = place + F.length(needle) + width // 2 - start
@@ -234,11 +234,9 @@ def headline_sentiment(title: Column) -> Column:
     return F.when(good & ~bad, "positive").when(bad & ~good, "negative").otherwise("neutral")
 
 
-def rating_polarity(rating: Column, best: Column | None = None, worst: Column | None = None) -> Column:
-    """Label of one review from its position on its own scale."""
-    best = F.lit(5.0) if best is None else F.coalesce(best, F.lit(5.0))
-    worst = F.lit(1.0) if worst is None else F.coalesce(worst, F.lit(1.0))
-    ratio = (rating - worst) / F.nullif(best - worst, F.lit(0.0))
+def rating_polarity(rating: Column, scale: Column) -> Column:
+    """Label of one review from its rating's share of the scale."""
+    ratio = rating / F.nullif(scale, F.lit(0.0))
     return F.when(ratio.isNull(), None).when(ratio >= 0.8, "positive").when(ratio <= 0.4, "negative").otherwise("neutral")
 
 

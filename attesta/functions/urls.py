@@ -97,9 +97,8 @@ def registered_domain(name: Column, suffixes: list[str] | None = None) -> Column
 
 def with_registered_domain(df: DataFrame, name: str, suffixes: DataFrame, out: str = "registered_domain") -> DataFrame:
     """As above against a suffix table of any size: explode, equi-join, keep the longest."""
-    chain = host_suffixes(F.col(name))
     hosts = df.select(F.col(name).alias("_host")).distinct()
-    places = hosts.select("_host", chain.alias("_chain")).select(
+    places = hosts.select("_host", host_suffixes(F.col("_host")).alias("_chain")).select(
         "_host", "_chain", F.posexplode("_chain").alias("_place", "suffix")
     )
     best = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 import sys
 import time
@@ -70,14 +71,15 @@ def main(arguments: list[str]) -> int:
     entry.queries()
     wanted = [b for b in CATALOG.values() if not arguments[1:] or any(a in b.name or a in b.covers.split() for a in arguments[1:])]
     spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
+    logging.disable(logging.CRITICAL)
     connection = oracle(sf_dir)
     bad = 0
     for bound in wanted:
         try:
             report = compare(spark, connection, bound, sf_dir)
         except Exception as error:  # noqa: BLE001 - the tool reports every failure and goes on
-            report = {"name": bound.name, "status": "ERROR", "error": str(error)[:1500]}
+            report = {"name": bound.name, "status": "ERROR", "error": str(error)[:900]}
         if report["status"] in ("match", "rows-only"):
             flag = "  (EMPTY)" if not report["rows"] else ""
             print(f"{report['status']:10} {report['name']:32} rows={report['rows']:<7} {report['seconds']}s oracle={report.get('oracle_seconds', '-')}{flag}")
