@@ -304,7 +304,13 @@ total AS (SELECT *, exact_external_identity + verified_handles + places_reviews
 )
 
 
-@bind("development_score", "D11", SCORE_SQL + "SELECT * FROM total")
+POINTS = [
+    "exact_external_identity", "verified_handles", "profile_metrics", "places_identity", "places_reviews", "workforce_jobs", "public_buzz",
+    "independent_sentiment", "freshness_evidence", "score", "potential_score",
+]
+
+
+@bind("development_score", "D11", SCORE_SQL + "SELECT org, accepted, experimental, " + ", ".join(f"{c}::DOUBLE AS {c}" for c in POINTS) + " FROM total")
 def development_score(spark, sf):
     return op.development_score(views.observations(spark, sf), _sites(spark, sf), AS_OF)
 
@@ -369,7 +375,7 @@ facts AS (SELECT TRUE AS ok, c.two_platforms, c.workforce_jobs, c.ratings_review
     + f", {PROFILES_SQL}, {RUBRIC_FACTS}"
     + """, pts AS (SELECT round(10 + round(10 * two_platforms, 3) + round(7 * workforce_jobs, 3) + round(8 * ratings_reviews, 3) + round(7 * buzz_engagement, 3) + 3 + round(10 * sentiment, 3), 3) AS external_points,
   round(4 + round(4 * fin, 3) + round(4 * rl, 3) + round(3 * web, 3), 3) AS foundation_points FROM facts)
-SELECT external_points, foundation_points, 7.5 AS research_points, 12.0 AS extensibility_points, round(external_points + foundation_points + 19.5, 3) AS raw_score FROM pts""",
+SELECT external_points, foundation_points, 7.5::DOUBLE AS research_points, 12.0::DOUBLE AS extensibility_points, round(external_points + foundation_points + 19.5, 3) AS raw_score FROM pts""",
 )
 def weighted_rubric(spark, sf):
     audit = op.audit_observations(views.observations(spark, sf), _marks(spark, sf), views.profiles(spark, sf))
@@ -403,7 +409,7 @@ k AS (SELECT * FROM q WHERE source_url NOT IN (SELECT source_url FROM d)),
 o AS (SELECT org, count(DISTINCT platform) AS n, count(*) FILTER (signal_type = 'profile_handle') AS h, count(*) FILTER (platform IN ('company_site', 'news') AND signal_type IN ('public_post', 'public_mention')) AS nw,
   count(*) FILTER (sentiment_label IS NOT NULL AND source_class IN ('customer_review', 'public_news') AND sentiment_model_version IS NOT NULL) AS s FROM k GROUP BY org)
 SELECT count(*) FILTER (h > 0) AS companies_with_social, count(*) FILTER (nw > 0) AS companies_with_dated_news, count(*) FILTER (s > 0) AS companies_with_sentiment,
-  count(*) FILTER (n >= 2) AS companies_with_two_sources, sum(nw) AS dated_news_items, (SELECT count(*) FROM d) AS disputed_urls,
+  count(*) FILTER (n >= 2) AS companies_with_two_sources, sum(nw)::BIGINT AS dated_news_items, (SELECT count(*) FROM d) AS disputed_urls,
   (SELECT count(*) FROM rated WHERE signal_type = 'job_posting') AS misclassified_job_items FROM o""",
 )
 def evidence_audit(spark, sf):

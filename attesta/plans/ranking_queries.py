@@ -59,7 +59,7 @@ def allocate_credits(spark, sf):
     "allocate_grants",
     "E9",
     f"""WITH {FILED_SQL}, g AS (SELECT org, tier, CASE tier WHEN 'shell' THEN 3 WHEN 'standard' THEN 12 ELSE 30 END AS base FROM tiered), t AS (SELECT sum(base) AS planned FROM g)
-SELECT org, tier, CASE WHEN planned > 5000 THEN greatest(1, floor(base * (5000 / planned)))::INTEGER ELSE base END AS granted, CASE WHEN planned > 5000 THEN 0 ELSE 5000 - planned END AS reserve FROM g, t""",
+SELECT org, tier, CASE WHEN planned > 5000 THEN greatest(1, floor(base * (5000 / planned)))::INTEGER ELSE base END AS granted, CASE WHEN planned > 5000 THEN 0 ELSE 5000 - planned END::BIGINT AS reserve FROM g, t""",
 )
 def allocate_grants(spark, sf):
     return op.allocate_grants(_filed_profiles(spark, sf).withColumn("tier", reg.tier()), cap=5000)

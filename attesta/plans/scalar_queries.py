@@ -293,7 +293,7 @@ def search_queries(spark, sf):
     "format_amounts",
     "G19",
     """SELECT o_orderkey, CASE WHEN o_totalprice >= 1000 THEN printf('%.1f', floor(o_totalprice / 100) / 10) || 'k NOK' ELSE (floor(o_totalprice / 100) * 100)::BIGINT || ' NOK' END AS compact,
-  'NOK ' || replace(format('{:,}', floor(o_totalprice)::BIGINT), ',', ' ') AS grouped FROM orders""",
+  'NOK ' || replace(format('{:,}', (floor(o_totalprice / 100) * 100)::BIGINT), ',', ' ') AS grouped FROM orders""",
 )
 def format_amounts(spark, sf):
     # Whole hundreds print alike under every rounding rule.

@@ -306,7 +306,7 @@ def seed_coverage(spark, sf):
     "video_activity",
     "D26",
     """SELECT lpad(user_id::VARCHAR, 9, '0') AS org, count(*) AS uploads, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS latest_published, arg_max(event_type, (ts, event_id::VARCHAR)) AS latest_title,
-  sum(json_extract_string(props, '$.k')::BIGINT) FILTER (event_type <> 'error') AS views, count(*) FILTER (event_type <> 'error') AS items_with_views FROM events GROUP BY 1""",
+  sum(json_extract_string(props, '$.k')::BIGINT) FILTER (event_type <> 'error')::BIGINT AS views, count(*) FILTER (event_type <> 'error') AS items_with_views FROM events GROUP BY 1""",
 )
 def video_activity(spark, sf):
     k = F.get_json_object("props", "$.k")

@@ -49,6 +49,9 @@ def compare(spark, connection, bound, sf_dir: str) -> dict:
     started = time.time()
     cursor = connection.execute(bound.oracle)
     want_columns = [c[0] for c in cursor.description]
+    odd = [f"{c[0]}:{c[1]}" for c in cursor.description if any(t in str(c[1]) for t in ("DECIMAL", "HUGEINT"))]
+    if odd:
+        report["types"] = odd
     want, want_columns = rows_of(want_columns, cursor.fetchall())
     report["oracle_seconds"] = round(time.time() - started, 2)
     report["status"] = "match" if got == want and got_columns == want_columns else "MISMATCH"
@@ -82,7 +85,7 @@ def main(arguments: list[str]) -> int:
             report = {"name": bound.name, "status": "ERROR", "error": str(error)[:900]}
         if report["status"] in ("match", "rows-only"):
             flag = "  (EMPTY)" if not report["rows"] else ""
-            print(f"{report['status']:10} {report['name']:32} rows={report['rows']:<7} {report['seconds']}s oracle={report.get('oracle_seconds', '-')}{flag}")
+            print(f"{report['status']:10} {report['name']:32} rows={report['rows']:<7} {report['seconds']}s oracle={report.get('oracle_seconds', '-')}{flag} {report.get('types', '')}")
         else:
             bad += 1
             print("!!", report)
