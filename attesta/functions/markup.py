@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from attesta.functions.text import digits, valid_org_numbers
-from attesta.functions.urls import normalize_social_url
+from attesta.functions.urls import SOCIAL_URL, normalize_social_url
 
 SCRIPT_JSON = r"(?is)<script\b[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
 
@@ -108,7 +108,9 @@ def social_links(html: Column) -> Column:
         r"(https?://[^\s\"'<>]+)",
     ]
     raw = F.concat(*[F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in patterns])
-    return F.array_distinct(F.array_compact(F.transform(raw, lambda u: normalize_social_url(unescape(u)))))
+    # A page has many links and few to these hosts; the cheap test goes first.
+    likely = F.array_distinct(F.filter(raw, lambda u: u.rlike(SOCIAL_URL)))
+    return F.array_distinct(F.array_compact(F.transform(likely, lambda u: normalize_social_url(unescape(u)))))
 
 
 def extract_contacts(html: Column) -> list[Column]:

@@ -16,6 +16,15 @@ from pyspark.sql.types import DoubleType, StringType
 from attesta import lexicon as lx
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it.
+
+    Column functions repeat their arguments; a one-element transform names them, which
+    keeps plans small.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def lit_strings(values: list[str]) -> Column:
     """A string list as one array literal."""
     return F.array(*[F.lit(v) for v in values])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from attesta import lexicon as lx
-from attesta.functions.text import lit_strings
+from attesta.functions.text import let, lit_strings
 
 HOST_PATTERN = r"^[a-z0-9.-]+\.[a-z]{2,}$"
 
@@ -119,49 +119,66 @@ def mail_host(address: Column) -> Column:
     return F.when(F.contains(F.coalesce(address, F.lit("")), F.lit("@")), part).otherwise("")
 
 
+# First path parts that are never a profile.
+SOCIAL_NOISE = {
+    "facebook": ["sharer", "sharer.php", "share.php", "dialog", "policy.php", "privacy", "events", "groups",
+                 "plugins", "login", "signup", "profile.php"],
+    "instagram": ["p", "reel", "reels", "stories", "explore", "about"],
+    "x": ["intent", "share", "home", "search", "i", "privacy"],
+    "linkedin": ["sharearticle", "sharing", "login", "signup", "feed"],
+}
+SOCIAL_URL = r"(?i)(?:" + "|".join(h.replace(".", r"\.") for h in lx.SOCIAL_HOSTS) + ")"
+
+
+def _profile_address(platform: Column, parts: Column) -> Column:
+    """struct(platform, url) of a platform and its path parts; NULL when they name no profile."""
+
+    def made(first: Column) -> Column:
+        handle = first.startswith("@")
+        noise = F.lit(False)
+        for label, banned in SOCIAL_NOISE.items():
+            noise = noise | ((platform == label) & first.isin(banned))
+        wrong_shape = (
+            ((platform == "linkedin") & ((first != "company") | (F.size(parts) < 2)))
+            | ((platform == "youtube") & ~first.isin("channel", "user", "c") & ~handle)
+            | ((platform == "tiktok") & ~handle)
+            | ((platform == "x") & (F.size(parts) != 1))
+        )
+        paged = (platform == "facebook") & (first == "pages") & (F.size(parts) > 1)
+        depth = (
+            F.when(platform == "linkedin", 2)
+            .when(platform == "youtube", F.when(handle, 1).otherwise(2))
+            .when(platform.isin("facebook", "instagram", "x"), 1)
+            .otherwise(100)
+        )
+        path = F.array_join(F.slice(parts, F.when(paged, 2).otherwise(1), depth), "/")
+        address = F.concat(F.lit("https://"), platform, F.lit(".com/"), path)
+        good = platform.isNotNull() & (F.size(parts) > 0) & ~noise & ~wrong_shape
+        return F.when(good, F.struct(platform.alias("platform"), address.alias("url")))
+
+    return let(F.lower(F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit(""))), made)
+
+
 def normalize_social_url(url: Column) -> Column:
     """struct(platform, url) of a profile address; NULL for share, login and post links."""
-    text = F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), r"[.,)\"']+$", "")
-    text = F.when(text.startswith("//"), F.concat(F.lit("https:"), text)).otherwise(_with_scheme(text))
-    # A page plug-in carries the real profile address in its query.
-    plugin = (host(text) == "facebook.com") & url_path(text).startswith("/plugins/")
-    inner = F.url_decode(F.regexp_extract(text, r"[?&]href=([^&#]*)", 1))
-    text = F.when(plugin, inner).otherwise(text)
-
-    name = host(text)
-    chain = host_suffixes(name)
-    platform = F.coalesce(
-        *[F.when(F.array_contains(chain, h), F.lit(label)) for h, label in lx.SOCIAL_HOSTS.items()]
-    )
-    parts = F.filter(F.transform(F.split(url_path(text), "/"), F.trim), lambda p: F.length(p) > 0)
-    first = F.lower(F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit("")))
-
-    # First path parts that are never a profile.
-    noise = {
-        "facebook": ["sharer", "sharer.php", "share.php", "dialog", "policy.php", "privacy", "events", "groups",
-                     "plugins", "login", "signup", "profile.php"],
-        "instagram": ["p", "reel", "reels", "stories", "explore", "about"],
-        "x": ["intent", "share", "home", "search", "i", "privacy"],
-        "linkedin": ["sharearticle", "sharing", "login", "signup", "feed"],
-    }
-    is_noise = F.lit(False)
-    for label, banned in noise.items():
-        is_noise = is_noise | ((platform == label) & first.isin(banned))
-    handle = first.startswith("@")
-    wrong_shape = (
-        ((platform == "linkedin") & ((first != "company") | (F.size(parts) < 2)))
-        | ((platform == "youtube") & ~first.isin("channel", "user", "c") & ~handle)
-        | ((platform == "tiktok") & ~handle)
-        | ((platform == "x") & (F.size(parts) != 1))
-    )
-    parts = F.when((platform == "facebook") & (first == "pages") & (F.size(parts) > 1), F.slice(parts, 2, 100)).otherwise(parts)
-    depth = (
-        F.when(platform == "linkedin", 2)
-        .when(platform == "youtube", F.when(handle, 1).otherwise(2))
-        .when(platform.isin("facebook", "instagram", "x"), 1)
-        .otherwise(100)
-    )
-    site = F.concat(F.when(platform == "x", "x").otherwise(platform), F.lit(".com/"))
-    address = F.concat(F.lit("https://"), site, F.array_join(F.slice(parts, F.lit(1), depth), "/"))
-    good = platform.isNotNull() & (F.size(parts) > 0) & ~is_noise & ~wrong_shape & (name != "youtu.be")
-    return F.when(good, F.struct(platform.alias("platform"), address.alias("url")))
+    trimmed = F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), r"[.,)\"']+$", "")
+
+    def absolute(text: Column) -> Column:
+        return F.when(text.startswith("//"), F.concat(F.lit("https:"), text)).otherwise(_with_scheme(text))
+
+    def unwrapped(text: Column) -> Column:
+        # A page plug-in carries the real profile address in its query.
+        plugin = (host(text) == "facebook.com") & url_path(text).startswith("/plugins/")
+        return F.when(plugin, F.url_decode(F.regexp_extract(text, r"[?&]href=([^&#]*)", 1))).otherwise(text)
+
+    def platform(chain: Column) -> Column:
+        return F.coalesce(*[F.when(F.array_contains(chain, h), F.lit(label)) for h, label in lx.SOCIAL_HOSTS.items()])
+
+    def parts(text: Column) -> Column:
+        return F.filter(F.transform(F.split(url_path(text), "/"), F.trim), lambda p: F.length(p) > 0)
+
+    def profile(text: Column) -> Column:
+        found = F.struct(let(host_suffixes(host(text)), platform).alias("platform"), parts(text).alias("parts"))
+        return let(found, lambda f: _profile_address(f["platform"], f["parts"]))
+
+    return let(let(let(trimmed, absolute), unwrapped), profile)

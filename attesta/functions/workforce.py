@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from attesta import lexicon as lx
+from attesta.functions.text import let
 
 # The phrases that state a headcount, by priority and measure. A scanner
 # may have read a zero as the letter O.
@@ -49,6 +50,11 @@ def workforce_from_text(text: Column) -> Column:
     different numbers cancel each other.
     """
     body = F.regexp_replace(F.regexp_replace(text, r"[\t\r ]+", " "), GROUP_LINE, "")
+    return let(body, lambda lines: let(_phrases(lines), lambda every: _verdict(lines, every)))
+
+
+def _phrases(body: Column) -> Column:
+    """Every stated number in order of trust."""
 
     def found(priority: int, measure: str, place: int, values: Column) -> Column:
         wrap = lambda v: F.struct(  # noqa: E731 - a column helper, not a function of rows
@@ -65,15 +71,18 @@ def workforce_from_text(text: Column) -> Column:
     persons = F.filter(zeros, lambda z: ~z.rlike("(?i)verk"))
     hits.append(found(0, "full_time_equivalents", len(PHRASES) + 1, F.transform(man_years, lambda _: F.lit(0.0))))
     hits.append(found(0, "employees", len(PHRASES) + 1, F.transform(persons, lambda _: F.lit(0.0))))
-    every = F.array_sort(F.concat(*hits))
+    return F.array_sort(F.concat(*hits))
+
+
+def _verdict(body: Column, every: Column) -> Column:
     first = F.try_element_at(every, F.lit(1))
-    best = F.filter(every, lambda h: h["priority"] == first["priority"])
+    best = F.filter(every, lambda h: h["priority"] == every[0]["priority"])
     agreed = F.size(F.array_distinct(F.transform(best, lambda h: h["value"]))) == 1
     # The line, or lines, the chosen phrase stands in.
     patterns = [p for _, _, p in PHRASES] + [WORDED, ZERO]
     span = F.coalesce(*[F.when(first["place"] == i, F.trim(F.regexp_extract(body, "[^\\n]*(?:" + p + ")[^\\n]*", 0))) for i, p in enumerate(patterns)])
-    status = F.when(first.isNull(), "no_employee_phrase").when(~agreed, "conflicting_employee_counts").otherwise("accepted")
-    good = status == "accepted"
+    status = F.when(F.size(every) == 0, "no_employee_phrase").when(~agreed, "conflicting_employee_counts").otherwise("accepted")
+    good = (F.size(every) > 0) & agreed
     return F.struct(
         F.when(good, first["value"]).alias("value"), F.when(good, first["measure"]).alias("measure"), F.when(good, span).alias("span"), status.alias("status")
     )

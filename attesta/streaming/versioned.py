@@ -1,0 +1,82 @@
+"""Keyed tables kept by micro-batches in plain Parquet.
+
+Rows live in hash buckets. A batch rewrites only the buckets it touches into a new
+folder and then appends one commit row per bucket; readers see a bucket's newest
+committed folder. A batch that dies before its commit leaves files nobody reads, and a
+batch that runs twice is skipped by its number.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructType
+
+COMMITS = "bucket int, batch_id long, path string"
+
+
+def read_if_present(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as error:  # noqa: BLE001 - Spark has no narrower class for a missing path
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+class VersionedTable:
+    """A table of ``schema`` keyed by ``key``, under ``path``, in ``buckets`` hash buckets."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str, buckets: int = 64):
+        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+        self.schema = spark.createDataFrame([], schema).schema
+
+    def _commits(self) -> DataFrame:
+        return read_if_present(self.spark, f"{self.path}/commits", COMMITS)
+
+    def _folders(self, touched: list[int] | None = None) -> list[str]:
+        """Newest committed folder per bucket; at most one per bucket, so the list is bounded."""
+        commits = self._commits()
+        if touched is not None:
+            commits = commits.filter(F.col("bucket").isin(touched))
+        newest = commits.groupBy("bucket").agg(F.max_by("path", "batch_id").alias("path"))
+        return [row["path"] for row in newest.collect()]
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*folders).select(*self.schema.fieldNames())
+
+    def current(self) -> DataFrame:
+        return self._read(self._folders())
+
+    def committed(self, batch_id: int) -> bool:
+        return bool(self._commits().filter(F.col("batch_id") == batch_id).limit(1).collect())
+
+    def last_batch(self) -> int | None:
+        return self._commits().agg(F.max("batch_id")).first()[0]
+
+    def bucket_of(self):
+        return F.pmod(F.hash(F.col(self.key)), F.lit(self.buckets)).cast("int")
+
+    def merge(self, rows: DataFrame, batch_id: int, fold: Callable[[DataFrame], DataFrame]) -> None:
+        """Fold ``rows`` into the touched buckets; ``fold`` turns old and new rows into one per key."""
+        if self.committed(batch_id):
+            return
+        incoming = rows.withColumn("bucket", self.bucket_of())
+        touched = [r["bucket"] for r in incoming.select("bucket").distinct().collect()]
+        if not touched:
+            return
+        old = self._read(self._folders(touched))
+        merged = fold(old.unionByName(rows.select(*old.columns))).withColumn("bucket", self.bucket_of())
+        target = f"{self.path}/data/batch={batch_id}"
+        merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        # A bucket all of whose rows were folded away has no folder; it gets an empty one.
+        with_bucket = StructType(self.schema.fields).add("bucket", IntegerType())
+        have = {r["bucket"] for r in self.spark.read.schema(with_bucket).parquet(target).select("bucket").distinct().collect()}
+        empty = f"{self.path}/data/empty={batch_id}"
+        if have != set(touched):
+            self.spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(empty)
+        commits = [(b, batch_id, f"{target}/bucket={b}" if b in have else empty) for b in touched]
+        self.spark.createDataFrame(commits, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
