@@ -73,7 +73,7 @@ class VersionedTable:
         target = f"{self.path}/data/batch={batch_id}"
         merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
         # A bucket all of whose rows were folded away has no folder; it gets an empty one.
-        with_bucket = StructType(self.schema.fields).add("bucket", IntegerType())
+        with_bucket = StructType(list(self.schema.fields)).add("bucket", IntegerType())
         have = {r["bucket"] for r in self.spark.read.schema(with_bucket).parquet(target).select("bucket").distinct().collect()}
         empty = f"{self.path}/data/empty={batch_id}"
         if have != set(touched):
