@@ -192,21 +192,21 @@ def relevant_search_results(results: DataFrame, profiles: DataFrame) -> DataFram
     names = F.col("operating_names") if "operating_names" in profiles.columns else F.array().cast("array<string>")
     side = profiles.select("org", F.col("name").alias("_name"), F.col("municipality").alias("_town"), F.coalesce(names, F.array().cast("array<string>")).alias("_aliases"))
     j = results.join(side, "org")
-    core = F.array_distinct(long_words(F.col("_name")))
-    title, site = long_words(F.col("title")), long_words(host(F.col("url")))
-    context = F.concat(title, long_words(F.col("snippet")))
+    core = F.array_distinct(owner_tokens(F.col("_name")))
+    title, site = owner_tokens(F.col("title")), owner_tokens(host(F.col("url")))
+    context = F.concat(title, owner_tokens(F.col("snippet")))
     proof = F.concat(context, site)
     number = digits(F.col("org"))
     j = j.withColumns({
         "_core": core, "_strong": F.concat(title, site), "_proof": proof, "_overlap": F.array_intersect(core, proof),
         "_org": (number != "") & F.exists(F.array("url", "title", "snippet"), lambda t: F.contains(digits(t), number)),
-        "_place": _subset(long_words(F.col("_town")), context),
+        "_place": _subset(owner_tokens(F.col("_town")), context),
         "_blocked": is_listing_host(host(F.col("url"))) | host_listed(host(F.col("url")), lx.SEARCH_BLOCKED_HOSTS),
     })
     share = F.size("_overlap") / F.size("_core")
     telling = F.filter("_core", lambda t: F.length(t) >= 5)
     hit = F.arrays_overlap(telling, F.col("_strong"))
-    alias = F.exists("_aliases", lambda a: _subset(long_words(a), F.col("_proof")))
+    alias = F.exists("_aliases", lambda a: _subset(owner_tokens(a), F.col("_proof")))
     relevant = (F.size("_core") > 0) & ~F.col("_blocked") & (
         (F.col("_org") & (F.size("_overlap") > 0))
         | alias

@@ -205,7 +205,8 @@ def _searched(spark, sf):
 @bind(
     "relevant_search_results",
     "B15",
-    f"""WITH {RESULT_SQL}, k AS (SELECT page_id, {sql.long_words('name')} AS c0, {sql.long_words('title')} AS tt, {sql.long_words('snippet')} AS sn, {sql.long_words('site')} AS ho FROM r),
+    f"""WITH {RESULT_SQL}, k0 AS (SELECT page_id, {sql.long_words('name')} AS c0, {sql.long_words('title')} AS tt, {sql.long_words('snippet')} AS sn, {sql.long_words('site')} AS ho FROM r),
+k AS (SELECT page_id, {sql.without('c0', lx.OWNER_GENERIC)} AS c0, {sql.without('tt', lx.OWNER_GENERIC)} AS tt, {sql.without('sn', lx.OWNER_GENERIC)} AS sn, {sql.without('ho', lx.OWNER_GENERIC)} AS ho FROM k0),
 c AS (SELECT *, list_distinct(c0) AS core, list_concat(tt, ho, sn) AS ev FROM k),
 o AS (SELECT *, len(list_filter(core, lambda t: list_contains(ev, t))) AS ov, list_filter(core, lambda t: length(t) >= 5) AS tell FROM c)
 SELECT page_id AS rank, len(core) > 0 AND (ov = len(core) OR (len(tell) > 0 AND ((len(list_filter(tell, lambda t: list_contains(list_concat(tt, ho), t))) > 0 AND (len(core) = 1 OR ov / len(core) >= 0.34))
