@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from attesta import lexicon as lx
-from attesta.functions.text import lead_words, lit_strings, words
+from attesta.functions.text import lead_words, let, lit_strings, words
 from attesta.functions.urls import host
 
 
@@ -19,33 +19,38 @@ def _size_at_least(parts: Column, n: int) -> Column:
 
 def candidate_labels(name: Column, limit: int = 5) -> Column:
     """Likely domain labels, best first: telling words joined, all words, hyphenated, stems, leading words, initials."""
-    tokens = words(name)
-    telling = F.filter(tokens, lambda t: ~t.isin(lx.LABEL_FILLER))
-    core = F.when(F.size(telling) > 0, telling).otherwise(tokens)
     ending = "(" + "|".join(lx.LABEL_STEM_ENDINGS) + ")$"
 
     def stem(t: Column) -> Column:
         cut = F.regexp_replace(t, ending, "")
         return F.when(F.length(cut) >= 3, cut).otherwise(t)
 
-    stems = F.transform(core, stem)
-    stemmed = stems != core
-    first = F.try_element_at(core, F.lit(1))
-    several = _size_at_least(core, 2)
-    ordered = F.array(
-        _joined(core), _joined(tokens), _joined(core, "-"),
-        F.when(stemmed, _joined(stems)), F.when(stemmed, _joined(stems, "-")),
-        F.when(several, _joined(F.slice(core, 1, 2))),
-        F.when(~several | (F.length(first) >= 4), first),
-        F.when(several, _joined(F.transform(core, lambda t: F.substring(t, 1, 1)))),
-    )
-    kept = F.filter(F.array_compact(ordered), lambda label: F.length(label) >= 3)
-    return F.slice(F.array_distinct(kept), 1, limit)
+    def ordered(tokens: Column, core: Column, stems: Column) -> Column:
+        first = F.try_element_at(core, F.lit(1))
+        several, stemmed = _size_at_least(core, 2), stems != core
+        listed = F.array(
+            _joined(core), _joined(tokens), _joined(core, "-"),
+            F.when(stemmed, _joined(stems)), F.when(stemmed, _joined(stems, "-")),
+            F.when(several, _joined(F.slice(core, 1, 2))),
+            F.when(~several | (F.length(first) >= 4), first),
+            F.when(several, _joined(F.transform(core, lambda t: F.substring(t, 1, 1)))),
+        )
+        kept = F.filter(F.array_compact(listed), lambda label: F.length(label) >= 3)
+        return F.slice(F.array_distinct(kept), 1, limit)
+
+    def telling(tokens: Column) -> Column:
+        core = F.filter(tokens, lambda t: ~t.isin(lx.LABEL_FILLER))
+        return let(F.when(F.size(core) > 0, core).otherwise(tokens), lambda c: let(F.transform(c, stem), lambda s: ordered(tokens, c, s)))
+
+    return let(words(name), telling)
 
 
 def candidate_hosts(name: Column, legal_form: Column, limit: int = 5) -> Column:
     """Labels under .no and .com first; country endings the name hints at come last."""
-    labels = candidate_labels(name, limit)
+    return let(candidate_labels(name, limit), lambda labels: _hosts(name, legal_form, labels))
+
+
+def _hosts(name: Column, legal_form: Column, labels: Column) -> Column:
     plain = F.split(F.lower(F.coalesce(name, F.lit(""))), r"\s+")
 
     def under(ending: str) -> Column:
@@ -63,13 +68,19 @@ def candidate_hosts(name: Column, legal_form: Column, limit: int = 5) -> Column:
 
 def domain_guesses(name: Column, town: Column, limit: int = 14) -> Column:
     """Guessed homepages in priority order; equal priorities keep their listed order."""
-    tokens = lead_words(name)
+    def made(found: Column) -> Column:
+        return _guesses(found["tokens"], found["place"], found["other"], limit)
+
+    found = F.struct(lead_words(name).alias("tokens"), lead_words(town).alias("place"), _joined(lead_words(name, double=True)).alias("other"))
+    return let(found, made)
+
+
+def _guesses(tokens: Column, place: Column, other: Column, limit: int) -> Column:
     size = F.size(tokens)
     joined = _joined(tokens)
     last, first = F.try_element_at(tokens, F.lit(-1)), F.try_element_at(tokens, F.lit(1))
     several = size > 1
     without_last = _joined(F.slice(tokens, F.lit(1), F.greatest(F.lit(0), size - 1)))
-    place = lead_words(town)
     n = F.size(place)
     ends_in_place = (n > 0) & (size >= n) & (F.slice(tokens, F.greatest(F.lit(1), size - n + 1), F.greatest(F.lit(1), n)) == place)
     without_place = _joined(F.slice(tokens, F.lit(1), F.greatest(F.lit(0), size - n)))
@@ -77,7 +88,6 @@ def domain_guesses(name: Column, town: Column, limit: int = 14) -> Column:
     own_first = several & ~first.isin(lx.LEAD_GENERIC_FIRST)
     nursery = F.arrays_overlap(tokens, lit_strings(["barnehage", "barnehager"]))
     short = F.transform(tokens, lambda t: F.when(t.isin("barnehage", "barnehager"), "bhg").otherwise(t))
-    other = _joined(lead_words(name, double=True))
 
     plan = [
         (F.lit(True), joined, "no", 100), (size <= 4, joined, "com", 96),
@@ -117,32 +127,39 @@ CATEGORICAL_FEATURES = ["employee_bucket", "legal_form"]
 
 def candidate_features(name: Column, site: Column, staff: Column, legal_form: Column, bankrupt: Column, accounts: Column) -> Column:
     """struct of the seventeen features of one (entity, host) pair, for training and scoring alike."""
-    label = host(F.when(F.contains(site, F.lit("://")), site).otherwise(F.concat(F.lit("http://"), site)))
-    dotted = F.contains(label, F.lit("."))
-    core = F.when(dotted, F.regexp_replace(label, r"\.[^.]*$", "")).otherwise(label)
-    ending = F.when(dotted, F.concat(F.lit("."), F.substring_index(label, ".", -1))).otherwise("")
-    tokens = words(name)
-    slug = _joined(tokens)
-    variants = candidate_labels(name, 6)
-    place = F.array_position(variants, core).cast("int") - 1
-    mine, theirs = trigrams(core), trigrams(slug)
-    union = F.size(F.array_union(mine, theirs))
-    overlap = F.when(union > 0, F.size(F.array_intersect(mine, theirs)) / union).otherwise(0.0)
+    def parts(label: Column) -> Column:
+        dotted = F.contains(label, F.lit("."))
+        core = F.when(dotted, F.regexp_replace(label, r"\.[^.]*$", "")).otherwise(label)
+        ending = F.when(dotted, F.concat(F.lit("."), F.substring_index(label, ".", -1))).otherwise("")
+        tokens = words(name)
+        return F.struct(core.alias("core"), ending.alias("ending"), tokens.alias("tokens"), _joined(tokens).alias("slug"), candidate_labels(name, 6).alias("variants"))
+
+    def grams(p: Column) -> Column:
+        place = F.array_position(p["variants"], p["core"]).cast("int") - 1
+        return F.struct(p.alias("p"), trigrams(p["core"]).alias("mine"), trigrams(p["slug"]).alias("theirs"), place.alias("place"))
 
     def bit(test: Column) -> Column:
         return F.coalesce(test, F.lit(False)).cast("int")
 
-    return F.struct(
-        F.greatest(F.lit(1), place + 1).alias("rank"), place.alias("variant_index"), bit(place == 0).alias("is_top_variant"),
-        bit(ending == ".no").alias("tld_no"), F.length(core).alias("label_len"), bit(core == slug).alias("label_is_full_slug"),
-        bit(F.array_contains(tokens, core)).alias("label_is_single_token"), F.size(tokens).alias("name_token_count"),
-        bit(F.size(tokens) <= 1).alias("name_single_token"), F.round(overlap, 4).alias("trigram_jaccard"),
-        F.round(F.length(core) / F.greatest(F.lit(1), F.length(slug)), 4).alias("char_coverage"),
-        bit(F.contains(core, F.lit("-"))).alias("has_hyphen"), F.coalesce(staff.cast("int"), F.lit(0)).alias("employees"),
-        employee_bucket(staff).alias("employee_bucket"),
-        F.coalesce(F.nullif(legal_form, F.lit("")), F.lit("?")).alias("legal_form"), bit(bankrupt).alias("bankrupt"),
-        bit(F.length(F.coalesce(accounts.cast("string"), F.lit(""))) > 0).alias("has_accounts"),
-    )
+    def made(g: Column) -> Column:
+        p, place = g["p"], g["place"]
+        core, slug, tokens = p["core"], p["slug"], p["tokens"]
+        union = F.size(F.array_union(g["mine"], g["theirs"]))
+        overlap = F.when(union > 0, F.size(F.array_intersect(g["mine"], g["theirs"])) / union).otherwise(0.0)
+        return F.struct(
+            F.greatest(F.lit(1), place + 1).alias("rank"), place.alias("variant_index"), bit(place == 0).alias("is_top_variant"),
+            bit(p["ending"] == ".no").alias("tld_no"), F.length(core).alias("label_len"), bit(core == slug).alias("label_is_full_slug"),
+            bit(F.array_contains(tokens, core)).alias("label_is_single_token"), F.size(tokens).alias("name_token_count"),
+            bit(F.size(tokens) <= 1).alias("name_single_token"), F.round(overlap, 4).alias("trigram_jaccard"),
+            F.round(F.length(core) / F.greatest(F.lit(1), F.length(slug)), 4).alias("char_coverage"),
+            bit(F.contains(core, F.lit("-"))).alias("has_hyphen"), F.coalesce(staff.cast("int"), F.lit(0)).alias("employees"),
+            employee_bucket(staff).alias("employee_bucket"),
+            F.coalesce(F.nullif(legal_form, F.lit("")), F.lit("?")).alias("legal_form"), bit(bankrupt).alias("bankrupt"),
+            bit(F.length(F.coalesce(accounts.cast("string"), F.lit(""))) > 0).alias("has_accounts"),
+        )
+
+    full = F.when(F.contains(site, F.lit("://")), site).otherwise(F.concat(F.lit("http://"), site))
+    return let(let(let(host(full), parts), grams), made)
 
 
 def search_queries(name: Column, org: Column, town: Column, operating_name: Column) -> Column:

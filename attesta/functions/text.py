@@ -110,9 +110,12 @@ def long_words(text: Column) -> Column:
 
 def name_tokens(name: Column) -> Column:
     """Distinct telling words of a legal name, in order."""
-    found = long_words(name)
-    strict = F.array_except(found, lit_strings(lx.NAME_NOISE))
-    return F.when(F.size(strict) > 0, strict).otherwise(F.array_except(found, lit_strings(lx.NAME_NOISE_BASE)))
+
+    def telling(found: Column) -> Column:
+        strict = F.array_except(found, lit_strings(lx.NAME_NOISE))
+        return F.when(F.size(strict) > 0, strict).otherwise(F.array_except(found, lit_strings(lx.NAME_NOISE_BASE)))
+
+    return let(long_words(name), telling)
 
 
 def _without(array: Column, noise: list[str]) -> Column:
@@ -176,12 +179,14 @@ def has_phrase(line: Column, phrase: Column) -> Column:
 
 def token_hits(tokens: Column, text: Column) -> Column:
     """Tokens found in folded text: long ones anywhere, short ones as whole words only."""
-    bounded = F.concat(F.lit(" "), F.regexp_replace(text, "[^a-z0-9_]+", " "), F.lit(" "))
-    return F.filter(
-        tokens,
-        lambda t: F.when(F.length(t) <= 3, F.contains(bounded, F.concat(F.lit(" "), t, F.lit(" "))))
-        .otherwise(F.contains(text, t)),
-    )
+
+    def hits(bounded: Column) -> Column:
+        return F.filter(
+            tokens,
+            lambda t: F.when(F.length(t) <= 3, F.contains(bounded, F.concat(F.lit(" "), t, F.lit(" ")))).otherwise(F.contains(text, t)),
+        )
+
+    return let(F.concat(F.lit(" "), F.regexp_replace(text, "[^a-z0-9_]+", " "), F.lit(" ")), hits)
 
 
 def digits(text: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from attesta import lexicon as lx
 from attesta.functions.ids import stable_id
 from attesta.functions.text import (
-    any_marker, digits, exact_name_tokens, fold, has_phrase, lit_strings, name_tokens, number_in_text, owner_tokens, proof_span, token_hits,
+    any_marker, digits, exact_name_tokens, fold, has_phrase, let, lit_strings, name_tokens, number_in_text, owner_tokens, proof_span, token_hits,
     valid_org_numbers, word_line,
 )
 from attesta.functions.urls import host, is_directory_host, is_listing_host, mail_host, url_path
@@ -71,12 +71,11 @@ def identity_signals(profiles: DataFrame, pages: DataFrame) -> DataFrame:
         F.transform(F.coalesce("p_phones", F.array().cast(EMPTY)), lambda p: F.when(digits(p).rlike("^47[0-9]{8}$"), F.substring(digits(p), 3, 8)).otherwise(digits(p))),
         lambda p: F.length(p) == 8,
     )
-    glued = digits(F.col("whole"))
     corroborated = F.array_compact(F.array(
         F.when((F.length(code) == 4) & F.rlike(F.col("whole"), F.concat(F.lit(r"\b"), code, F.lit(r"\b"))), "registered postcode"),
         F.when((F.length(town) > 3) & F.contains("f_whole", town), "registered city"),
         F.when(F.exists(streets, lambda s: (F.length(fold(s)) >= 4) & F.contains(F.col("f_whole"), fold(s))), "registered street address"),
-        F.when(F.exists(phones, lambda p: F.contains(glued, p)), "registered phone"),
+        F.when(let(digits(F.col("whole")), lambda glued: F.exists(phones, lambda p: F.contains(glued, p))), "registered phone"),
     ))
     label = fold(F.substring_index("site", ".", 1))
     club = F.col("p_name").rlike(r"(?i)(?:^|\s)(?:B\.?\s*I\.?\s*L\.?|BEDRIFTSIDRETTSLAG|IDRETTSLAG)(?:\s|$)")
@@ -190,28 +189,38 @@ OWNER_PAGE = r"(?i)/(?:contact|kontakt|about|om-oss|personvern|privacy|legal|vil
 
 def _names_company(part: Column) -> Column:
     """The name stands in the text itself, not only inside an echoed host name."""
-    bare = F.regexp_replace(F.coalesce(part, F.lit("")), HOST_IN_TEXT, " ")
-    phrase = has_phrase(F.array_join(exact_name_tokens(bare), " "), F.col("name_line"))
-    glued = (F.size("core") >= 2) & (F.length("compact") >= 8) & F.contains(F.replace(word_line(bare), F.lit(" "), F.lit("")), F.col("compact"))
-    return _true(phrase | glued)
-
-
-def _part_flags(text: Column) -> dict[str, Column]:
-    """What one piece of site text says about the entity; folded over pieces with OR."""
-    line = word_line(text)
-    tokens = F.array_join(owner_tokens(text), " ")
-    return {
-        "names": _names_company(text),
-        "legal": has_phrase(line, F.col("legal_line")),
-        "number": (F.length("org") == 9) & number_in_text(F.col("org"), text),
-        "street": (F.length("street_line") >= 6) & has_phrase(line, F.col("street_line")),
-        "code": F.col("postcode").rlike(r"^\d{4}$") & number_in_text(F.col("postcode"), text),
-        "phone": (F.length("phone8") == 8) & number_in_text(F.col("phone8"), text),
-        "city": has_phrase(line, F.col("city_line")),
-        "person": _true(F.exists("person_lines", lambda p: has_phrase(tokens, p))),
-        "parked": any_marker(F.lower(F.coalesce(text, F.lit(""))), lx.OWNER_PARKED_MARKERS),
-        "club": F.contains(line, F.lit("bedriftsidrett")) | F.contains(line, F.lit("b i l")),
-    }
+
+    def named(bare: Column) -> Column:
+        phrase = has_phrase(F.array_join(exact_name_tokens(bare), " "), F.col("name_line"))
+        glued = (F.size("core") >= 2) & (F.length("compact") >= 8) & F.contains(F.replace(word_line(bare), F.lit(" "), F.lit("")), F.col("compact"))
+        return _true(phrase | glued)
+
+    return let(F.regexp_replace(F.coalesce(part, F.lit("")), HOST_IN_TEXT, " "), named)
+
+
+PART_FLAGS = ["names", "legal", "number", "street", "code", "phone", "city", "person", "parked", "club"]
+
+
+def _part_flags(text: Column) -> Column:
+    """struct of what one piece of site text says about the entity; folded over pieces with OR."""
+
+    def flags(t: Column) -> Column:
+        line, tokens, raw = t["line"], t["tokens"], t["text"]
+        return F.struct(
+            _names_company(raw).alias("names"),
+            has_phrase(line, F.col("legal_line")).alias("legal"),
+            ((F.length("org") == 9) & number_in_text(F.col("org"), raw)).alias("number"),
+            ((F.length("street_line") >= 6) & has_phrase(line, F.col("street_line"))).alias("street"),
+            (F.col("postcode").rlike(r"^\d{4}$") & number_in_text(F.col("postcode"), raw)).alias("code"),
+            ((F.length("phone8") == 8) & number_in_text(F.col("phone8"), raw)).alias("phone"),
+            has_phrase(line, F.col("city_line")).alias("city"),
+            _true(F.exists("person_lines", lambda p: has_phrase(tokens, p))).alias("person"),
+            any_marker(F.lower(raw), lx.OWNER_PARKED_MARKERS).alias("parked"),
+            (F.contains(line, F.lit("bedriftsidrett")) | F.contains(line, F.lit("b i l"))).alias("club"),
+        )
+
+    raw = F.coalesce(text, F.lit(""))
+    return let(F.struct(raw.alias("text"), word_line(raw).alias("line"), F.array_join(owner_tokens(raw), " ").alias("tokens")), flags)
 
 
 def _schema_number(node: Column) -> Column:
@@ -244,10 +253,9 @@ def page_flags(profiles: DataFrame, site_pages: DataFrame) -> DataFrame:
     """Flags over all captured pages of a site; pages are folded by an aggregate, never listed."""
     p = ownership_profiles(profiles)
     text = F.concat_ws(" ", "title", "identity_text", "main_text")
-    joined = site_pages.join(p, "org").withColumns(_part_flags(text))
-    contact = F.col("number") & F.col("page_url").rlike(OWNER_PAGE)
-    names = [k for k in _part_flags(F.lit(""))]
-    return joined.groupBy("org", "site_url").agg(*[F.bool_or(F.col(n)).alias(f"g_{n}") for n in names], F.bool_or(contact).alias("g_contact_number"))
+    joined = site_pages.join(p, "org").select("org", "site_url", "page_url", _part_flags(text).alias("f"))
+    contact = F.col("f.number") & F.col("page_url").rlike(OWNER_PAGE)
+    return joined.groupBy("org", "site_url").agg(*[F.bool_or(F.col(f"f.{n}")).alias(f"g_{n}") for n in PART_FLAGS], F.bool_or(contact).alias("g_contact_number"))
 
 
 def identity_gate_v3(profiles: DataFrame, sites: DataFrame, site_pages: DataFrame | None = None) -> DataFrame:
@@ -271,8 +279,8 @@ def identity_gate_v3(profiles: DataFrame, sites: DataFrame, site_pages: DataFram
     node_names = F.filter(F.flatten(F.transform("nodes", lambda n: F.array(n["name"], n["legal_name"], n["alternate_name"]))), lambda t: t.isNotNull())
     j = j.withColumn("node_names", node_names)
     home_text = F.concat_ws(" ", "title", "description", "identity_text", F.array_join("node_names", " "))
-    flags = _part_flags(F.concat_ws(" ", home_text, F.col("main_text")))
-    j = j.withColumn("home_text", home_text).withColumns({f"h_{k}": v for k, v in flags.items()})
+    j = j.withColumn("home_text", home_text).withColumn("h", _part_flags(F.concat_ws(" ", F.col("home_text"), F.col("main_text"))))
+    j = j.withColumns({f"h_{n}": F.col(f"h.{n}") for n in PART_FLAGS})
     brand = (
         _names_company(F.col("title")) | _names_company(F.col("description")) | _names_company(F.col("heading")) | F.exists("node_names", _names_company)
     )
@@ -296,7 +304,7 @@ def identity_gate_v3(profiles: DataFrame, sites: DataFrame, site_pages: DataFram
         "redirected": F.array_contains("declared_places", F.concat(host(F.col("requested_url")), F.regexp_replace(url_path(F.col("requested_url")), "/+$", ""))),
         "name_domain": (F.length("name_line") > 0) & F.col("site").endswith(".no") & (F.replace(F.substring_index("site", ".", 1), F.lit("-"), F.lit("")) == F.col("compact")),
     })
-    names = list(flags)
+    names = PART_FLAGS
     if site_pages is None:
         for n in [*names, "contact_number"]:
             j = j.withColumn(f"g_{n}", F.lit(False))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from attesta import lexicon as lx
 from attesta.functions.dates import valid_date
 from attesta.functions.urls import host, url_path
+from attesta.operators.ordering import with_totals
 
 
 def _blank(name: str) -> Column:
@@ -389,7 +390,7 @@ def audit_observations(observations: DataFrame, labels: DataFrame, profiles: Dat
         *[share(F.col(f)).alias(f) for f in families],
     )
     label_count = labels.agg(F.count(F.lit(1)).alias("labels"))
-    row = audited.join(coverage, F.lit(True)).join(label_count, F.lit(True))
+    row = with_totals(with_totals(audited, coverage), label_count)
     entity = F.when(F.col("published") > 0, (F.col("published") - F.col("wrong_entity")) / F.col("published")).otherwise(0.0)
     metric = F.when(F.col("published") > 0, (F.col("published") - F.col("wrong_metric")) / F.col("published")).otherwise(0.0)
     gate = F.col("labels") >= minimum_audit
@@ -594,7 +595,7 @@ def evidence_audit(observations: DataFrame, site_verdicts: DataFrame, as_of: str
     )
     misclassified = observations.agg(F.count_if(_true((signal == "job_posting") & ~direct_job())).alias("misclassified_job_items"))
     disputes = cross_company_disputes(qualified).agg(F.count(F.lit(1)).alias("disputed_urls"))
-    return counted.join(misclassified, F.lit(True)).join(disputes, F.lit(True))
+    return with_totals(with_totals(counted, misclassified), disputes)
 
 
 # ---- unions ----

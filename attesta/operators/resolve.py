@@ -1,7 +1,7 @@
 """Entity resolution as equi-joins: names, phrases, domains, leads and places.
 
 No join condition holds a Python function or a non-equality alone. Where the
-reference question is "contains", the searched side is exploded into the exact
+question is "contains", the searched side is exploded into the exact
 keys that can match, so Spark plans hash or sort-merge joins and AQE can split a
 hot key.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from attesta import lexicon as lx
 from attesta.functions.ids import stable_id
 from attesta.functions.text import (
-    digits, fuzzy_ratio, long_words, name_tokens, normalize_employer, owner_tokens, lit_strings, word_line, has_phrase, words,
+    digits, fuzzy_ratio, has_phrase, let, lit_strings, long_words, name_tokens, normalize_employer, number_in_text, owner_tokens, word_line, words,
 )
 from attesta.functions.urls import candidate_key, host, host_listed, is_directory_host, is_listing_host, normalize_homepage, normalize_site
 
@@ -315,25 +315,26 @@ def news_proximity(profiles: DataFrame, articles: DataFrame) -> DataFrame:
 
     Name words are distinct and noise-free on both sides, so each has one position
     in an article. Every name is joined through its rarest word only, which any full
-    match must contain; the other words are then checked inside the row. Common words
-    therefore never multiply pairs and nothing is dropped.
+    match must contain; the other words of such a pair are then looked up by (item,
+    word). Common words never multiply pairs, no token list travels with a pair, and
+    nothing is dropped.
     """
     text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))
     bodies = articles.select("item", name_tokens(text).alias("w"), digits(text).alias("d"))
-    tokens = bodies.select("item", F.explode("w").alias("token"))
+    tokens = bodies.select("item", F.posexplode("w").alias("place", "token"))
     frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("seen"))
-    named = profiles.select("org", name_tokens(F.col("name")).alias("core")).filter(F.size("core") > 0)
-    spread = named.select("org", F.explode("core").alias("token")).join(frequency, "token")
-    anchors = spread.groupBy("org").agg(F.min_by("token", F.struct("seen", "token")).alias("token"))
-    pairs = tokens.join(anchors, "token").select("item", "org").join(named, "org").join(bodies.select("item", "w"), "item")
-    places = F.transform("core", lambda t: F.array_position("w", t).cast("int"))
-    j = pairs.withColumns({"places": places, "k": F.size("core")})
-    full = F.array_min("places") > 0
-    close = F.array_max("places") - F.array_min("places") + 1 <= F.greatest(F.lit(14), F.col("k") + 4)
-    one = F.try_element_at(F.col("core"), F.lit(1))
-    by_name = j.select(
+    core = profiles.select("org", name_tokens(F.col("name")).alias("core"))
+    wanted = core.select("org", F.size("core").alias("k"), F.explode("core").alias("token"))
+    anchors = wanted.join(frequency, "token").groupBy("org").agg(F.min_by("token", F.struct("seen", "token")).alias("token"))
+    pairs = tokens.select("item", "token").join(anchors, "token").select("item", "org")
+    met = pairs.join(wanted, "org").join(tokens, ["item", "token"]).groupBy("item", "org", "k").agg(
+        F.count(F.lit(1)).alias("n"), (F.max("place") - F.min("place") + 1).alias("span"), F.min("token").alias("one")
+    )
+    full = F.col("n") == F.col("k")
+    close = F.col("span") <= F.greatest(F.lit(14), F.col("k") + 4)
+    by_name = met.select(
         "item", "org",
-        F.when(full & close & (F.col("k") >= 2), 0.95).when(full & (F.col("k") == 1) & (F.length(one) >= 5), 0.80).otherwise(0.30).alias("score"),
+        F.when(full & close & (F.col("k") >= 2), 0.95).when(full & (F.col("k") == 1) & (F.length("one") >= 5), 0.80).otherwise(0.30).alias("score"),
     ).filter("score > 0.3")
     windows = F.transform(F.sequence(F.lit(1), F.length("d") - 8), lambda i: F.substr(F.col("d"), i, F.lit(9)))
     numbers = bodies.filter(F.length("d") >= 9).select("item", F.explode(F.array_distinct(windows)).alias("org"))
@@ -614,26 +615,29 @@ def website_origins(accepted: DataFrame, candidates: DataFrame) -> DataFrame:
 def legal_proof(org: Column, name: Column, town: Column, domain: Column, street: Column, people: Column, text: Column, text_domain: Column) -> Column:
     """The strongest proof type in a text: number, own domain, name with domain or town,
     brand with street and town, brand with a registered person; NULL when there is none."""
-    from attesta.functions.text import number_in_text
-
-    line, legal, place, road = word_line(text), word_line(name), word_line(town), word_line(street)
-    has_domain = F.length(F.coalesce(domain, F.lit(""))) > 0
-    town_named = (F.length(place) >= 4) & has_phrase(line, place)
-    named = (F.length(legal) >= 6) & has_phrase(line, legal)
-    brand_tokens = owner_tokens(name)
-    brand = (F.length(F.array_join(brand_tokens, "")) >= 5) & _subset(F.array_distinct(brand_tokens), owner_tokens(text))
-    person = F.exists(
-        F.coalesce(people, F.array().cast("array<string>")),
-        lambda p: (F.length(word_line(p)) >= 10) & F.contains(word_line(p), F.lit(" ")) & has_phrase(line, word_line(p)),
-    )
-    return (
-        F.when(number_in_text(org, text), "captured_exact_organisation_number")
-        .when(has_domain & _true(text_domain == domain), "verified_own_domain")
-        .when(named & ((has_domain & F.contains(F.lower(text), F.lower(domain))) | town_named), "captured_legal_name_and_domain_or_city")
-        .when(brand & (F.length(road) >= 6) & has_phrase(line, road) & town_named, "captured_brand_and_registered_street_city")
-        .when(brand & person, "captured_brand_and_current_registered_person")
+    nobody = F.array().cast("array<string>")
+    folded = F.struct(
+        word_line(text).alias("line"), word_line(name).alias("legal"), word_line(town).alias("place"), word_line(street).alias("road"),
+        F.transform(F.coalesce(people, nobody), word_line).alias("people"),
+        F.array_distinct(owner_tokens(name)).alias("brand"), owner_tokens(text).alias("tokens"),
     )
 
+    def ladder(f: Column) -> Column:
+        has_domain = F.length(F.coalesce(domain, F.lit(""))) > 0
+        town_named = (F.length(f["place"]) >= 4) & has_phrase(f["line"], f["place"])
+        named = (F.length(f["legal"]) >= 6) & has_phrase(f["line"], f["legal"])
+        brand = (F.length(F.array_join(f["brand"], "")) >= 5) & _subset(f["brand"], f["tokens"])
+        person = F.exists(f["people"], lambda p: (F.length(p) >= 10) & F.contains(p, F.lit(" ")) & has_phrase(f["line"], p))
+        return (
+            F.when(number_in_text(org, text), "captured_exact_organisation_number")
+            .when(has_domain & _true(text_domain == domain), "verified_own_domain")
+            .when(named & ((has_domain & F.contains(F.lower(text), F.lower(domain))) | town_named), "captured_legal_name_and_domain_or_city")
+            .when(brand & (F.length(f["road"]) >= 6) & has_phrase(f["line"], f["road"]) & town_named, "captured_brand_and_registered_street_city")
+            .when(brand & person, "captured_brand_and_current_registered_person")
+        )
+
+    return let(folded, ladder)
+
 
 def plan_tasks(profiles: DataFrame) -> DataFrame:
     """Connector tasks with ids that depend on their content only.

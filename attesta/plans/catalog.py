@@ -39,5 +39,20 @@ def bind(name: str, covers: str, oracle: str | None = None) -> Callable[[Query],
     return register
 
 
+# Tables whose rows are long texts, with the column that tells rows apart.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than the session has cores.
+
+    Text columns cost processor time per row; a single small file would keep one core
+    busy. A scan with enough splits, the usual case on a cluster, is left alone.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots, key) if df.rdd.getNumPartitions() < slots else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from attesta.functions.text import headline_sentiment
 from attesta.operators import observations as op
+from attesta.operators.ordering import with_totals
 from attesta.plans import views
 from attesta.plans.catalog import bind, table
 from attesta.plans.views import CLAIMS_SQL, EVIDENCE_SQL, OBSERVATIONS_SQL, PROFILES_SQL
@@ -389,7 +389,7 @@ def weighted_rubric(spark, sf):
         share(F.col("roles") & F.col("locations")).alias("roles_locations_share"), share(F.col("website_terminal_state")).alias("website_terminal_share"),
     )
     yes = F.lit(True)
-    facts = audit.join(base, F.lit(True)).withColumns(
+    facts = with_totals(audit, base).withColumns(
         {"qualification_passed": yes, "wrong_entity": F.lit(0), "published": F.lit(1), "fresh_coverage": F.lit(1.0), "sentiment_passed": yes,
          "research_score": F.lit(9.0), "external_qa_passed": yes, "batch_valid": yes, "resume_valid": yes, "refresh_valid": yes,
          "p95_ms": F.lit(100.0), "connector_policy": yes}
