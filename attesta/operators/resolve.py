@@ -16,6 +16,7 @@ from attesta.functions.text import (
     digits, fuzzy_ratio, has_phrase, let, lit_strings, long_words, name_tokens, normalize_employer, number_in_text, owner_tokens, word_line, words,
 )
 from attesta.functions.urls import candidate_key, host, host_listed, is_directory_host, is_listing_host, normalize_homepage, normalize_site
+from attesta.session import stored
 
 
 def _true(column: Column) -> Column:
@@ -321,6 +322,8 @@ def news_proximity(profiles: DataFrame, articles: DataFrame) -> DataFrame:
     """
     text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit("")))
     bodies = articles.select("item", name_tokens(text).alias("w"), digits(text).alias("d"))
+    # Four joins read the words; folding the texts once and storing them is cheaper.
+    bodies = stored(bodies, "article-words")
     tokens = bodies.select("item", F.posexplode("w").alias("place", "token"))
     frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("seen"))
     core = profiles.select("org", name_tokens(F.col("name")).alias("core"))

@@ -8,7 +8,7 @@ from attesta import lexicon as lx
 from attesta.functions import markup, urls
 from attesta.operators import gates, observations as obs, resolve as op
 from attesta.plans import sqltext as sql, views
-from attesta.plans.catalog import bind, table
+from attesta.plans.catalog import bind, spread, table
 from attesta.plans.views import PROFILES_SQL
 
 # ---- employers ----
@@ -373,7 +373,7 @@ def match_job_cards(spark, sf):
 FROM orders JOIN profiles ON org = lpad(o_custkey::VARCHAR, 9, '0')""",
 )
 def legal_proof(spark, sf):
-    orders = table(spark, sf, "orders").withColumn("org", views.padded(F.col("o_custkey")))
+    orders = spread(table(spark, sf, "orders"), "o_orderkey").withColumn("org", views.padded(F.col("o_custkey")))
     # Letters for digits, so that a name never holds an organisation number by itself.
     lettered = F.translate("name", "0123456789", "abcdefghij")
     j = orders.join(views.profiles(spark, sf).withColumn("name", lettered), "org")

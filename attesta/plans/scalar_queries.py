@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from attesta import lexicon as lx
 from attesta.functions import dates, ids, labels, markup, text, urls
 from attesta.plans import sqltext as sql, views
-from attesta.plans.catalog import bind, table
+from attesta.plans.catalog import bind, spread, table
 from attesta.plans.views import PROFILES_SQL
 
 
@@ -94,7 +94,7 @@ u AS (SELECT DISTINCT o_orderkey, unnest(l) AS number FROM f)
 SELECT o_orderkey, number, {_mod11_sql('number')} AS valid FROM u""",
 )
 def find_org_numbers(spark, sf):
-    found = table(spark, sf, "orders").select("o_orderkey", F.explode(text.find_org_numbers(_numbered())).alias("number"))
+    found = spread(table(spark, sf, "orders"), "o_orderkey").select("o_orderkey", F.explode(text.find_org_numbers(_numbered())).alias("number"))
     return found.withColumn("valid", text.mod11_valid(F.col("number")))
 
 
@@ -193,7 +193,7 @@ def iso_dates(spark, sf):
         .otherwise(F.concat(F.lit("x "), F.date_format(day, "yyyy/MM/dd"), F.lit(" y")))
     )
     mail = F.concat(F.lit("Tue, "), F.date_format(day, "dd"), F.lit(" "), F.element_at(english, F.month(day)), F.lit(" "), F.date_format(day, "yyyy"), F.lit(" 10:00:00 GMT"))
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders"), "o_orderkey").select(
         "o_orderkey", dates.extract_iso_date(written, 1995, 2000).alias("found"), dates.date_only(mail).alias("mail_date")
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +51,14 @@ def settle(df: DataFrame) -> DataFrame:
     """Cut lineage through reliable storage, so a lost executor costs one re-read."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write once to the shared folder as Parquet and read back: columns prune, lineage ends.
+
+    For a costly projection that several joins of one job read.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
