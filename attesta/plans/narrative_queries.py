@@ -20,7 +20,7 @@ def _stated(spark, sf):
     renamed = (
         F.when(field == "view", "employees").when(field == "signup", "website").when(field == "click", "revenue").when(field == "purchase", "active_job_count").otherwise("founded_at")
     )
-    value = F.when(field == "click", F.concat(F.lit('{"amount":'), "value", F.lit("}"))).when(field == "purchase", F.format_string("%d", F.floor(F.col("value").cast("double")).cast("int"))).otherwise(F.col("value"))
+    value = F.when(field == "click", F.concat(F.lit('{"amount":'), F.floor(F.col("value").cast("double")).cast("string"), F.lit("}"))).when(field == "purchase", F.format_string("%d", F.floor(F.col("value").cast("double")).cast("int"))).otherwise(F.col("value"))
     return held.withColumns({"value": value, "field": renamed})
 
 
@@ -45,7 +45,20 @@ def synthesise(spark, sf):
     return sentences.filter(~F.col("text").startswith("In ") & ~F.col("text").startswith("Not established")).select("org", "text", "growth_signal")
 
 
-@bind("summaries", "D23")
+@bind(
+    "summaries",
+    "D23",
+    BEST_SQL
+    + """, s AS (SELECT org, arg_min(value, first_pos) FILTER (field = 'view' AND availability = 'available') AS emp, arg_min(value, first_pos) FILTER (field = 'signup' AND availability = 'available') AS site,
+  arg_min(floor(value::DOUBLE)::INTEGER, first_pos) FILTER (field = 'purchase' AND availability = 'available') AS jobs, arg_min(value, first_pos) FILTER (field = 'error' AND availability = 'available') AS founded,
+  arg_min(floor(value::DOUBLE)::BIGINT, first_pos) FILTER (field = 'click' AND availability = 'available') AS rev, arg_min(CASE WHEN claim_key LIKE '%|2024' THEN '2024' ELSE '' END, first_pos) FILTER (field = 'click' AND availability = 'available') AS per,
+  bool_or(field = 'signup' AND availability <> 'not_applicable') AS cs, bool_or(field = 'click' AND availability <> 'not_applicable') AS cr, bool_or(field = 'purchase' AND availability <> 'not_applicable') AS cj FROM held GROUP BY org),
+l AS (SELECT org, list_filter(['Customer (org. no. ' || org || ') is a registered company.', 'It is registered ' || substr(founded, 1, 10) || '.', 'The register records ' || emp || ' employees.',
+   'In ' || per || ', revenue was NOK ' || replace(format('{:,}', rev), ',', ' ') || '.', 'Its verified website is ' || site || '.',
+   CASE WHEN jobs > 0 THEN 'It appears to be hiring: ' || jobs || ' active job posting' || CASE WHEN jobs <> 1 THEN 's' ELSE '' END || ' on the public job board.' END,
+   'Not established from the checked sources: ' || nullif(concat_ws(', ', CASE WHEN site IS NULL AND cs THEN 'a verified official website' END, CASE WHEN rev IS NULL AND cr THEN 'latest annual revenue' END, CASE WHEN jobs IS NULL AND cj THEN 'a current hiring signal' END), '') || '.'], lambda x: x IS NOT NULL) AS t FROM s)
+SELECT org, array_to_string(t, ' ') AS summary, len(t) AS sentences FROM l""",
+)
 def summaries(spark, sf):
     claims = _stated(spark, sf)
     return op.summaries(op.synthesise(claims, claims.select("org").distinct().withColumn("input_name", F.lit("Customer"))))

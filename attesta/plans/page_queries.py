@@ -180,7 +180,18 @@ def site_activity(spark, sf):
     return op.site_activity(rows, links, verdicts)
 
 
-@bind("diverse_links", "E11")
+SECTION_SQL = "CASE WHEN regexp_matches(p, 'kontakt|contact') THEN 'contact' WHEN regexp_matches(p, 'career|karriere|stilling|jobs|jobb') THEN 'careers' WHEN regexp_matches(p, 'news|press|aktuelt|nyheter') THEN 'news' ELSE 'identity' END"
+
+
+@bind(
+    "diverse_links",
+    "E11",
+    f"""WITH {LINK_SQL}, l AS (SELECT page_id::VARCHAR AS org, regexp_replace(link || '/' || ['kontakt', 'jobs', 'news', 'about', 'team'][length(link) % 5 + 1], '\\?.*$', '') AS link FROM hv),
+q AS (SELECT *, lower({sql.path('link')}) AS p FROM l), r AS (SELECT org, link, p, CASE {' '.join(f"WHEN contains(p || ' ', '{w}') THEN {i}" for i, w in enumerate(op.PRIORITY_WORDS))} END AS rank FROM q),
+d AS (SELECT org, link, min(rank) AS rank, {SECTION_SQL} AS section FROM r WHERE rank IS NOT NULL GROUP BY org, link, p),
+t AS (SELECT *, row_number() OVER (PARTITION BY org, section ORDER BY rank, link) AS turn FROM d), u AS (SELECT *, row_number() OVER (PARTITION BY org ORDER BY turn > 1, rank, link) AS place FROM t WHERE turn <= 4)
+SELECT org, place, link, section FROM u WHERE place <= 4""",
+)
 def diverse_links(spark, sf):
     """Section-first link choice over links renamed so that sections occur."""
     pages = table(spark, sf, "pages")

@@ -495,7 +495,21 @@ def identity_gate_v1(spark, sf):
     return judged.select("org", "url", "score", "status", F.array_join("matched_tokens", " ").alias("matched"))
 
 
-@bind("identity_gate_v3", "C7")
+EXACT_NOISE = [w for w in lx.OWNER_GENERIC if w not in ("b", "v")]
+OWNER_SQL = " || ' ' || ".join(sql.strip_tags(f"array_to_string(regexp_extract_all(html, '(?is)<{t}\\b[^>]*>(.*?)</{t}>', 1), ' ')") for t in ("header", "footer", "address"))
+
+
+@bind(
+    "identity_gate_v3",
+    "C7",
+    f"""WITH {PAGE_SQL}, h AS (SELECT e.org, p.url, e.name, p.title, {OWNER_SQL} AS own, {sql.footer('p.html')} AS foot, {sql.strip_tags('p.html')} AS body, {sql.words('e.name')} AS w FROM ent e JOIN pg p ON p.page_id = e.first_page),
+n AS (SELECT *, {sql.without('w', EXACT_NOISE)} AS core, array_to_string(w, ' ') AS legal, array_to_string({sql.words('own')}, ' ') AS ownw FROM h),
+f AS (SELECT *, len(core) > 0 AS named, length(legal) > 0 AND contains(' ' || ownw || ' ', ' ' || legal || ' ') AS owner, len(core) >= 2 AS several, len(regexp_extract_all(' ' || title || ' ' || foot || ' ', '[^0-9][89]\\d{{2}}[ .]*\\d{{3}}[ .]*\\d{{3}}[^0-9]')) > 0 AS conflict FROM n),
+v AS (SELECT *, CASE WHEN conflict THEN 0.2 WHEN owner THEN 0.98 WHEN named THEN 0.95 ELSE 0.3 END::DOUBLE AS score,
+  CASE WHEN conflict THEN 'Homepage identifies another Norwegian organisation number' WHEN owner THEN 'Exact legal name is declared in captured homepage owner/contact regions' WHEN named AND several THEN 'Contiguous legal name appears in homepage evidence'
+    WHEN named THEN 'Contiguous company name is corroborated by registry, contact evidence or its Norwegian name domain' ELSE 'No exact legal identity or corroborated company name was found' END AS reason FROM f)
+SELECT org, url AS site_url, score, CASE WHEN score >= 0.9 THEN 'exact' ELSE 'related_or_uncertain' END AS status, score >= 0.9 AS publishable, score >= 0.9 AS content_attributable, reason, TRUE AS registry_link, conflict AS conflicting_org FROM v""",
+)
 def identity_gate_v3(spark, sf):
     """The ownership gate over every page as a site of its host's entity."""
     entities = _entities(spark, sf)
