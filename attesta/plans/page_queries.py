@@ -132,7 +132,20 @@ def site_claims(spark, sf):
     return op.site_claims(rows, verdicts).select("org", "pages", "field", "value", "source_url")
 
 
-@bind("site_contacts", "H2 G8")
+# Digits and spaces around a number are cut off first, since this SQL has no look-around.
+PHONE_SQL = "regexp_extract_all(regexp_replace(' ' || t || ' ', '[0-9]{9,}', ' # ', 'g'), '[^0-9]((?:(?:\\+47|0047)\\s?)?[2-9](?:\\s?\\d){7})[^0-9]', 1)"
+
+
+@bind(
+    "site_contacts",
+    "H2 G8",
+    f"""WITH d AS (SELECT source AS org, doc_id AS pos, 'https://' || source || '.example.com/' || doc_id AS source_url, text, {sql.strip_tags('text')} AS t FROM documents),
+m AS (SELECT org, pos, source_url, 'contact_email' AS field, unnest(list_transform(regexp_extract_all(t || E'\n' || text, '[a-zA-Z0-9._%+\\-]+@[a-zA-Z0-9.\\-]+\\.[a-zA-Z]{{2,}}'), lambda x: lower(x))) AS value FROM d),
+p0 AS (SELECT org, pos, source_url, unnest({PHONE_SQL}) AS raw FROM d), p1 AS (SELECT org, pos, source_url, regexp_replace(regexp_replace(raw, '[^0-9]', '', 'g'), '^(00)?47([0-9]{{8}})$', '\\2') AS n, regexp_replace(raw, '[^0-9]', '', 'g') AS dg FROM p0),
+p AS (SELECT org, pos, source_url, 'contact_phone' AS field, CASE WHEN n[1] IN ('4', '9') THEN '+47 ' || n[1:3] || ' ' || n[4:5] || ' ' || n[6:8] ELSE '+47 ' || n[1:2] || ' ' || n[3:4] || ' ' || n[5:6] || ' ' || n[7:8] END AS value FROM p1 WHERE length(n) = 8 AND length(dg) < 12),
+a AS (SELECT * FROM m UNION ALL SELECT * FROM p)
+SELECT org, field, value, min(pos) AS pos, arg_min(source_url, pos) AS source_url FROM a GROUP BY org, field, value""",
+)
 def site_contacts(spark, sf):
     """Contacts of documents read as pages of their source's site."""
     docs = table(spark, sf, "documents")
