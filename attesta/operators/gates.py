@@ -117,6 +117,7 @@ def identity_gate_v1(profiles: DataFrame, pages: DataFrame) -> DataFrame:
     home = solid & (here | context)
     owned = trusted & (domain | full) & (hits > 0)
     backed = full & (n >= 2) & (domain | local)
+    # Scores and the wording of their reasons.
     rungs = [
         _rung(owned & (n < 2), 0.95, "authoritative statutory registry domain matching single-token entity name"),
         _rung(owned & (full | (share >= 0.75)), 0.95, "complete legal name on authoritative statutory registry domain"),
@@ -329,6 +330,7 @@ def identity_gate_v3(profiles: DataFrame, sites: DataFrame, site_pages: DataFram
         own = content if isinstance(content, Column) else F.lit(content)
         return _true(test), F.struct(F.lit(score).alias("score"), F.lit(reason).alias("reason"), own.alias("content"))
 
+    # Scores and the wording of their reasons.
     rungs = [
         rung(is_listing_host(F.col("site")), 0.0, "Registry/directory listings identify a company but do not establish ownership of that website"),
         rung(both["parked"], 0.1, "Captured page is a parked or generic hosting placeholder"),
