@@ -56,10 +56,16 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def _segments(data: np.ndarray, offsets: np.ndarray):
+def alphanumeric() -> np.ndarray:
+    """Bytes of words made of 0-9, a-z and everything beyond ASCII."""
+    inside = np.zeros(256, dtype=bool)
+    inside[48:58] = inside[97:123] = inside[128:] = True
+    return inside
+
+
+def _segments(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
     """(first, last) byte ranges of about SEGMENT bytes that cut no word: they end where a document or a separator ends."""
     first, end = int(offsets[0]), int(offsets[-1])
-    _, is_word = _tables()
     while first < end:
         last = min(end, first + SEGMENT)
         if last < end:
@@ -76,12 +82,13 @@ def _segments(data: np.ndarray, offsets: np.ndarray):
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, document index) of every word, in order."""
+def words(data: np.ndarray, offsets: np.ndarray, fold: bool = True, is_word: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, document index) of every word, in order. ``is_word`` tells which (folded) bytes belong to words."""
     hashes, owners = [], []
-    lower, is_word = _tables()
+    lower, blank_free = _tables()
+    is_word = blank_free if is_word is None else is_word
     with np.errstate(over="ignore"):
-        for first, last in _segments(data, offsets):
+        for first, last in _segments(data, offsets, is_word[lower] if fold else is_word):
             piece = lower[data[first:last]] if fold else data[first:last]
             inside = is_word[piece]
             edge = np.zeros(last - first + 1, dtype=bool)
