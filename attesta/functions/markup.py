@@ -81,9 +81,9 @@ PHONE = r"(?<!\d)((?:(?:\+47|0047)\s?)?[2-9](?:\s?\d){7})(?!\d)"
 IMAGE = r"\.(?:png|jpg|gif|svg|webp)$"
 
 
-def emails(text: Column, keep: int = 10) -> Column:
+def emails(text: Column) -> Column:
     found = F.transform(F.regexp_extract_all(text, F.lit(EMAIL), F.lit(1)), F.lower)
-    return F.slice(F.array_distinct(F.filter(found, lambda m: ~m.rlike(IMAGE))), 1, keep)
+    return F.array_distinct(F.filter(found, lambda m: ~m.rlike(IMAGE)))
 
 
 def clean_phone(raw: Column) -> Column:
@@ -96,9 +96,9 @@ def clean_phone(raw: Column) -> Column:
     return F.when(core.rlike("^[49][0-9]{7}$"), mobile).when(core.rlike("^[2-8][0-9]{7}$"), landline)
 
 
-def phones(text: Column, keep: int = 10) -> Column:
+def phones(text: Column) -> Column:
     found = F.transform(F.regexp_extract_all(text, F.lit(PHONE), F.lit(1)), clean_phone)
-    return F.slice(F.array_distinct(F.array_compact(found)), 1, keep)
+    return F.array_distinct(F.array_compact(found))
 
 
 def social_links(html: Column) -> Column:

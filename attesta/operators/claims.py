@@ -132,20 +132,13 @@ def referenced_evidence(links: DataFrame, evidence: DataFrame) -> DataFrame:
     return cited.join(evidence, "id")
 
 
-def envelope_parts(claims: DataFrame, headers: DataFrame, rows_per_part: int = 5000) -> DataFrame:
-    """Envelopes as (org, part, parts, claims): large entities are split over several parts.
+def envelope_claims(claims: DataFrame, headers: DataFrame) -> DataFrame:
+    """The claims of every entity with a header, one row each: the body of the envelopes beside the table of headers.
 
-    The split is by a hash of the claim key over as many parts as the entity's
-    count needs, so no part grows with the entity and no claim is dropped.
+    Every entity has this shape, however many claims it holds, so none is gathered into one row.
     """
-    sizes = headers.select("org", "disposition", F.greatest(F.lit(1), F.ceil(F.col("total") / rows_per_part).cast("int")).alias("parts"))
-    body = [c for c in claims.columns if c != "org"]
-    return (
-        claims.join(sizes, "org")
-        .withColumn("part", F.pmod(F.xxhash64("claim_key"), F.col("parts")).cast("int"))
-        .groupBy("org", "disposition", "part", "parts")
-        .agg(F.sort_array(F.collect_list(F.struct("first_pos", *[c for c in body if c != "first_pos"]))).alias("claims"))
-    )
+    body = [c for c in claims.columns if c not in ("org", "first_pos")]
+    return claims.join(headers.select("org", "disposition"), "org").select("org", "disposition", F.col("first_pos").alias("place"), F.struct(*body).alias("claim"))
 
 
 # Contract field ← claim field. The first listed source wins.

@@ -133,7 +133,6 @@ def summaries(sentences: DataFrame) -> DataFrame:
 FINANCIAL_WORDS = ["financial", "finance", "account", "revenue", "income", "profit", "result", "debt", "asset", "regnskap"]
 EXTERNAL_WORDS = ["social", "news", "job", "hiring", "review", "rating", "external", "footprint", "engagement", "buzz", "workforce"]
 OTHER_WORDS = ["lead", "role", "location", "where", "sentiment", "employee"]
-MOST_PEOPLE = 12
 GAPS = {
     "financials": "No normalized annual-account record was returned; missing values are not interpreted as zero.",
     "roles": "No active public role holder was returned.",
@@ -167,7 +166,7 @@ def profile_facts(profiles: DataFrame, accounts: DataFrame, roles: DataFrame, lo
 
     ``accounts``: newest record per org. ``sites``: org, publishable, description, links
     array<struct<platform,url>>. ``sources``: org, module, source_url, retrieved_at,
-    content_sha256. Per-entity lists are cut to the twelve rows an answer shows.
+    content_sha256.
     """
     fact = lambda place, label, v: F.struct(F.lit(place).alias("place"), F.lit(label).alias("claim"), v.cast("string").alias("value"))
     register = profiles.select("org", F.explode(F.array(
@@ -180,12 +179,12 @@ def profile_facts(profiles: DataFrame, accounts: DataFrame, roles: DataFrame, lo
         "org", F.lit("financials").alias("topic"), F.lit("official_annual_account").alias("classification"), "f.*"
     )
     people_place = F.row_number().over(W.partitionBy("org").orderBy("pos"))
-    people = roles.filter(~F.col("inactive")).withColumn("place", people_place).filter(F.col("place") <= MOST_PEOPLE).select(
+    people = roles.filter(~F.col("inactive")).withColumn("place", people_place).select(
         "org", F.lit("roles").alias("topic"), F.lit("official_role_record").alias("classification"), "place",
         F.coalesce("role", "group_name", F.lit("Registered role")).alias("claim"), F.coalesce("name", "holder_org").alias("value"),
     )
     unit_place = F.row_number().over(W.partitionBy("org").orderBy("subunit_org"))
-    units = locations.withColumn("place", unit_place).filter(F.col("place") <= MOST_PEOPLE).select(
+    units = locations.withColumn("place", unit_place).select(
         "org", F.lit("locations").alias("topic"), F.lit("official_subunit_record").alias("classification"), "place", F.lit("Registered subunit").alias("claim"), F.col("name").alias("value")
     )
     open_sites = sites.filter("publishable")

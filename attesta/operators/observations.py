@@ -614,36 +614,32 @@ def union_observations(*sources: DataFrame) -> DataFrame:
 
 # ---- claims → observations ----
 
-# Observation families made from claims, with the most rows each may give.
+# Observation families made from claims.
 CLAIM_FAMILIES = [
-    ("website", "company_site", "company_profile", "company_site", 1),
-    ("hiring_or_activity_signal", "company_site", "profile_metrics", "company_site", 1),
-    ("ratings_and_reviews", "google_places", "place_summary", "customer_review", 5),
-    ("job_posting", "job_board", "job_posting", "licensed_news", 10),
-    ("buzz_or_engagement", "youtube", "profile_metrics", "company_site", 5),
-    ("news_mention", "news", "public_mention", "public_news", 10),
+    ("website", "company_site", "company_profile", "company_site"),
+    ("hiring_or_activity_signal", "company_site", "profile_metrics", "company_site"),
+    ("ratings_and_reviews", "google_places", "place_summary", "customer_review"),
+    ("job_posting", "job_board", "job_posting", "licensed_news"),
+    ("buzz_or_engagement", "youtube", "profile_metrics", "company_site"),
+    ("news_mention", "news", "public_mention", "public_news"),
 ]
 
 
 def claims_to_observations(claims: DataFrame, links: DataFrame, evidence: DataFrame, families=None) -> DataFrame:
-    """Available claims as observations: capped per family, dropped without a real hash or address.
+    """Available claims as observations, numbered per family; dropped without a real hash or address.
 
-    ``value`` is JSON text. The per-family cap keeps the earliest claims; a rank
-    filter lets Spark prune each task's rows before the shuffle.
+    ``value`` is JSON text.
     """
     from pyspark.sql import Window as W
 
     families = families or CLAIM_FAMILIES
     spec = claims.sparkSession.createDataFrame(
-        families, "field string, platform string, signal_type string, source_class string, family_cap int"
+        families, "field string, platform string, signal_type string, source_class string"
     )
-    top_cap = max(f[4] for f in families)
     ranked = (
         claims.filter(F.col("availability") == "available")
         .join(F.broadcast(spec), "field")
         .withColumn("place", F.row_number().over(W.partitionBy("org", "field").orderBy("first_pos")))
-        .filter(F.col("place") <= top_cap)
-        .filter(F.col("place") <= F.col("family_cap"))
     )
     hashed = evidence.filter(F.col("content_sha256").rlike("^[0-9a-fA-F]{64}$")).select(
         F.col("id").alias("evidence_id"), F.col("source_url").alias("ev_url"), "content_sha256"

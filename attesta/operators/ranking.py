@@ -149,19 +149,21 @@ def cap_candidates(matches: DataFrame, per_org: int = 15, total: int = 250) -> D
 FAMILIES = ["career", "news", "contact"]
 
 
-def crawl_queue(links: DataFrame, cap: int, guesses: int = 5) -> DataFrame:
+def crawl_queue(links: DataFrame, cap: int) -> DataFrame:
     """(org, url, family, harvested, pos) → the first ``cap`` addresses per entity.
 
     Families take turns; found links come before guessed ones; an address queued once
-    is not queued again; other links come last. A rank beyond cap + guesses can never
-    reach the queue, so the first filter loses nothing.
+    is not queued again; other links come last. Spellings of one address fold before
+    ranks are given, so a family's first ``cap`` ranks hold all it can add.
     """
     turn = F.when(F.col("family") == "career", 0).when(F.col("family") == "news", 1).when(F.col("family") == "contact", 2).otherwise(3)
-    in_family = W.partitionBy("org", "family").orderBy(F.col("harvested").desc(), "pos", "url")
-    ranked = links.withColumn("_rank", F.row_number().over(in_family)).filter(F.col("_rank") <= cap + guesses)
     key = F.lower(F.regexp_replace(F.substring_index("url", "#", 1), "/+$", ""))
+    earliest = F.struct((~F.col("harvested")).cast("int").alias("guess"), "pos", "url")
+    folded = links.groupBy("org", "family", key.alias("_key")).agg(F.min(earliest).alias("_first")).select("org", "family", "_key", "_first", "_first.url")
+    in_family = W.partitionBy("org", "family").orderBy("_first", "_key")
+    ranked = folded.withColumn("_rank", F.row_number().over(in_family)).filter(F.col("_rank") <= cap)
     order = F.struct((turn == 3).cast("int").alias("late"), F.col("_rank").alias("rank"), turn.alias("turn"))
-    unique = ranked.groupBy("org", key.alias("_key")).agg(F.min_by(F.struct("url", "family"), order).alias("x"), F.min(order).alias("_order"))
+    unique = ranked.groupBy("org", "_key").agg(F.min_by(F.struct("url", "family"), order).alias("x"), F.min(order).alias("_order"))
     place = F.row_number().over(W.partitionBy("org").orderBy("_order", "_key"))
     return unique.withColumn("place", place).filter(F.col("place") <= cap).select("org", "place", "x.url", "x.family")
 

@@ -599,7 +599,7 @@ def site_outcome(attempts: DataFrame) -> DataFrame:
 def best_scored_site(candidates: DataFrame, verdicts: DataFrame, cap: Column) -> DataFrame:
     """First generation: among the first ``cap`` candidates the best score, stopping at one that passes."""
     place = F.row_number().over(W.partitionBy("org").orderBy("priority", "url"))
-    tried = candidates.withColumn("place", place).withColumn("cap", cap).filter(F.col("place") <= 30).filter(F.col("place") <= F.col("cap")).join(verdicts, ["org", "url"])
+    tried = candidates.withColumn("place", place).withColumn("cap", cap).filter(F.col("place") <= F.col("cap")).join(verdicts, ["org", "url"])
     stop = tried.groupBy("org").agg(F.min(F.when(_true(F.col("publishable")), F.col("place"))).alias("_stop"))
     seen = tried.join(stop, "org").filter(F.col("_stop").isNull() | (F.col("place") <= F.col("_stop")))
     return seen.groupBy("org").agg(F.max_by(F.struct("url", "score", "publishable"), F.struct("score", -F.col("place"))).alias("x")).select("org", "x.*")

@@ -11,7 +11,7 @@ FIELD_MODULES = {
     "municipality": "registry", "legal_form": "registry", "employees": "registry", "industry": "registry",
     "revenue": "financials", "annual_result": "financials", "financials": "financials", "website": "website",
 }
-MAX_ROWS = 100
+MAX_ROWS = 100  # of a parsed question; a caller of ``screen`` gets what it asks for
 
 
 def screen_column(field: str) -> Column:
@@ -49,7 +49,7 @@ def screen(profiles: DataFrame, filters: list[tuple], sort: tuple | None = None)
 
 
 def top_screen(rows: DataFrame, field: str, limit: int) -> DataFrame:
-    return rows.orderBy(F.col(field).desc_nulls_last(), F.col("org")).limit(min(limit, MAX_ROWS))
+    return rows.orderBy(F.col(field).desc_nulls_last(), F.col("org")).limit(limit)
 
 
 def cited_modules(filters: list[tuple], sort: tuple | None = None) -> list[str]:

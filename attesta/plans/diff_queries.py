@@ -126,8 +126,8 @@ def diff_envelopes(spark, sf):
     "reextract_accounts",
     "F6",
     f"""WITH {ACCOUNTS_SQL},
-st AS (SELECT org, record_id, account_type, period_to, row_number() OVER (PARTITION BY org ORDER BY record_id DESC) AS place FROM accounts QUALIFY place <= 3),
-fr AS (SELECT org, record_id, account_type, period_to, row_number() OVER (PARTITION BY org ORDER BY period_to DESC, (account_type <> 'KONSERN') DESC, record_id DESC) AS place FROM accounts QUALIFY place <= 3),
+st AS (SELECT org, record_id, account_type, period_to, row_number() OVER (PARTITION BY org ORDER BY record_id DESC) AS place FROM accounts),
+fr AS (SELECT org, record_id, account_type, period_to, row_number() OVER (PARTITION BY org ORDER BY period_to DESC, (account_type <> 'KONSERN') DESC, record_id DESC) AS place FROM accounts),
 j AS (SELECT org, bool_or(st.record_id IS DISTINCT FROM fr.record_id) AS changed, bool_or(place = 1 AND st.period_to <> fr.period_to) AS lp, bool_or(place = 1 AND st.account_type = 'KONSERN' AND fr.account_type = 'SELSKAP') AS sc
   FROM st FULL JOIN fr USING (org, place) GROUP BY org),
 c AS (SELECT org, bool_or(later > period_to) AS ch FROM (SELECT org, period_to, lead(period_to) OVER (PARTITION BY org ORDER BY place) AS later FROM st) GROUP BY org)
@@ -138,5 +138,5 @@ def reextract_accounts(spark, sf):
 
     records = views.accounts(spark, sf)
     by_id = F.row_number().over(W.partitionBy("org").orderBy(F.col("record_id").desc()))
-    stored = records.withColumn("place", by_id).filter("place <= 3")
+    stored = records.withColumn("place", by_id)
     return op.reextract_report(op.reextract_accounts(stored, official.normalize_accounts(records)))

@@ -141,7 +141,7 @@ def explode_sitemaps(spark, sf):
         F.lit("</lastmod></url><url><loc>https://c"), key, F.lit(".no/om-oss</loc></url><url><loc>https://andre.no/nyheter/x</loc></url></urlset>"),
     )
     docs = last.select(root.alias("url"), index.alias("xml")).unionAll(last.select(nested, pages))
-    return feeds.explode_sitemaps(docs, last.select(_key("o_custkey").alias("org"), root.alias("url")), depth=1).drop("sitemap")
+    return feeds.explode_sitemaps(docs, last.select(_key("o_custkey").alias("org"), root.alias("url"))).drop("sitemap")
 
 
 # ---- structured markup ----

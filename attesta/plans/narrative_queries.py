@@ -91,7 +91,7 @@ def _questions(profiles):
 ANSWER_SQL = f"""
 WITH {PROFILES_SQL}, {OBSERVATIONS_SQL},
 latest AS (SELECT * FROM (SELECT lpad(o_custkey::VARCHAR, 9, '0') AS org, o_orderkey, o_totalprice, o_orderdate::DATE AS d, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, (o_orderstatus <> 'F') DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1),
-u AS (SELECT * FROM (SELECT lpad(o_custkey::VARCHAR, 9, '0') AS org, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY lpad(o_orderkey::VARCHAR, 9, '0')) AS rn FROM orders) WHERE rn <= 12),
+u AS (SELECT * FROM (SELECT lpad(o_custkey::VARCHAR, 9, '0') AS org, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY lpad(o_orderkey::VARCHAR, 9, '0')) AS rn FROM orders)),
 fx AS (
   SELECT org, 'registry' AS topic, 'Registered name' AS claim, name AS value FROM profiles WHERE legal_form = 'ENK' UNION ALL SELECT org, 'registry', 'Organisation number', org FROM profiles WHERE legal_form = 'ENK'
   UNION ALL SELECT org, 'registry', 'Legal form', legal_form FROM profiles WHERE legal_form = 'ENK' UNION ALL SELECT org, 'registry', 'Municipality', municipality FROM profiles WHERE legal_form = 'ENK'

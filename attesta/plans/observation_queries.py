@@ -421,9 +421,9 @@ def evidence_audit(spark, sf):
 
 
 EVENT_FAMILIES = [
-    ("view", "company_site", "company_profile", "company_site", 1),
-    ("purchase", "google_places", "place_summary", "customer_review", 5),
-    ("click", "news", "public_mention", "public_news", 10),
+    ("view", "company_site", "company_profile", "company_site"),
+    ("purchase", "google_places", "place_summary", "customer_review"),
+    ("click", "news", "public_mention", "public_news"),
 ]
 
 
@@ -432,11 +432,11 @@ EVENT_FAMILIES = [
     "D21",
     f"""WITH {CLAIMS_SQL}, {EVIDENCE_SQL}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY org, claim_key ORDER BY CASE WHEN availability = 'available' THEN 0 ELSE 1 END, confidence DESC, pos) AS rn,
    min(pos) OVER (PARTITION BY org, claim_key) AS first_pos FROM claims) WHERE rn = 1),
-fam(field, platform, signal_type, source_class, cap) AS (VALUES ('view', 'company_site', 'company_profile', 'company_site', 1), ('purchase', 'google_places', 'place_summary', 'customer_review', 5), ('click', 'news', 'public_mention', 'public_news', 10)),
+fam(field, platform, signal_type, source_class) AS (VALUES ('view', 'company_site', 'company_profile', 'company_site'), ('purchase', 'google_places', 'place_summary', 'customer_review'), ('click', 'news', 'public_mention', 'public_news')),
 ranked AS (SELECT b.org, b.claim_key, f.*, row_number() OVER (PARTITION BY b.org, b.field ORDER BY first_pos) AS place FROM best b JOIN fam f ON f.field = b.field WHERE availability = 'available'),
 firstev AS (SELECT org, claim_key, arg_min(ev_id, pos) AS ev_id FROM claims GROUP BY ALL)
 SELECT 'obs-' || platform || '-' || signal_type || '-' || r.org || CASE WHEN place > 1 THEN '-' || (place - 1) ELSE '' END AS id, r.org, platform, signal_type, e.source_url, e.content_sha256, r.source_class
-FROM ranked r JOIN firstev f ON f.org = r.org AND f.claim_key = r.claim_key JOIN evidence e ON e.id = f.ev_id WHERE place <= cap""",
+FROM ranked r JOIN firstev f ON f.org = r.org AND f.claim_key = r.claim_key JOIN evidence e ON e.id = f.ev_id""",
 )
 def claims_to_observations(spark, sf):
     from attesta.operators import claims as claim_op

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from attesta import lexicon as lx
 from attesta.functions import dates, ids, labels, markup, text, urls
 from attesta.plans import sqltext as sql, views
-from attesta.plans.catalog import bind, spread, table
+from attesta.plans.catalog import bind, table
 from attesta.plans.views import PROFILES_SQL
 
 
@@ -94,7 +94,7 @@ u AS (SELECT DISTINCT o_orderkey, unnest(l) AS number FROM f)
 SELECT o_orderkey, number, {_mod11_sql('number')} AS valid FROM u""",
 )
 def find_org_numbers(spark, sf):
-    found = spread(table(spark, sf, "orders"), "o_orderkey").select("o_orderkey", F.explode(text.find_org_numbers(_numbered())).alias("number"))
+    found = table(spark, sf, "orders").select("o_orderkey", F.explode(text.find_org_numbers(_numbered())).alias("number"))
     return found.withColumn("valid", text.mod11_valid(F.col("number")))
 
 
@@ -162,7 +162,7 @@ DOC_EMAILS = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
     "emails",
     "G8",
     f"""WITH r AS (SELECT doc_id, list_transform(regexp_extract_all(text, '{DOC_EMAILS}'), lambda m: lower(m)) AS l FROM documents)
-SELECT doc_id, array_to_string(list_filter(l, lambda m, i: list_position(l, m) = i)[1:10], ',') AS emails FROM r WHERE len(l) > 0""",
+SELECT doc_id, array_to_string(list_filter(l, lambda m, i: list_position(l, m) = i), ',') AS emails FROM r WHERE len(l) > 0""",
 )
 def emails(spark, sf):
     found = table(spark, sf, "documents").select("doc_id", markup.emails(F.col("text")).alias("e"))
@@ -193,7 +193,7 @@ def iso_dates(spark, sf):
         .otherwise(F.concat(F.lit("x "), F.date_format(day, "yyyy/MM/dd"), F.lit(" y")))
     )
     mail = F.concat(F.lit("Tue, "), F.date_format(day, "dd"), F.lit(" "), F.element_at(english, F.month(day)), F.lit(" "), F.date_format(day, "yyyy"), F.lit(" 10:00:00 GMT"))
-    return spread(table(spark, sf, "orders"), "o_orderkey").select(
+    return table(spark, sf, "orders").select(
         "o_orderkey", dates.extract_iso_date(written, 1995, 2000).alias("found"), dates.date_only(mail).alias("mail_date")
     )
 
@@ -307,9 +307,3 @@ def format_amounts(spark, sf):
 def format_addresses(spark, sf):
     made = text.format_address(F.col("name"), F.col("municipality_number"), F.col("municipality"), F.lit(None).cast("string"))
     return views.profiles(spark, sf).select("org", made.alias("address"))
-
-
-@bind("fuzzy_names", "G20")
-def fuzzy_names(spark, sf):
-    part = table(spark, sf, "part")
-    return part.select("p_partkey", F.round(text.fuzzy_ratio(F.lower("p_name"), F.lower("p_type")), 6).alias("ratio"))

@@ -145,14 +145,14 @@ WITH {ACCOUNTS_SQL}, kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTIT
 
 @bind("normalize_accounts", "A13", KEPT_SQL + "SELECT org, place, record_id, account_type, period_to::VARCHAR AS period_to, revenue FROM kept")
 def normalize_accounts(spark, sf):
-    rows = official.normalize_accounts(views.accounts(spark, sf))
+    rows = official.normalize_accounts(views.accounts(spark, sf), keep=3)
     return rows.select("org", "place", "record_id", "account_type", F.col("period_to").cast("string").alias("period_to"), "revenue")
 
 
 @bind(
     "account_claims",
     "A13",
-    KEPT_SQL
+    KEPT_SQL.replace("WHERE place <= 3", "")
     + """SELECT org, place, 'revenue' AS field, revenue AS amount, CASE WHEN account_type = 'KONSERN' THEN 'consolidated' ELSE 'entity' END AS subject,
   strftime(period_to, '%Y') AS reporting_period, currency FROM kept""",
 )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +26,17 @@ def build_session(app: str = "attesta", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need it to run its Arrow functions."""
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="package-")  # the driver serves it to the executors while the session lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -34,14 +47,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder that spark.checkpoint.dir names; where it is unset, one in the warehouse, which every executor can reach too."""
     context = spark.sparkContext
-    folder = named or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="run-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

@@ -53,10 +53,10 @@ def write_json(rows: DataFrame, path: str, partition_by: list[str] | None = None
     (writer.partitionBy(*partition_by) if partition_by else writer).json(path)
 
 
-def write_envelopes(headers: DataFrame, parts: DataFrame, path: str) -> None:
-    """One JSON object per entity part, the header fields on each; small entities have one part."""
-    counts = headers.drop("disposition")
-    write_json(parts.join(counts, "org"), path)
+def write_envelopes(headers: DataFrame, claims: DataFrame, path: str) -> None:
+    """Envelopes as two sets of JSON lines: ``headers``, one per entity, and ``claims``, one per claim."""
+    write_json(headers, f"{path}/headers")
+    write_json(claims, f"{path}/claims")
 
 
 def json_lines(rows: DataFrame) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from attesta.functions.dates import date_only, feed_dates
 from attesta.functions.urls import host, url_path
+from attesta.session import stored
 
 ITEM = (
     "array<struct<title:string,link:string,source:string,pubDate:string,published:string,date:string,issued:string,"
@@ -92,38 +93,32 @@ def article_candidate(url: Column) -> Column:
     )
 
 
-def explode_sitemaps(docs: DataFrame, roots: DataFrame, depth: int = 3) -> DataFrame:
-    """Walk sitemap indexes from ``roots`` (org, url) through the captured ``docs`` (url, xml).
+def explode_sitemaps(docs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Walk sitemap indexes from ``roots`` (org, url) through the captured ``docs`` (url, xml), to their last level.
 
-    Each level is one equi-join on the address; an address met before is not walked
-    again. Rows are either nested maps or page addresses with their last change.
+    Documents are parsed once, into the addresses they list. Each level is one equi-join on the address; an address met
+    before is not walked again, so the walk ends. Rows are page addresses with their last change.
     """
-    parsed = docs.select("url", _xml("xml", SITEMAP_SCHEMA).alias("d"))
-    frontier = roots.select("org", "url", host(F.col("url")).alias("site")).distinct()
-    seen = frontier.select("org", "url")
-    found = None
-    for level in range(depth + 1):
-        level_docs = frontier.join(parsed, "url")
-        same_site = lambda loc: (host(loc) == F.col("site")) | host(loc).endswith(F.concat(F.lit("."), F.col("site")))
-        pages = (
-            level_docs.select("org", "site", F.col("url").alias("sitemap"), F.explode("d.url").alias("u"))
-            .select("org", "site", "sitemap", F.trim("u.loc").alias("url"), date_only(F.col("u.lastmod")).alias("modified"))
-            .filter(same_site(F.col("url")))
-            .select("org", "sitemap", "url", "modified", F.lit(level).alias("level"), article_candidate(F.col("url")).alias("is_article"))
-        )
-        found = pages if found is None else found.unionByName(pages)
-        if level == depth:
-            break
-        nested = (
-            level_docs.select("org", "site", F.explode("d.sitemap").alias("s"))
-            .select("org", F.trim("s.loc").alias("url"), "site")
-            .filter(same_site(F.col("url")) & ~F.col("url").rlike(SKIP_MAP))
-            .distinct()
-            .join(seen, ["org", "url"], "left_anti")
-        )
-        frontier = nested.select("org", "url", "site")
-        seen = seen.unionByName(nested.select("org", "url"))
-    return found
+    d = _xml("xml", SITEMAP_SCHEMA)
+    entry = lambda nested, loc, changed: F.struct(F.lit(nested).alias("nested"), F.trim(loc).alias("loc"), changed.alias("modified"))
+    listed = F.concat(
+        F.coalesce(F.transform(F.col("d.url"), lambda u: entry(False, u["loc"], date_only(u["lastmod"]))), F.array()),
+        F.coalesce(F.transform(F.col("d.sitemap"), lambda m: entry(True, m["loc"], F.lit(None).cast("string"))), F.array()),
+    )
+    entries = stored(docs.select("url", d.alias("d")).select(F.col("url").alias("sitemap"), F.explode(listed).alias("e")).select("sitemap", "e.*"), "sitemaps")
+    same_site = (host(F.col("loc")) == F.col("site")) | host(F.col("loc")).endswith(F.concat(F.lit("."), F.col("site")))
+    frontier = stored(roots.select("org", "url", host(F.col("url")).alias("site")).distinct(), "maps")
+    seen, walked, level = frontier.select("org", "url"), None, 0
+    while not frontier.isEmpty():
+        this = frontier.withColumn("level", F.lit(level))
+        walked = this if walked is None else walked.unionByName(this)
+        met = frontier.join(entries.filter("nested"), F.col("url") == F.col("sitemap")).filter(same_site & ~F.col("loc").rlike(SKIP_MAP))
+        frontier = stored(met.select("org", F.col("loc").alias("url"), "site").distinct().join(seen, ["org", "url"], "left_anti"), "maps")
+        seen = seen.unionByName(frontier.select("org", "url"))
+        level += 1
+    walked = frontier.withColumn("level", F.lit(0)) if walked is None else walked
+    pages = walked.join(entries.filter("NOT nested"), F.col("url") == F.col("sitemap")).filter(same_site)
+    return pages.select("org", "sitemap", F.col("loc").alias("url"), "modified", "level", article_candidate(F.col("loc")).alias("is_article"))
 
 
 def map_priority(url: Column) -> Column:

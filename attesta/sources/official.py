@@ -157,7 +157,7 @@ def normalize_entity(answers: DataFrame) -> DataFrame:
         _claim("in_corporate_group", e["erIKonsern"]),
     ]
     former = F.transform(
-        F.filter(F.slice(F.coalesce(e["historiskeNavn"], F.array()), 1, 8), lambda f: _text(f["navn"]).isNotNull()),
+        F.filter(F.coalesce(e["historiskeNavn"], F.array()), lambda f: _text(f["navn"]).isNotNull()),
         lambda f: _claim("former_name", f["navn"], subject=f["navn"], period=_text(F.substring(f["tilDato"], 1, 10))),
     )
     failed = F.array(_claim("registry_entry", F.lit(None), availability="failed", note=F.lit("register answer was not a JSON object")))
@@ -282,15 +282,16 @@ def account_records(answers: DataFrame) -> DataFrame:
     )
 
 
-def normalize_accounts(records: DataFrame, keep: int = 3) -> DataFrame:
-    """The newest ``keep`` records per entity, own company before consolidated in one period.
+def normalize_accounts(records: DataFrame, keep: int | None = None) -> DataFrame:
+    """Records by age per entity, own company before consolidated in one period; with ``keep`` the newest so many.
 
     The rank filter is pushed below the shuffle, so each task keeps at most ``keep``
     records of an entity however many it filed.
     """
     own = F.coalesce(F.upper("account_type") != "KONSERN", F.lit(True))
     newest = W.partitionBy("org").orderBy(F.col("period_to").desc_nulls_last(), own.desc(), F.col("record_id").desc())
-    return records.withColumn("place", F.row_number().over(newest)).filter(F.col("place") <= keep)
+    placed = records.withColumn("place", F.row_number().over(newest))
+    return placed if keep is None else placed.filter(F.col("place") <= keep)
 
 
 def account_claims(records: DataFrame) -> DataFrame:

@@ -92,7 +92,7 @@ def test_normalize_social_url(value, raw, expected):
 
 
 @pytest.mark.parametrize("raw,expected", [
-    ("Publisert 2024-03-05.", "2024-03-05"), ("den 05.03.2024", "2024-03-05"), ("5. mars 2024", "2024-03-05"), ("March 5, 2024", "2024-03-05"), ("2019-03-05", None), ("ingen", None)])
+    ("Publisert 2024-03-05.", "2024-03-05"), ("den 05.03.2024", "2024-03-05"), ("5. mars 2024", "2024-03-05"), ("March 5, 2024", "2024-03-05"), ("2019-03-05", "2019-03-05"), ("5. mai 2027", "2027-05-05"), ("ingen", None)])
 def test_extract_iso_date(value, raw, expected):
     assert value(dates.extract_iso_date(S(raw))) == expected
 

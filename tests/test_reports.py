@@ -57,18 +57,16 @@ def test_unproven_identity_holds_only_unexempt_claims(spark):
     assert headers == {"1": ("official", 3), "2": ("official", 1), "3": ("blocked", 1), "4": ("empty", 1), "5": ("failed", 0)}
 
 
-def test_envelope_parts_split_large_entities_and_lose_nothing(spark, tmp_path):
+def test_envelopes_have_one_shape_and_lose_nothing(spark, tmp_path):
     rows = [claim("1", i, "post", "v", "available", subject=f"s{i}", ids=["own"]) for i in range(500)] + [claim("2", 1, "post", "v", "available", ids=["own"])]
     held, links, sources = envelopes(spark, rows, [("1", True), ("2", True)], [("own", "company_owned")])
     headers = cl.envelope_headers(held, links, sources)
-    parts = cl.envelope_parts(held, headers, rows_per_part=50)
-    sizes = {r.org: (r.parts, r.n) for r in parts.groupBy("org").agg(F.max("parts").alias("parts"), F.sum(F.size("claims")).alias("n")).collect()}
-    assert sizes == {"1": (10, 500), "2": (1, 1)}
-    assert parts.agg(F.max(F.size("claims"))).first()[0] < 120
+    body = cl.envelope_claims(held, headers)
+    assert {r.org: r["count"] for r in body.groupBy("org").count().collect()} == {"1": 500, "2": 1}
     from attesta.sources.captures import write_envelopes
 
-    write_envelopes(headers, parts, str(tmp_path / "out"))
-    assert spark.read.json(str(tmp_path / "out")).count() == parts.count()
+    write_envelopes(headers, body, str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out/headers")).count() == 2 and spark.read.json(str(tmp_path / "out/claims")).count() == 501
 
 
 def test_contract_states_gaps_and_invents_nothing(spark):
@@ -277,6 +275,17 @@ def test_crawl_queue_takes_turns(spark):
         "https://a.no/jobb", "https://a.no/nytt", "https://a.no/KONTAKT", "https://a.no/karriere", "https://a.no/nyheter", "https://a.no/annet"]
 
 
+def test_crawl_queue_folds_spellings_before_it_cuts(spark):
+    links = [("1", f"https://a.no/jobb#{k}", "career", True, k) for k in range(12)] + [("1", "https://a.no/stilling", "career", True, 12)]
+    queue = ranking.crawl_queue(spark.createDataFrame(links, "org string, url string, family string, harvested boolean, pos int"), 2)
+    assert [r.url for r in queue.orderBy("place").collect()] == ["https://a.no/jobb#0", "https://a.no/stilling"]
+
+
+def test_top_screen_gives_what_is_asked(spark):
+    rows = spark.range(400).selectExpr("cast(id as string) AS org", "id AS revenue")
+    assert screening.top_screen(rows, "revenue", 300).count() == 300
+
+
 def test_strategies_never_tried_keep_the_whole_bonus(spark):
     log = spark.createDataFrame([("company_site_feed", None, 5.0), ("company_site_feed", 0.0, 1.0), ("youtube_channel_feed", -1.0, 0.0)], "strategy string, learning_gain double, score_delta double")
     ranked = ranking.rank_strategies(log).orderBy("place").collect()
