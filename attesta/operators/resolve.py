@@ -324,7 +324,8 @@ def news_proximity(profiles: DataFrame, articles: DataFrame) -> DataFrame:
     bodies = articles.select("item", name_tokens(text).alias("w"), digits(text).alias("d"))
     # Four joins read the words; folding the texts once and storing them is cheaper.
     bodies = stored(bodies, "article-words")
-    tokens = bodies.select("item", F.posexplode("w").alias("place", "token"))
+    # A generator hides the size of its rows from the planner, which could take them for small: the joins are merge joins.
+    tokens = bodies.select("item", F.posexplode("w").alias("place", "token")).hint("merge")
     frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("seen"))
     core = profiles.select("org", name_tokens(F.col("name")).alias("core"))
     wanted = core.select("org", F.size("core").alias("k"), F.explode("core").alias("token"))

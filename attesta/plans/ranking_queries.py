@@ -68,12 +68,12 @@ def allocate_grants(spark, sf):
 @bind(
     "cap_candidates",
     "E10",
-    """WITH m AS (SELECT event_id AS ad, lpad(user_id::VARCHAR, 9, '0') AS org, ts FROM events WHERE value >= 5 UNION ALL SELECT event_id, lpad(json_extract_string(props, '$.k'), 9, '0'), ts FROM events WHERE value >= 5 AND json_extract_string(props, '$.k')::BIGINT <> user_id),
+    """WITH m AS (SELECT event_id AS ad, lpad(user_id::VARCHAR, 9, '0') AS org, ts FROM events UNION ALL SELECT event_id, lpad(json_extract_string(props, '$.k'), 9, '0'), ts FROM events WHERE json_extract_string(props, '$.k')::BIGINT <> user_id),
 k AS (SELECT *, row_number() OVER (PARTITION BY org ORDER BY ts DESC, ad) AS place FROM m QUALIFY place <= 15), a AS (SELECT ad, max(ts) AS t FROM k GROUP BY 1 ORDER BY t DESC, ad LIMIT 250)
 SELECT ad, org, place FROM k WHERE ad IN (SELECT ad FROM a)""",
 )
 def cap_candidates(spark, sf):
-    events = table(spark, sf, "events").filter("value >= 5")
+    events = table(spark, sf, "events")
     k = F.get_json_object("props", "$.k")
     own = events.select(F.col("event_id").alias("ad"), views.padded(F.col("user_id")).alias("org"), F.col("ts").alias("modified"))
     other = events.filter(k.cast("bigint") != F.col("user_id")).select(F.col("event_id"), views.padded(k), "ts")
@@ -99,11 +99,11 @@ def operating_names(spark, sf):
 @bind(
     "limit_news",
     "E13",
-    r"""WITH d AS (SELECT source AS org, doc_id AS pos, split_part(text, E'\n', 1) AS title FROM documents), f AS (SELECT org, lower(trim(title)) AS t, min(pos) AS pos FROM d GROUP BY ALL)
+    r"""WITH d AS (SELECT source AS org, doc_id * 100000 + generate_subscripts(string_split(text, E'\n'), 1) AS pos, unnest(string_split(text, E'\n')) AS title FROM documents), f AS (SELECT org, lower(trim(title)) AS t, min(pos) AS pos FROM d GROUP BY ALL)
 SELECT org, pos, place FROM (SELECT *, row_number() OVER (PARTITION BY org ORDER BY pos) AS place FROM f) WHERE place <= 5""",
 )
 def limit_news(spark, sf):
-    items = table(spark, sf, "documents").select(F.col("source").alias("org"), F.col("doc_id").alias("pos"), F.substring_index("text", "\n", 1).alias("title"))
+    items = table(spark, sf, "documents").select(F.col("source").alias("org"), "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "title")).select("org", (F.col("doc_id") * 100000 + F.col("line") + 1).alias("pos"), "title")
     return op.limit_news(items, 5).select("org", "pos", "place")
 
 

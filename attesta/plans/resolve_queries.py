@@ -265,7 +265,8 @@ def news_title_match(spark, sf):
 @bind(
     "news_proximity",
     "C10",
-    f"""WITH p0 AS (SELECT lpad(item_id::VARCHAR, 9, '0') AS org, {sql.long_words("split_part(text, '.', 1)")} AS w FROM benchmark), p AS (SELECT org, {sql.name_tokens('w')} AS core FROM p0),
+    f"""WITH s0 AS (SELECT item_id, unnest(string_split(text, '.')) AS s, generate_subscripts(string_split(text, '.'), 1) AS i FROM benchmark),
+p0 AS (SELECT lpad((item_id * 1000 + i)::VARCHAR, 9, '0') AS org, {sql.long_words("s")} AS w FROM s0), p AS (SELECT org, {sql.name_tokens('w')} AS core FROM p0),
 a0 AS (SELECT doc_id, text, {sql.long_words('text')} AS w FROM documents), a AS (SELECT doc_id, text, {sql.name_tokens('w')} AS w FROM a0),
 pt AS (SELECT org, len(core) AS k, core[1] AS one, unnest(core) AS t FROM p WHERE len(core) > 0), atk AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM a),
 m AS (SELECT doc_id, org, k, one, count(*) AS n, max(i) - min(i) + 1 AS span FROM atk JOIN pt USING (t) GROUP BY ALL),
@@ -275,7 +276,9 @@ b AS (SELECT doc_id, org, max(score) AS score FROM (SELECT * FROM s WHERE score
 SELECT doc_id AS item, org, score::DOUBLE AS score, CASE WHEN score >= 0.9 THEN 'exact' ELSE 'review' END AS status FROM b""",
 )
 def news_proximity(spark, sf):
-    named = table(spark, sf, "benchmark").select(views.padded(F.col("item_id")).alias("org"), F.substring_index("text", ".", 1).alias("name"))
+    """Every sentence of a benchmark text is a name to look for."""
+    sentences = table(spark, sf, "benchmark").select("item_id", F.posexplode(F.split("text", "[.]")).alias("i", "name"))
+    named = sentences.select(views.padded(F.col("item_id") * 1000 + F.col("i") + 1).alias("org"), "name")
     articles = table(spark, sf, "documents").select(F.col("doc_id").alias("item"), F.lit("").alias("title"), "text")
     return op.news_proximity(named, articles).select("item", "org", "score", "status")
 
@@ -409,17 +412,17 @@ def explain_misses(spark, sf):
 @bind(
     "merge_channels",
     "C19",
-    """WITH e AS (SELECT lpad(user_id::VARCHAR, 9, '0') AS org, 'p' || (json_extract_string(props, '$.k')::INTEGER // 10) AS platform, event_type || '/' || event_id AS url, CASE event_type WHEN 'view' THEN 0 WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 ELSE 3 END AS turn, event_type FROM events WHERE value > 30 AND event_type <> 'error'),
+    """WITH e AS (SELECT lpad(user_id::VARCHAR, 9, '0') AS org, 'p' || (json_extract_string(props, '$.k')::INTEGER // 10) AS platform, event_type || '/' || event_id AS url, CASE event_type WHEN 'view' THEN 0 WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'click' THEN 3 ELSE 4 END AS turn, event_type FROM events),
 c AS (SELECT org, platform, arg_min(url, (turn, url)) AS url, arg_min(event_type, (turn, url)) AS source FROM e GROUP BY ALL)
 SELECT *, CASE WHEN bool_or(source = 'purchase') OVER (PARTITION BY org) THEN 'open_data' ELSE 'external_directory' END AS source_class, CASE WHEN bool_or(source = 'purchase') OVER (PARTITION BY org) THEN 0.9 ELSE 0.75 END::DOUBLE AS confidence FROM c""",
 )
 def merge_channels(spark, sf):
     k = views.props_k(F.col("props"))
-    rows = table(spark, sf, "events").filter("value > 30").select(
+    rows = table(spark, sf, "events").select(
         views.padded(F.col("user_id")).alias("org"), F.concat(F.lit("p"), (k / 10).cast("int").cast("string")).alias("platform"),
         F.concat("event_type", F.lit("/"), F.col("event_id").cast("string")).alias("url"), "event_type",
     )
-    sources = [(name, rows.filter(F.col("event_type") == name)) for name in ("view", "signup", "purchase", "click")]
+    sources = [(name, rows.filter(F.col("event_type") == name)) for name in ("view", "signup", "purchase", "click", "error")]
     return op.merge_channels(sources, exact_sources=["purchase"])
 
 

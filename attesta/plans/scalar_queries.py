@@ -201,11 +201,10 @@ def iso_dates(spark, sf):
 @bind(
     "proof_span",
     "G12",
-    """SELECT doc_id, trim(regexp_replace(substr(text, greatest(1, p - 60), p + 4 + 60 - greatest(1, p - 60)), '\\s+', ' ', 'g')) AS span FROM (SELECT doc_id, text, strpos(lower(text), 'ther') AS p FROM documents) WHERE p > 0""",
+    """SELECT doc_id, CASE WHEN p > 0 THEN trim(regexp_replace(substr(text, greatest(1, p - 60), p + 4 + 60 - greatest(1, p - 60)), '\\s+', ' ', 'g')) END AS span FROM (SELECT doc_id, text, strpos(lower(text), 'ther') AS p FROM documents)""",
 )
 def proof_span(spark, sf):
-    found = table(spark, sf, "documents").filter(F.contains(F.lower("text"), F.lit("ther"))).select("doc_id", text.proof_span(F.col("text"), F.lit("ther")).alias("span"))
-    return found
+    return table(spark, sf, "documents").select("doc_id", text.proof_span(F.col("text"), F.lit("ther")).alias("span"))
 
 
 GUESS_SQL = """
