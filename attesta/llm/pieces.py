@@ -20,6 +20,7 @@ import math
 import re
 import zlib
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ from attesta.session import stored
 
 CHUNK = 32_768  # code points
 BLOCK = 64  # chunks combined by one task
-KNOWN = 400_000  # runs a worker remembers
+KNOWN = 400_000  # runs a worker remembers, twice: new ones and those before
 NONE = -math.inf
 MARK = "▁"
 
@@ -71,8 +72,14 @@ class Pieces:
         self.alone = "" if marked_inside else "\n\t\r"
         self.alone = "".join(ch for ch in self.alone if not any(ch in s for s in spans))
         held = re.escape(self.alone)
-        self.runs = re.compile(f"[{held}]|{MARK}*[^{MARK}{held}]+|{MARK}+" if self.alone else (f"{MARK}*[^{MARK}]+|{MARK}+" if not marked_inside else r"(?s).+"))
-        self.known: dict[str, tuple[list[int], float]] = {}
+        # Letters before a stop that no piece joins to letters are a run too.
+        stops = re.escape("".join(ch for ch in ".,;:!?" if not any(b == ch and a.isalpha() for a, b in spans)))
+        word = f"{MARK}*[^\\W\\d_]++(?:(?=[{stops}])|[^{MARK}{held}]*)|" if stops else ""
+        rest = f"[{held}]|{MARK}*[^{MARK}{held}]+|{MARK}+" if held else f"{MARK}*[^{MARK}]+|{MARK}+"
+        self.runs = re.compile(r"(?s).+" if marked_inside else word + rest)
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.inexact = 0
 
     def forward(self, s: str, entry: list[float], n: int) -> tuple[list[float], list[int]]:
         """Best score and last piece's start of every position reached from the entry states by pieces that start before ``n``."""
@@ -80,13 +87,13 @@ class Pieces:
         best, back = [NONE] * (size + 1), [-1] * (size + 1)
         for k, v in enumerate(entry[: size + 1]):
             best[k] = v
-        by_text, starts = self.by_text, self.starts
+        by_text, starts, longest, unknown = self.by_text, self.starts, self.longest, self.unknown_score
         for i in range(min(n, size)):
             here = best[i]
             if here == NONE:
                 continue
             single = False
-            for e in range(i + 1, min(size, i + self.longest) + 1):
+            for e in range(i + 1, min(size, i + longest) + 1):
                 piece = s[i:e]
                 if piece not in starts:
                     break
@@ -97,8 +104,8 @@ class Pieces:
                     score = here + found[1]
                     if score > best[e]:
                         best[e], back[e] = score, i
-            if not single and here + self.unknown_score > best[i + 1]:
-                best[i + 1], back[i + 1] = here + self.unknown_score, i
+            if not single and here + unknown > best[i + 1]:
+                best[i + 1], back[i + 1] = here + unknown, i
         return best, back
 
     def trace(self, s: str, back: list[int], end: int) -> tuple[list[int], int]:
@@ -112,16 +119,18 @@ class Pieces:
             end = begin
         return [i for ids in reversed(out) for i in ids], end
 
-    def run(self, s: str) -> tuple[list[int], float]:
-        """Ids and score of a run between two points that no piece spans."""
-        found = self.known.get(s)
+    def run(self, s: str) -> tuple[int, ...]:
+        """Ids of a run between two points that no piece spans, not remembered in ``known`` yet."""
+        found = self.older.get(s)
         if found is None:
-            best, back = self.forward(s, [0.0], len(s))
-            found = (self.trace(s, back, len(s))[0], best[len(s)])
-            if len(s) <= 64:
-                if len(self.known) >= KNOWN:
-                    self.known.clear()
-                self.known[s] = found
+            found = tuple(self.trace(s, self.forward(s, [0.0], len(s))[1], len(s))[0])
+            if self.joined(found) != s:
+                self.inexact += 1
+                return found  # never remembered, so it is noticed every time
+        if len(s) <= 64:
+            if len(self.known) >= KNOWN:
+                self.known, self.older = {}, self.known
+            self.known[s] = found
         return found
 
     def cuts(self, s: str, n: int) -> tuple[int, int] | None:
@@ -132,18 +141,22 @@ class Pieces:
             return None
         return first, next(k for k in range(n, first - 1, -1) if k == len(s) or s[k - 1 : k + 1] not in spans)
 
-    def middle(self, s: str) -> tuple[list[int], float]:
-        ids: list[int] = []
-        score = 0.0
-        for word in self.runs.findall(s):
-            found = self.known.get(word) or self.run(word)
-            ids += found[0]
-            score += found[1]
-        return ids, score
+    def middle(self, s: str) -> list[int]:
+        """Ids of a text between two points that no piece spans."""
+        words = self.runs.findall(s)
+        ids = list(map(self.known.get, words))
+        if None in ids:
+            run = self.run
+            ids = [run(w) if f is None else f for w, f in zip(words, ids, strict=True)]
+        return list(chain.from_iterable(ids))
+
+    def score(self, s: str) -> float:
+        """Best score of a text between two points that no piece spans."""
+        return sum(self.forward(w, [0.0], len(w))[0][len(w)] for w in self.runs.findall(s))
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole short text."""
-        return self.middle(normal(text))[0] if text else []
+        return self.middle(normal(text)) if text else []
 
     def matrix(self, s: str, n: int) -> np.ndarray:
         """Entry by exit state: the best score of a chunk of ``n`` characters; ``s`` also holds what may overhang."""
@@ -156,7 +169,7 @@ class Pieces:
                 out[a, : len(best) - n] = best[n : n + size]
             return out
         first, last = cut
-        body = self.middle(s[first:last])[1]
+        body = self.score(s[first:last])
         tail = np.full(size, NONE)
         best, _ = self.forward(s[last:], [0.0], n - last)
         tail[: len(best) - (n - last)] = best[n - last :]
@@ -184,7 +197,7 @@ class Pieces:
         first, last = cut
         head, begin = self.trace(s, self.forward(s[:first], entry, first)[1], first)
         tail, _ = self.trace(s[last:], self.forward(s[last:], [0.0], n - last)[1], n - last + leave)
-        return head + self.middle(s[first:last])[0] + tail, begin
+        return head + self.middle(s[first:last]) + tail, begin
 
     def decode(self, ids) -> str:
         """The text of a whole document's ids; bytes that are no UTF-8 become U+FFFD, control ids nothing."""
@@ -283,10 +296,10 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
         for batch in batches:
             ids, exact = [], []
             for t in batch.column(1).to_pylist():
-                s = normal(t) if t else ""
-                found = pieces.middle(s)[0] if t else []
-                ids.append(found)
-                exact.append(pieces.joined(found) == s)
+                # Runs are decoded when they are first met, which decodes the text.
+                before = pieces.inexact
+                ids.append(pieces.encode(t))
+                exact.append(pieces.inexact == before)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.ones(len(ids), np.int64)), pa.array(exact, pa.bool_()), lists(ids)], names=names)
 
     def split(batches):
