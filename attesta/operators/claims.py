@@ -278,15 +278,6 @@ def module_coverage(module_evidence: DataFrame) -> DataFrame:
     )
 
 
-def attempt_ledger(attempts: DataFrame, order: list[str], buckets: int = 256) -> DataFrame:
-    """Attempt rows numbered from 1 within each entity in ``order``.
-
-    A plain window would sort a hot entity in one task. Each entity is cut into
-    time buckets first; rows are numbered inside a bucket and shifted by the sizes
-    of the earlier buckets, whose counts are tiny.
-    """
-    lead = F.unix_micros(F.col(order[0])).cast("double")
-    span = attempts.groupBy("org").agg(F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
-    width = F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / buckets).otherwise(F.lit(1.0))
-    bucket = F.floor((lead - F.col("_lo")) / width).cast("int")
-    return number_within(attempts.join(span, "org"), ["org"], bucket, order, "sequence").drop("_lo", "_hi")
+def attempt_ledger(attempts: DataFrame, order: list[str]) -> DataFrame:
+    """Attempt rows numbered from 1 within each entity in ``order``; a hot entity or a burst is split by ranges."""
+    return number_within(attempts, ["org"], order, "sequence")

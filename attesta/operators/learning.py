@@ -124,14 +124,14 @@ def score_candidates(rows: DataFrame, model: RankerModel) -> DataFrame:
     return rows.withColumn("probability", F.round(model.probability(), 4))
 
 
-def ranker_metrics(scored: DataFrame, label: str = "label", score: str = "probability", buckets: int = 1024) -> DataFrame:
+def ranker_metrics(scored: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
     """One row: ROC-AUC with tied ranks, average precision, calibration error, class counts.
 
     Rows with equal scores are folded into one before any ordering, so a score that a
     third of all rows share costs nothing; a tie is one step of the precision curve.
     """
     folded = scored.groupBy(F.col(score).alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
-    up = running_totals(folded, F.floor(F.col("s") * buckets), ["s"], ["n", "pos"])
+    up = running_totals(folded, ["s"], ["n", "pos"])
     totals = folded.agg(F.sum("n").alias("rows"), F.sum("pos").alias("positives"))
     j = with_totals(up, totals)
     # Average rank of a tie group, and the counts at or above its score.

@@ -1,18 +1,29 @@
 """Exact global and per-key positions without sorting a hot key in one task.
 
-A position is the number of rows in earlier buckets plus the position inside the
-row's own bucket. Bucket sizes are few, so their running sum is tiny; the heavy
-sorting happens per bucket.
+Rows are dealt by ranges of the whole sort key, whose bounds Spark samples, so any distribution splits evenly: one hot
+entity, a burst of equal times or scores near zero. The ranges are stored once, as a second deal could draw other
+bounds. A position is the number of rows in earlier ranges plus the position inside the row's own; there is one
+size per key and range, and the heavy sorting happens per range.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from attesta.session import stored
 
-def number_within(rows: DataFrame, keys: list[str], bucket: Column, order: list, out: str) -> DataFrame:
-    """Row number from 1 per ``keys`` in (bucket, order); ``bucket`` must not break the order."""
-    placed = rows.withColumn("_bucket", bucket)
+
+def dealt(rows: DataFrame, order: list, out: str) -> DataFrame:
+    """The rows with the number of their range in ``order``, stored."""
+    return stored(rows.repartitionByRange(*order).withColumn(out, F.spark_partition_id()), "ranges")
+
+
+def number_within(rows: DataFrame, keys: list[str], order: list, out: str) -> DataFrame:
+    """Row number from 1 per ``keys`` in ``order``."""
+    return _numbered(dealt(rows, [*keys, *order], "_bucket"), keys, order, out)
+
+
+def _numbered(placed: DataFrame, keys: list[str], order: list, out: str) -> DataFrame:
     sizes = placed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     shifts = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
@@ -23,16 +34,16 @@ def number_within(rows: DataFrame, keys: list[str], bucket: Column, order: list,
 
 def number_by_hash(rows: DataFrame, hashed: str, out: str, digits: int = 3) -> DataFrame:
     """Row number over the whole table by a hex hash column; its prefix spreads rows evenly."""
-    return number_within(rows, [], F.substring(hashed, 1, digits), [hashed], out)
+    return _numbered(rows.withColumn("_bucket", F.substring(hashed, 1, digits)), [], [hashed], out)
 
 
-def running_totals(rows: DataFrame, bucket: Column, order: list, values: list[str]) -> DataFrame:
-    """Inclusive running sums ``c_<value>`` over the whole table in (bucket, order).
+def running_totals(rows: DataFrame, order: list, values: list[str]) -> DataFrame:
+    """Inclusive running sums ``c_<value>`` over the whole table in ``order``.
 
-    Equal sort keys must already be folded into one row. The bucket count is fixed
-    by the caller's expression, which bounds the broadcast offsets.
+    Equal sort keys must already be folded into one row. The number of ranges, the
+    session's shuffle partitions, bounds the broadcast offsets.
     """
-    placed = rows.withColumn("_bucket", bucket)
+    placed = dealt(rows, order, "_bucket")
     sums = placed.groupBy("_bucket").agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select("_bucket", *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values])
@@ -48,18 +59,15 @@ def with_totals(rows: DataFrame, totals: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(totals), F.lit(True))
 
 
-def nearest_rank(rows: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], buckets: int = 1024) -> DataFrame:
+def nearest_rank(rows: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """Exact nearest-rank percentiles per key.
 
-    Equal values are counted first. Their range is cut into buckets, the bucket
-    that holds each wanted rank is found from bucket sizes alone, and only that
-    bucket's values are put in order.
+    Equal values are counted first and dealt by ranges; the range that holds each wanted
+    rank is found from range sizes alone, and only that range's values are put in order.
     """
     counted = rows.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    span = counted.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("n"))
-    width = F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / buckets).otherwise(F.lit(1.0))
-    joined = counted.join(span, keys) if keys else with_totals(counted, span)
-    placed = joined.withColumn("_b", F.least(F.lit(buckets - 1), F.floor((F.col("_v") - F.col("_lo")) / width)))
+    placed = dealt(counted, [*keys, "_v"], "_b")
+    span = placed.groupBy(*keys).agg(F.max("_v").alias("_hi"), F.sum("_n").alias("n"))
     sizes = placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("_size"))
     upto = W.partitionBy(*keys).orderBy("_b")
     ends = sizes.select(*keys, "_b", (F.sum("_size").over(upto) - F.col("_size")).alias("_before"), "_size")

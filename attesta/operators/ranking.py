@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from attesta import lexicon as lx
@@ -34,9 +32,8 @@ def rank_candidates(candidates: DataFrame, probability: str | None = None) -> Da
             "_guess": (~authoritative).cast("int"),
         }
     )
-    bucket = F.col("_guess") * 1000 + 200 - F.floor(F.col("probability") * 100).cast("int")
     order = ["_guess", F.col("probability").desc(), "rank", "url"]
-    return number_within(rated, ["org"], bucket, order, "place").drop("_guess")
+    return number_within(rated, ["org"], order, "place").drop("_guess")
 
 
 def revenue_comparison(records: DataFrame) -> DataFrame:
@@ -108,16 +105,15 @@ def search_potential() -> Column:
 def allocate_credits(profiles: DataFrame, limit: int, per_company: int = 2) -> DataFrame:
     """Credits per entity, best first until ``limit`` is spent; everyone else gets zero.
 
-    Every entity that gets anything but the last gets the same amount, so only the
-    first ceil(limit / per_company) entities matter: an ordered limit, not a full sort.
+    Every entity that gets anything but the last gets the same amount, so an entity's
+    place among the ready ones decides.
     """
     rated = profiles.withColumns({"readiness": search_readiness(), "priority": search_potential()})
     if limit <= 0 or per_company <= 0:
         return rated.select("org", "readiness", "priority", F.lit(0).alias("credits"))
-    winners = math.ceil(limit / per_company)
-    top = rated.filter(F.col("readiness") >= 75).orderBy(F.col("priority").desc(), F.col("readiness").desc(), "org").limit(winners)
-    spent = W.orderBy(F.col("priority").desc(), F.col("readiness").desc(), "org")
-    paid = top.select("org", F.least(F.lit(per_company), F.lit(limit) - (F.row_number().over(spent) - 1) * per_company).alias("credits"))
+    best = [F.col("priority").desc(), F.col("readiness").desc(), F.col("org")]
+    placed = number_within(rated.filter(F.col("readiness") >= 75).select("org", "readiness", "priority"), [], best, "place")
+    paid = placed.select("org", F.least(F.lit(per_company), F.lit(limit) - (F.col("place") - 1) * per_company).alias("credits")).filter("credits > 0")
     return rated.join(paid, "org", "left").select("org", "readiness", "priority", F.coalesce("credits", F.lit(0)).alias("credits"))
 
 

@@ -96,7 +96,7 @@ def test_batch_checks(spark):
 def test_positions_are_exact_for_a_hot_key(spark):
     rows = [("hot", i % 97, i) for i in range(3000)] + [(f"k{i}", i, i) for i in range(50)]
     frame = spark.createDataFrame(rows, "org string, score int, id int")
-    numbered = ordering.number_within(frame, ["org"], F.floor(F.col("score") / 10), ["score", "id"], "place")
+    numbered = ordering.number_within(frame, ["org"], ["score", "id"], "place")
     expected = {}
     for org, score, key in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         expected[org, key] = sum(1 for o in expected if o[0] == org) + 1 if org != "hot" else None
@@ -106,9 +106,19 @@ def test_positions_are_exact_for_a_hot_key(spark):
     assert all(places[f"k{i}", i] == 1 for i in range(50))
 
 
+def test_ranges_split_what_equal_widths_would_not(spark):
+    frame = spark.range(5000).selectExpr("IF(id < 4500, 0.001 * id / 4500, 1.0 * id) AS v", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        busy = ordering.dealt(frame, ["v", "id"], "b").filter("v < 0.01").groupBy("b").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(busy) > 2 and max(r["count"] for r in busy) < 2500
+
+
 def test_running_totals_and_hash_numbers(spark):
     values = spark.createDataFrame([(i, (i * 7) % 13) for i in range(400)], "k int, v int")
-    rows = ordering.running_totals(values, F.floor(F.col("k") / 37), ["k"], ["v"]).orderBy("k").collect()
+    rows = ordering.running_totals(values, ["k"], ["v"]).orderBy("k").collect()
     total = 0
     for row in rows:
         total += row.v
@@ -121,7 +131,7 @@ def test_running_totals_and_hash_numbers(spark):
 def test_nearest_rank_equals_the_definition(spark, values):
     import math
 
-    found = ordering.nearest_rank(spark.createDataFrame([("a", v) for v in values], "k string, v double"), ["k"], "v", {"p50": 0.5, "p95": 0.95}, buckets=16).first()
+    found = ordering.nearest_rank(spark.createDataFrame([("a", v) for v in values], "k string, v double"), ["k"], "v", {"p50": 0.5, "p95": 0.95}).first()
     ordered = sorted(values)
     assert (found.p50, found.p95) == tuple(ordered[max(0, math.ceil(q * len(ordered)) - 1)] for q in (0.5, 0.95))
     assert found.n == len(values) and found.maximum == max(values)
@@ -302,7 +312,7 @@ def test_publication_reasons(spark):
 
 @pytest.mark.parametrize("scores", [[(0.9, 1), (0.8, 0), (0.8, 1), (0.1, 0)], [(0.5, 1)] * 5 + [(0.5, 0)] * 5, [(i / 50, int(i % 3 == 0)) for i in range(50)]])
 def test_metrics_equal_brute_force(spark, scores):
-    row = learning.ranker_metrics(spark.createDataFrame(scores, "probability double, label int"), buckets=8).first()
+    row = learning.ranker_metrics(spark.createDataFrame(scores, "probability double, label int")).first()
     pos, neg = [s for s, y in scores if y], [s for s, y in scores if not y]
     wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
     assert abs(row.roc_auc - wins / (len(pos) * len(neg))) < 1e-9
