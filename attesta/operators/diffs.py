@@ -36,13 +36,15 @@ def diff_snapshots(previous: DataFrame, current: DataFrame, fields: list[str] |
     """Changed (org, field) rows of two long snapshots, NULL-safe: NULL → 0 is a change.
 
     Both sides are (org, field, value, …evidence columns). The caller checks
-    membership first; the join itself keeps fields present on one side only.
+    membership first; the join itself keeps fields present on one side only. Without
+    ``fields`` the tracked ones are compared, with an empty list all.
     """
-    fields = fields or lx.TRACKED_FIELDS
+    fields = lx.TRACKED_FIELDS if fields is None else fields
+    wanted = F.col("field").isin(fields) if fields else F.lit(True)
 
     def side(df: DataFrame, mark: str) -> DataFrame:
         have = [c for c in CARRIED if c in df.columns]
-        return df.filter(F.col("field").isin(fields)).select("org", "field", F.col("value").alias(f"{mark}_value"), *[F.col(c).alias(f"{mark}_{c}") for c in have])
+        return df.filter(wanted).select("org", "field", F.col("value").alias(f"{mark}_value"), *[F.col(c).alias(f"{mark}_{c}") for c in have])
 
     joined = side(previous, "old").join(side(current, "new"), ["org", "field"], "full")
     changed = joined.filter(~F.col("old_value").eqNullSafe(F.col("new_value")))

@@ -42,7 +42,7 @@ def feed_index_stream(spark, sf):
     base = _fresh(spark, "feed")
     schema = table(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
-    index = FeedIndex(spark, f"{base}/index", buckets=8)
+    index = FeedIndex(spark, f"{base}/index")
     index.run(_entries(stream.withColumn("k", views.props_k(F.col("props")))), f"{base}/checkpoint")
     return index.current(since=SINCE).select("uuid", "business_name", "url", "status")
 
@@ -77,7 +77,7 @@ SELECT org, field, ol.v AS old_value, nl.v AS new_value FROM ol FULL JOIN nl USI
 )
 def change_stream(spark, sf):
     """Events between two snapshots of the orders, with the second one replayed."""
-    log = ChangeLog(spark, _fresh(spark, "changes"), ["registry.legal_form", "registry.employees", "registry.latest_submitted_accounts"], buckets=8)
+    log = ChangeLog(spark, _fresh(spark, "changes"), ["registry.legal_form", "registry.employees", "registry.latest_submitted_accounts"])
     log.apply(_snapshot(spark, sf, OLD), 0)
     log.apply(_snapshot(spark, sf, NEW), 1)
     log.apply(_snapshot(spark, sf, NEW), 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from attesta.operators.diffs import CARRIED, diff_snapshots
-from attesta.streaming.versioned import VersionedTable, read_if_present
+from attesta.streaming.batches import read_if_present, write_batch
 
 STATE = "fact_key string, org string, field string, value string, source_url string, retrieved_at string, effective_at string, content_sha256 string, status string"
 EVENT = (
@@ -22,29 +22,30 @@ def keyed(facts: DataFrame) -> DataFrame:
 
 
 class ChangeLog:
-    """Last known facts and the events between snapshots, under one folder."""
+    """The facts of each snapshot and the events between them, one folder per batch."""
 
-    def __init__(self, spark: SparkSession, path: str, fields: list[str] | None = None, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, fields: list[str] | None = None):
         self.spark, self.path, self.fields = spark, path.rstrip("/"), fields
-        self.state = VersionedTable(spark, f"{self.path}/state", STATE, "fact_key", buckets)
+
+    def known(self, before: int | None = None) -> DataFrame:
+        """The newest fact per key, of all batches or those before one."""
+        rows = read_if_present(self.spark, f"{self.path}/facts", f"{STATE}, batch long")
+        rows = rows if before is None else rows.filter(F.col("batch") < before)
+        carried = [c for c in rows.columns if c not in ("fact_key", "batch")]
+        return rows.groupBy("fact_key").agg(F.max_by(F.struct(*carried), "batch").alias("f")).select("fact_key", "f.*")
 
     def apply(self, snapshot: DataFrame, batch_id: int) -> None:
-        """Compare one snapshot (org, field, value, …) with the last facts, then make it the last.
+        """Compare one snapshot (org, field, value, …) with the facts of the batches before, then store it.
 
-        The events folder of a batch is overwritten, so a retried batch writes the same
-        events once; state is only replaced after they are stored.
+        A retried or replayed batch finds the same facts before it and overwrites its own folders with the same rows.
+        Only entities the snapshot covers are compared: an absent entity is not a change. The first batch has nothing before it.
         """
-        if self.state.committed(batch_id):
-            return
         facts = keyed(snapshot)
-        first = self.state.last_batch() is None
-        known = self.state.current()
-        if not first:
-            # Only entities the snapshot covers are compared: an absent entity is not a change.
+        known = self.known(batch_id)
+        if not known.isEmpty():
             covered = known.join(facts.select("org").distinct(), "org", "left_semi")
-            events = diff_snapshots(covered, facts, self.fields or [r["field"] for r in facts.select("field").distinct().collect()])
-            events.write.mode("overwrite").parquet(f"{self.path}/events/batch={batch_id}")
-        self.state.merge(facts, batch_id, lambda rows: _latest(rows, facts))
+            write_batch(diff_snapshots(covered, facts, self.fields or []), f"{self.path}/events", batch_id)
+        write_batch(facts, f"{self.path}/facts", batch_id)
 
     def events(self) -> DataFrame:
         return read_if_present(self.spark, f"{self.path}/events", EVENT + ", batch long")
@@ -56,9 +57,3 @@ class ChangeLog:
         )
         query.awaitTermination()
         return query
-
-
-def _latest(rows: DataFrame, facts: DataFrame) -> DataFrame:
-    """Old facts the new snapshot does not restate, plus the new facts."""
-    kept = rows.join(facts.select("fact_key"), "fact_key", "left_anti")
-    return kept.unionByName(facts.select(*rows.columns))

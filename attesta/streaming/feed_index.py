@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from attesta.streaming.versioned import VersionedTable
+from attesta.streaming.batches import read_if_present, write_batch
 
 ENTRY = "uuid string, modified timestamp, status string, business_name string, url string, arrival long"
-RUN = "batch_id long, complete boolean, retrieved_at timestamp, coverage_since timestamp, entries long, checksum long"
+RUN = "complete boolean, retrieved_at timestamp, entries long, checksum long"
 OVERLAP = "INTERVAL 5 MINUTES"
 
 
@@ -37,43 +37,55 @@ def index_checksum(entries: DataFrame) -> DataFrame:
 
 
 class FeedIndex:
-    """The index under one folder; batches arrive by stream or by hand."""
+    """The index under one folder; batches arrive by stream or by hand.
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
-        self.table = VersionedTable(spark, path, ENTRY, "uuid", buckets)
+    A stream keeps the newest entry per id in Spark's state store and emits the ids that changed, so late and repeated
+    entries give nothing. Each batch is one folder of updates; the index is the newest update per id. ``compact`` folds the
+    updates into a base and drops what has left the window, so neither updates nor index grow for ever.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        self.table.merge(clean_entries(batch), batch_id, fold_entries)
+        write_batch(fold_entries(clean_entries(batch)), f"{self.path}/updates", batch_id)
+
+    def _base(self) -> tuple[DataFrame, int]:
+        rows = read_if_present(self.spark, f"{self.path}/base", f"{ENTRY}, batch long")
+        newest = rows.agg(F.max("batch")).first()[0]
+        return rows.filter(F.col("batch") == F.lit(newest)).drop("batch"), -1 if newest is None else newest
 
     def current(self, since: str | None = None) -> DataFrame:
-        rows = self.table.current()
+        base, upto = self._base()
+        updates = read_if_present(self.spark, f"{self.path}/updates", f"{ENTRY}, batch long").filter(F.col("batch") > upto).drop("batch")
+        rows = fold_entries(base.unionByName(updates))
         return rows if since is None else in_window(rows, since)
 
-    def load(self, entries: DataFrame, batch_id: int, complete: bool) -> bool:
-        """A partial load never replaces what is there; it is left out whole."""
-        if not complete:
-            return False
-        self.merge(entries, batch_id)
-        return True
+    def load(self, entries: DataFrame, batch_id: int, complete: bool, retrieved_at: str | None = None) -> bool:
+        """Merge one load and record the run. A partial load never replaces what is there; it is left out whole."""
+        if complete:
+            self.merge(entries, batch_id)
+        facts = index_checksum(self.current()).select(
+            F.lit(complete).alias("complete"), F.lit(retrieved_at).cast("timestamp").alias("retrieved_at"), "entries", "checksum"
+        )
+        write_batch(facts, f"{self.path}/runs", batch_id)
+        return complete
+
+    def next_since(self):
+        """Where the next read starts: the last complete run less the overlap; None before the first."""
+        runs = read_if_present(self.spark, f"{self.path}/runs", f"{RUN}, batch long").filter("complete")
+        return runs.agg((F.max("retrieved_at") - F.expr(OVERLAP)).alias("since")).first()["since"]
+
+    def compact(self, batch_id: int, since: str) -> None:
+        """Fold the updates up to ``batch_id`` into a base without the entries that have left the window."""
+        write_batch(self.current(since), f"{self.path}/base", batch_id)
 
     def run(self, stream: DataFrame, checkpoint: str):
         """Drain a stream of entries into the index and stop."""
         query = (
-            stream.writeStream.foreachBatch(lambda rows, batch_id: self.merge(rows, batch_id))
+            fold_entries(clean_entries(stream)).writeStream.outputMode("update")
+            .foreachBatch(lambda rows, batch_id: write_batch(rows, f"{self.path}/updates", batch_id))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
         query.awaitTermination()
         return query
-
-
-def next_query_since(last_retrieved: str) -> str:
-    """Where the next read starts: the last scan's start less the overlap."""
-    return f"timestamp'{last_retrieved}' - {OVERLAP}"
-
-
-def active_candidates(index: DataFrame, name_index: DataFrame) -> DataFrame:
-    """Active entries of the index matched to entities by employer name."""
-    from attesta.operators.resolve import match_employer_names
-
-    active = index.filter("status = 'ACTIVE'").select(F.col("uuid").alias("ad"), "business_name", "modified")
-    return match_employer_names(active.select("ad", "business_name"), name_index).join(active.select("ad", "modified"), "ad")

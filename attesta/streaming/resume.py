@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from attesta.streaming.versioned import read_if_present
+from attesta.streaming.batches import read_if_present
 
 
 def finished(module_evidence: DataFrame, modules: list[str]) -> DataFrame:

@@ -29,7 +29,7 @@ def test_out_of_order_and_repeated_batches_give_the_batch_answer(spark, tmp_path
     expected = state(fold_entries(entries(spark, rows).withColumn("status", F.upper("status"))))
     shuffled = rows[:]
     generator.shuffle(shuffled)
-    index = FeedIndex(spark, str(tmp_path / "index"), buckets=4)
+    index = FeedIndex(spark, str(tmp_path / "index"))
     for batch, start in enumerate(range(0, 300, 60)):
         part = entries(spark, shuffled[start:start + 60])
         index.merge(part, batch)
@@ -43,13 +43,13 @@ def test_stream_of_files_equals_one_batch(spark, tmp_path):
     for part in range(4):
         entries(spark, rows[part::4]).coalesce(1).write.mode("append").parquet(str(source))
     stream = spark.readStream.schema(ENTRY).option("maxFilesPerTrigger", 1).parquet(str(source))
-    index = FeedIndex(spark, str(tmp_path / "index"), buckets=4)
+    index = FeedIndex(spark, str(tmp_path / "index"))
     index.run(stream, str(tmp_path / "checkpoint"))
     assert state(index.current()) == state(fold_entries(entries(spark, rows)))
 
 
 def test_window_keeps_old_active_entries_and_partial_loads_change_nothing(spark, tmp_path):
-    index = FeedIndex(spark, str(tmp_path / "index"), buckets=2)
+    index = FeedIndex(spark, str(tmp_path / "index"))
     assert index.load(entries(spark, [("a", "2025-01-01", "ACTIVE", "A", "/", 1), ("b", "2025-01-01", "INACTIVE", "B", "/", 2), ("c", "2026-02-01", "INACTIVE", "C", "/", 3)]), 0, complete=True)
     assert not index.load(entries(spark, [("a", "2026-03-01", "INACTIVE", "A", "/", 4)]), 1, complete=False)
     assert [r.uuid for r in index.current("2026-01-01").orderBy("uuid").collect()] == ["a", "c"]
@@ -57,6 +57,18 @@ def test_window_keeps_old_active_entries_and_partial_loads_change_nothing(spark,
     assert [r.status for r in in_window(index.current(), "2026-01-01").filter("uuid = 'a'").collect()] == ["INACTIVE"]
 
 
+def test_runs_are_recorded_and_compaction_evicts(spark, tmp_path):
+    index = FeedIndex(spark, str(tmp_path / "index"))
+    assert index.next_since() is None
+    index.load(entries(spark, [("a", "2025-01-01", "INACTIVE", "A", "/", 1), ("b", "2026-02-01", "ACTIVE", "B", "/", 2)]), 0, True, "2026-02-02 10:00:00")
+    index.load(entries(spark, [("b", "2026-03-01", "INACTIVE", "B", "/", 3)]), 1, False, "2026-03-02 10:00:00")
+    assert str(index.next_since()) == "2026-02-02 09:55:00" and index.current().count() == 2
+    index.compact(1, "2026-01-01")
+    assert [r.uuid for r in index.current().collect()] == ["b"]
+    index.merge(entries(spark, [("a", "2026-02-03", "ACTIVE", "A", "/", 4)]), 2)
+    assert state(index.current()) == [("a", "2026-02-03 00:00:00", "ACTIVE", "A"), ("b", "2026-02-01 00:00:00", "ACTIVE", "B")]
+
+
 def test_checksum_ignores_order(spark):
     rows = [(f"u{i}", "2026-01-01", "ACTIVE", "F", "/", i) for i in range(20)]
     assert index_checksum(entries(spark, rows)).first() == index_checksum(entries(spark, rows[::-1]).repartition(5)).first()
@@ -64,14 +76,14 @@ def test_checksum_ignores_order(spark):
 
 def test_changes_are_emitted_once_and_replay_gives_none(spark, tmp_path):
     facts = lambda rows: spark.createDataFrame(rows, "org string, field string, value string, content_sha256 string")
-    log = ChangeLog(spark, str(tmp_path / "log"), ["registry.employees", "registry.name"], buckets=2)
+    log = ChangeLog(spark, str(tmp_path / "log"), ["registry.employees", "registry.name"])
     log.apply(facts([("1", "registry.employees", None, "h1"), ("1", "registry.name", "A", "h1"), ("2", "registry.name", "B", "h2")]), 0)
     log.apply(facts([("1", "registry.employees", "0", "h3"), ("1", "registry.name", "A", "h3")]), 1)
     log.apply(facts([("1", "registry.employees", "0", "h3"), ("1", "registry.name", "A", "h3")]), 2)
     events = [(r.org, r.field, r.old_value, r.new_value, r.old_content_sha256, r.new_content_sha256) for r in log.events().collect()]
     # NULL to 0 is a change; the entity the snapshot leaves out is not one.
     assert events == [("1", "registry.employees", None, "0", "h1", "h3")]
-    assert sorted(r.org for r in log.state.current().select("org").distinct().collect()) == ["1", "2"]
+    assert sorted(r.org for r in log.known().select("org").distinct().collect()) == ["1", "2"]
 
 
 def test_resume_skips_only_finished_entities(spark, tmp_path):
@@ -92,7 +104,7 @@ def test_resume_skips_only_finished_entities(spark, tmp_path):
 
 
 def test_entries_without_an_id_are_left_out(spark, tmp_path):
-    index = FeedIndex(spark, str(tmp_path / "index"), buckets=2)
+    index = FeedIndex(spark, str(tmp_path / "index"))
     index.merge(entries(spark, [(None, "2026-01-01", "ACTIVE", "x", "/", 1)]), 0)
     assert index.current().count() == 0
     with pytest.raises(Exception):
