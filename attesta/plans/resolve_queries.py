@@ -238,10 +238,10 @@ def score_search_candidates(spark, sf):
     "choose_search_candidate",
     "C11",
     f"""WITH {SCORE_SQL}, a AS (SELECT *, score >= 0.75 AND in_host AND in_title AS good FROM sc)
-SELECT org, count(*) AS candidates, count(*) FILTER (good) AS accepted, count(*) FILTER (good) = 0 AS abstained FROM a GROUP BY org""",
+SELECT org, arg_min(url, (-score, CASE WHEN page_id = 0 THEN 10000 ELSE page_id END, url)) FILTER (good) AS selected, count(*) AS candidates, count(*) FILTER (good) AS accepted, count(*) FILTER (good) = 0 AS abstained FROM a GROUP BY org""",
 )
 def choose_search_candidate(spark, sf):
-    return op.choose_search_candidate(op.score_search_candidates(_results(spark, sf), _searched(spark, sf))).drop("selected")
+    return op.choose_search_candidate(op.score_search_candidates(_results(spark, sf), _searched(spark, sf)))
 
 
 # ---- names in text ----

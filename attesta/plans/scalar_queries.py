@@ -172,10 +172,10 @@ def emails(spark, sf):
 @bind(
     "page_signals",
     "G9",
-    f"SELECT page_id, {sql.title('html')} AS title, {sql.footer('html')} AS footer_text, {sql.strip_tags('html')} AS body_text FROM pages",
+    f"SELECT page_id, {sql.title('html')} AS title, {sql.footer('html')} AS footer_text, {sql.strip_tags('html')} AS body_text, '' AS meta_description, '' AS contact_text FROM pages",
 )
 def page_signals(spark, sf):
-    return table(spark, sf, "pages").select("page_id", *markup.page_signals(F.col("html"))).drop("meta_description", "contact_text")
+    return table(spark, sf, "pages").select("page_id", *markup.page_signals(F.col("html")))
 
 
 @bind(
