@@ -9,12 +9,13 @@ rule has rejected. A row is kept when no rule rejects it, so the order decides t
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from attesta.functions.text import let
 from attesta.llm.common import SPACES, query, table, word_count
 from attesta.session import stored
 
@@ -22,92 +23,83 @@ SAMPLE_ROWS = 2000
 TEXT = "_text"
 BLANK = " \t\n\x0b\f\r"
 
+
 def c(name: str) -> Column:
     return F.col(name)
 
 
-def _windows() -> Column:
+def _windows(words: Column) -> Column:
     """Hashes of the 3-word windows: one per word but the last two."""
-    at = F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)))
-    return F.slice(at, 1, F.greatest(F.lit(0), F.size("_words") - 2))
+    return let(words, lambda w: F.slice(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))), 1, F.greatest(F.lit(0), F.size(w) - 2)))
 
 
-def _places() -> tuple[Column, Column, Column]:
-    """Places of the windows that occur twice or more, ascending.
+def _covered(windows: Column) -> Column:
+    """Words in windows that occur twice or more.
 
     Few repeated windows are looked up in a list of them; with many, windows are sorted with their places and
-    compared with their neighbours. Both give the same places.
+    compared with their neighbours. Both give the same places. A repeated window covers its three words; one that
+    starts less than three words before the next shares some.
     """
-    few = F.filter(F.transform("_windows", lambda x, i: F.when(F.array_contains("_again", x), i)), lambda p: p.isNotNull())
-    pairs = F.sort_array(F.transform("_windows", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-    beside = lambda e, i: (e["x"] == F.get("_pairs", i - 1)["x"]) | (e["x"] == F.get("_pairs", i + 1)["x"])
-    many = F.sort_array(F.transform(F.filter("_pairs", lambda e, i: F.coalesce(beside(e, i), F.lit(False))), lambda e: e["i"]))
-    return few, pairs, many
-
-
-@dataclass(frozen=True)
-class Rule:
-    """``steps`` are (column, expression) over the text and earlier columns; ``rejects`` is a condition over them."""
+    again = let(F.sort_array(windows), lambda s: F.array_distinct(F.filter(s, lambda x, i: x == F.get(s, i + 1))))
+    few = lambda d: F.filter(F.transform(windows, lambda x, i: F.when(F.array_contains(d, x), i)), lambda p: p.isNotNull())
+    pairs = F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+    beside = lambda v, e, i: F.coalesce((e["x"] == F.get(v, i - 1)["x"]) | (e["x"] == F.get(v, i + 1)["x"]), F.lit(False))
+    many = let(pairs, lambda v: F.sort_array(F.transform(F.filter(v, lambda e, i: beside(v, e, i)), lambda e: e["i"])))
+    places = let(again, lambda d: F.when(F.size(d) > 16, many).otherwise(few(d)))
+    return let(places, lambda p: F.aggregate(F.transform(p, lambda x, j: F.least(F.lit(3), F.coalesce(F.get(p, j + 1) - x, F.lit(3)))), F.lit(0).cast("long"), lambda t, x: t + x))
 
-    name: str
-    rejects: Column
-    steps: Sequence[tuple[str, Column]] = field(default_factory=tuple)
 
+def repeat_words(text: Column, n_words: Column) -> Column:
+    """Words in 3-word windows found twice or more in the text."""
+    words = F.split(F.btrim(text, F.lit(BLANK)), SPACES)
+    repeats = lambda w: F.size(w) > F.size(F.array_distinct(w))
+    counted = let(_windows(words), lambda w: F.when(repeats(w), _covered(w)).otherwise(F.lit(0).cast("long")))
+    return F.when(n_words > 2, counted).otherwise(F.lit(0).cast("long"))
 
-def _repeat_steps() -> list[tuple[str, Column]]:
-    few, pairs, many = _places()
-    repeats = F.size("_windows") > F.size(F.array_distinct("_windows"))
-    neighbours = F.filter("_sorted", lambda x, i: x == F.get("_sorted", i + 1))
-    # Each repeated window covers its three words; one that starts less than three words later shares some.
-    covered = F.aggregate(F.transform("_places", lambda p, j: F.least(F.lit(3), F.coalesce(F.get("_places", j + 1) - p, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x)
-    return [
-        ("_words", F.when(c("n_words") > 2, F.split(F.btrim(c(TEXT), F.lit(BLANK)), SPACES))),
-        ("_windows", F.when(c("n_words") > 2, _windows())),
-        ("_sorted", F.when(repeats, F.sort_array("_windows"))),
-        ("_again", F.array_distinct(neighbours)),
-        ("_pairs", F.when(F.size("_again") > 16, pairs)),
-        ("_places", F.when(c("_pairs").isNotNull(), many).when(c("_again").isNotNull(), few)),
-        ("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))),
-    ]
 
+def lines(text: Column) -> Column:
+    """(n, dup): lines with a word, and those of them equal to an earlier line."""
+    kept = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return let(kept, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
 
-def _line_steps() -> list[tuple[str, Column]]:
-    return [
-        ("_lines", F.filter(F.split(c(TEXT), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))),
-        ("_n_lines", F.size("_lines")),
-        ("n_dup_lines", (c("_n_lines") - F.size(F.array_distinct("_lines"))).cast("long")),
-    ]
 
+@dataclass(frozen=True)
+class Rule:
+    """``measure`` makes a column of the text and its word count; ``rejects`` judges that column and the word count."""
 
-def words_step() -> tuple[str, Column]:
-    return "n_words", word_count(c(TEXT))
+    name: str
+    column: str
+    measure: Callable[[Column, Column], Column]
+    rejects: Callable[[Column, Column], Column]
 
 
 def standard_rules() -> tuple[Rule, ...]:
     return (
-        Rule("few words", c("n_words") < 50),
-        Rule("symbols", c("n_symbols") * 10 > c("n_words"), [("n_symbols", F.regexp_count(TEXT, F.lit(r"[#*$%&|<>]")).cast("long"))]),
-        Rule("word length", (c("word_chars") < c("n_words") * 2) | (c("word_chars") > c("n_words") * 12), [("word_chars", (F.length(TEXT) - F.regexp_count(TEXT, F.lit(r"[\x20\x09-\x0D]"))).cast("long"))]),
-        Rule("repeated lines", c("n_dup_lines") * 10 > c("_n_lines") * 3, _line_steps()),
-        Rule("shouting", c("n_upper_words") * 10 > c("n_words") * 3, [("n_upper_words", F.regexp_count(TEXT, F.lit(r"\p{Lu}{2,}")).cast("long"))]),
-        Rule("repeated windows", c("n_repeat_words") * 100 > c("n_words") * 50, _repeat_steps()),
+        Rule("few words", "n_words", lambda t, n: n, lambda m, n: n < 50),
+        Rule("symbols", "n_symbols", lambda t, n: F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long"), lambda m, n: m * 10 > n),
+        Rule("word length", "word_chars", lambda t, n: (F.length(t) - F.regexp_count(t, F.lit(r"[\x20\x09-\x0D]"))).cast("long"), lambda m, n: (m < n * 2) | (m > n * 12)),
+        Rule("repeated lines", "lines", lambda t, n: lines(t), lambda m, n: m["dup"] * 10 > m["n"] * 3),
+        Rule("shouting", "n_upper_words", lambda t, n: F.regexp_count(t, F.lit(r"\p{Lu}{2,}")).cast("long"), lambda m, n: m * 10 > n * 3),
+        Rule("repeated windows", "n_repeat_words", repeat_words, lambda m, n: m * 100 > n * 50),
     )
 
 
+def _rejects(rule: Rule) -> Column:
+    return let(rule.measure(c(TEXT), c("n_words")), lambda m: rule.rejects(m, c("n_words")))
+
+
 def rule_costs(docs: DataFrame, rules: Sequence[Rule], text: str = "text", rows: int = SAMPLE_ROWS, seed: int = 7) -> list[tuple[Rule, float, float]]:
     """(rule, seconds, share rejected) of each rule on a sample of about ``rows`` rows, which is kept in the shared folder."""
     total = docs.count()
     if not total:
         return [(r, 0.0, 0.0) for r in rules]
     picked = docs.select(c(text).alias(TEXT)).sample(fraction=min(1.0, rows / total), seed=seed)
-    sample = stored(picked.select(F.coalesce(c(TEXT), F.lit("")).alias(TEXT)).withColumn(*words_step()), "sample")
+    sample = stored(picked.select(F.coalesce(c(TEXT), F.lit("")).alias(TEXT)).withColumn("n_words", word_count(c(TEXT))), "sample")
 
     def timed(rule: Rule | None) -> tuple[float, float]:
-        df = sample
-        for name, value in rule.steps if rule else ():
-            df = df.withColumn(name, value)
+        rejected = _rejects(rule) if rule else c("n_words") < 0
         begun = time.perf_counter()
-        share = df.agg(F.avg(rule.rejects.cast("double")) if rule else F.avg(c("n_words").cast("double"))).first()[0]
+        share = sample.agg(F.avg(rejected.cast("double"))).first()[0]
         return time.perf_counter() - begun, share or 0.0
 
     timed(None)
@@ -132,14 +124,18 @@ def cascade(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "t
     caller's columns travel in the struct ``_row``, so no name clashes.
     """
     chosen = order(rule_costs(docs, rules or standard_rules(), text, sample_rows))
-    df = docs.select(F.struct("*").alias("_row"), F.coalesce(c(text), F.lit("")).alias(TEXT)).withColumn(*words_step())
-    failed = F.lit(None).cast("string")
-    df = df.withColumn("rejected_by", failed)
-    for rule in chosen:
-        for name, value in rule.steps:
-            df = df.withColumn(name, value if measure_all else F.when(c("rejected_by").isNull(), value))
-        df = df.withColumn("rejected_by", F.coalesce(c("rejected_by"), F.when(rule.rejects, F.lit(rule.name))))
-    return df.drop(TEXT)
+    df = docs.select(F.struct("*").alias("_row"), F.coalesce(c(text), F.lit("")).alias(TEXT)).withColumn("n_words", word_count(c(TEXT)))
+    if measure_all:
+        measured = {r.column: r.measure(c(TEXT), c("n_words")) for r in chosen if r.column != "n_words"}
+        df = df.select("_row", "n_words", *[m.alias(name) for name, m in measured.items()])
+        judged = [(r, r.rejects(c(r.column), c("n_words"))) for r in chosen]
+    else:
+        # The measure stands inside the condition: it is only evaluated where no earlier rule has rejected.
+        judged = [(r, _rejects(r)) for r in chosen]
+    verdict = F.lit(None).cast("string")
+    for rule, rejects in reversed(judged):
+        verdict = F.when(rejects, F.lit(rule.name)).otherwise(verdict)
+    return df.withColumn("rejected_by", verdict).drop(TEXT)
 
 
 def keep(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text") -> DataFrame:
@@ -169,4 +165,4 @@ def keep(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text
 def op9_quality_cascade(spark, sf_dir):
     judged = cascade(table(spark, sf_dir, "documents").select("doc_id", "text"), measure_all=True)
     base = (c("n_words") < 50) | (c("n_repeat_words") * 100 > c("n_words") * 50)
-    return judged.select(c("_row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), c("rejected_by").isNull().alias("kept"))
+    return judged.select(c("_row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", c("lines.dup").alias("n_dup_lines"), "n_repeat_words", base.alias("base_failed"), c("rejected_by").isNull().alias("kept"))
