@@ -155,13 +155,14 @@ def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is in ``ids`` (distinct).
 
     A bitmap of fixed size (8 million bits, at most 131,072 rows) is broadcast first and drops most other rows before their
-    texts are shuffled; the exact semi-join follows. With very many ids the bitmap fills up and lets everything pass.
+    texts are shuffled; the exact join follows. With very many ids the bitmap fills up and lets everything pass.
     """
     spot = F.xxhash64("id").bitwiseAND(F.lit((1 << 23) - 1))
     bits = ids.select(spot.alias("_spot")).groupBy(F.shiftright("_spot", 6).alias("_row")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_spot & 63 AS INT))")).alias("_bits"))
     near = docs.withColumn("_spot", spot).withColumn("_row", F.shiftright("_spot", 6)).join(F.broadcast(bits), "_row")
     near = near.filter(F.expr("(shiftrightunsigned(_bits, cast(_spot & 63 AS INT)) & 1L) = 1")).select(*docs.columns)
-    return near.join(ids, "id", "left_semi")
+    # An inner join with distinct ids: a semi-join would be moved below the bitmap, and all texts would be shuffled for it.
+    return near.join(ids, "id")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> DataFrame:
