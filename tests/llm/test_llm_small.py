@@ -538,6 +538,27 @@ def test_quality_measures_and_order(session, odd_rows):
     assert quality.keep(empty(session)).collect() == []
 
 
+def test_clean_short_texts_may_repeat_a_line(session):
+    rng = random.Random(6)
+    # Every word its own, so that no other rule has a say.
+    body = lambda n: " ".join(f"{rng.choice(WORDS)}{k}" for k in range(n))
+    head, long_line = "A heading of five words", body(40)
+    rows = [
+        (1, f"{head}\n{body(70)}\n{head}", "a"), (2, f"{head}\n{body(30)}\n{head}\n{body(30)}\n{head}\n{body(30)}", "a"), (3, f"{long_line}\n{body(20)}\n{long_line}", "a"),
+        (4, "\n".join([*["Read more here"] * 10, body(60)]), "a"), (5, "\n".join([f"{body(500)}\n{head}"] * 1 + [f"{body(9)}\n{head}" for _ in range(300)]), "a"), (6, f"\r\n \n{head}\n{body(60)}\n\n\n", "a"),
+    ]
+    rule = [r for r in quality.standard_rules() if r.name == "repeated lines"]
+    got = quality.cascade(docs_of(session, rows), rule, measure_all=True).select("_row.doc_id", "_row.text", "n_words", "lines", "rejected_by").collect()
+    for r in got:
+        seen, held = set(), 0
+        for line in (x for x in r.text.split("\n") if SPACE.search(x)):
+            held += len(SPACE.findall(line)) if line in seen else 0
+            seen.add(line)
+        assert r.lines.words == held and (r.rejected_by is not None) == (held * 5 > r.n_words), r.doc_id
+    assert {r.doc_id for r in got if r.rejected_by} == {3, 4, 5}
+    assert {1, 2, 6} <= {r.doc_id for r in quality.keep(docs_of(session, rows)).collect()}
+
+
 def test_rules_go_by_rejection_per_cost():
     rule = lambda name: quality.Rule(name, name, None, None)
     costs = [(rule("slow"), 1.0, 0.5), (rule("fast"), 0.1, 0.1), (rule("idle"), 0.01, 0.0), (rule("best"), 0.1, 0.4)]
