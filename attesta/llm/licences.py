@@ -3,7 +3,8 @@
 The words of all licence templates form one suffix automaton. A text's words stream through it: at each word the automaton
 holds the longest run, ending there, that occurs in any template (the matching statistics). Runs of at least LEAST
 words that cannot grow are matches; matches of one template that follow each other in text and template, with at most GAP
-words between, chain into a span, whose score is the share of the template it covers.
+words between, chain into a span. Its score is the share of the template it covers, or the share of the template's telling
+words where that is less: those in no template of another licence. So wording that licences share names none of them.
 
 Fixed phrases name licences on their own. A run of LEAST words lies inside template words, so only such stretches are
 streamed; array operations over word hashes find them and the phrases.
@@ -64,6 +65,13 @@ TEMPLATES = (
     ),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("cc", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc", "Licensed under CC BY 4.0."),
+    ("cc", "Licensed under CC BY-SA 4.0."),
+    ("cc", "Licensed under CC BY-ND 4.0."),
+    ("cc", "Licensed under CC BY-NC 4.0."),
+    ("cc", "Licensed under CC BY-NC-SA 4.0."),
+    ("cc", "Licensed under CC BY-NC-ND 4.0."),
+    ("cc", "Licensed under CC0 1.0 Universal."),
     ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software."),
 )
 
@@ -147,10 +155,17 @@ class Scanner:
         sequences = [hashes_of(t).tolist() for _, t in templates]
         self.labels = [label for label, _ in templates]
         self.sizes = [len(s) for s in sequences]
+        self.telling = [self._telling(n, sequences) for n in range(len(sequences))]
         self.automaton = Automaton(sequences)
         self.vocabulary = np.unique(np.concatenate([np.array(s, dtype=np.uint64) for s in sequences]))
         self.phrases = [(label, hashes_of(p)) for label, p in sorted((phrases or PHRASES).items())]
 
+    def _telling(self, n: int, sequences) -> list[int]:
+        """Telling words of template ``n`` before each of its words and in all; every word where none tells."""
+        others = {w for label, s in zip(self.labels, sequences, strict=True) if label != self.labels[n] for w in s}
+        tells = [w not in others for w in sequences[n]]
+        return [0, *np.cumsum(tells if any(tells) else [True] * len(tells)).tolist()]
+
     def matches(self, sequence: list[int], first: int):
         """(start, end, state) of the runs of at least LEAST words that cannot grow; places count from ``first``."""
         before = (0, 0)
@@ -165,20 +180,21 @@ class Scanner:
         done: list[Span] = []
 
         def close(n: int, chain: list[int]):
-            done.append(Span(self.labels[n], chain[0], chain[1], chain[3], min(1.0, chain[3] / self.sizes[n])))
+            done.append(Span(self.labels[n], chain[0], chain[1], chain[3], min(1.0, chain[3] / self.sizes[n], chain[4] / self.telling[n][-1])))
 
         for start, end, state in found:
             size = end - start
             for n, last in self.automaton.ends[state].items():
+                told = lambda words: self.telling[n][last + 1] - self.telling[n][last + 1 - words]  # noqa: B023, E731
                 chain = open_.get(n)
                 if chain and start <= chain[1] + GAP and last > chain[2]:
                     # Words that the chain already holds, in text or template, count once.
-                    fresh = min(size, end - chain[1], last - chain[2])
-                    open_[n] = [chain[0], end, last, chain[3] + max(0, fresh)]
+                    fresh = max(0, min(size, end - chain[1], last - chain[2]))
+                    open_[n] = [chain[0], end, last, chain[3] + fresh, chain[4] + told(fresh)]
                 elif not chain or start > chain[1]:
                     if chain:
                         close(n, chain)
-                    open_[n] = [start, end, last, size]
+                    open_[n] = [start, end, last, size, told(size)]
         for n, chain in open_.items():
             close(n, chain)
         return done

@@ -432,6 +432,22 @@ def test_licences_odd_rows(session, odd_rows):
     assert licences.scan(empty(session)).collect() == []
 
 
+def test_shared_wording_names_no_licence(session):
+    rows = {
+        "This work is licensed under the MIT License.": {"mit"}, "This work is licensed under the Example Licence.": set(), "This work is licensed under the Apache License, Version 2.0.": {"apache"},
+        "This work is licensed under the GNU Free Documentation License.": set(), "This work is licensed under the GNU General Public License, version 3.": {"gpl"},
+        "This work is licensed under the Example Public License, version 3.": set(), "Licensed under CC BY-NC 4.0.": {"cc"}, "Some text. Licensed under CC BY 3.0 by its author.": {"cc"}, "SPDX: CC-BY-SA-4.0": {"cc"},
+        "Licensed under CC0 1.0 Universal.": {"cc"}, "This work is licensed under a Creative Commons Attribution 4.0 International License.": {"cc"}, "Licensed under rule 4.0 by the office.": set(),
+    }
+    got = licences.scan(docs_of(session, [(k, t, "a") for k, t in enumerate(rows)])).collect()
+    spans = {r.id: {s.label for s in r.spans if s.score >= licences.COVER} for r in got}
+    assert [(t, spans[k]) for k, t in enumerate(rows)] == list(rows.items())
+    # A template's own text covers it whole, and covers half of no other licence.
+    got = licences.scan(docs_of(session, [(k, t, "a") for k, (_, t) in enumerate(licences.TEMPLATES)])).collect()
+    for r in got:
+        assert {s.label for s in r.spans if s.score >= licences.COVER} == {licences.TEMPLATES[r.id][0]} and max(s.score for s in r.spans) == 1.0
+
+
 def test_matching_statistics_against_brute_force():
     rng = random.Random(5)
     templates = [[rng.randrange(6) for _ in range(rng.randint(3, 30))] for _ in range(6)]
