@@ -96,7 +96,8 @@ def allocate(docs: DataFrame, key: str = "doc_id", source: str = "source", size:
     def copy(epoch: int) -> Column:
         begin = start + F.col("source_size") * epoch
         cut = F.when(begin + F.col("size") / 2 <= F.col("target"), F.col("size")).otherwise(0) if whole else F.greatest(F.lit(0), F.least(F.col("size"), goal - begin))
-        position = invert(F.least(F.lit(1.0), begin / F.col("target")), F.col("ramp_start"), F.col("ramp_end"))
+        # A source without words has target 0 and no copy; its rows are divided before the copies are chosen.
+        position = invert(F.least(F.lit(1.0), F.try_divide(begin, F.col("target"))), F.col("ramp_start"), F.col("ramp_end"))
         return F.struct(F.lit(epoch).alias("epoch"), cut.cast("long").alias("words"), position.alias("position"))
 
     copies = F.filter(F.array(copy(0), copy(1)), lambda c: c["words"] > 0)

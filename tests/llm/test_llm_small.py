@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attesta.llm import licences, minhash, mixing, pieces, pii, quality, spotsigs, tokenids, urlfilter, warc
-from attesta.llm.common import ready
+from attesta.llm.common import QUERIES, ready
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -82,6 +82,21 @@ def test_mixing_odd_rows(session, odd_rows):
     assert mixing.training_order(empty(session)).collect() == []
 
 
+def test_mixing_source_without_words(session, odd_rows, tmp_path):
+    bare = [(70, None, "bare"), (71, "", "bare"), (72, " \n", "bare"), (73, None, "z")]
+    for rows in ([*odd_rows, *bare], bare):
+        df = docs_of(session, rows)
+        for whole in (False, True):
+            got = mixing.allocate(df, whole=whole).select("_key", "source", "size", "target", "taken", "copies").collect()
+            assert len(got) == len(rows) and sum(r.taken for r in got) == sum(c.words for r in got for c in r.copies)
+            assert [(r.size, r.target, r.taken, r.copies) for r in got if r.source in ("bare", "z")] == [(0, 0.0, 0, [])] * 4
+            assert {r._key for r in got if r.taken} <= {i for i, t, _ in rows if SPACE.search(t or "")}
+        assert {r.source for r in mixing.training_order(df).collect()} == {s for _, t, s in rows if SPACE.search(t or "")}
+        df.write.parquet(f"{tmp_path}/{len(rows)}/documents.parquet")
+        told = QUERIES["op1_mix_sources"](session, f"{tmp_path}/{len(rows)}").collect()
+        assert sorted(str(r.doc_id) for r in told) == sorted(str(i) for i, _, _ in rows) and all((r.first_position is None) == (r.taken == 0) for r in told)
+
+
 def test_mixing_targets_by_hand(session):
     # Weights 5, 2, 1: shares of 1.5 * 1000 are 937.5, 375, 187.5; a stops at 200, what it leaves goes 2:1 to b and c.
     totals = session.createDataFrame([("a", 100, 1), ("b", 400, 1), ("c", 500, 1)], "source string, source_size long, n_rows long")
