@@ -5,7 +5,7 @@ patterns miss, such as a phone number repeated without its plus sign. Its nodes
 candidates of a text: words with an at sign and loose groups of digits. Neighbouring candidates form a chain; mentions
 with the same local part or the same last digits, however far apart, are joined by skip edges that share their
 potentials. Loopy belief propagation with base spans as evidence labels the rest; a candidate becomes a span when its label
-is probable and a skip edge supports it.
+is probable and a skip edge supports it. That holds in texts without base spans too, where candidates support each other.
 
 The weights are trained on the candidates of a bounded sample of documents, labelled by the base patterns; skip
 weights come from the labels of joined mentions there.
@@ -39,7 +39,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-LOOSE = re.compile(r"\(?[0-9][\x20().0-9-]*[0-9]")
+LOOSE = re.compile(r"\(?[0-9][\x20()0-9-]*(?:\.(?!\x20)[\x20()0-9-]*)*(?<=[0-9])")  # a full stop and a blank end it
 DIGIT = re.compile(r"[0-9]")
 AT_WORD = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+")
 
@@ -111,6 +111,17 @@ def _node(t: str, start: int, end: int, label: int | None) -> Node:
     return Node(start, end, label, digits[-TAIL:] if len(digits) >= TAIL else "", digits)
 
 
+CUES = ("phone", "tel", "call", "mobile", "fax", "card", "visa", "credit", "ip", "server", "host", "mail", "contact")
+LETTERS = re.compile(r"[A-Za-z]+\Z")
+GOES_ON = re.compile(r"(?!(?:x|ext)\.?\x20?[0-9])[A-Za-z]", re.IGNORECASE)
+
+
+def _in_word(t: str, start: int, end: int) -> bool:
+    """Whether digits are part of a word, as of a hexadecimal key; a cue word before them and an extension after them are not."""
+    before = LETTERS.search(t, max(0, start - 12), start)
+    return bool(before and before.group().lower() not in CUES or GOES_ON.match(t, end))
+
+
 def nodes(t: str, base: list[tuple[int, int, int]]) -> list[Node]:
     """Base spans and the candidates that overlap none, by place. Of overlapping base spans each is a node."""
     out = [_node(t, a, b, kind) for kind, a, b in base]
@@ -136,7 +147,7 @@ def nodes(t: str, base: list[tuple[int, int, int]]) -> list[Node]:
     first = DIGIT.search(t)
     if first:
         for m in LOOSE.finditer(t, max(0, first.start() - 1)):
-            if m.end() - m.start() >= TAIL and free(m.start(), m.end()):
+            if m.end() - m.start() >= TAIL and free(m.start(), m.end()) and not _in_word(t, m.start(), m.end()):
                 n = _node(t, m.start(), m.end(), None)
                 if TAIL <= len(n.whole) <= 19:
                     out.append(n)
@@ -155,9 +166,6 @@ def edges(found: list[Node]) -> list[tuple[int, int, int]]:
     return out
 
 
-CUES = ("phone", "tel", "call", "mobile", "fax", "card", "visa", "credit", "ip", "server", "host", "mail", "contact")
-
-
 def features(t: str, n: Node) -> list[int]:
     """Places of the active features of a node."""
     text = t[n.start : n.end]
@@ -252,8 +260,6 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 def added_spans(t: str, base: list[tuple[int, int, int]], weights: Weights) -> list[tuple[int, int, int]]:
     """Spans that the field adds: probable labels of candidates that a skip edge joins to another mention."""
-    if not base:
-        return []  # no evidence that a skip edge could carry
     found = nodes(t, base)
     joined = edges(found)
     backed = {i for a, b, kind in joined if kind for i in (a, b) if found[i].label is None}

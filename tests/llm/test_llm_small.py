@@ -401,6 +401,22 @@ def test_field_adds_repeated_mentions_only(session):
     assert pii.masked(text, base, added)[0].count("[PHONE]") == 2 and pii.added_spans("Order 987 654 321 0.", [], weights) == []
 
 
+def test_field_needs_no_base_span(session):
+    rng = random.Random(8)
+    digits = lambda n: str(rng.randint(10 ** (n - 1), 10**n - 1))
+    rows = [(k, f"{prose(rng, 20)} call +{digits(1)} ({digits(3)}) {digits(3)}-{digits(4)} or {prose(rng, 10)} id {digits(10)}", "a") for k in range(400)]
+    weights = pii.fit(docs_of(session, rows))
+    text = f"Call (555) 123-4567 now. {prose(rng, 300)} Later call (555) 123-4567. 2 rooms are left, order 987 654 321 0."
+    assert pii.base_spans(text) == []
+    assert [(k, text[a:b]) for k, a, b in pii.added_spans(text, [], weights)] == [(3, "(555) 123-4567")] * 2
+    masked = pii.redact(docs_of(session, [(1, text, "a"), (2, "Call (555) 123-4567 now.", "a")]), weights).collect()
+    assert {r.doc_id: r.text.count("[PHONE]") for r in masked} == {1: 2, 2: 0}
+    # A full stop and a blank end a number, a full stop alone does not.
+    assert [text[n.start : n.end] for text in ("Or 722 334 455. 2 rooms, 722.334.455.", "722 334 455. 20 888 777 666") for n in pii.nodes(text, [])] == ["722 334 455", "722.334.455", "722 334 455", "20 888 777 666"]
+    # Digits inside a word are no number.
+    assert [n.whole for n in pii.nodes("key dafbac99949115180e75, key dafbac99949115180e75, tel7223344, 7223345x12, 7223346 ext", [])] == ["7223344", "7223345", "7223346"]
+
+
 def test_redaction_odd_rows(session, odd_rows):
     df = clashing(session, odd_rows, ["masked", "absent", "spans"])
     got = pii.redact(df)
