@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from functools import cache
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,20 +29,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm.common import query, table
+from attesta.llm.pieces import MARK
 from attesta.llm.tokenids import _byte_marks
 from attesta.session import stored
 
-KNOWN = 150_000  # parts a worker remembers, twice: new ones and those before
-LONG = 200  # characters; longer parts are not remembered
-WINDOW = 1 << 18  # parts looked up at a time
-BLOCK = 1 << 22  # links of a block
+KNOWN = 300_000  # parts a worker remembers
+KNOWN_BYTES = 64 << 20  # and the characters of their groups
+WINDOW = 1 << 19  # characters worked on at a time
+TOGETHER = 128  # parts tokenized as one text
+ALIGNED = 4096  # parts aligned in one call
+BLOCK = 1 << 21  # links of a block
 SHIFT = 32
+NEW, BAD = -2, -1  # places of parts that are not known, and of parts whose tokens' bytes are not their own
 # A part ends where a blank with more text after it follows a character that is no white space.
 PARTS = re.compile(r"(?s) \S+(?= .)| .*?\S(?= .)| .+| ")
+CUT = re.compile(r"(?s)\S(?= .)")
+
+
+class Grown:
+    """An array that values are appended to."""
+
+    def __init__(self, kind):
+        self.held, self.size = np.zeros(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        last = self.size + len(values)
+        if last > len(self.held):
+            self.held = np.concatenate([self.held, np.zeros(max(last, 2 * len(self.held)) - len(self.held), self.held.dtype)])
+        self.held[self.size : last] = values
+        self.size = last
+
+
+def spread(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of runs, one run after the other."""
+    ends = np.cumsum(counts)
+    return np.repeat(begins - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 class Aligner:
-    """Aligns texts of two vocabulary files."""
+    """Aligns texts of two vocabulary files, remembering the parts it has seen."""
 
     def __init__(self, byte_level: str, piece_model: str):
         import sentencepiece
@@ -54,105 +79,183 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_model)
         marks = {mark: byte for byte, mark in _byte_marks().items()}
         special = {t.content for t in self.a.get_added_tokens_decoder().values()}
-        self.a_bytes = {i: t.encode() if t in special else bytes(marks[ch] for ch in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        known = {i: t.encode() if t in special else bytes(marks[ch] for ch in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        self.a_bytes = [known.get(i, b"") for i in range(max(known) + 1)]
         model = sentencepiece_model_pb2.ModelProto()
         with open(piece_model, "rb") as f:
             model.ParseFromString(f.read())
-        # Parts are tokenized alone only if no piece holds a blank after another character; else texts stay whole.
-        self.parts = PARTS if not any("▁" in p.piece.lstrip("▁") for p in model.pieces) else re.compile("(?s).+")
-        self.b_bytes = {n: bytes([int(p.piece[3:5], 16)]) if p.type == 6 else p.piece.replace("▁", " ").encode() for n, p in enumerate(model.pieces)}
-        self.known: dict = {}
-        self.older: dict = {}
-
-    def spans_a(self, part: str, encoding) -> list[tuple[int, int]] | None:
-        """(id, byte where it ends) of A's tokens."""
-        ids, offsets = encoding.ids, encoding.offsets
-        if part.isascii():
-            # Characters are bytes, so the offsets are exact.
-            return [(i, end) for i, (_, end) in zip(ids, offsets, strict=True)]
-        ends = [0, *np.cumsum([len(ch.encode()) for ch in part]).tolist()]
-        out, at = [], 0
-        for k, (i, (_, end)) in enumerate(zip(ids, offsets, strict=True)):
-            split = k + 1 < len(ids) and offsets[k + 1][0] < end  # the next token starts inside the same character
-            at = at + len(self.a_bytes[i]) if split else ends[end]
-            out.append((i, at))
-        return out
-
-    def spans_b(self, proto) -> list[tuple[int, int]]:
-        """(id, byte where it ends) of B's pieces; its spans lack the blank before the text."""
-        out, at = [], 0
-        for p in proto.pieces:
-            at = at + len(self.b_bytes[p.id]) if p.begin == p.end else p.end + 1
-            out.append((p.id, at))
-        return out
-
-    def align(self, part: str, encoding, proto):
-        """(tokens of A, tokens of B, groups as text, bytes of each group, links), or None where the bytes are not the part's."""
-        a, b = self.spans_a(part, encoding), self.spans_b(proto)
-        raw = part.encode()
-        if b"".join([self.a_bytes[i] for i, _ in a]) != raw or b"".join([self.b_bytes[i] for i, _ in b]) != raw:
-            return None
-        both = {end for _, end in a} & {end for _, end in b}
-        groups, sizes, links, before = [], [], [], 0
-        x = y = 0
-        for cut in sorted(both):
-            first_a, first_b = x, y
-            while a[x][1] < cut:
-                x += 1
-            while b[y][1] < cut:
-                y += 1
-            groups.append(",".join([str(i) for i, _ in a[first_a : x + 1]]) + "|" + ",".join([str(i) for i, _ in b[first_b : y + 1]]))
-            sizes.append(cut - before)
-            links.append(a[x][0] << SHIFT | b[y][0])
-            x, y, before = x + 1, y + 1, cut
-        return len(a), len(b), ";".join(groups), tuple(sizes), tuple(links)
-
-    def look(self, parts: list[str]) -> list:
-        """The alignment of every part."""
-        found = list(map(self.known.get, parts, [0] * len(parts)))
-        if 0 not in found:
-            return found
-        new = list({p for p, f in zip(parts, found, strict=True) if f == 0})
-        fresh: dict = {}
-        unseen = []
-        for p in new:
-            old = self.older.get(p, 0)
-            if old == 0:
-                unseen.append(p)
+        self.b_bytes = [bytes([int(p.piece[3:5], 16)]) if p.type == 6 else p.piece.replace(MARK, " ").encode() for p in model.pieces]
+        self.blank = self.b.piece_to_id(MARK)
+        # Parts are tokenized apart only if no piece holds a blank after another character; else texts stay whole.
+        self.apart = not any(MARK in p.piece.lstrip(MARK) for p in model.pieces)
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in table]) for table in (self.a_bytes, self.b_bytes))
+        # Decimal names of all ids with room for what follows them.
+        names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.digits = np.array([len(n) for n in names])
+        width = int(self.digits.max()) + 1
+        self.names = np.frombuffer("".join(n.ljust(width) for n in names).encode(), np.uint8).reshape(-1, width)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.groups: list[bytes] = []
+        self.spelt = 0
+        # Per part: tokens of A and of B, its first group and how many. Per group: bytes and link.
+        self.n_a, self.n_b, self.first, self.count = Grown(np.int32), Grown(np.int32), Grown(np.int64), Grown(np.int64)
+        self.sizes, self.links = Grown(np.int32), Grown(np.int64)
+
+    def ends_a(self, text: str, ids: np.ndarray, offsets: list[tuple[int, int]]) -> np.ndarray:
+        """The byte where each token of A ends."""
+        spans = np.array(offsets, dtype=np.int64).reshape(-1, 2)
+        if text.isascii():
+            return spans[:, 1]  # characters are bytes, so the offsets are exact
+        point = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+        width = 1 + (point > 0x7F).astype(np.int64) + (point > 0x7FF) + (point > 0xFFFF)
+        ends = np.concatenate([[0], np.cumsum(width)])[spans[:, 1]]
+        # The next token starts inside the same character: its decoded bytes tell where this one ends.
+        split = np.append(spans[1:, 0] < spans[:-1, 1], False)
+        return np.where(split, np.cumsum(self.a_sizes[ids]), ends)
+
+    def ends_b(self, bounds: np.ndarray) -> np.ndarray:
+        """The byte where each piece (id, begin, end) of B ends; the library's spans lack the blank before the text."""
+        inside = bounds[:, 1] == bounds[:, 2]  # byte pieces, all but the last of a character
+        return np.where(inside, np.cumsum(self.b_sizes[bounds[:, 0]]), bounds[:, 2] + 1)
+
+    def tokenized(self, texts: list[str]):
+        """Per text: ids of A's tokens and B's pieces and the bytes where they end; None where their bytes are not the text's."""
+        protos = self.b.encode([t[1:] for t in texts], return_type="proto", num_threads=1)
+        bytes_a, bytes_b = self.a_bytes, self.b_bytes
+        for text, proto in zip(texts, protos, strict=True):
+            encoding = self.a.encode(text, add_special_tokens=False)
+            list_a, spans_b = encoding.ids, [(p.id, p.begin, p.end) for p in proto.pieces]
+            if not spans_b:
+                spans_b = [(self.blank, 0, 0)]  # the blank alone, at the end of a text
+            raw = text.encode()
+            if b"".join([bytes_a[i] for i in list_a]) != raw or b"".join([bytes_b[p[0]] for p in spans_b]) != raw:
+                yield None
+                continue
+            ids_a, bounds = np.array(list_a, dtype=np.int64), np.array(spans_b, dtype=np.int64)
+            yield ids_a, bounds[:, 0], self.ends_a(text, ids_a, encoding.offsets), self.ends_b(bounds)
+
+    def learn(self, parts: list[str]) -> None:
+        """Tokenize and align parts, some together as one text."""
+        runs = [parts[k : k + TOGETHER] for k in range(0, len(parts), TOGETHER)]
+        for run, found in zip(runs, self.tokenized(["".join(r) for r in runs]), strict=True):
+            if found is not None:
+                self.remember(run, *found)
+            elif len(run) == 1:
+                self.known[run[0]] = BAD
             else:
-                fresh[p] = old
-        for first in range(0, len(unseen), 4096):
-            some = unseen[first : first + 4096]
-            encodings = self.a.encode_batch(some, add_special_tokens=False)
-            protos = self.b.encode([p[1:] for p in some], return_type="proto", num_threads=1)
-            for p, e, proto in zip(some, encodings, protos, strict=True):
-                fresh[p] = self.align(p, e, proto)
-        found = [fresh[p] if f == 0 else f for p, f in zip(parts, found, strict=True)]
-        if len(self.known) + len(fresh) > KNOWN:
-            self.known, self.older = {}, self.known
-        self.known.update((p, f) for p, f in fresh.items() if len(p) <= LONG)
+                for part in run:
+                    self.learn([part])
+
+    def remember(self, parts: list[str], ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> None:
+        """Cut the tokens of parts that stand one after the other into groups."""
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+        self.links.add(ids_a[last_a] << SHIFT | ids_b[last_b])
+        self.sizes.add(np.diff(cuts, prepend=0))
+        # A group's A ids, then its B ids, each with what follows it: a comma, a bar, or a semicolon after the group.
+        place = np.concatenate([2 * np.searchsorted(cuts, ends_a), 2 * np.searchsorted(cuts, ends_b) + 1])
+        order = np.argsort(place, kind="stable")
+        place, ids = place[order], np.concatenate([ids_a, ids_b])[order]
+        follows = np.where(place == np.append(place[1:], -1), ord(","), np.where(place % 2 == 0, ord("|"), ord(";")))
+        digits = self.digits[ids]
+        spelt = self.names[ids]
+        spelt[np.arange(len(ids)), digits] = follows
+        blob = spelt[np.arange(spelt.shape[1]) <= digits[:, None]].tobytes()
+        stops = np.searchsorted(cuts, np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in parts])) + 1
+        upto_a, upto_b = last_a[stops - 1] + 1, last_b[stops - 1] + 1
+        letters = np.cumsum(digits + 1)[upto_a + upto_b - 1].tolist()
+        before = len(self.groups)
+        self.groups += [blob[x : y - 1] for x, y in zip([0, *letters], letters, strict=False)]
+        self.spelt += len(blob)
+        self.n_a.add(np.diff(upto_a, prepend=0))
+        self.n_b.add(np.diff(upto_b, prepend=0))
+        count = np.diff(stops, prepend=0)
+        self.first.add(self.links.size - len(cuts) + stops - count)
+        self.count.add(count)
+        self.known.update(zip(parts, range(before, len(self.groups)), strict=True))
+
+    def look(self, parts: list[str]) -> np.ndarray:
+        """Where each part is remembered."""
+        if len(self.known) > KNOWN or self.spelt > KNOWN_BYTES:
+            self.forget()
+        found = np.fromiter(map(self.known.get, parts, repeat(NEW)), np.int64, len(parts))
+        new = np.flatnonzero(found == NEW).tolist()
+        if new:
+            unseen = []
+            for p in {parts[k] for k in new}:
+                if MARK in p or p[-1].isspace():
+                    self.learn([p])  # no bytes of its own, or the end of a text
+                else:
+                    unseen.append(p)
+            for first in range(0, len(unseen), ALIGNED):
+                self.learn(unseen[first : first + ALIGNED])
+            known = self.known
+            found[new] = [known[parts[k]] for k in new]
         return found
 
-    def text(self, text: str):
-        """(tokens of A, tokens of B, groups as text, bytes of each group, links) of a whole text."""
-        nothing = (0, 0, "", [], [])
-        if not text:
-            return nothing
-        n_a, n_b, groups, sizes, links = 0, 0, [], [], []
-        parts: list[str] = []
-        for match in self.parts.finditer(" " + text):
-            parts.append(match[0])
-            if len(parts) < WINDOW and match.end() <= len(text):
-                continue
-            found, parts = self.look(parts), []
-            if None in found:
-                return nothing
-            n_a += sum([f[0] for f in found])
-            n_b += sum([f[1] for f in found])
-            groups.append(";".join([f[2] for f in found]))
-            sizes.append(np.fromiter(chain.from_iterable([f[3] for f in found]), np.int32))
-            links.append(np.fromiter(chain.from_iterable([f[4] for f in found]), np.int64))
-        return n_a, n_b, ";".join(groups), np.concatenate(sizes), np.concatenate(links)
+    def windows(self, text: str):
+        """Lists of the parts of a text."""
+        if not self.apart:
+            yield [text]
+            return
+        first = 0
+        while first < len(text):
+            cut = CUT.search(text, first + WINDOW) if len(text) - first > 2 * WINDOW else None
+            last = cut.end() if cut else len(text)
+            yield PARTS.findall(text, first) if cut is None else PARTS.findall(text[first:last])
+            first = last
+
+    def texts(self, texts: list[str]) -> list[tuple]:
+        """(tokens of A, tokens of B, groups as text, bytes of each group, links) of whole texts."""
+        pieces, owners = [], []
+        for k, text in enumerate(texts):
+            for parts in self.windows(" " + text) if text else ():
+                pieces.append(parts)
+                owners.append(k)
+        out: list = [[] for _ in texts]
+        first = 0
+        while first < len(pieces):
+            # Many short texts, or one window of a long one, are looked up together.
+            last, size = first, 0
+            while last < len(pieces) and (last == first or size + len(pieces[last]) <= WINDOW // 4):
+                size += len(pieces[last])
+                last += 1
+            for k, found in zip(owners[first:last], self.joined(pieces[first:last]), strict=True):
+                out[k].append(found)
+            first = last
+        nothing = (0, 0, "", np.zeros(0, np.int32), np.zeros(0, np.int64))
+        whole = []
+        for found in out:
+            if not found or None in found:
+                whole.append(nothing)
+            elif len(found) == 1:
+                whole.append(found[0])
+            else:
+                n_a, n_b, groups, sizes, links = zip(*found, strict=True)
+                whole.append((sum(n_a), sum(n_b), ";".join(groups), np.concatenate(sizes), np.concatenate(links)))
+        return whole
+
+    def joined(self, lists_of_parts: list[list[str]]) -> list:
+        """What is known of the parts of each list together; None where a part has no alignment."""
+        found = self.look([p for parts in lists_of_parts for p in parts])
+        ends = np.cumsum([len(parts) for parts in lists_of_parts])
+        bad = np.flatnonzero(found == BAD)
+        lost = set(np.searchsorted(ends, bad, side="right").tolist())
+        at = np.where(found == BAD, 0, found)
+        counts = np.where(found == BAD, 0, self.count.held[at])
+        places = spread(self.first.held[at], counts)
+        sizes, links = self.sizes.held[places], self.links.held[places]
+        total = lambda values: np.concatenate([[0], np.cumsum(values)])[ends]
+        n_a, n_b, upto = np.diff(total(self.n_a.held[at]), prepend=0).tolist(), np.diff(total(self.n_b.held[at]), prepend=0).tolist(), total(counts).tolist()
+        groups, found = self.groups, found.tolist()
+        out, x, g = [], 0, 0
+        for k, (y, h) in enumerate(zip(ends.tolist(), upto, strict=True)):
+            out.append(None if k in lost else (n_a[k], n_b[k], b";".join([groups[i] for i in found[x:y]]).decode(), sizes[g:h], links[g:h]))
+            x, g = y, h
+        return out
 
 
 @cache
@@ -184,10 +287,10 @@ def align(docs: DataFrame, byte_level: str, piece_model: str, key: str = "doc_id
             while first < len(texts):
                 # A bounded number of characters goes out together.
                 last, size = first, 0
-                while last < len(texts) and (last == first or size + len(texts[last]) <= 1 << 21):
+                while last < len(texts) and (last == first or size + len(texts[last]) <= 2 * WINDOW):
                     size += len(texts[last])
                     last += 1
-                found = [aligner.text(t) for t in texts[first:last]]
+                found = aligner.texts(texts[first:last])
                 columns = [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.string()), lists([f[3] for f in found], np.int32), lists([f[4] for f in found], np.int64)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *columns], names=names)
                 first = last

@@ -95,13 +95,16 @@ def run(docs, monkeypatch=None):
     return sorted((tuple(r) for r in found.collect()), key=str)
 
 
-def test_parts_against_whole_texts(whole):
+@pytest.mark.parametrize(("window", "known"), [(1 << 20, 100_000), (5, 20), (20, 1)])
+def test_parts_against_whole_texts(whole, monkeypatch, window, known):
+    monkeypatch.setattr(alignment, "WINDOW", window)
+    monkeypatch.setattr(alignment, "KNOWN", known)
     aligner = alignment.Aligner(A, B)
     rng = random.Random(3)
     alphabet = list("abcDEF'.,-19 \n\t  ") + ["漢", "é", "😀", " the", " it's", " ", "▁", "\x00", "́"]
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 60))) for _ in range(1500)]
-    for t in texts:
-        n_a, n_b, groups, sizes, links = aligner.text(t)
+    found = aligner.texts(texts[:300]) + [aligner.texts([t])[0] for t in texts[300:600]] + aligner.texts(["", " ".join(t for t in texts[:50] if t), *texts[600:]])
+    for t, (n_a, n_b, groups, sizes, links) in zip([*texts[:600], "", " ".join(t for t in texts[:50] if t), *texts[600:]], found, strict=True):
         want = whole(t)
         assert groups == ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b, _ in want), repr(t)
         assert list(sizes) == [s for _, _, s in want]
@@ -112,8 +115,6 @@ def test_parts_against_whole_texts(whole):
 @pytest.mark.parametrize("block", [1, 50, 1 << 22])
 def test_odd_rows_in_blocks(session, whole, monkeypatch, block):
     monkeypatch.setattr(alignment, "BLOCK", block)
-    monkeypatch.setattr(alignment, "WINDOW", 7)
-    monkeypatch.setattr(alignment, "KNOWN", 20)
     rows = list(enumerate(ODD)) + [(None, "no id here"), (3, "a b a b"), (3, "a b a b"), (900, " ".join(["the long text"] * 4000))]
     assert run(make(session, rows)) == expected(rows, whole)
 
