@@ -5,8 +5,9 @@ token count and the list of ids. Ids are dictionary-encoded, counts and places d
 set sizes and column indexes, so reading a few documents or only the counts touches a few pages.
 
 Encoding uses the tokenizers library on distinct pre-tokens: a text is cut into pre-tokens with array operations over its
-code points, the distinct new ones are encoded by the library's model and the ids are gathered. Byte-level merges never cross
-pre-tokens, so the ids equal those of the library on the whole text, which the tests compare.
+code points, the distinct new ones are encoded by the library's model and the ids are gathered. A hash finds a pre-token that was
+seen before; its characters are then compared, and where they differ it is encoded by itself. Byte-level merges never
+cross pre-tokens, so the ids equal those of the library on the whole text, which the tests compare.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from attesta.session import checkpoint_folder
 END = 0
 PIECE = 1 << 20  # code points worked on at a time
 KNOWN = 2_000_000  # distinct pre-tokens a worker remembers
+KNOWN_CHARACTERS = 16 << 20  # and their characters
+BASE = 0x9E3779B97F4A7C15  # of the hash that finds a pre-token; odd, so it has an inverse modulo 2^64
 FORMAT = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",  # delta encoding for what has no dictionary
@@ -109,19 +112,26 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.hashes, self.begins, self.sizes, self.flat = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        none = np.zeros(0, np.int64)
+        self.hashes, self.begins, self.sizes, self.flat = np.zeros(0, U), none, none, np.zeros(0, np.int32)
+        self.spelt, self.lengths, self.characters = none, none, np.zeros(0, np.uint32)  # where the characters of each begin, how many, and all of them
+
+    def _ids(self, string: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(string.encode().decode("latin-1").translate(self.marks))]
 
     def _learn(self, hashes: np.ndarray, strings: list[str]):
-        if len(self.hashes) + len(hashes) > KNOWN:
+        if len(self.hashes) + len(hashes) > KNOWN or len(self.characters) > KNOWN_CHARACTERS:
             self._forget()
-        model = self.tokenizer.model
-        ids = [[t.id for t in model.tokenize(s.encode().decode("latin-1").translate(self.marks))] for s in strings]
+        ids = list(map(self._ids, strings))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        begins = len(self.flat) + np.cumsum(sizes) - sizes
+        lengths = np.fromiter(map(len, strings), np.int64, len(strings))
+        begins, spelt = len(self.flat) + np.cumsum(sizes) - sizes, len(self.characters) + np.cumsum(lengths) - lengths
         self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32, int(sizes.sum()))])
-        hashes, begins, sizes = np.concatenate([self.hashes, hashes]), np.concatenate([self.begins, begins]), np.concatenate([self.sizes, sizes])
-        order = np.argsort(hashes)
-        self.hashes, self.begins, self.sizes = hashes[order], begins[order], sizes[order]
+        self.characters = np.concatenate([self.characters, np.frombuffer("".join(strings).encode("utf-32-le"), dtype=np.uint32)])
+        columns = (self.hashes, hashes), (self.begins, begins), (self.sizes, sizes), (self.spelt, spelt), (self.lengths, lengths)
+        joined = [np.concatenate(c) for c in columns]
+        order = np.argsort(joined[0])
+        self.hashes, self.begins, self.sizes, self.spelt, self.lengths = (c[order] for c in joined)
 
     def _pieces(self, text: str):
         """Cuts before white runs, where a pre-token always starts."""
@@ -203,14 +213,31 @@ class Encoder:
                 old = distinct[~new]
                 self._learn(old, [whole[a:b] for a, b in zip(token[at[~new]].tolist(), stop[at[~new]].tolist(), strict=True)])
             place = np.searchsorted(self.hashes, distinct)
-        sizes, first = self.sizes[place][back], self.begins[place][back]
+        sizes, first, flat = self.sizes[place][back], self.begins[place][back], self.flat
+        wrong = self._unlike(cp[kinds != 9], stop - token, place[back])
+        if len(wrong):
+            # Another pre-token has the hash: these are encoded by themselves.
+            own = [self._ids(whole[a:b]) for a, b in zip(token[wrong].tolist(), stop[wrong].tolist(), strict=True)]
+            sizes[wrong] = lengths = np.fromiter(map(len, own), np.int64, len(own))
+            first[wrong] = len(flat) + np.cumsum(lengths) - lengths
+            flat = np.concatenate([flat, np.fromiter((i for x in own for i in x), np.int32, int(lengths.sum()))])
         ends_at = np.cumsum(sizes)
-        ids = self.flat[np.repeat(first - (ends_at - sizes), sizes) + np.arange(int(ends_at[-1]) if len(ends_at) else 0)]
+        ids = flat[np.repeat(first - (ends_at - sizes), sizes) + np.arange(int(ends_at[-1]) if len(ends_at) else 0)]
         bounds = np.concatenate([[0], ends_at])[np.searchsorted(token, np.append(begins, len(cp)))]
         for j, (k, _) in enumerate(wave):
             out[k].append(ids[bounds[j] : bounds[j + 1]])
 
 
+    def _unlike(self, text: np.ndarray, lengths: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Which pre-tokens, whose characters are ``text`` one after the other, are spelt unlike the known one at ``place``."""
+        odd = self.lengths[place] != lengths
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.spelt[place] - (ends - lengths), lengths) + np.arange(len(text))
+        differ = np.flatnonzero(self.characters[np.minimum(at, len(self.characters) - 1)] != text)
+        odd[np.searchsorted(ends, differ, side="right")] = True
+        return np.flatnonzero(odd)
+
+
 @cache
 def _encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -218,9 +245,9 @@ def _encoder(path: str) -> Encoder:
 
 @cache
 def _powers(bits: int):
-    from attesta.llm.wordhash import _powers as powers
-
-    return powers(1 << bits)
+    n = 1 << bits
+    with np.errstate(over="ignore"):
+        return tuple(np.cumprod(np.concatenate([[U(1)], np.full(n, U(b))])) for b in (BASE, pow(BASE, -1, 1 << 64)))
 
 
 def _powers_of(n: int):

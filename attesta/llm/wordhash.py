@@ -1,8 +1,9 @@
 """Word and shingle hashes of Arrow string columns with numpy, no Python loop over words.
 
-Words are runs of bytes other than space and the controls from tab to carriage return, A-Z lowered. A word's hash is a
-polynomial in its bytes modulo 2^64, cut out of a running sum, then mixed with its length. Long texts are worked through
-in segments that end at a separator, so memory per byte of text stays small.
+Words are runs of bytes other than space and the controls from tab to carriage return, A-Z lowered. A word's hash joins two
+polynomials in its bytes modulo two primes of 31 bits, each cut out of a running sum, mixed with its length. (Modulo a power of
+two, words with a repeating pattern of letters would collide.) Long texts are worked through in segments that end at a
+separator, so memory per byte of text stays small.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 SEGMENT = 1 << 20
-BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
+# (prime, base): 2^31 - 1 and the prime below it.
+FIELDS = ((2147483647, 1640531527), (2147483629, 1181783497))
 U = np.uint64
 
 
@@ -26,12 +28,37 @@ def _tables():
     return lower, is_word
 
 
+def _row_of_powers(base: int, prime: int, n: int) -> np.ndarray:
+    """base^0 to base^n modulo a prime, each step doubling the row."""
+    out = np.ones(1, dtype=np.int64)
+    while len(out) <= n:
+        out = np.concatenate([out, out * pow(base, len(out), prime) % prime])
+    return out[: n + 1]
+
+
 @cache
 def _powers(n: int):
-    with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate([[U(1)], np.full(n, U(BASE))]))
-        down = np.cumprod(np.concatenate([[U(1)], np.full(n, U(pow(BASE, -1, 1 << 64)))]))
-    return up, down
+    """Per field: powers of the base and of its inverse."""
+    return [(prime, _row_of_powers(base, prime, n), _row_of_powers(pow(base, -1, prime), prime, n)) for prime, base in FIELDS]
+
+
+def _running(piece: np.ndarray, up: np.ndarray, prime: int) -> np.ndarray:
+    """Sums of the terms before each place, modulo the prime at the start of each block: no sum exceeds 63 bits."""
+    out = np.zeros(len(piece) + 1, dtype=np.int64)
+    for first in range(0, len(piece), SEGMENT):
+        block = piece[first : first + SEGMENT]
+        np.cumsum((block.astype(np.int64) + 1) * up[first : first + len(block)], out=out[first + 1 : first + 1 + len(block)])
+        out[first + 1 : first + 1 + len(block)] += out[first] % prime
+    return out
+
+
+def polynomials(piece: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """62-bit hashes of the byte ranges [start, end) of ``piece``."""
+    h = np.zeros(len(starts), dtype=np.int64)
+    for prime, up, down in _powers(max(SEGMENT, 1 << len(piece).bit_length())):
+        run = _running(piece, up, prime)
+        h = (h << 31) | ((run[ends] - run[starts]) % prime * down[starts] % prime)
+    return h.view(U)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -99,9 +126,7 @@ def words(data: np.ndarray, offsets: np.ndarray, fold: bool = True, is_word: np.
             starts = np.flatnonzero(inside & (~before | edge[:-1]))
             after = np.concatenate([inside[1:], [False]])
             ends = np.flatnonzero(inside & (~after | np.concatenate([edge[1:-1], [True]]))) + 1
-            up, down = _powers(SEGMENT if last - first <= SEGMENT else last - first)
-            run = np.concatenate([[U(0)], np.cumsum((piece.astype(U) + U(1)) * up[: last - first])])
-            h = (run[ends] - run[starts]) * down[starts]
+            h = polynomials(piece, starts, ends)
             hashes.append(mix(h + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93)))
             owners.append(np.searchsorted(offsets, starts + first, side="right") - 1)
     if not hashes:
