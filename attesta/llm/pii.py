@@ -6,6 +6,8 @@ candidates of a text: words with an at sign and loose groups of digits. Neighbou
 with the same local part or the same last digits, however far apart, are joined by skip edges that share their
 potentials. Loopy belief propagation with base spans as evidence labels the rest; a candidate becomes a span when its label
 is probable and a skip edge supports it. That holds in texts without base spans too, where candidates support each other.
+A candidate that repeats the number of a base span, a phone number also without its country code, is evidence too: it
+has the base span's label however often it is repeated, as each repeat would else bring its own doubt and outvote the base span.
 
 The weights are trained on the candidates of a bounded sample of documents, labelled by the base patterns; skip
 weights come from the labels of joined mentions there.
@@ -16,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm.common import free_name, query, table
+from attesta.session import stored
 
 KINDS = ("email", "ip", "card", "phone")
 NOTHING = len(KINDS)  # the label of no entity
@@ -33,6 +36,7 @@ ROUNDS = 12
 SURE = 0.9
 NEAR = 80  # characters between neighbours of the chain
 TAIL = 7  # last digits that tell a number
+COUNTRY = 3  # digits of a country code at most
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -166,6 +170,23 @@ def edges(found: list[Node]) -> list[tuple[int, int, int]]:
     return out
 
 
+def tied(found: list[Node]) -> list[Node]:
+    """The nodes, candidates that repeat a base span's number labelled as it is.
+
+    The digits are the same, zeros before them aside; a phone number's also without a country code of up to three digits. Of base
+    spans with one number that of the first kind counts.
+    """
+    sure: dict[str, int] = {}
+    for n in found:
+        if n.label is not None and n.whole.isdigit():
+            for code in range(COUNTRY + 1 if KINDS[n.label] == "phone" else 1):
+                number = n.whole[code:].lstrip("0")
+                if len(number) >= TAIL:
+                    sure[number] = min(n.label, sure.get(number, NOTHING))
+    same = lambda n: sure.get(n.whole.lstrip("0")) if n.label is None else n.label
+    return [replace(n, label=same(n)) for n in found]
+
+
 def features(t: str, n: Node) -> list[int]:
     """Places of the active features of a node."""
     text = t[n.start : n.end]
@@ -265,6 +286,7 @@ def added_spans(t: str, base: list[tuple[int, int, int]], weights: Weights) -> l
     backed = {i for a, b, kind in joined if kind for i in (a, b) if found[i].label is None}
     if not backed:
         return []
+    found = tied(found)
     p = marginals(t, found, joined, weights)
     best = p.argmax(1)
     return [(int(best[i]), found[i].start, found[i].end) for i in sorted(backed) if best[i] != NOTHING and p[i, best[i]] >= SURE]
@@ -285,10 +307,11 @@ def _labelled(t: str):
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS, sample_nodes: int = SAMPLE_NODES) -> Weights:
-    """Train on at most ``sample_nodes`` nodes of about ``sample_docs`` documents, chosen by a hash of their key."""
+    """Train on at most ``sample_nodes`` nodes and as many pairs of about ``sample_docs`` documents, chosen by a hash of key and text."""
     total = docs.count()
     share = min(1.0, sample_docs / max(1, total))
     limit = int(share * (2**31 - 1))
+    spot = F.xxhash64(F.col(key).cast("string"), F.col(text))
 
     def run(batches):
         for batch in batches:
@@ -301,14 +324,16 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: i
             yield pa.RecordBatch.from_arrays([pa.array(rows, kinds[0]), pa.array(pairs, kinds[1])], names=["nodes", "pairs"])
 
     batch_types = (pa.list_(pa.struct([("on", pa.list_(pa.int32())), ("label", pa.int32())])), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("kind", pa.int32())])))
-    picked = docs.filter(F.shiftright(F.xxhash64(F.col(key).cast("string")), 33).bitwiseAND(2**31 - 1) <= limit).select(F.coalesce(F.col(text), F.lit("")).alias("t"))
+    picked = docs.filter(F.shiftright(spot, 33).bitwiseAND(2**31 - 1) <= limit).select(F.coalesce(F.col(text), F.lit("")).alias("t"))
     made = picked.mapInArrow(run, "nodes array<struct<on:array<int>,label:int>>, pairs array<struct<a:int,b:int,kind:int>>").filter("size(nodes) > 0")
-    rows, pairs = [], []
-    for r in made.orderBy(F.xxhash64("nodes")).limit(sample_nodes).collect():
-        if len(rows) < sample_nodes:
-            rows += [(list(n["on"]), n["label"]) for n in r["nodes"][:sample_nodes]]
-            pairs += [(p["a"], p["b"], p["kind"]) for p in r["pairs"][:sample_nodes]]
-    return train(rows, pairs)
+    made = stored(made.withColumn("spot", F.xxhash64("nodes")), "pii-sample")
+
+    def drawn(column: str) -> list:
+        """Whole documents in the order of their hash, as far as the bound goes; it holds before anything reaches the driver."""
+        each = made.select("spot", F.posexplode(column).alias("at", "x"))
+        return [r["x"] for r in each.orderBy("spot", "at", "x").limit(sample_nodes).collect()]
+
+    return train([(list(n["on"]), n["label"]) for n in drawn("nodes")], [(p["a"], p["b"], p["kind"]) for p in drawn("pairs")])
 
 
 def find(docs: DataFrame, weights: Weights, each: Callable, schema: str, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
