@@ -90,11 +90,23 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("key", "refers_to", "header", field("WARC-Type").alias("record_type"), F.regexp_replace(field("WARC-Payload-Digest"), "^sha256:", "").alias("payload_digest"), field("Content-Length").cast("long").alias("content_length"))
 
 
+def sound(value: Column) -> Column:
+    """``value`` of a payload whose bytes have the digest they are stored under; a damaged payload stops the job."""
+    return F.when(F.col("verified"), value).otherwise(F.raise_error(F.concat(F.lit("archived payload does not have its digest "), F.col("payload_digest"))))
+
+
+def present(value: Column) -> Column:
+    """``value`` of a record's payload; a record whose payload is not in the archive stops the job."""
+    return F.when(F.col("there"), value).otherwise(F.raise_error(F.concat(F.lit("no archived payload "), F.col("payload_digest"))))
+
+
 def reconstruct(spark: SparkSession, folder: str) -> DataFrame:
     """Original records: key, and the bytes of header block, payload (none for a revisit) and closing line ends."""
-    records, payloads = read_records(spark, folder), read_payloads(spark, folder).filter("verified").select("payload_digest", "payload")
+    records = read_records(spark, folder)
+    payloads = read_payloads(spark, folder).select("payload_digest", sound(F.col("payload")).alias("payload"), F.lit(True).alias("there"))
     body = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    return records.join(payloads, "payload_digest").select("key", F.concat(F.encode("header", "UTF-8"), body, F.lit(b"\r\n\r\n")).alias("record"), "payload")
+    found = records.join(payloads, "payload_digest", "left").withColumn("payload", present(F.col("payload")))
+    return found.select("key", F.concat(F.encode("header", "UTF-8"), body, F.lit(b"\r\n\r\n")).alias("record"), "payload")
 
 
 @query(
@@ -112,8 +124,8 @@ def reconstruct(spark: SparkSession, folder: str) -> DataFrame:
 def op3_warc_archive(spark, sf_dir):
     folder = f"{checkpoint_folder(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
-    payloads = read_payloads(spark, folder).filter("verified").select(F.col("payload_digest").alias("_digest"), "computed_digest", "computed_bytes")
+    payloads = read_payloads(spark, folder).select(F.col("payload_digest").alias("_digest"), sound(F.col("computed_digest")).alias("computed_digest"), "computed_bytes", F.lit(True).alias("there"))
     records = read_records(spark, folder)
-    return records.join(payloads, F.col("payload_digest") == F.col("_digest")).select(
-        F.col("key").alias("page_id"), F.col("computed_bytes").alias("payload_bytes"), F.col("computed_digest").alias("payload_digest"), "record_type", "refers_to"
+    return records.join(payloads, F.col("payload_digest") == F.col("_digest"), "left").select(
+        F.col("key").alias("page_id"), F.col("computed_bytes").alias("payload_bytes"), present(F.col("computed_digest")).alias("payload_digest"), "record_type", "refers_to"
     )
