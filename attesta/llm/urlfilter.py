@@ -52,11 +52,11 @@ def _bucket(date: Column) -> Column:
 
 
 def as_of_filter(captures: DataFrame, entries: DataFrame, key: str, url: str = "url", fetched: str = "fetched") -> DataFrame:
-    """(id, n_active, matched_key, action, allowed) of every row of ``captures``.
+    """(id, url, fetched, n_active, matched_key, action, allowed) of every row of ``captures``.
 
     ``n_active`` counts the keys with an entry active at the fetch time; the most specific one decides. Rows with a null
-    or host-less URL or without a fetch time match nothing and pass. Rows with a null id pass as one group. Repeated rows with
-    one id are judged together: their matches count as one capture's. Other columns are not read.
+    or host-less URL or without a fetch time match nothing and pass. A row is judged by its own URL and time: two captures of one page
+    at two dates have two verdicts, repeated rows the same one each, and a null id makes no difference. Other columns are not read.
     """
     spans = intervals(entries)
     # An open interval is cut at the last fetch bucket, a figure of one row.
@@ -65,11 +65,12 @@ def as_of_filter(captures: DataFrame, entries: DataFrame, key: str, url: str = "
     spans = spans.withColumn("_end", F.least(F.col("_last"), F.when(F.col("valid_to").isNull(), F.col("_last")).otherwise(_bucket(F.date_sub("valid_to", 1))))).filter("_end >= _first")
     spans = spans.select("key", "action", "valid_from", "valid_to", F.explode(F.sequence("_first", "_end")).alias("bucket"))
     rows = captures.select(F.col(key).alias("id"), F.col(url).alias("url"), F.col(fetched).cast("date").alias("at"))
-    looked = rows.select("id", "at", _bucket(F.col("at")).alias("bucket"), F.explode(keys_of(F.col("url"))).alias("k")).select("id", "at", "bucket", "k.key", "k.rank")
+    # A URL and a date are judged once, however many captures have them.
+    looked = rows.select("url", "at").distinct().select("url", "at", _bucket(F.col("at")).alias("bucket"), F.explode(keys_of(F.col("url"))).alias("k")).select("url", "at", "bucket", "k.key", "k.rank")
     held = looked.join(spans, ["key", "bucket"]).filter((F.col("valid_from") <= F.col("at")) & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to"))))
-    best = held.groupBy("id").agg(F.countDistinct("key").alias("n_active"), F.max(F.struct("rank", "key", "action")).alias("top"))
-    joined = rows.select("id").distinct().join(best.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id")), "left")
-    return joined.select("id", F.coalesce("n_active", F.lit(0)).alias("n_active"), F.col("top.key").alias("matched_key"), F.col("top.action").alias("action"), F.coalesce(F.col("top.action") != "block", F.lit(True)).alias("allowed"))
+    best = held.groupBy("url", "at").agg(F.count("*").alias("n_active"), F.max(F.struct("rank", "key", "action")).alias("top"))
+    joined = rows.join(best, ["url", "at"], "left")
+    return joined.select("id", "url", F.col("at").alias("fetched"), F.coalesce("n_active", F.lit(0)).alias("n_active"), F.col("top.key").alias("matched_key"), F.col("top.action").alias("action"), F.coalesce(F.col("top.action") != "block", F.lit(True)).alias("allowed"))
 
 
 def fetch_date(page_id: Column) -> Column:
@@ -124,4 +125,4 @@ def derived_entries(pages: DataFrame) -> DataFrame:
 def op10_url_lists_as_of(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = as_of_filter(pages.withColumn("fetched", fetch_date(F.col("page_id"))), derived_entries(pages), "page_id")
-    return judged.withColumnRenamed("id", "page_id")
+    return judged.drop("url", "fetched").withColumnRenamed("id", "page_id")
