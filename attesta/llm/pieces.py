@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding as a max-plus parallel scan.
 
 A text's segmentation is the path of highest total score through the lattice of vocabulary pieces (the unigram reading of
-a piece file; the scores are the file's own). Long documents are cut into chunks. A boundary's state is how far a piece
+a piece file). A unigram file's scores are its own. A merge file holds ranks, no probabilities: there the score of a piece is the
+logarithm of 1 / (rank + OFFSET), as word frequencies fall with their rank. Long documents are cut into chunks. A boundary's state is how far a piece
 reaches into the next chunk, so a chunk is a matrix: entry state by exit state, the best score in between. Matrices
 combine by (max, +), which is associative: prefix products over blocks of chunks give the scores at every boundary. Each
 chunk then names the entry state of every exit state, these maps combine from the back in the same way, and every
@@ -34,6 +35,7 @@ from attesta.session import stored
 
 CHUNK = 32_768  # code points
 BLOCK = 64  # chunks combined by one task
+OFFSET = 100
 KNOWN = 400_000  # runs a worker remembers, twice: new ones and those before
 NONE = -math.inf
 MARK = "▁"
@@ -52,10 +54,12 @@ class Pieces:
         self.bytes_: dict[int, int] = {}
         self.text_of: list[str | int | None] = []
         low = math.inf
+        merges = model.trainer_spec.model_type == 2
         for n, p in enumerate(model.pieces):
             if p.type == 1:
-                self.by_text[p.piece] = (n, p.score)
-                low = min(low, p.score)
+                score = -math.log(OFFSET - p.score) if merges else p.score
+                self.by_text[p.piece] = (n, score)
+                low = min(low, score)
                 self.text_of.append(p.piece)
             elif p.type == 6:
                 self.bytes_[int(p.piece[3:5], 16)] = n
@@ -79,7 +83,6 @@ class Pieces:
         self.runs = re.compile(r"(?s).+" if marked_inside else word + rest)
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
-        self.inexact = 0
 
     def forward(self, s: str, entry: list[float], n: int) -> tuple[list[float], list[int]]:
         """Best score and last piece's start of every position reached from the entry states by pieces that start before ``n``."""
@@ -124,9 +127,6 @@ class Pieces:
         found = self.older.get(s)
         if found is None:
             found = tuple(self.trace(s, self.forward(s, [0.0], len(s))[1], len(s))[0])
-            if self.joined(found) != s:
-                self.inexact += 1
-                return found  # never remembered, so it is noticed every time
         if len(s) <= 64:
             if len(self.known) >= KNOWN:
                 self.known, self.older = {}, self.known
@@ -278,7 +278,7 @@ def boundary_scores(matrices: DataFrame, size: int, chunks: int) -> DataFrame:
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """(id, n_chunks, exact, ids) of every row of ``docs``.
 
-    ``exact`` tells that the decoded pieces are the text. Null and empty texts have no ids. Rows with a null or repeated id are
+    ``exact`` tells that the ids decode to the text: every text's own ids are decoded and compared, a long one's chunk by chunk. Null and empty texts have no ids. Rows with a null or repeated id are
     documents of their own. Only the two named columns are read, so no other name can clash; empty tables give no rows.
     """
     kind = docs.schema[key].dataType.simpleString()
@@ -296,10 +296,8 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
         for batch in batches:
             ids, exact = [], []
             for t in batch.column(1).to_pylist():
-                # Runs are decoded when they are first met, which decodes the text.
-                before = pieces.inexact
                 ids.append(pieces.encode(t))
-                exact.append(pieces.inexact == before)
+                exact.append(pieces.decode(ids[-1]) == t)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.ones(len(ids), np.int64)), pa.array(exact, pa.bool_()), lists(ids)], names=names)
 
     def split(batches):
