@@ -314,9 +314,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay: one id of each group; rows without an id stay."""
+    """The rows of ``docs`` that stay: one id of each group, and one row of those that are equal in every column.
+
+    Rows without an id are near-duplicates of nothing; of equal ones of them one stays too. Rows that share an id and differ all stay.
+    """
     gone = near_duplicates(docs, key, text, size, similarity).filter("NOT kept").select(F.col("id").alias(free_name(docs, "_gone"))).distinct()
-    return docs.join(gone, docs[key] == gone[gone.columns[0]], "left_anti")
+    left = docs.join(gone, docs[key] == gone[gone.columns[0]], "left_anti")
+    # Ids that come more than once are few: only their rows, and those without an id, are compared as wholes.
+    often = free_name(docs, "_often")
+    repeated = stored(docs.groupBy(F.col(key).alias(often)).agg(F.count("*").alias("held")).filter("held > 1").select(often), "repeated-ids")
+    if repeated.isEmpty():
+        return left
+    same = left[key].eqNullSafe(F.col(often))
+    return left.join(repeated, same, "left_anti").unionByName(left.join(repeated, same, "left_semi").dropDuplicates())
 
 
 @query(

@@ -61,19 +61,27 @@ def _kept_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
 
-def lines(text: Column) -> Column:
-    """(n, dup): lines with a word, and those of them equal to an earlier line."""
-    return let(_kept_lines(text), lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
-
-
 def line_words(text: Column, n_words: Column) -> Column:
-    """(n, dup, words): as ``lines``, and the words in the lines equal to an earlier one. No word crosses a line."""
+    """(n, dup, words): lines with a word, those of them equal to an earlier line, and the words in these. No word crosses a line."""
     once = lambda d: word_count(F.array_join(d, "\n"))
     held = lambda x, d: F.when(F.size(d) < F.size(x), n_words - once(d)).otherwise(F.lit(0).cast("long"))
     made = lambda x, d: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(d)).cast("long").alias("dup"), held(x, d).alias("words"))
     return let(_kept_lines(text), lambda x: let(F.array_distinct(x), lambda d: made(x, d)))
 
 
+def fresh_repeat_words(text: Column, n_words: Column) -> Column:
+    """Words in 3-word windows found twice or more in the text without its repeated lines."""
+    once = F.array_join(F.array_distinct(F.split(text, "\n")), "\n")
+    return let(once, lambda t: repeat_words(t, n_words))
+
+
+def neighbours(text: Column, n_words: Column) -> Column:
+    """Words equal to the one before, of a text too short to repeat whole windows; 0 for others."""
+    words = F.split(F.btrim(text, F.lit(BLANK)), SPACES)
+    counted = let(words, lambda w: F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1))).cast("long"))
+    return F.when(n_words < SHORT, counted).otherwise(F.lit(0).cast("long"))
+
+
 @dataclass(frozen=True)
 class Rule:
     """``measure`` makes a column of the text and its word count; ``rejects`` judges that column and the word count."""
@@ -84,22 +92,32 @@ class Rule:
     rejects: Callable[[Column, Column], Column]
 
 
+SHORT = 50  # words
+
+SYMBOLS = Rule("symbols", "n_symbols", lambda t, n: F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long"), lambda m, n: m * 10 > n)
+LENGTH = Rule("word length", "word_chars", lambda t, n: (F.length(t) - F.regexp_count(t, F.lit(r"[\x20\x09-\x0D]"))).cast("long"), lambda m, n: (m < n * 2) | (m > n * 12))
+# By the words that repeats hold: by line count, repeated headings would reject clean texts of few lines. One or two say nothing.
+LINES = Rule("repeated lines", "lines", line_words, lambda m, n: (m["dup"] >= 3) & (m["words"] * 5 > n))
+SHOUTING = Rule("shouting", "n_upper_words", lambda t, n: F.regexp_count(t, F.lit(r"\p{Lu}{2,}")).cast("long"), lambda m, n: (m >= 4) & (m * 10 > n * 3))
+
+
 def standard_rules() -> tuple[Rule, ...]:
+    """Rules for texts of any length: a short text is not rejected for being short."""
     return (
-        Rule("few words", "n_words", lambda t, n: n, lambda m, n: n < 50),
-        Rule("symbols", "n_symbols", lambda t, n: F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long"), lambda m, n: m * 10 > n),
-        Rule("word length", "word_chars", lambda t, n: (F.length(t) - F.regexp_count(t, F.lit(r"[\x20\x09-\x0D]"))).cast("long"), lambda m, n: (m < n * 2) | (m > n * 12)),
-        # By the words that repeats hold: by line count, one repeated heading would reject a clean text of three lines.
-        Rule("repeated lines", "lines", line_words, lambda m, n: m["words"] * 5 > n),
-        Rule("shouting", "n_upper_words", lambda t, n: F.regexp_count(t, F.lit(r"\p{Lu}{2,}")).cast("long"), lambda m, n: m * 10 > n * 3),
-        Rule("repeated windows", "n_repeat_words", repeat_words, lambda m, n: m * 100 > n * 50),
+        Rule("no words", "n_words", lambda t, n: n, lambda m, n: n == 0),
+        SYMBOLS, LENGTH, LINES, SHOUTING,
+        Rule("repeated windows", "n_fresh_repeats", fresh_repeat_words, lambda m, n: m * 100 > n * 50),
+        Rule("repeated neighbours", "n_neighbours", neighbours, lambda m, n: (m >= 3) & (m * 4 > n)),
     )
 
 
-def counted_rules() -> tuple[Rule, ...]:
-    """The standard rules with repeated lines judged by line count, as the SQL of op9 states them."""
-    by_count = Rule("repeated lines", "lines", lambda t, n: lines(t), lambda m, n: m["dup"] * 10 > m["n"] * 3)
-    return tuple(by_count if r.name == by_count.name else r for r in standard_rules())
+def contract_rules() -> tuple[Rule, ...]:
+    """The rules of op9: its base rules, few words and repeated windows, and four others."""
+    return (
+        Rule("few words", "n_words", lambda t, n: n, lambda m, n: n < SHORT),
+        SYMBOLS, LENGTH, LINES, SHOUTING,
+        Rule("repeated windows", "n_repeat_words", repeat_words, lambda m, n: m * 100 > n * 50),
+    )
 
 
 def _rejects(rule: Rule) -> Column:
@@ -134,22 +152,19 @@ def order(costs: Sequence[tuple[Rule, float, float]]) -> list[Rule]:
     return [r for r, seconds, share in sorted(costs, key=lambda x: (-x[2] / max(x[1], 1e-9), x[0].name))]
 
 
-def cascade(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text", measure_all: bool = False, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def cascade(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text", report: Sequence[str] = (), sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(_row, measures, rejected_by) of every row; ``rejected_by`` is null for kept rows.
 
-    With ``measure_all`` every measure is computed for every row, for reports; otherwise only where no earlier rule has
+    The columns named in ``report`` are measured for every row; the other measures only where no earlier rule has
     rejected. Null text counts as empty. Empty tables give no rows, repeated rows are judged each on its own, and the
     caller's columns travel in the struct ``_row``, so no name clashes.
     """
     chosen = order(rule_costs(docs, rules or standard_rules(), text, sample_rows))
     df = docs.select(F.struct("*").alias("_row"), F.coalesce(c(text), F.lit("")).alias(TEXT)).withColumn("n_words", word_count(c(TEXT)))
-    if measure_all:
-        measured = {r.column: r.measure(c(TEXT), c("n_words")) for r in chosen if r.column != "n_words"}
-        df = df.select("_row", "n_words", *[m.alias(name) for name, m in measured.items()])
-        judged = [(r, r.rejects(c(r.column), c("n_words"))) for r in chosen]
-    else:
-        # The measure stands inside the condition: it is only evaluated where no earlier rule has rejected.
-        judged = [(r, _rejects(r)) for r in chosen]
+    reported = [r for r in chosen if r.column in report and r.column != "n_words"]
+    df = df.select("_row", TEXT, "n_words", *[r.measure(c(TEXT), c("n_words")).alias(r.column) for r in reported])
+    # Other measures stand inside their condition: they are only evaluated where no earlier rule has rejected.
+    judged = [(r, r.rejects(c(r.column), c("n_words")) if r in reported or r.column == "n_words" else _rejects(r)) for r in chosen]
     verdict = F.lit(None).cast("string")
     for rule, rejects in reversed(judged):
         verdict = F.when(rejects, F.lit(rule.name)).otherwise(verdict)
@@ -171,16 +186,18 @@ def keep(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text
     z AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS held FROM y) WHERE held > 1),
     r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM z) GROUP BY 1),
     m AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
-            CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, len(l) AS n_lines,
+            CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+            len(w) - len(regexp_extract_all(array_to_string(list_distinct(l), chr(10)), '[^\x20\x09-\x0D]+')) AS n_line_words,
             CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(regexp_extract_all(t, '\p{Lu}{2,}')) AS n_upper
           FROM w LEFT JOIN r USING (doc_id)),
     b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 10 * n_dup_lines > 3 * n_lines OR 10 * n_upper > 3 * n_words) AS kept
+           NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR (n_dup_lines >= 3 AND 5 * n_line_words > n_words) OR (n_upper >= 4 AND 10 * n_upper > 3 * n_words)) AS kept
     FROM b
     """,
 )
 def op9_quality_cascade(spark, sf_dir):
-    judged = cascade(table(spark, sf_dir, "documents").select("doc_id", "text"), counted_rules(), measure_all=True)
+    report = ("n_words", "n_symbols", "word_chars", "lines", "n_repeat_words")
+    judged = cascade(table(spark, sf_dir, "documents").select("doc_id", "text"), contract_rules(), report=report)
     base = (c("n_words") < 50) | (c("n_repeat_words") * 100 > c("n_words") * 50)
     return judged.select(c("_row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", c("lines.dup").alias("n_dup_lines"), "n_repeat_words", base.alias("base_failed"), c("rejected_by").isNull().alias("kept"))
