@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
@@ -13,7 +20,30 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 def read_if_present(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception as error:  # noqa: BLE001 - Spark has no narrower class for a missing path
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def drop_batches(spark: SparkSession, path: str, upto: int) -> None:
+    """Delete the folders of batches up to one, which a later table holds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return
+    for found in files.listStatus(folder):
+        name = found.getPath().getName()
+        if name.startswith("batch=") and int(name[6:]) <= upto:
+            files.delete(found.getPath(), True)
+
+
+@contextmanager
+def arbitrary_state(spark: SparkSession) -> Iterator[None]:
+    """The state store that operators with several states, timers or an initial state need; a stream keeps the one it starts with."""
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before)

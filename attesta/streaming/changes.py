@@ -2,58 +2,103 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-from attesta.operators.diffs import CARRIED, diff_snapshots
-from attesta.streaming.batches import read_if_present, write_batch
+from attesta import lexicon as lx
+from attesta.operators.diffs import CARRIED
+from attesta.streaming.batches import arbitrary_state, read_if_present, write_batch
 
-STATE = "fact_key string, org string, field string, value string, source_url string, retrieved_at string, effective_at string, content_sha256 string, status string"
+FACT = "snapshot long, value string, source_url string, retrieved_at string, effective_at string, content_sha256 string, status string"
 EVENT = (
-    "org string, field string, old_value string, new_value string, source_url string, retrieved_at string, effective_at string,"
+    "org string, field string, snapshot long, old_value string, new_value string, source_url string, retrieved_at string, effective_at string, "
     "old_content_sha256 string, new_content_sha256 string, status string"
 )
 
 
-def keyed(facts: DataFrame) -> DataFrame:
+def facts_of(rows: DataFrame) -> DataFrame:
+    """(org, field) facts of numbered snapshots as text; columns a source does not have are NULL."""
     none = F.lit(None).cast("string")
-    carried = [F.col(c).cast("string").alias(c) if c in facts.columns else none.alias(c) for c in CARRIED]
-    key = F.concat_ws("|", "org", "field").alias("fact_key")
-    return facts.select(key, "org", "field", F.col("value").cast("string").alias("value"), *carried)
+    carried = [F.col(c).cast("string").alias(c) if c in rows.columns else none.alias(c) for c in CARRIED]
+    return rows.select("org", "field", F.col("snapshot").cast("long").alias("snapshot"), F.col("value").cast("string").alias("value"), *carried)
+
+
+class LastFact(StatefulProcessor):
+    """Holds the last fact of an (org, field) and emits the old and the new value where a later snapshot differs."""
+
+    names = [part.split()[0] for part in FACT.split(", ")]
+
+    def __init__(self, after_baseline: bool):
+        # With a baseline, a fact it does not have is new; without one, the first snapshot of a fact is what later ones are compared with.
+        self.after_baseline = after_baseline
+
+    def init(self, handle) -> None:
+        self.held = handle.getValueState("fact", FACT)
+
+    def _facts(self, rows: pd.DataFrame) -> list[tuple]:
+        found = [tuple(None if pd.isna(v) else v for v in r) for r in rows[self.names].itertuples(index=False)]
+        # Of facts of one snapshot that differ the last in order counts, whatever order they come in.
+        return sorted(found, key=lambda f: (f[0], *[(v is not None, v or "") for v in f[1:]]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last = tuple(self.held.get()) if self.held.exists() else None
+        events, before = [], last
+        newest: dict[int, tuple] = {}
+        for fact in self._facts(pd.concat(list(rows))):
+            newest[fact[0]] = fact
+        for snapshot, fact in newest.items():
+            if last is not None and snapshot <= last[0]:
+                continue  # a replay
+            old = last if last is not None else (None,) * len(fact) if self.after_baseline else fact
+            if old[1] != fact[1]:
+                events.append((key[0], key[1], snapshot, old[1], fact[1], fact[2], fact[3], fact[4], old[5], fact[5], fact[6]))
+            last = fact
+        if last != before:
+            self.held.update(last)
+        if events:
+            yield pd.DataFrame(events, columns=[part.split()[0] for part in EVENT.split(", ")])
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for fact in self._facts(initialState):
+            self.held.update(fact)
+
+    def close(self) -> None:
+        pass
+
+
+def change_events(snapshots: DataFrame, baseline: DataFrame | None = None, fields: list[str] | None = None) -> DataFrame:
+    """Change events of a stream of numbered snapshots (org, field, snapshot, value, …).
+
+    Each fact is compared with the last one of its (org, field), which Spark's state store holds; ``baseline`` fills it before the
+    first batch. NULL to 0 is a change. A snapshot with a number that is not above the last one is a replay and gives nothing. An absent
+    entity or field is no change. Without ``fields`` the tracked ones are compared, with an empty list all.
+    """
+    fields = lx.TRACKED_FIELDS if fields is None else fields
+    wanted = F.col("field").isin(fields) if fields else F.lit(True)
+    keyed = facts_of(snapshots.filter(wanted)).groupBy("org", "field")
+    start = None if baseline is None else facts_of(baseline.filter(wanted)).groupBy("org", "field")
+    return keyed.transformWithStateInPandas(LastFact(baseline is not None), EVENT, "Update", "None", initialState=start)
 
 
 class ChangeLog:
-    """The facts of each snapshot and the events between them, one folder per batch."""
+    """The events between snapshots, one folder per batch; the facts are in the stream's state and nowhere else."""
 
     def __init__(self, spark: SparkSession, path: str, fields: list[str] | None = None):
         self.spark, self.path, self.fields = spark, path.rstrip("/"), fields
 
-    def known(self, before: int | None = None) -> DataFrame:
-        """The newest fact per key, of all batches or those before one."""
-        rows = read_if_present(self.spark, f"{self.path}/facts", f"{STATE}, batch long")
-        rows = rows if before is None else rows.filter(F.col("batch") < before)
-        carried = [c for c in rows.columns if c not in ("fact_key", "batch")]
-        return rows.groupBy("fact_key").agg(F.max_by(F.struct(*carried), "batch").alias("f")).select("fact_key", "f.*")
-
-    def apply(self, snapshot: DataFrame, batch_id: int) -> None:
-        """Compare one snapshot (org, field, value, …) with the facts of the batches before, then store it.
-
-        A retried or replayed batch finds the same facts before it and overwrites its own folders with the same rows.
-        Only entities the snapshot covers are compared: an absent entity is not a change. The first batch has nothing before it.
-        """
-        facts = keyed(snapshot)
-        known = self.known(batch_id)
-        if not known.isEmpty():
-            covered = known.join(facts.select("org").distinct(), "org", "left_semi")
-            write_batch(diff_snapshots(covered, facts, self.fields or []), f"{self.path}/events", batch_id)
-        write_batch(facts, f"{self.path}/facts", batch_id)
-
     def events(self) -> DataFrame:
         return read_if_present(self.spark, f"{self.path}/events", EVENT + ", batch long")
 
-    def run(self, stream: DataFrame, checkpoint: str):
-        query = (
-            stream.writeStream.foreachBatch(lambda rows, batch_id: self.apply(rows, batch_id))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        )
+    def run(self, snapshots: DataFrame, checkpoint: str, baseline: DataFrame | None = None):
+        """Drain a stream of snapshots and stop; a later run goes on with the state of this one."""
+        with arbitrary_state(self.spark):
+            query = (
+                change_events(snapshots, baseline, self.fields).writeStream.outputMode("update")
+                .foreachBatch(lambda rows, batch_id: write_batch(rows, f"{self.path}/events", batch_id))
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            )
         query.awaitTermination()
         return query

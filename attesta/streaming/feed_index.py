@@ -1,21 +1,42 @@
-"""The incremental job-feed index: keyed upserts that tolerate disorder and repeats."""
+"""The incremental job-feed index: keyed upserts that tolerate disorder and repeats, with a window that state leaves.
+
+A stream's entries carry ``retrieved_at``, the clock of the read that brought them. The watermark is that clock less the
+window, so it is the start of the window. The state of an id is its newest entry. An entry that is not active has an
+event-time timer at its modification: when the window's start passes it, the entry is dropped from the state and a row
+says so. Active entries have no timer and stay, however old. So the state holds the index and nothing else.
+
+An entry read at some moment is the version valid then. Its repeats carry that moment and come late once the window has
+passed it; a version that was replaced and dropped can therefore not come back.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-from attesta.streaming.batches import read_if_present, write_batch
+from attesta.streaming.batches import arbitrary_state, drop_batches, read_if_present, write_batch
 
 ENTRY = "uuid string, modified timestamp, status string, business_name string, url string, arrival long"
+UPDATE = f"{ENTRY}, dropped boolean"
 RUN = "complete boolean, retrieved_at timestamp, entries long, checksum long"
 OVERLAP = "INTERVAL 5 MINUTES"
+WINDOW = "45 days"
+HELD = "micros long, status string, business_name string, url string, arrival long"
 
 
 def clean_entries(entries: DataFrame) -> DataFrame:
-    """Entries with an id, status in capitals; ``arrival`` orders equal modification times."""
+    """Entries with an id, status in capitals; ``arrival`` orders equal modification times.
+
+    Entries of a load that broke off (``complete`` is false) are left out whole: what is there is never replaced by part of a load.
+    """
     kept = entries.filter(F.length(F.coalesce("uuid", F.lit(""))) > 0)
+    kept = kept.filter(F.coalesce("complete", F.lit(False))) if "complete" in entries.columns else kept
     arrival = F.col("arrival") if "arrival" in entries.columns else F.lit(0)
-    return kept.select("uuid", "modified", F.upper(F.coalesce("status", F.lit(""))).alias("status"), "business_name", "url", arrival.cast("long").alias("arrival"))
+    clock = ["retrieved_at"] if "retrieved_at" in entries.columns else []
+    return kept.select("uuid", "modified", F.upper(F.coalesce("status", F.lit(""))).alias("status"), "business_name", "url", arrival.cast("long").alias("arrival"), *clock)
 
 
 def fold_entries(entries: DataFrame) -> DataFrame:
@@ -25,7 +46,7 @@ def fold_entries(entries: DataFrame) -> DataFrame:
     return newest.select("uuid", "e.*")
 
 
-def in_window(entries: DataFrame, since: str) -> DataFrame:
+def in_window(entries: DataFrame, since) -> DataFrame:
     """Entries changed since a moment, and older ones that are still active."""
     return entries.filter((F.col("modified") >= F.lit(since).cast("timestamp")) | (F.col("status") == "ACTIVE"))
 
@@ -36,29 +57,90 @@ def index_checksum(entries: DataFrame) -> DataFrame:
     return entries.agg(F.count(F.lit(1)).alias("entries"), F.coalesce(F.bit_xor(line), F.lit(0)).alias("checksum"))
 
 
+class NewestEntry(StatefulProcessor):
+    """Holds the newest entry of an id and emits it when it changes, and once more when it leaves the window."""
+
+    columns = ("uuid", "micros", "status", "business_name", "url", "arrival", "dropped")
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("entry", HELD)
+
+    def _row(self, uuid: str, entry: tuple, dropped: bool) -> pd.DataFrame:
+        return pd.DataFrame([(uuid, *entry, dropped)], columns=self.columns)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before = tuple(self.held.get()) if self.held.exists() else None
+        newest = before
+        for part in rows:
+            for r in part.itertuples(index=False):
+                entry = (int(r.micros), r.status, r.business_name, r.url, int(r.arrival))
+                if newest is None or self._order(entry) > self._order(newest):
+                    newest = entry
+        if newest == before:
+            return
+        for timer in [t[0] if isinstance(t, tuple) else t for t in self.handle.listTimers()]:
+            self.handle.deleteTimer(timer)
+        if newest[1] != "ACTIVE":
+            due = newest[0] // 1000
+            if due < timerValues.getCurrentWatermarkInMs():
+                # It changed before the window: it replaces what is held and is not kept itself.
+                if before is not None:
+                    self.held.clear()
+                    yield self._row(key[0], newest, True)
+                return
+            self.handle.registerTimer(due + 1)
+        self.held.update(newest)
+        yield self._row(key[0], newest, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.held.exists():
+            entry = tuple(self.held.get())
+            self.held.clear()
+            yield self._row(key[0], entry, True)
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _order(entry: tuple) -> tuple:
+        return entry[0], entry[4], entry[1] or "", entry[3] or ""
+
+
+def index_changes(entries: DataFrame, window: str = WINDOW) -> DataFrame:
+    """A stream of entries as the changes of the index: new newest entries, and entries that left the window (``dropped``)."""
+    timed = clean_entries(entries).withColumn("micros", F.unix_micros("modified")).withWatermark("retrieved_at", window)
+    changes = timed.groupBy("uuid").transformWithStateInPandas(NewestEntry(), f"uuid string, {HELD}, dropped boolean", "Update", "EventTime")
+    return changes.select("uuid", F.timestamp_micros("micros").alias("modified"), "status", "business_name", "url", "arrival", "dropped")
+
+
 class FeedIndex:
     """The index under one folder; batches arrive by stream or by hand.
 
-    A stream keeps the newest entry per id in Spark's state store and emits the ids that changed, so late and repeated
-    entries give nothing. Each batch is one folder of updates; the index is the newest update per id. ``compact`` folds the
-    updates into a base and drops what has left the window, so neither updates nor index grow for ever.
+    A stream keeps the newest entry per id in Spark's state store and emits what changes, so late and repeated entries give
+    nothing. Each batch is one folder of updates; the index is the newest update per id. ``compact`` folds the updates into a base,
+    drops what has left the window and deletes the folders it has folded, so neither updates nor index grow for ever.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        write_batch(fold_entries(clean_entries(batch)), f"{self.path}/updates", batch_id)
+        write_batch(fold_entries(clean_entries(batch)).withColumn("dropped", F.lit(False)), f"{self.path}/updates", batch_id)
 
     def _base(self) -> tuple[DataFrame, int]:
         rows = read_if_present(self.spark, f"{self.path}/base", f"{ENTRY}, batch long")
         newest = rows.agg(F.max("batch")).first()[0]
         return rows.filter(F.col("batch") == F.lit(newest)).drop("batch"), -1 if newest is None else newest
 
-    def current(self, since: str | None = None) -> DataFrame:
+    def current(self, since=None) -> DataFrame:
         base, upto = self._base()
-        updates = read_if_present(self.spark, f"{self.path}/updates", f"{ENTRY}, batch long").filter(F.col("batch") > upto).drop("batch")
-        rows = fold_entries(base.unionByName(updates))
+        updates = read_if_present(self.spark, f"{self.path}/updates", f"{UPDATE}, batch long").filter(F.col("batch") > upto).drop("batch")
+        every = base.withColumn("dropped", F.lit(False)).unionByName(updates)
+        carried = F.struct("modified", "status", "business_name", "url", "arrival", "dropped")
+        # An entry that left the window has the same version as the update that brought it, and counts after it.
+        newest = every.groupBy("uuid").agg(F.max_by(carried, F.struct("modified", "arrival", "status", "url", "dropped")).alias("e"))
+        rows = newest.select("uuid", "e.*").filter(~F.col("dropped")).drop("dropped")
         return rows if since is None else in_window(rows, since)
 
     def load(self, entries: DataFrame, batch_id: int, complete: bool, retrieved_at: str | None = None) -> bool:
@@ -76,16 +158,25 @@ class FeedIndex:
         runs = read_if_present(self.spark, f"{self.path}/runs", f"{RUN}, batch long").filter("complete")
         return runs.agg((F.max("retrieved_at") - F.expr(OVERLAP)).alias("since")).first()["since"]
 
-    def compact(self, batch_id: int, since: str) -> None:
+    def compact(self, batch_id: int, since=None) -> None:
         """Fold the updates up to ``batch_id`` into a base without the entries that have left the window."""
-        write_batch(self.current(since), f"{self.path}/base", batch_id)
-
-    def run(self, stream: DataFrame, checkpoint: str):
-        """Drain a stream of entries into the index and stop."""
-        query = (
-            fold_entries(clean_entries(stream)).writeStream.outputMode("update")
-            .foreachBatch(lambda rows, batch_id: write_batch(rows, f"{self.path}/updates", batch_id))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        )
+        if self._base()[1] < batch_id:  # a batch that runs again finds its base
+            write_batch(self.current(since), f"{self.path}/base", batch_id)
+        drop_batches(self.spark, f"{self.path}/updates", batch_id)
+        drop_batches(self.spark, f"{self.path}/base", batch_id - 1)
+
+    def run(self, stream: DataFrame, checkpoint: str, window: str = WINDOW, compact_every: int = 0):
+        """Drain a stream of entries into the index and stop; every ``compact_every`` batches the updates are folded."""
+
+        def store(rows: DataFrame, batch_id: int) -> None:
+            write_batch(rows, f"{self.path}/updates", batch_id)
+            if compact_every and batch_id % compact_every == compact_every - 1:
+                self.compact(batch_id)
+
+        with arbitrary_state(self.spark):
+            query = (
+                index_changes(stream, window).writeStream.outputMode("update").foreachBatch(store)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            )
         query.awaitTermination()
         return query

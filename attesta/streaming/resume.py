@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from attesta.streaming.batches import read_if_present
+from attesta.operators.ordering import number_within
+from attesta.streaming.batches import read_if_present, write_batch
 
 
 def finished(module_evidence: DataFrame, modules: list[str]) -> DataFrame:
@@ -26,17 +28,67 @@ def resume_problems(profiles: DataFrame, module_evidence: DataFrame) -> DataFram
     return module_evidence.select("org").distinct().join(profiles.select("org"), "org", "left_anti")
 
 
-def run_in_chunks(spark: SparkSession, profiles: DataFrame, process: Callable[[DataFrame], DataFrame], path: str, chunks: int) -> DataFrame:
-    """Process entities chunk by chunk, appending each finished chunk; a rerun skips what is stored.
+class GoalReached(Exception):
+    """The steps that a run was asked for are done."""
 
-    ``process`` maps profiles to result rows with an org column. Chunks are hash slices, so
-    they stay equal whatever the keys; a crash loses at most the chunk it was in.
+
+class ResumableRun:
+    """A queue of entities in priority order, processed a step of ``every`` entities at a time.
+
+    The queue is written once, a folder per step. A stream ticks one step per micro-batch; its checkpoint is the place the run has
+    reached. A step reads its own folder and writes its own result folder, so the queue is scanned once in all, a stopped run goes on
+    where it was, and the step it was in is written again and not twice.
     """
-    sliced = profiles.withColumn("_chunk", F.pmod(F.xxhash64("org"), F.lit(chunks)).cast("int"))
-    schema = process(profiles.limit(0)).schema
-    for chunk in range(chunks):
-        done = read_if_present(spark, path, schema).select("org").distinct()
-        todo = sliced.filter(F.col("_chunk") == chunk).drop("_chunk").join(done, "org", "left_anti")
-        if todo.limit(1).collect():
-            process(todo).write.mode("append").parquet(path)
-    return read_if_present(spark, path, schema)
+
+    def __init__(self, spark: SparkSession, path: str, every: int):
+        self.spark, self.path, self.every = spark, path.rstrip("/"), every
+
+    def enqueue(self, waiting: DataFrame) -> None:
+        """Write the queue from rows with an ``order_key``; a run that has its queue keeps it."""
+        try:
+            self.steps()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            placed = number_within(waiting, [], ["order_key"], "place").withColumn("step", F.floor((F.col("place") - 1) / self.every).cast("long"))
+            placed.drop("order_key").write.mode("overwrite").partitionBy("step").parquet(f"{self.path}/queue")
+            last = 0 if waiting.isEmpty() else self.spark.read.parquet(f"{self.path}/queue").agg(F.max("step")).first()[0] + 1
+            self.spark.range(last).write.parquet(f"{self.path}/steps")  # written last: a queue that broke off is written again
+
+    def steps(self) -> int:
+        """How many steps the queue has."""
+        return self.spark.read.schema("id long").parquet(f"{self.path}/steps").count()
+
+    def run(self, process: Callable[[DataFrame], DataFrame], most: int | None = None) -> int:
+        """Process steps until the queue or ``most`` steps are done; returns how many are done in all.
+
+        ``process`` maps queue rows (with ``place`` and ``step``) to result rows.
+        """
+        steps = self.steps()
+        goal = steps if most is None else min(steps, self._done() + most)
+        if goal == self._done():
+            return goal
+
+        def one(_: DataFrame, batch_id: int) -> None:
+            if batch_id >= goal:
+                # Failing the batch keeps it out of the checkpoint, so its step is the first of the next run.
+                raise GoalReached(f"step {batch_id} is left for another run")
+            rows = self.spark.read.parquet(f"{self.path}/queue").filter(F.col("step") == batch_id)
+            write_batch(process(rows), f"{self.path}/results", batch_id)
+            write_batch(self.spark.range(batch_id, batch_id + 1).coalesce(1), f"{self.path}/done", batch_id)
+
+        ticks = self.spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
+        query = ticks.writeStream.foreachBatch(one).option("checkpointLocation", f"{self.path}/checkpoint").trigger(processingTime="0 seconds").start()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            if GoalReached.__name__ not in str(error):
+                raise
+        return self._done()
+
+    def _done(self) -> int:
+        return read_if_present(self.spark, f"{self.path}/done", "id long, batch long").count()
+
+    def results(self, schema) -> DataFrame:
+        """The result rows of the steps that are done."""
+        return read_if_present(self.spark, f"{self.path}/results", schema).drop("batch")
