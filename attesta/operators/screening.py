@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+from attesta.operators.ordering import number_within
 
 # Screen fields, the column each reads and the evidence module behind it.
 FIELD_MODULES = {
@@ -81,13 +83,16 @@ COMPARISONS = {
     "more than": ">", "over": ">", "above": ">", "at least": ">=",
     "fewer than": "<", "less than": "<", "under": "<", "at most": "<=",
 }
-PHRASE = "more than|over|above|at least|fewer than|less than|under|at most"
+# Patterns of the criteria in a question.
 MUNICIPALITY = r"\b(?:in|municipality(?:\s+is|\s*=)?)\s+([a-zæøåéü .'-]+?)(?=\s+(?:with|and|having|that|where|top)\b|$)"
 LEGAL_FORM = r"\b(?:legal\s+form|organisation\s+form)\s*(?:is|=)?\s*(asa|as|enk|nuf|ans|da|sa|sti|brl)\b"
-STAFF = [rf"\b({PHRASE})\s+(\d+)\s+(?:registered\s+)?employees?\b", r"\bemployees?\s*(>=|<=|>|<|=)\s*(\d+)\b"]
+STAFF = [
+    r"\b(more than|over|above|at least|fewer than|less than|under|at most)\s+(\d+)\s+(?:registered\s+)?employees?\b",
+    r"\bemployees?\s*(>=|<=|>|<|=)\s*(\d+)\b",
+]
 REVENUE = [
-    rf"\brevenue\s*(>=|<=|>|<|=|{PHRASE})\s*(?:nok\s*)?([\d.,]+)\s*(billion|million|bn|m)?\b",
-    rf"\b({PHRASE})\s*(?:nok\s*)?([\d.,]+)\s*(billion|million|bn|m)?\s+revenue\b",
+    r"\brevenue\s*(>=|<=|>|<|=|more than|over|above|at least|fewer than|less than|under|at most)\s*(?:nok\s*)?([\d.,]+)\s*(billion|million|bn|m)?\b",
+    r"\b(more than|over|above|at least|fewer than|less than|under|at most)\s*(?:nok\s*)?([\d.,]+)\s*(billion|million|bn|m)?\s+revenue\b",
 ]
 LOSS, PROFIT = r"\bunprofitable|loss[- ]making|negative annual result\b", r"\bprofitable|positive annual result\b"
 HAS_SITE = r"\b(?:with|has|have|that have)\s+(?:an?\s+)?(?:official\s+)?website\b"
@@ -165,13 +170,141 @@ def answer_screen(profiles: DataFrame, question: str) -> DataFrame:
     return screen(profiles, filters, sort)
 
 
-def evaluate_screens(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Per question: exact ordered membership and exact plan fields.
+# ---- many screens at once ----
+
+BINS = 64
+NUMERIC = ("employees", "revenue", "annual_result")
+COMPARED = (">", ">=", "<", "<=", "=")
+
+
+def long_facts(profiles: DataFrame) -> DataFrame:
+    """(org, field, text, number) of every screen field; NULL numbers have no row, as they pass no comparison."""
+    text = lambda f: F.lower(F.coalesce(screen_column(f).cast("string"), F.lit("")))
+    number = lambda f: screen_column(f).cast("double") if f in NUMERIC else F.lit(None).cast("double")
+    entries = [F.struct(F.lit(f).alias("field"), text(f).alias("text"), number(f).alias("number")) for f in FIELD_MODULES]
+    facts = profiles.select("org", F.inline(F.array(*entries)))
+    return facts.filter(~F.col("field").isin(*NUMERIC) | F.col("number").isNotNull())
+
+
+def rules_of(planned: DataFrame) -> DataFrame:
+    """(query, field, operator, value, number) of every filter of the screens that can run."""
+    rows = planned.filter("executable").select("query", F.explode("filters").alias("f"))
+    return rows.select("query", "f.field", "f.operator", F.lower("f.value").alias("value"), F.col("f.value").try_cast("double").alias("number"))
+
 
-    ``expected`` is (query, expected_orgs, expected_filter_fields); ``actual`` is
-    (query, orgs, filter_fields, abstained). Screens are capped, so the arrays are short.
+def _bins(facts: DataFrame) -> DataFrame:
+    """(field, edges): cut points of each numeric field, one row per field."""
+    shares = F.array(*[F.lit(k / BINS) for k in range(1, BINS)])
+    return facts.filter("number IS NOT NULL").groupBy("field").agg(F.array_distinct(F.percentile_approx("number", shares, F.lit(1000))).alias("edges"))
+
+
+def _bin(edges: Column, number: Column) -> Column:
+    return F.size(F.filter(edges, lambda e: e <= number))
+
+
+def satisfied(facts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(field, operator, value, org): which distinct rule each entity's fact satisfies.
+
+    Rules meet distinct values, not entities. Text rules join by value; a comparison joins by the bins of the field that can satisfy
+    it, so a rule meets only values that pass, and those of one bin that may not. Values then lead to their entities.
     """
-    joined = expected.join(actual, "query", "left")
-    want, got = F.coalesce("expected_orgs", F.array().cast("array<string>")), F.coalesce("orgs", F.array().cast("array<string>"))
-    members, fields = want == got, F.coalesce(F.array_sort("expected_filter_fields") == F.array_sort("filter_fields"), F.lit(False))
-    return joined.select("query", members.alias("membership_exact"), fields.alias("plan_exact"), F.coalesce("abstained", F.lit(False)).alias("abstained"))
+    distinct = rules.select("field", "operator", "value", "number").distinct()
+    values = facts.select("field", "text", "number").distinct()
+    rule = ["field", "operator", "value"]
+    compared = F.col("operator").isin(*COMPARED)
+    named = distinct.filter(F.col("operator") == "eq").select(*rule).join(values.select("field", "text"), (distinct["field"] == values["field"]) & (F.col("value") == F.col("text"))).drop(values["field"])
+    flags = distinct.filter(F.col("operator").isin("present", "available")).select(*rule, F.col("value").cast("boolean").cast("string").alias("text"))
+    flagged = flags.join(values.select("field", "text"), ["field", "text"])
+    parts = distinct.filter(F.col("operator") == "contains").select(*rule).join(values.select("field", "text"), "field").filter(F.contains("text", "value"))
+    bins = _bins(facts)
+    placed = values.filter("number IS NOT NULL").join(bins, "field").select("field", "text", F.col("number").alias("actual"), _bin(F.col("edges"), F.col("number")).alias("bin"))
+    low, high = _bin(F.col("edges"), F.col("number")), F.size("edges")
+    reach = (
+        F.when(F.col("operator").isin(">", ">="), F.sequence(low, high)).when(F.col("operator").isin("<", "<="), F.sequence(F.lit(0), low)).otherwise(F.array(low))
+    )
+    spread = distinct.filter(compared & F.col("number").isNotNull()).join(bins, "field").select(*rule, "number", F.explode(reach).alias("bin"))
+    actual, wanted = F.col("actual"), F.col("number")
+    tests = {">": actual > wanted, ">=": actual >= wanted, "<": actual < wanted, "<=": actual <= wanted, "=": actual == wanted}
+    passes = reduce(lambda a, b: a | b, [(F.col("operator") == o) & t for o, t in tests.items()])
+    ranged = spread.join(placed, ["field", "bin"]).filter(passes)
+    met = reduce(DataFrame.unionByName, [x.select(*rule, "text") for x in (named, flagged, parts, ranged)])
+    return met.join(facts.select("org", "field", "text"), ["field", "text"]).select(*rule, "org")
+
+
+def screen_many(profiles: DataFrame, planned: DataFrame) -> DataFrame:
+    """(query, org, place) of all screens in one job; ``place`` counts from 1 in the screen's order.
+
+    ``planned`` is a table of plans as ``plan_screens`` makes it. An entity is in a screen when it satisfies as many of its rules as
+    the screen has. Order and limit are those of ``screen``. A screen without rules is a plain top list, at most MAX_ROWS long.
+    """
+    facts, rules = long_facts(profiles), rules_of(planned).distinct()
+    plans = planned.filter("executable").select("query", "sort").dropDuplicates(["query"])
+    need = rules.groupBy("query").agg(F.count(F.lit(1)).alias("need"))
+    met = satisfied(facts, rules).join(rules.select("query", "field", "operator", "value"), ["field", "operator", "value"])
+    hits = met.groupBy("query", "org").agg(F.count(F.lit(1)).alias("met")).join(need, "query").filter(F.col("met") == F.col("need")).select("query", "org")
+    sizes = profiles.select("org", F.col("revenue").cast("double").alias("_revenue"), F.col("employees").cast("double").alias("_employees"))
+    rows = hits.join(plans, "query").join(sizes, "org")
+    by = F.when(F.col("sort.field") == "revenue", F.col("_revenue")).when(F.col("sort.field") == "employees", F.col("_employees"))
+    rows = rows.select("query", "org", (F.col("sort").isNotNull() & by.isNull()).alias("_last"), F.coalesce(-by, F.lit(0.0)).alias("_down"), F.col("sort.limit").alias("_limit"))
+    placed = number_within(rows, ["query"], ["_last", "_down", "org"], "place")
+    found = placed.filter(F.col("_limit").isNull() | (F.col("place") <= F.col("_limit"))).select("query", "org", "place")
+    bare = plans.join(need, "query", "left_anti").select("query", F.col("sort.field").alias("_field"), F.col("sort.limit").alias("_limit"))
+    order = lambda f: W.partitionBy("_field").orderBy(F.col(f).desc_nulls_last(), "org")
+    tops = [top_screen(profiles, f, MAX_ROWS).withColumn("_field", F.lit(f)).select("org", "_field", F.row_number().over(order(f)).alias("place")) for f in ("revenue", "employees")]
+    lists = bare.join(tops[0].unionByName(tops[1]), "_field").filter(F.col("place") <= F.col("_limit"))
+    return found.unionByName(lists.select("query", "org", "place"))
+
+
+def cite_many(hits: DataFrame, planned: DataFrame, module_evidence: DataFrame) -> DataFrame:
+    """One row per (query, org, used module) with its source; a module without evidence keeps NULLs."""
+    by_sort = F.when(F.col("sort").isNotNull(), F.array(F.when(F.col("sort.field") == "revenue", "financials").otherwise("registry"))).otherwise(F.array().cast("array<string>"))
+    used = planned.filter("executable").select("query", F.explode(F.array_distinct(F.concat(F.transform("filters", lambda f: f["evidence_module"]), by_sort))).alias("module")).distinct()
+    evidence = module_evidence.select("org", "module", "source_url", "retrieved_at", "content_sha256")
+    return hits.join(used, "query").join(evidence, ["org", "module"], "left")
+
+
+def evaluate_screens(expected: DataFrame, members: DataFrame, planned: DataFrame, hits: DataFrame, cited: DataFrame) -> DataFrame:
+    """Per expected question: exact ordered membership, exact plan, complete citations, abstention.
+
+    ``expected`` is (query, expected_filter_fields, must_abstain) and ``members`` (query, place, org); ``planned``, ``hits`` and ``cited``
+    are what ``plan_screens``, ``screen_many`` and ``cite_many`` give. Answers are compared row by row, not as lists.
+    """
+    want = members.select("query", "place", "org", F.lit(1).alias("_want"))
+    got = hits.select("query", "place", "org", F.lit(1).alias("_got"))
+    met = want.join(got, ["query", "place", "org"], "full").groupBy("query").agg(
+        F.bool_and(F.col("_want").isNotNull() & F.col("_got").isNotNull()).alias("_same"), F.count("_got").alias("results")
+    )
+    proofs = cited.groupBy("query").agg(F.bool_and(F.col("source_url").isNotNull() & F.col("retrieved_at").isNotNull() & F.col("content_sha256").isNotNull()).alias("_full"))
+    plans = planned.dropDuplicates(["query"]).select("query", F.transform("filters", lambda f: f["field"]).alias("_fields"), (~F.col("executable")).alias("abstained"))
+    rows = expected.join(plans, "query", "left").join(met, "query", "left").join(proofs, "query", "left")
+    abstained = F.coalesce("abstained", F.lit(False))
+    return rows.select(
+        "query", F.coalesce("results", F.lit(0)).alias("results"), F.coalesce("_same", F.lit(True)).alias("membership_exact"),
+        F.coalesce(F.col("_fields") == F.col("expected_filter_fields"), F.lit(False)).alias("plan_exact"), F.coalesce("_full", F.lit(True)).alias("citations_complete"),
+        abstained.alias("abstained"), F.coalesce("must_abstain", F.lit(False)).alias("must_abstain"),
+    )
+
+
+# What each part of the evaluation is worth.
+POINTS = {"cross_company_screening": 3, "exact_inspectable_filters": 2, "unsupported_abstention": 1, "provenance_export": 1}
+
+
+def screen_points(evaluated: DataFrame) -> DataFrame:
+    """One row: the points of each part, their sum and whether the set qualifies.
+
+    Shares are over the questions that must be answered; every one that must not has to be refused, and there has to be one.
+    """
+    asked = ~F.col("must_abstain")
+    share = lambda c: F.coalesce(F.try_divide(F.count_if(asked & F.col(c)), F.count_if(asked)), F.lit(0.0))
+    refused = F.coalesce(F.bool_and(F.when(F.col("must_abstain"), F.col("abstained"))), F.lit(False))
+    cited = F.coalesce(F.bool_and(F.when(asked, F.col("citations_complete"))), F.lit(False))
+    row = evaluated.agg(
+        F.count(F.lit(1)).alias("questions"), share("membership_exact").alias("screen_rate"), share("plan_exact").alias("plan_rate"), refused.alias("refused"), cited.alias("cited")
+    )
+    worth = lambda part, value: (F.lit(float(POINTS[part])) * value).alias(part)
+    row = row.select(
+        "questions", worth("cross_company_screening", F.col("screen_rate")), worth("exact_inspectable_filters", F.col("plan_rate")),
+        worth("unsupported_abstention", F.col("refused").cast("double")), worth("provenance_export", F.col("cited").cast("double")),
+    )
+    score = reduce(lambda a, b: a + b, [F.col(p) for p in POINTS])
+    return row.select("*", score.alias("score"), F.lit(float(sum(POINTS.values()))).alias("maximum"), (score == sum(POINTS.values())).alias("qualification_passed"))

@@ -234,9 +234,58 @@ def test_screens_put_unknowns_last_and_never_match_them(spark):
     assert [r.org for r in screening.screen(rows, [("employees", ">=", 5)]).orderBy("org").collect()] == ["1", "3", "4"]
     assert [r.org for r in screening.top_screen(rows, "revenue", 10).collect()] == ["3", "4", "2", "1"]
     assert screening.answer_screen(rows, "something vague").count() == 0
-    expected = spark.createDataFrame([("q", ["3", "4"], ["employees"]), ("r", ["1"], [])], "query string, expected_orgs array<string>, expected_filter_fields array<string>")
-    actual = spark.createDataFrame([("q", ["3", "4"], ["employees"], False), ("r", ["2"], [], True)], "query string, orgs array<string>, filter_fields array<string>, abstained boolean")
-    assert {r.query: (r.membership_exact, r.plan_exact, r.abstained) for r in screening.evaluate_screens(expected, actual).collect()} == {"q": (True, True, False), "r": (False, True, True)}
+
+
+PROFILE = "org string, municipality string, legal_form string, employees int, revenue double, annual_result double, industry_code string, industry_label string, website_ok boolean, financials_ok boolean"
+ASKED = [
+    "companies with legal form AS and over 3 employees", "legal form enk with an official website", "profitable companies, top 2 by employees", "loss-making companies with at most 5 employees and annual accounts",
+    "revenue at least 2 million, industry contains 'Fish'", "companies with employees = 5, top 3 by revenue", "top 4 by revenue", "top 3 by employees", "companies with fewer than 1 employees",
+    "companies in oslo with revenue over 1,5 million", "legal form AS without a website", "nothing to go on",
+]
+
+
+def test_many_screens_give_what_each_gives_alone(spark):
+    generator = random.Random(8)
+    pick = lambda *values: generator.choice(values)
+    rows = [
+        (f"{k:03d}", pick("OSLO", "BERGEN", None), pick("AS", "ENK", "NUF", None), pick(None, 0, 3, 4, 5, 5, 80), pick(None, 0.0, 1.5e6, 2e6, 2e6, 9e9), pick(None, -5.0, 0.0, 7.0), pick("03.1", "41", None), pick("Fishing", "building", None), pick(True, False, None), pick(True, None))
+        for k in range(200)
+    ]
+    profiles = spark.createDataFrame(rows, PROFILE)
+    planned = screening.plan_screens(spark.createDataFrame([(q,) for q in ASKED + ASKED[:2]], "query string"))
+    got = {}
+    for r in screening.screen_many(profiles, planned).orderBy("query", "place").collect():
+        got.setdefault(r.query, []).append((r.place, r.org))
+    for plan in planned.dropDuplicates(["query"]).collect():
+        alone = []
+        if plan["executable"]:
+            filters, sort = screening.plan_parts(plan)
+            answer = screening.screen(profiles, filters, sort)
+            alone = sorted(r.org for r in answer.collect())
+            if sort:
+                size = {r[0]: r[4 if sort[0] == "revenue" else 3] for r in rows}
+                alone.sort(key=lambda o: (size[o] is None, -(size[o] or 0), o))
+        assert got.get(plan["query"], []) == list(enumerate(alone, 1)), plan["query"]
+    assert len(got) >= 9 and screening.screen_many(profiles.limit(0), planned).count() == 0 and screening.screen_many(profiles, planned.limit(0)).count() == 0
+
+
+def test_screens_are_evaluated_row_by_row(spark):
+    profiles = spark.createDataFrame([("1", "OSLO", "AS", 5, 1.0, 1.0, None, None, True, True), ("2", "OSLO", "AS", 9, 2.0, 1.0, None, None, True, True), ("3", "OSLO", "ENK", 9, 2.0, 1.0, None, None, True, None)], PROFILE)
+    questions = ["legal form AS, top 5 by revenue", "legal form AS with over 1 employees", "legal form ENK", "legal form DA", "legal form AS by buzz"]
+    planned = screening.plan_screens(spark.createDataFrame([(q,) for q in questions], "query string"))
+    hits = screening.screen_many(profiles, planned)
+    evidence = spark.createDataFrame([("1", "registry", "u", "t", "h"), ("2", "registry", "u", "t", "h"), ("1", "financials", "u", "t", None), ("2", "financials", "u", "t", "h")], "org string, module string, source_url string, retrieved_at string, content_sha256 string")
+    cited = screening.cite_many(hits, planned, evidence)
+    fields = [["legal_form"], ["employees", "legal_form"], ["legal_form"], ["legal_form"], ["legal_form"]]
+    expected = spark.createDataFrame([(q, f, "buzz" in q) for q, f in zip(questions, fields)], "query string, expected_filter_fields array<string>, must_abstain boolean")
+    members = spark.createDataFrame([(questions[0], 1, "2"), (questions[0], 2, "1"), (questions[1], 1, "1"), (questions[2], 1, "2")], "query string, place int, org string")
+    judged = screening.evaluate_screens(expected, members, planned, hits, cited)
+    found = {r.query: (r.membership_exact, r.plan_exact, r.citations_complete, r.abstained, r.results) for r in judged.collect()}
+    assert found == {
+        questions[0]: (True, True, False, False, 2), questions[1]: (False, False, True, False, 2), questions[2]: (False, True, False, False, 1), questions[3]: (True, True, True, False, 0), questions[4]: (True, True, True, True, 0),
+    }
+    row = screening.screen_points(judged).first()
+    assert (row.questions, row.cross_company_screening, row.exact_inspectable_filters, row.unsupported_abstention, row.provenance_export, row.score, row.qualification_passed) == (5, 1.5, 1.5, 1.0, 0.0, 4.0, False)
 
 
 def test_sentences_state_facts_and_gaps(spark):
