@@ -288,8 +288,8 @@ def format_address(street: Column, postcode: Column, town: Column, country: Colu
 
 @F.pandas_udf(DoubleType())
 def fuzzy_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity, which no built-in expression measures."""
+    """Ratcliff-Obershelp similarity, which no built-in expression measures; NULL where either side is."""
     from difflib import SequenceMatcher
 
-    pairs = zip(left.fillna(""), right.fillna(""))
-    return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in pairs], dtype="float64")
+    both = left.notna() & right.notna()
+    return pd.Series([SequenceMatcher(None, a, b).ratio() if ok else None for a, b, ok in zip(left, right, both)], dtype="float64")

@@ -361,25 +361,81 @@ def place_phone(raw: Column) -> Column:
     return F.right(local, F.lit(8))
 
 
+LEAST_SHARE = 0.65995  # of a name's words in a title; scores are rounded to four digits before they are compared with 0.66
+
+
+def _place_words(text: Column, noise: list[str] | None) -> Column:
+    stop = PLACE_STOP + (noise or [])
+    return F.array_distinct(F.filter(words(text), lambda w: ~w.isin(stop) & ((F.length(w) >= 3) | w.rlike("^[0-9]+$"))))
+
+
+def _site_host(site: Column) -> Column:
+    return F.coalesce(host(F.when(F.contains(site, F.lit("://")), site).otherwise(F.concat(F.lit("https://"), site))), F.lit(""))
+
+
+def candidate_places(profiles: DataFrame, places: DataFrame, trade_names: DataFrame | None = None, noise: list[str] | None = None) -> DataFrame:
+    """``places`` that carry no entity, once for every entity that they could belong to.
+
+    A place is accepted through a location, a phone number or a site, and but for a known trade name or a similar name on the
+    entity's own site it holds two thirds of the name's words. So it is found by one of these keys, and no accepted place is missed:
+
+    * postcode and a word of the name, or a street word and a word of the name where the entity has no postcode;
+    * phone number and a word of the name; phone number and the whole title of a reviewed trade name;
+    * site.
+
+    Words weigh by how few titles hold them: a name of k words is posted under its rarest ones only, as many as must include one of
+    any two thirds. A word that many titles hold is a key of names that have no rarer one.
+    """
+    own = profiles.select(
+        "org", _place_words(F.col("name"), noise).alias("target"), words(F.col("street")).alias("street"), F.coalesce("postcode", F.lit("")).alias("code"),
+        place_phone(F.col("phone")).alias("phone"), _site_host(F.col("site")).alias("site"),
+    )
+    theirs = places.dropDuplicates(["place_id"]).select(
+        "place_id", _place_words(F.col("title"), noise).alias("title_words"), F.array_join(words(F.col("title")), " ").alias("title_key"),
+        F.array_distinct(words(F.col("address"))).alias("address_words"), place_phone(F.col("phone")).alias("phone"), _site_host(F.col("web_site")).alias("site"),
+    )
+    held = theirs.select(F.explode("title_words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    named = own.select("org", F.size("target").alias("k"), F.explode("target").alias("word")).join(held, "word", "left")
+    ranked = named.groupBy("org", "k").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))).alias("all"))  # the words of one name
+    rare = F.slice("all", 1, (F.col("k") - F.ceil(F.col("k") * LEAST_SHARE) + 1).cast("int"))
+    posted = own.join(ranked.select("org", F.filter(rare, lambda x: x["n"] > 0).alias("rare")), "org").withColumn("word", F.explode("rare.word"))
+    spots = F.when(F.col("code") != "", F.col("code")).when(F.size("street") > 0, F.get("street", F.lit(0)))
+    key = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *parts)
+    dialled = F.length("phone") >= 5
+    at = posted.select("org", F.when(spots.isNotNull(), key("at", spots, "word")).alias("key"))
+    called = posted.select("org", F.when(dialled, key("phone", "phone", "word")))
+    sites = own.select("org", F.when(F.col("site") != "", key("site", "site")))
+    known = at.unionAll(called).unionAll(sites)
+    if trade_names is not None:
+        traded = own.select("org", "phone").join(trade_names.select("org", "title_key"), "org")
+        known = known.unionAll(traded.select("org", F.when(dialled, key("trade", "phone", "title_key"))))
+    parts = F.split("site", "[.]")
+    parents = F.when(F.col("site") != "", F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: key("site", F.array_join(F.slice(parts, i, F.size(parts)), "."))))
+    spoken = F.when(dialled, F.transform("title_words", lambda w: key("phone", "phone", w)))
+    traded = F.when(dialled, F.array(key("trade", "phone", "title_key")))
+    located = F.flatten(F.transform("address_words", lambda x: F.transform("title_words", lambda w: key("at", x, w))))
+    nothing = F.array().cast("array<string>")
+    every = F.concat(*[F.coalesce(c, nothing) for c in (located, spoken, traded, parents)])
+    met = theirs.select("place_id", F.explode(F.array_distinct(every)).alias("key")).join(known.filter("key IS NOT NULL").distinct(), "key")
+    pairs = met.select("place_id", "org").distinct()
+    return places.dropDuplicates(["place_id"]).drop("org").join(pairs, "place_id")
+
+
 def assess_places(profiles: DataFrame, places: DataFrame, trade_names: DataFrame | None = None, noise: list[str] | None = None) -> DataFrame:
     """Every (entity, place) with its channels, score and whether it is accepted.
 
     ``profiles``: org, name, street, postcode, city, phone, site. ``places``: org,
-    place_id, title, address, phone, web_site, review_count. ``trade_names``: reviewed
-    (org, title_key). A shared address or phone alone never accepts a place.
+    place_id, title, address, phone, web_site, review_count; ``candidate_places`` finds org where places have none.
+    ``trade_names``: reviewed (org, title_key). A shared address or phone alone never accepts a place. The similarity of
+    names is NULL where it decides nothing: without the entity's own site, or where the place is accepted anyway.
     """
-    stop = PLACE_STOP + (noise or [])
-
-    def telling(text: Column) -> Column:
-        return F.array_distinct(F.filter(words(text), lambda w: ~w.isin(stop) & ((F.length(w) >= 3) | w.rlike("^[0-9]+$"))))
-
+    telling = lambda text: _place_words(text, noise)
     side = profiles.select("org", *[F.col(c).alias(f"_{c}") for c in ("name", "street", "postcode", "city", "phone", "site")])
     j = places.dropDuplicates(["org", "place_id"]).join(side, "org")
     address = words(F.col("address"))
-    own = host(F.when(F.contains("_site", F.lit("://")), F.col("_site")).otherwise(F.concat(F.lit("https://"), "_site")))
-    theirs = host(F.when(F.contains("web_site", F.lit("://")), F.col("web_site")).otherwise(F.concat(F.lit("https://"), "web_site")))
+    own, theirs = _site_host(F.col("_site")), _site_host(F.col("web_site"))
     code = F.coalesce("_postcode", F.lit(""))
-    j = j.withColumns({"_target": telling(F.col("_name")), "_title": telling(F.col("title")), "_address": address, "_own": F.coalesce(own, F.lit("")), "_theirs": F.coalesce(theirs, F.lit(""))})
+    j = j.withColumns({"_target": telling(F.col("_name")), "_title": telling(F.col("title")), "_address": address, "_own": own, "_theirs": theirs})
     share = F.when(F.size("_target") > 0, F.size(F.array_intersect("_target", "_title")) / F.size("_target")).otherwise(0.0)
     has_code = F.array_contains("_address", code)
     city = words(F.col("_city"))
@@ -389,7 +445,6 @@ def assess_places(profiles: DataFrame, places: DataFrame, trade_names: DataFrame
         "postcode_city_match": _true((code != "") & has_code & ((F.size(city) == 0) | _subset(city, F.col("_address")))),
         "phone_match": _true((F.length(place_phone(F.col("_phone"))) >= 5) & (place_phone(F.col("_phone")) == place_phone(F.col("phone")))),
         "website_match": (F.col("_own") != "") & (F.col("_theirs") != "") & ((F.col("_own") == F.col("_theirs")) | F.col("_theirs").endswith(F.concat(F.lit("."), "_own"))),
-        "fuzzy_name_score": F.round(fuzzy_ratio(F.array_join("_target", " "), F.array_join("_title", " ")), 4),
         "_title_key": F.array_join(words(F.col("title")), " "),
     })
     if trade_names is not None:
@@ -400,10 +455,13 @@ def assess_places(profiles: DataFrame, places: DataFrame, trade_names: DataFrame
     located = F.col("address_match") | F.col("postcode_city_match")
     channels = located.cast("int") + F.col("phone_match").cast("int") + F.col("website_match").cast("int")
     trade = (F.col("name_score") == 0) & F.col("address_match") & F.col("phone_match") & _true(F.col("_known"))
-    fuzzy = F.col("website_match") & (F.col("fuzzy_name_score") >= 0.85)
     generic = (F.size("_target") == 1) & F.col("_target")[0].isin(GENERIC_PLACE_WORDS)
     weak = _true(generic) & ~(F.col("address_match") | F.col("phone_match") | F.col("website_match"))
-    accepted = (((F.col("name_score") >= 0.99) & (channels >= 1)) | ((F.col("name_score") >= 0.66) & (channels >= 2)) | trade | fuzzy) & ~weak
+    plain = ((F.col("name_score") >= 0.99) & (channels >= 1)) | ((F.col("name_score") >= 0.66) & (channels >= 2)) | trade
+    j = j.withColumn("_open", F.col("website_match") & ~_true(plain))
+    named = lambda c: F.when(F.col("_open"), F.array_join(c, " "))
+    j = j.withColumn("fuzzy_name_score", F.round(fuzzy_ratio(named("_target"), named("_title")), 4))
+    accepted = (plain | (F.col("website_match") & (F.col("fuzzy_name_score") >= 0.85))) & ~weak
     volume = F.least(F.lit(1.0), F.log10(F.greatest(F.lit(1), F.coalesce("review_count", F.lit(0)))) / 5)
     score = (
         F.col("name_score") * 4 + F.col("address_match").cast("int") * 3 + F.col("phone_match").cast("int") * 2

@@ -327,6 +327,63 @@ def resolve_places(spark, sf):
     return op.resolve_places(_places(spark, sf))
 
 
+def _unclaimed(spark, sf):
+    """Customers with a street, number and site, and suppliers as places that carry no entity: five ways to name the same company."""
+    key, nation = F.col("c_custkey"), lambda k: F.lpad(k.cast("string"), 4, "0")
+    name = lambda k, segment: F.concat(F.lower(segment), F.lit(" unit"), (k % 50).cast("string"), F.lit(" kust"), k.cast("string"))
+    number = lambda k: F.concat(F.lit("22"), F.lpad((k % 300).cast("string"), 6, "0"))
+    customer = table(spark, sf, "customer")
+    profiles = customer.select(
+        views.padded(key).alias("org"), F.concat(name(key, F.col("c_mktsegment")), F.lit(" AS")).alias("name"), F.concat(F.lit("Gata "), F.col("c_nationkey").cast("string")).alias("street"),
+        F.when(key % 3 > 0, nation(F.col("c_nationkey"))).alias("postcode"), F.lit(None).cast("string").alias("city"), number(key).alias("phone"), F.concat(F.lit("kust"), key.cast("string"), F.lit(".example.com")).alias("site"),
+    )
+    s, own = F.col("s_suppkey"), customer.select("c_custkey", "c_mktsegment", "c_nationkey")
+    places = table(spark, sf, "supplier").join(own, s == F.col("c_custkey"))
+    full = name(s, F.col("c_mktsegment"))
+    title = F.when(s % 5 == 0, F.concat(full, F.lit(" filial"))).when(s % 5 == 1, F.substring_index(full, " ", 2)).when(s % 5 == 2, F.substring_index(full, " ", 1))
+    title = title.when(s % 5 == 3, F.concat(F.lit("Butikk "), s.cast("string"))).otherwise(F.concat(full, F.lit("x")))
+    where = F.when(F.col("s_acctbal") > 2000, F.col("c_nationkey")).otherwise(F.col("s_nationkey"))
+    places = places.select(
+        F.concat(F.lit("place-"), s.cast("string")).alias("place_id"), title.alias("title"), F.concat(F.lit("Gata "), where.cast("string"), F.lit(", "), nation(where), F.lit(" By")).alias("address"),
+        F.when(F.col("s_acctbal") > 4000, F.concat(F.lit("+47 "), number(s))).alias("phone"), F.when(F.col("s_acctbal") < 7000, F.concat(F.lit("https://www.kust"), s.cast("string"), F.lit(".example.com/a"))).alias("web_site"),
+        F.lit(10).alias("review_count"),
+    )
+    trade = table(spark, sf, "supplier").filter(s % 2 == 1).select(views.padded(s).alias("org"), F.concat(F.lit("butikk "), s.cast("string")).alias("title_key"))
+    return profiles, places, trade
+
+
+UNCLAIMED_SQL = """
+p AS (SELECT c_custkey AS k, lpad(c_custkey::VARCHAR, 9, '0') AS org, [lower(c_mktsegment), 'unit' || (c_custkey % 50), 'kust' || c_custkey] AS t, c_nationkey AS n, c_custkey % 3 > 0 AS has_code, c_custkey % 300 AS ph FROM customer),
+q AS (SELECT s_suppkey AS k, s_suppkey % 5 AS v, lower(c_mktsegment) AS seg, CASE WHEN s_acctbal > 2000 THEN c_nationkey ELSE s_nationkey END AS n, CASE WHEN s_acctbal > 4000 THEN s_suppkey % 300 END AS ph, s_acctbal < 7000 AS web FROM supplier JOIN customer ON c_custkey = s_suppkey),
+q1 AS (SELECT *, CASE v WHEN 0 THEN [seg, 'unit' || (k % 50), 'kust' || k, 'filial'] WHEN 1 THEN [seg, 'unit' || (k % 50)] WHEN 2 THEN [seg] WHEN 3 THEN ['butikk', k::VARCHAR] ELSE [seg, 'unit' || (k % 50), 'kust' || k || 'x'] END AS t FROM q),
+pairs AS (SELECT p.org, 'place-' || q1.k AS place_id, len(list_intersect(p.t, q1.t)) / 3 AS ns, p.n = q1.n AS located, p.has_code, q1.ph IS NOT NULL AND q1.ph = p.ph AS phone, q1.web AND q1.k = p.k AS web,
+  q1.v = 3 AND q1.k = p.k AND q1.k % 2 = 1 AS known, array_to_string(p.t, ' ') AS a, array_to_string(q1.t, ' ') AS b, q1.v FROM p CROSS JOIN q1),
+judged AS (SELECT *, located::INT + phone::INT + web::INT AS channels, CASE WHEN v = 3 THEN 0 ELSE 2 * least(length(a), length(b)) / (length(a) + length(b)) END AS ratio FROM pairs),
+ok AS (SELECT org, place_id, round(round(ns, 4) * 4 + located::INT * 3 + phone::INT * 2 + web::INT * 3 + (located AND has_code)::INT * 2 + 0.2, 4) AS score FROM judged
+  WHERE (ns >= 0.99 AND channels >= 1) OR (round(ns, 4) >= 0.66 AND channels >= 2) OR (ns = 0 AND located AND phone AND known) OR (web AND round(ratio, 4) >= 0.85))
+"""
+
+
+@bind("candidate_places", "C12", f"WITH {UNCLAIMED_SQL} SELECT * FROM ok")
+def candidate_places(spark, sf):
+    """Accepted pairs among places that carry no entity, found by keys; the SQL looks at every pair."""
+    profiles, places, trade = _unclaimed(spark, sf)
+    found = op.assess_places(profiles, op.candidate_places(profiles, places, trade), trade)
+    return found.filter("accepted").select("org", "place_id", "score")
+
+
+@bind(
+    "resolve_unclaimed_places",
+    "C12",
+    f"""WITH {UNCLAIMED_SQL}, b AS (SELECT org, max(score) AS score FROM ok GROUP BY 1), l AS (SELECT org, count(*) AS leaders, min(place_id) AS place_id FROM ok JOIN b USING (org, score) GROUP BY 1)
+SELECT org, CASE WHEN leaders > 1 THEN 'ambiguous_exact_match' ELSE 'exact_match' END AS status, CASE WHEN leaders = 1 THEN place_id END AS place_id, CASE WHEN leaders = 1 THEN score END AS score FROM l JOIN b USING (org)""",
+)
+def resolve_unclaimed_places(spark, sf):
+    profiles, places, trade = _unclaimed(spark, sf)
+    judged = op.assess_places(profiles, op.candidate_places(profiles, places, trade), trade)
+    return op.resolve_places(judged).filter("status <> 'no_exact_match'").select("org", "status", "place_id", "score")
+
+
 @bind(
     "match_external_profiles",
     "C13",

@@ -1,3 +1,4 @@
+import random
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,6 +172,24 @@ def test_places_follow_their_channels(spark):
     assert resolve.resolve_places(resolve.assess_places(profiles, tied)).first().status == "ambiguous_exact_match"
 
 
+def test_keys_find_every_place_that_all_pairs_find(spark):
+    generator = random.Random(12)
+    pick = lambda *values: generator.choice(values)
+    pool = ["alfa", "beta", "gamma", "holding", "blåbær", "teknikk", "og", "as", "12", "øst"]
+    name = lambda: " ".join(generator.sample(pool, generator.randint(1, 5)))
+    profiles = [(f"{k:03d}", pick(name(), name(), None), pick("Kongens gate 5", "Storgata 1", None, ""), pick("7011", "0150", None, ""), pick("Oslo", "Trondheim", None), pick("73 00 11 22", "+47 22 33 44 55", "123", None), pick("https://a.no", "b.no", "shop.b.no", None)) for k in range(80)]
+    places = [(f"p{k}", pick(name(), name(), "pizzabakeren", None), pick("Kongens gate 5, 7011 Trondheim", "Storgata 1, 0150 Oslo", "Storgata 1", None), pick("73001122", "22334455", None), pick("https://www.a.no/x", "shop.b.no", "https://b.no", None), 3) for k in range(120)]
+    profiles = spark.createDataFrame(profiles, "org string, name string, street string, postcode string, city string, phone string, site string")
+    places = spark.createDataFrame(places, "place_id string, title string, address string, phone string, web_site string, review_count int")
+    trade = spark.createDataFrame([(f"{k:03d}", "pizzabakeren") for k in range(0, 80, 2)], "org string, title_key string")
+    accepted = lambda df: sorted((r.org, r.place_id, r.score) for r in resolve.assess_places(profiles, df, trade).filter("accepted").collect())
+    found = resolve.candidate_places(profiles, places.unionAll(places.limit(5)), trade)
+    every = accepted(places.crossJoin(profiles.select("org")))
+    assert accepted(found) == every and len(every) > 50
+    assert found.count() < 0.7 * 80 * 120
+    assert resolve.candidate_places(profiles, places.limit(0), trade).count() == 0 and resolve.candidate_places(profiles.limit(0), places).count() == 0
+
+
 @pytest.mark.parametrize("title,address,town,expected", [
     ("Blåbær Teknikk", "Storgata 1, Oslo", "Oslo", True), ("Blåbær Teknikk", "Storgata 1, Bergen", "Oslo", False), ("Annen", "Oslo", "Oslo", False), ("Blåbær Teknikk AS", "Bergen", "", True)])
 def test_simple_place_match(value, title, address, town, expected):
