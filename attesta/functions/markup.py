@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import json
 import re
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from attesta.functions.text import digits, valid_org_numbers
+from attesta.functions.text import digits, let, valid_org_numbers
 from attesta.functions.urls import SOCIAL_URL, normalize_social_url
+from attesta.session import stored
 
 SCRIPT_JSON = r"(?is)<script\b[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
 
@@ -124,48 +123,64 @@ def extract_contacts(html: Column) -> list[Column]:
 
 # ---- JSON-LD ----
 
-NODE_SCHEMA = "page_key string, pos int, types array<string>, node string"
+NODE = "array<struct<path: array<int>, v: variant>>"
+LEVELS = 12  # of nesting walked in one pass
 
 
 def jsonld_scripts(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(SCRIPT_JSON), F.lit(1))
 
 
-def _typed_nodes(value) -> Iterator[dict]:
-    """Every object with a type, at any depth, parents before children."""
-    stack = [value]
-    while stack:
-        item = stack.pop()
-        if isinstance(item, dict):
-            if item.get("@type"):
-                yield item
-            stack.extend(reversed(list(item.values())))
-        elif isinstance(item, list):
-            stack.extend(reversed(item))
-
-
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = []
-        for key, scripts in zip(batch["page_key"], batch["scripts"]):
-            pos = 0
-            for text in scripts:
-                try:
-                    parsed = json.loads(text)
-                except ValueError:
-                    continue
-                for node in _typed_nodes(parsed):
-                    kind = node["@type"]
-                    types = [str(t).rsplit("/", 1)[-1] for t in (kind if isinstance(kind, list) else [kind])]
-                    out.append((key, pos, types, json.dumps(node, ensure_ascii=False)))
-                    pos += 1
-        yield pd.DataFrame(out, columns=["page_key", "pos", "types", "node"])
+def _children(x: Column) -> Column:
+    """The values inside an object or a list, with their places; none inside anything else."""
+    below = lambda value, i: F.struct(F.concat(x["path"], F.array(i)).alias("path"), value.alias("v"))
+    pairs = F.map_entries(F.try_variant_get(x["v"], "$", "map<string,variant>"))
+    items = F.try_variant_get(x["v"], "$", "array<variant>")
+    return F.coalesce(F.transform(pairs, lambda e, i: below(e["value"], i)), F.transform(items, below), F.array().cast(NODE))
+
+
+def _types(v: Column) -> Column:
+    """Last parts of an object's types; NULL without one. An object is no type."""
+    named = F.coalesce(F.try_variant_get(v, "$['@type']", "array<string>"), F.array(F.try_variant_get(v, "$['@type']", "string")))
+    kept = F.filter(named, lambda t: (F.length(t) > 0) & ~t.startswith("{"))
+    return F.when(F.size(kept) > 0, F.transform(kept, lambda t: F.regexp_extract(t, "([^/]*)$", 1)))
+
+
+def _walk(level: Column, left: int) -> Column:
+    """Typed objects of a level and those below it; what is deeper than the levels left comes back unwalked."""
+
+    def found(x: Column) -> Column:
+        return F.struct(x["path"].alias("path"), _types(x["v"]).alias("types"), F.to_json(x["v"]).alias("node"), F.lit(False).alias("open"))
+
+    if not left:
+        return F.transform(level, lambda x: F.struct(x["path"].alias("path"), F.lit(None).cast("array<string>").alias("types"), F.to_json(x["v"]).alias("node"), F.lit(True).alias("open")))
+    typed = lambda a: F.transform(F.filter(a, lambda x: _types(x["v"]).isNotNull()), found)
+    return let(level, lambda a: F.concat(typed(a), _walk(F.flatten(F.transform(a, _children)), left - 1)))
+
+
+def _nodes(pages: DataFrame, start: Column) -> DataFrame:
+    """(page_key, pos, path, types, node, open) under the values ``start`` of each row, in the order of their places."""
+    return pages.select("page_key", F.posexplode(F.array_sort(_walk(start.cast(NODE), LEVELS))).alias("pos", "x")).select("page_key", "pos", "x.*")
 
 
 def jsonld_nodes(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """(page_key, pos, types, node JSON) of every typed node; only pages with a script reach Python."""
-    scripts = pages.select(F.col(key).cast("string").alias("page_key"), jsonld_scripts(F.col(html)).alias("scripts")).filter(F.size("scripts") > 0)
-    return scripts.mapInPandas(_walk, NODE_SCHEMA)
+    """(page_key, pos, types, node JSON) of every typed node at any depth, parents before children, keys of an object in order of name.
+
+    JSON is parsed once to VARIANT and walked level by level in the JVM. The nodes are stored, as their readers each take other
+    types of them; nodes deeper than one pass walks go through another.
+    """
+    parsed = F.transform(jsonld_scripts(F.col(html)), lambda t, i: F.struct(F.array(i).alias("path"), F.try_parse_json(t).alias("v")))
+    keyed = pages.select(F.col(key).cast("string").alias("page_key"), html)
+    found = stored(_nodes(keyed, F.filter(parsed, lambda x: x["v"].isNotNull())), "markup-nodes")
+    parts, deeper = [found.filter("NOT open")], found.filter("open")
+    while not deeper.isEmpty():
+        found = stored(_nodes(deeper, F.array(F.struct("path", F.try_parse_json("node").alias("v")))), "markup-nodes")
+        parts.append(found.filter("NOT open"))
+        deeper = found.filter("open")
+    every = reduce(DataFrame.unionByName, parts)
+    if len(parts) > 1:
+        every = every.withColumn("pos", F.row_number().over(W.partitionBy("page_key").orderBy("path")) - 1)
+    return every.select("page_key", "pos", "types", "node")
 
 
 def node_text(node: Column, path: str) -> Column:

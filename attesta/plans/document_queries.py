@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from attesta.functions import markup, urls
-from attesta.operators import extract, gates
+from attesta import lexicon as lx
+from attesta.functions import markup, publication, urls
+from attesta.functions.publication import MARKERS
+from attesta.operators import extract, gates, pages as site_pages
 from attesta.plans import views
 from attesta.plans.catalog import bind, table
 from attesta.plans.views import PROFILES_SQL
@@ -187,30 +189,51 @@ def site_jobs(spark, sf):
 @bind(
     "document_observations",
     "H3",
-    """SELECT lpad(o_custkey::VARCHAR, 9, '0') AS org, 'https://katalog.no/' || o_orderkey AS source_url, 'review' AS signal_type,
-  CASE WHEN left(o_orderpriority, 1)::INTEGER >= 4 THEN 'positive' WHEN left(o_orderpriority, 1)::INTEGER <= 2 THEN 'negative' ELSE 'neutral' END AS sentiment_label FROM orders WHERE o_orderstatus <> 'P'
-UNION ALL SELECT lpad(o_custkey::VARCHAR, 9, '0'), 'https://katalog.no/' || o_orderkey, 'public_mention', NULL FROM orders WHERE o_orderstatus = 'O'""",
+    f"""WITH o AS (SELECT lpad(o_custkey::VARCHAR, 9, '0') AS org, 'https://' || CASE WHEN o_orderkey % 2 = 0 THEN 'katalog.no/' ELSE 'egen.no/' END || o_orderkey AS source_url, o_orderkey % 2 = 1 AS own, o_orderstatus AS s, left(o_orderpriority, 1)::INTEGER AS p, o_orderkey AS k, o_orderdate::DATE AS d, o_totalprice AS t FROM orders WHERE o_orderstatus <> 'P' OR o_orderkey % 3 = 0)
+SELECT org, source_url, 'review' AS signal_type, 'Omtale ' || k AS evidence_span, CASE WHEN p >= 4 THEN 'positive' WHEN p <= 2 THEN 'negative' ELSE 'neutral' END AS sentiment_label FROM o WHERE NOT own
+UNION ALL SELECT org, source_url, 'review_summary', 'Kunde: ' || p || '.0/5.0 from ' || (k % 9) || ' ratings', NULL FROM o WHERE NOT own AND k % 9 > 0
+UNION ALL SELECT org, source_url, 'workforce_snapshot', 'Kunde: numberOfEmployees=' || (k % 900), NULL FROM o WHERE own
+UNION ALL SELECT org, source_url, 'profile_metrics', 'Film ' || k, NULL FROM o JOIN profiles USING (org) WHERE own
+UNION ALL SELECT org, source_url, 'job_posting', 'Stilling ' || k, NULL FROM o WHERE d <= DATE '{AS_OF}' AND DATE '{AS_OF}' <= d + 60
+UNION ALL SELECT org, source_url, 'public_mention', 'Ordre ' || k || CASE WHEN s = 'P' THEN ' Uten nummer' ELSE ' Org.nr. ' || org[1:3] || ' ' || org[4:6] || ' ' || org[7:9] END, NULL FROM o WHERE NOT own AND s <> 'F' AND d <= DATE '{AS_OF}'""".replace("WITH o AS", f"WITH {PROFILES_SQL}, o AS"),
 )
 def document_observations(spark, sf):
-    """Orders as catalogue pages: open ones are news too, pending ones never name the entity."""
-    key, org = F.col("o_orderkey").cast("string"), _key("o_custkey")
-    stars = F.substring("o_orderpriority", 1, 1)
-    node = F.struct(
-        F.lit("Review").alias("@type"), F.struct(F.lit("LocalBusiness").alias("@type"), org.alias("taxID")).alias("itemReviewed"), F.concat(F.lit("Omtale "), key).alias("reviewBody"),
+    """Orders as pages of a catalogue or the entity's own site, each with a review, ratings, staff, a film and a role in its markup.
+
+    Closed ones name the entity in their text, a third of the pending ones in their markup only, the others nowhere.
+    """
+    key, org, number = F.col("o_orderkey").cast("string"), _key("o_custkey"), F.col("o_orderkey")
+    stars, status, day = F.substring("o_orderpriority", 1, 1), F.col("o_orderstatus"), F.col("o_orderdate").cast("date")
+    kind = lambda name: F.lit(name).alias("@type")
+    who = F.when((status != "P") | (number % 3 == 0), org).alias("taxID")
+    site = F.concat(F.lit("https://"), F.when(number % 2 == 0, "katalog.no/").otherwise("egen.no/"), key)
+    review = F.struct(
+        kind("Review"), F.struct(kind("LocalBusiness"), org.alias("taxID")).alias("itemReviewed"), F.concat(F.lit("Omtale "), key).alias("reviewBody"),
         F.struct(stars.alias("ratingValue"), F.lit("5").alias("bestRating")).alias("reviewRating"),
     )
-    status = F.col("o_orderstatus")
+    owner = F.struct(
+        kind("Organization"), F.lit("Kunde").alias("name"), who, F.struct((number % 900).alias("value")).alias("numberOfEmployees"),
+        F.struct(stars.alias("ratingValue"), (number % 9).alias("ratingCount")).alias("aggregateRating"),
+    )
+    film = F.struct(
+        kind("VideoObject"), F.concat(F.lit("Film "), key).alias("name"), F.struct(F.col("name").alias("name")).alias("author"),
+        F.array(F.struct(F.lit("https://schema.org/WatchAction").alias("interactionType"), number.alias("userInteractionCount"))).alias("interactionStatistic"),
+    )
+    role = F.struct(
+        kind("JobPosting"), F.concat(F.lit("Stilling "), key).alias("title"), F.date_format(day, "yyyy-MM-dd").alias("datePosted"), F.date_format(F.date_add(day, 60), "yyyy-MM-dd").alias("validThrough"),
+        F.struct(kind("Organization"), who).alias("hiringOrganization"),
+    )
+    html = F.concat(_script(F.struct(review.alias("a"), F.array(owner).alias("b"))), _script(film), _script(role))
+    plain = F.when(status == "P", F.concat(F.lit('<script type="application/ld+json">'), F.to_json(F.struct(F.struct(kind("Thing")).alias("x"))), F.lit("</script>")))
     spaced = F.concat_ws(" ", F.substring(org, 1, 3), F.substring(org, 4, 3), F.substring(org, 7, 3))
-    pending = F.to_json(F.struct(F.lit("Thing").alias("@type")))
-    html = F.when(status == "P", F.concat(F.lit('<script type="application/ld+json">'), pending, F.lit("</script>"))).otherwise(_script(node))
-    docs = table(spark, sf, "orders").select(
-        org.alias("org"), F.when(status == "O", "news").otherwise("reviews").alias("category"), F.concat(F.lit("https://katalog.no/"), key).alias("url"), html.alias("html"),
+    docs = table(spark, sf, "orders").join(views.profiles(spark, sf).select(F.col("org").alias("_org"), "name"), org == F.col("_org")).select(
+        org.alias("org"), F.when(status == "F", "reviews").otherwise("news").alias("category"), site.alias("url"), F.when((status != "P") | (number % 3 == 0), html).otherwise(plain).alias("html"),
         F.when(status == "P", "Uten nummer").otherwise(F.concat(F.lit("Org.nr. "), spaced)).alias("text"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("published"),
         F.concat(F.lit("Ordre "), key).alias("title"),
     ).withColumn("content_sha256", F.sha2("html", 256))
     profiles = views.profiles(spark, sf).select("org", "name", "municipality", F.lit("egen.no").alias("own_domain"), _none().alias("street"), F.lit(None).cast("array<string>").alias("people"), _none().alias("founded"))
-    found = extract.document_observations(docs, profiles, "2002-01-01 00:00:00")
-    return found.select("org", "source_url", "signal_type", "sentiment_label")
+    found = extract.document_observations(docs, profiles, f"{AS_OF} 00:00:00")
+    return found.select("org", "source_url", "signal_type", "evidence_span", "sentiment_label")
 
 
 @bind(
@@ -352,3 +375,59 @@ def social_urls(spark, sf):
         .when(kind == "SMALL", F.concat(F.lit("https://instagram.com/p/"), slug)).otherwise(F.concat(F.lit("https://linkedin.com/in/"), slug))
     )
     return table(spark, sf, "part").select("p_partkey", urls.normalize_social_url(raw)["url"].alias("url"))
+
+
+# ---- publication dates ----
+
+MONTHS = lx.NORWEGIAN_MONTHS
+
+
+def _articles(spark, sf):
+    """Documents as article pages of their source's site, each with one of ten ways to say or not to say when it appeared."""
+    way, day = F.col("doc_id") % 10, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 400).cast("int"))
+    iso = F.date_format(day, "yyyy-MM-dd")
+    url = F.concat(F.lit("https://"), "source", F.lit(".example.com/news/"), F.col("doc_id").cast("string"))
+    spoken = F.concat(F.dayofmonth(day).cast("string"), F.lit(". "), F.get(F.array(*[F.lit(m) for m in MONTHS]), F.month(day) - 1), F.lit(" "), F.year(day).cast("string"))
+    script = lambda node: F.concat(F.lit('<script type="application/ld+json">'), F.to_json(node), F.lit("</script>"))
+    article = lambda kind, *more: F.struct(F.lit(kind).alias("@type"), iso.alias("datePublished"), F.lit("2025-12-31").alias("dateModified"), *more)
+    heading = lambda text: F.concat(F.lit("<header class='top'><h1>Sak</h1><span>"), text, F.lit("</span></header>"))
+    head = (
+        F.when(way == 0, F.concat(F.lit('<meta content="'), iso, F.lit('T10:00:00+01:00" property="article:published_time"><meta property="article:modified_time" content="2025-12-31">')))
+        .when(way == 1, F.concat(F.lit('<meta itemprop="datePublished" content="2024-99-32"><time class="byline published" datetime="'), iso, F.lit('">da</time>')))
+        .when(way == 2, F.concat(F.lit('<meta property="article:modified_time" content="2025-12-31">'), script(article("NewsArticle", F.concat(url, F.lit("/#a")).alias("url")))))
+        .when(way == 3, script(article("NewsArticle", F.concat(url, F.lit("-annen")).alias("url"))))
+        .when(way == 4, F.concat(script(article("Article")), script(article("Report"))))
+        .when(way == 5, script(F.struct(F.array(F.struct(F.lit("WebPage").alias("@type"), F.array(article("BlogPosting")).alias("hasPart"))).alias("@graph"))))
+        .when(way == 9, F.concat(F.lit('<time class="entry-date updated" datetime="2025-12-31">x</time><time datetime='), iso, F.lit(' class="entry-date">x</time>')))
+        .otherwise("")
+    )
+    top = F.when(way == 6, heading(spoken)).when(way == 7, heading(F.concat(F.lit("Oppdatert "), spoken))).when(way == 8, heading(F.concat(spoken, F.lit(" og "), spoken))).otherwise("")
+    safe = F.replace(F.replace("text", F.lit("<"), F.lit(" ")), F.lit("&"), F.lit(" "))
+    html = F.concat(F.lit("<html><head>"), head, F.lit("</head><body><article>"), top, F.lit("<p>"), safe, F.lit("</p></article><footer>1. mai 2020</footer></body></html>"))
+    return table(spark, sf, "documents").select("doc_id", F.col("source").alias("org"), url.alias("url"), html.alias("html"), safe.alias("main_text"))
+
+
+ARTICLES_SQL = f"""
+w AS (SELECT doc_id, source AS org, 'https://' || source || '.example.com/news/' || doc_id AS url, doc_id % 10 AS way, strftime(DATE '2024-01-01' + (doc_id % 400)::INTEGER, '%Y-%m-%d') AS iso, text FROM documents),
+d AS (SELECT doc_id, org, url, text, CASE WHEN way IN (0, 1, 2, 5, 6, 9) THEN iso ELSE '' END AS published, CASE way WHEN 0 THEN 'page:{MARKERS[0]}' WHEN 1 THEN 'page:{MARKERS[4]}' WHEN 9 THEN 'page:{MARKERS[5]}'
+  WHEN 6 THEN 'page:article_header_visible_date' WHEN 2 THEN 'page:Article.datePublished' WHEN 5 THEN 'page:Article.datePublished' ELSE '' END AS source FROM w)
+"""
+
+
+@bind("page_publication_date", "G11", f"WITH {ARTICLES_SQL} SELECT doc_id::VARCHAR AS page_key, published, source FROM d")
+def page_publication_date(spark, sf):
+    return publication.page_publication_date(_articles(spark, sf), "doc_id")
+
+
+@bind(
+    "dated_site_news",
+    "H5 G11 B9",
+    f"""WITH {ARTICLES_SQL} SELECT 'company-site-' || substr(sha256(org || '|' || url), 1, 24) AS id, org, url AS source_url, published AS published_at FROM d WHERE published <> '' AND published <= '2024-10-01' AND published >= '2024-02-01'""",
+)
+def dated_site_news(spark, sf):
+    """Posts of a site, dated by the structure of their pages."""
+    articles = _articles(spark, sf).withColumn("page_key", F.col("doc_id").cast("string"))
+    dated = publication.page_publication_date(articles, "page_key").filter("published <> ''")
+    pages = articles.join(dated, "page_key").select("org", "url", F.lit("Sak").alias("title"), "main_text", "published", F.sha2("html", 256).alias("content_sha256"))
+    verdicts = articles.select("org").distinct().select("org", F.lit(True).alias("publishable"), F.lit(True).alias("content_attributable"))
+    return site_pages.site_news(pages, verdicts.select("org", F.lit("2024-02-01").alias("founded")), verdicts, "2024-10-01").select("id", "org", "source_url", "published_at")
