@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from attesta.operators import register as reg
@@ -9,6 +11,7 @@ from attesta.plans import views
 from attesta.plans.catalog import bind, table
 from attesta.plans.claim_queries import BEST_SQL, _held
 from attesta.plans.views import ACCOUNTS_SQL, PROFILES_SQL
+from attesta.session import checkpoint_folder
 from attesta.sources import captures, feeds, official, registry
 
 
@@ -214,6 +217,17 @@ def new_captures(spark, sf):
     return captures.new_captures(pages, store, "html").select("content_sha256", F.length("body").alias("chars"))
 
 
+@bind("append_captures", "A17", "SELECT sha256(html) AS content_sha256, length(html) AS chars, CASE WHEN bool_or(url LIKE 'https:%') THEN 0 ELSE 1 END::BIGINT AS batch FROM pages GROUP BY html")
+def append_captures(spark, sf):
+    """A store that gets the secure pages, then all pages, then all again: the third run writes nothing."""
+    pages = views.pages(spark, sf)
+    store = captures.CaptureStore(spark, f"{checkpoint_folder(spark)}/captures-{uuid.uuid4().hex}", f"capture_digests_{uuid.uuid4().hex}")
+    for batch, rows in enumerate((pages.filter(F.col("url").startswith("https:")), pages, pages)):
+        store.append(rows, batch, "html")
+    held = store.digests().select("content_sha256", F.col("batch").alias("known"))
+    return store.bodies().join(held, "content_sha256").filter("batch = known").select("content_sha256", F.length("body").alias("chars"), "batch")
+
+
 def _audited(spark, sf):
     pages = views.pages(spark, sf)
     records = pages.select(F.col("page_id").cast("string").alias("org"), "url", F.sha2("html", 256).alias("content_sha256"))
@@ -267,21 +281,23 @@ def apply_verified_seeds(spark, sf):
 
 
 def _manifest(spark, sf):
-    return table(spark, sf, "orders").groupBy(views.padded(F.col("o_custkey")).alias("org")).agg(F.min("o_orderkey").alias("pos"))
+    """The customers with an order, and suppliers under numbers that the register does not have."""
+    known = table(spark, sf, "orders").groupBy(views.padded(F.col("o_custkey")).alias("org")).agg(F.min("o_orderkey").alias("pos"))
+    unknown = table(spark, sf, "supplier").select(F.col("s_suppkey") + 900_000_000, F.negate(F.col("s_suppkey")) - 1).toDF("org", "pos")
+    return known.unionAll(unknown.select(F.col("org").cast("string"), "pos"))
 
 
-MANIFEST_SQL = "manifest AS (SELECT lpad(o_custkey::VARCHAR, 9, '0') AS org, min(o_orderkey) AS pos FROM orders GROUP BY 1)"
+MANIFEST_SQL = """manifest AS (SELECT lpad(o_custkey::VARCHAR, 9, '0') AS org, min(o_orderkey) AS pos FROM orders GROUP BY 1 UNION ALL SELECT (s_suppkey + 900000000)::VARCHAR, -s_suppkey - 1 FROM supplier)"""
 
 
-@bind("select_from_registry", "C1", f"WITH {PROFILES_SQL}, {MANIFEST_SQL} SELECT org, pos, name, revenue FROM manifest JOIN profiles USING (org) WHERE revenue > 0")
+@bind("select_from_registry", "C1", f"WITH {PROFILES_SQL}, {MANIFEST_SQL} SELECT org, pos, name, revenue FROM manifest JOIN profiles USING (org)")
 def select_from_registry(spark, sf):
-    register = views.profiles(spark, sf).filter("revenue > 0")
-    return registry.select_from_registry(register, _manifest(spark, sf)).select("org", "pos", "name", "revenue")
+    return registry.select_from_registry(views.profiles(spark, sf), _manifest(spark, sf)).select("org", "pos", "name", "revenue")
 
 
-@bind("missing_from_registry", "C1", f"WITH {PROFILES_SQL}, {MANIFEST_SQL} SELECT org, pos FROM manifest WHERE org NOT IN (SELECT org FROM profiles WHERE revenue > 0)")
+@bind("missing_from_registry", "C1", f"WITH {PROFILES_SQL}, {MANIFEST_SQL} SELECT org, pos FROM manifest WHERE org NOT IN (SELECT org FROM profiles)")
 def missing_from_registry(spark, sf):
-    return registry.missing_from_registry(views.profiles(spark, sf).filter("revenue > 0"), _manifest(spark, sf))
+    return registry.missing_from_registry(views.profiles(spark, sf), _manifest(spark, sf))
 
 
 @bind(

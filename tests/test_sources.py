@@ -191,7 +191,33 @@ def test_sitemaps_are_walked_once_and_stay_on_site(spark):
 
 
 def test_capture_store_appends_only_new_content(spark, tmp_path):
-    path = str(tmp_path / "store")
-    captures.append_captures(spark.createDataFrame([("a",), ("a",), ("b",)], "body string"), path)
-    captures.append_captures(spark.createDataFrame([("b",), ("c",)], "body string"), path)
-    assert sorted(r.body for r in spark.read.parquet(path).collect()) == ["a", "b", "c"]
+    store = captures.CaptureStore(spark, str(tmp_path / "store"), "digests_of_a_test")
+    frame = lambda *bodies: spark.createDataFrame([(b,) for b in bodies], "body string")
+    assert store.append(frame("a", "a", "b", None), 0) and store.append(frame("b", "c"), 1)
+    assert not store.append(frame("a", "b", "c", "c"), 2) and not store.append(frame(), 3)
+    assert sorted((r.body, r.batch) for r in store.bodies().collect()) == [("a", 0), ("b", 0), ("c", 1)]
+    assert sorted(r.batch for r in store.digests().collect()) == [0, 0, 1]
+    # The table can be declared again over its folder, and its buckets are used.
+    spark.sql("DROP TABLE digests_of_a_test")
+    again = captures.CaptureStore(spark, str(tmp_path / "store"), "digests_of_another_test")
+    assert not again.append(frame("c", "a"), 4) and again.append(frame("d"), 5)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fresh = frame("x").select(F.sha2("body", 256).alias("content_sha256"))
+        plan = fresh.join(again.digests(), "content_sha256", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_bodies_are_fetched_by_row_without_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "bodies")
+    spark.createDataFrame([(f"body {k % 7}",) for k in range(50)], "html string").repartition(4).write.parquet(path)
+    rows, fresh = captures.first_rows(spark.read.parquet(path), body="html")
+    found = captures.fetch(rows, fresh)
+    assert sorted(r.body for r in found.collect()) == [f"body {k}" for k in range(7)]
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.body for r in captures.new_captures(spark.read.parquet(path), captures.capture_rows(spark.read.parquet(path).filter("html > 'body 2'"), "html"), "html").collect()) == ["body 0", "body 1", "body 2"]
