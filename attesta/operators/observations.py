@@ -404,6 +404,25 @@ def audit_observations(observations: DataFrame, labels: DataFrame, profiles: Dat
     )
 
 
+def observation_counts(observations: DataFrame) -> DataFrame:
+    """Counts by platform, by acquisition mode, by signal, by all three together and in all; one scan.
+
+    Rows are first folded to one per entity and combination, so the entities of each set are counted by adding rows up and no
+    row is repeated for a distinct count. ``dimension`` names the set; the columns outside it are NULL.
+    """
+    dims = ["platform", "acquisition_mode", "signal_type"]
+    rated = with_reasons(observations).select("org", *dims, (F.size("reasons") == 0).alias("ok"))
+    folded = rated.groupBy(*dims, "org").agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("good"))
+    sets = {"platform": ["platform"], "acquisition_mode": ["acquisition_mode"], "signal_type": ["signal_type"], "combination": dims, "all": []}
+    sums = folded.groupingSets([[*names, "org"] for names in sets.values()], *dims, "org").agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.grouping_id(*dims, "org").alias("_set"))
+    bits = {name: sum(1 << (3 - i) for i, d in enumerate(dims) if d not in names) for name, names in sets.items()}
+    dimension = F.coalesce(*[F.when(F.col("_set") == b, F.lit(name)) for name, b in bits.items()])
+    counted = sums.groupBy("_set", *dims).agg(
+        F.sum("n").alias("observations"), F.sum("good").alias("accepted"), F.count(F.lit(1)).alias("entities"), F.count_if(F.col("good") > 0).alias("accepted_entities")
+    )
+    return counted.select(dimension.alias("dimension"), *dims, "observations", "accepted", "entities", "accepted_entities")
+
+
 # The most points each component can earn.
 COMPONENT_POINTS = {
     "exact_external_identity": 20.0, "verified_handles": 15.0, "profile_metrics": 10.0, "places_identity": 5.0,
@@ -411,10 +430,10 @@ COMPONENT_POINTS = {
 }
 
 
-def development_score(observations: DataFrame, site_verdicts: DataFrame, as_of: str) -> DataFrame:
+def development_score(observations: DataFrame, site_verdicts: DataFrame, as_of: str, detail: bool = False) -> DataFrame:
     """Nine capped components per entity, strict and with experimental evidence added.
 
-    ``site_verdicts`` is (org, publishable).
+    ``site_verdicts`` is (org, publishable). With ``detail`` the components with experimental evidence follow as ``x_`` columns.
     """
     rated = with_reasons(observations)
     ok = F.size("reasons") == 0
@@ -477,6 +496,7 @@ def development_score(observations: DataFrame, site_verdicts: DataFrame, as_of:
         *[c.alias(n) for n, c in strict.items()],
         F.round(sum(strict.values(), F.lit(0.0)), 3).alias("score"),
         F.round(sum(potential.values(), F.lit(0.0)), 3).alias("potential_score"),
+        *([c.alias(f"x_{n}") for n, c in potential.items()] if detail else []),
     )
 
 
@@ -499,10 +519,15 @@ def completeness(foundation: DataFrame, scores: DataFrame) -> DataFrame:
         n: F.round(w * F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(n) / COMPONENT_POINTS[n])), 3) for n, w in ENRICHMENT_WEIGHTS.items()
     }
     joined = scores.join(foundation.select("org", *[F.col(n) for n in FOUNDATION_WEIGHTS]), "org", "left")
+    more = []
+    if "x_exact_external_identity" in scores.columns:
+        wider = [F.round(w * F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(f"x_{n}") / COMPONENT_POINTS[n])), 3) for n, w in ENRICHMENT_WEIGHTS.items()]
+        more = [F.round(base + sum(wider, F.lit(0.0)), 3).alias("experimental_score")]
     return joined.select(
         "org",
         F.round(base, 3).alias("foundation_score"),
         F.round(base + sum(parts.values(), F.lit(0.0)), 3).alias("completeness_score"),
+        *more,
         *[c.alias(f"e_{n}") for n, c in parts.items()],
     )
 
@@ -519,6 +544,27 @@ def summarize_completeness(rows: DataFrame, group: str) -> DataFrame:
     )
 
 
+def completeness_distribution(rows: DataFrame, group: str, score: str = "completeness_score") -> DataFrame:
+    """How many companies have each score, per group and in all (``combined``); one scan."""
+    counted = rows.groupBy(group, score).agg(F.count(F.lit(1)).alias("n"))
+    sums = counted.groupingSets([[group, score], [score]], group, score).agg(F.sum("n").alias("companies"), F.grouping(group).alias("_all"))
+    return sums.select(F.when(F.col("_all") == 1, "combined").otherwise(F.col(group)).alias(group), score, "companies")
+
+
+def completeness_transfer(rows: DataFrame, group: str, base: str, extension: str) -> DataFrame:
+    """One row: what an extension of the companies keeps of the base's completeness.
+
+    The deltas and the share are of rounded means, as the summaries show them; the share is NULL where the base's mean is 0. Rows with an
+    ``experimental_score`` are compared by it too.
+    """
+    scores = {"strict": "completeness_score"} | ({"experimental": "experimental_score"} if "experimental_score" in rows.columns else {})
+    mean = lambda part, score: F.coalesce(F.round(F.avg(F.when(F.col(group) == part, F.col(score))), 3), F.lit(0.0))
+    row = rows.agg(*[mean(part, score).alias(f"{name}_{kind}_mean") for name, score in scores.items() for kind, part in (("base", base), ("extension", extension))])
+    deltas = [F.round(F.col(f"{name}_extension_mean") - F.col(f"{name}_base_mean"), 3).alias(f"{name}_mean_delta") for name in scores]
+    kept = F.when(F.col("strict_base_mean") != 0, F.round(F.col("strict_extension_mean") / F.col("strict_base_mean"), 4))
+    return row.select("*", *deltas, kept.alias("strict_retention"))
+
+
 def weighted_rubric(facts: DataFrame) -> DataFrame:
     """Capped points by category and hard gates from one row of measured facts."""
 
@@ -557,6 +603,24 @@ def weighted_rubric(facts: DataFrame) -> DataFrame:
     )
 
 
+def gate_rejections(profiles: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """(org, name, url, reasons) of sites that were read and that the identity gate refuses.
+
+    ``verdicts`` is (org, site_url, publishable, reasons); entities without a site have no verdict.
+    """
+    refused = verdicts.filter("site_url IS NOT NULL AND NOT coalesce(publishable, FALSE)")
+    return refused.join(profiles.select("org", "name"), "org", "left").select("org", "name", F.col("site_url").alias("url"), "reasons")
+
+
+def site_gate_counts(verdicts: DataFrame) -> DataFrame:
+    """One row: sites the common gate accepts, those whose content counts, those it refuses, and refusals by first reason."""
+    read, ok = F.col("site_url").isNotNull(), F.coalesce("publishable", F.lit(False))
+    return verdicts.agg(
+        F.count_if(read & ok).alias("common_gate_websites"), F.count_if(read & ok & F.coalesce("content_attributable", F.lit(False))).alias("common_gate_content_sites"),
+        F.count_if(read & ~ok).alias("common_gate_rejections"),
+    )
+
+
 def evidence_audit(observations: DataFrame, site_verdicts: DataFrame, as_of: str) -> DataFrame:
     """One row of company counts by signal family under one strict rule set.
 

@@ -397,6 +397,76 @@ def weighted_rubric(spark, sf):
     return op.weighted_rubric(facts).select("external_points", "foundation_points", "research_points", "extensibility_points", "raw_score")
 
 
+@bind(
+    "observation_counts",
+    "D10",
+    RATED_SQL
+    + """, g AS (SELECT platform, acquisition_mode, signal_type, org, reasons = '' AS good FROM rated)
+SELECT CASE GROUPING(platform, acquisition_mode, signal_type) WHEN 3 THEN 'platform' WHEN 5 THEN 'acquisition_mode' WHEN 6 THEN 'signal_type' WHEN 0 THEN 'combination' ELSE 'all' END AS dimension,
+  platform, acquisition_mode, signal_type, count(*) AS observations, count(*) FILTER (good) AS accepted, count(DISTINCT org) AS entities, count(DISTINCT org) FILTER (good) AS accepted_entities
+FROM g GROUP BY GROUPING SETS ((platform), (acquisition_mode), (signal_type), (platform, acquisition_mode, signal_type), ())""",
+)
+def observation_counts(spark, sf):
+    return op.observation_counts(views.observations(spark, sf))
+
+
+PART_SQL = COMPLETE_SQL + """, parts AS (SELECT org, CASE WHEN org < '000000075' THEN 'base' ELSE 'extension' END AS part, foundation_score, round(foundation_score + enrich, 3) AS score FROM comp)
+"""
+
+
+def _parts(spark, sf):
+    """Scored companies, the lower numbers as the base and the others as its extension."""
+    scores = op.development_score(views.observations(spark, sf), _sites(spark, sf), AS_OF)
+    rows = op.completeness(_foundation(spark, sf), scores)
+    return rows.withColumn("part", F.when(F.col("org") < "000000075", "base").otherwise("extension"))
+
+
+@bind(
+    "completeness_distribution",
+    "D12",
+    PART_SQL + "SELECT part, score AS completeness_score, count(*) AS companies FROM parts GROUP BY ALL UNION ALL SELECT 'combined', score, count(*) FROM parts GROUP BY ALL",
+)
+def completeness_distribution(spark, sf):
+    return op.completeness_distribution(_parts(spark, sf), "part")
+
+
+@bind(
+    "completeness_transfer",
+    "D12",
+    PART_SQL
+    + """, m AS (SELECT coalesce(round(avg(score) FILTER (part = 'base'), 3), 0) AS b, coalesce(round(avg(score) FILTER (part = 'extension'), 3), 0) AS e FROM parts)
+SELECT b AS strict_base_mean, e AS strict_extension_mean, round(e - b, 3) AS strict_mean_delta, CASE WHEN b <> 0 THEN round(e / b, 4) END AS strict_retention FROM m""",
+)
+def completeness_transfer(spark, sf):
+    return op.completeness_transfer(_parts(spark, sf), "part", "base", "extension")
+
+
+def _verdicts(spark, sf):
+    """Register sites with a verdict: the smallest entities' sites name someone else."""
+    p = views.profiles(spark, sf)
+    small = F.coalesce("employees", F.lit(0)) < 55
+    return p, p.select("org", F.col("website").alias("site_url"), (~small).alias("publishable"), (F.col("legal_form") == "AS").alias("content_attributable"), F.when(small, F.array(F.lit("name not on page"))).otherwise(F.array().cast("array<string>")).alias("reasons"))
+
+
+@bind(
+    "gate_rejections",
+    "D15",
+    f"WITH {PROFILES_SQL} SELECT org, name, website AS url, 'name not on page' AS reasons FROM profiles WHERE website IS NOT NULL AND coalesce(employees, 0) < 55",
+)
+def gate_rejections(spark, sf):
+    return op.gate_rejections(*_verdicts(spark, sf)).withColumn("reasons", F.array_join("reasons", "; "))
+
+
+@bind(
+    "site_gate_counts",
+    "D15",
+    f"""WITH {PROFILES_SQL} SELECT count(*) FILTER (employees >= 55) AS common_gate_websites, count(*) FILTER (employees >= 55 AND legal_form = 'AS') AS common_gate_content_sites,
+  count(*) FILTER (coalesce(employees, 0) < 55) AS common_gate_rejections FROM profiles WHERE website IS NOT NULL""",
+)
+def site_gate_counts(spark, sf):
+    return op.site_gate_counts(_verdicts(spark, sf)[1])
+
+
 @bind(
     "evidence_audit",
     "D15",
