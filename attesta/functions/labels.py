@@ -17,7 +17,7 @@ def _size_at_least(parts: Column, n: int) -> Column:
     return F.size(parts) >= n
 
 
-def candidate_labels(name: Column, limit: int = 5) -> Column:
+def candidate_labels(name: Column, limit: int) -> Column:
     """Likely domain labels, best first: telling words joined, all words, hyphenated, stems, leading words, initials."""
     ending = "(" + "|".join(lx.LABEL_STEM_ENDINGS) + ")$"
 
@@ -45,7 +45,7 @@ def candidate_labels(name: Column, limit: int = 5) -> Column:
     return let(words(name), telling)
 
 
-def candidate_hosts(name: Column, legal_form: Column, limit: int = 5) -> Column:
+def candidate_hosts(name: Column, legal_form: Column, limit: int) -> Column:
     """Labels under .no and .com first; country endings the name hints at come last."""
     return let(candidate_labels(name, limit), lambda labels: _hosts(name, legal_form, labels))
 
@@ -66,7 +66,7 @@ def _hosts(name: Column, legal_form: Column, labels: Column) -> Column:
     )
 
 
-def domain_guesses(name: Column, town: Column, limit: int = 14) -> Column:
+def domain_guesses(name: Column, town: Column, limit: int) -> Column:
     """Guessed homepages in priority order; equal priorities keep their listed order."""
     def made(found: Column) -> Column:
         return _guesses(found["tokens"], found["place"], found["other"], limit)

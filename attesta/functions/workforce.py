@@ -7,19 +7,16 @@ from pyspark.sql import Column, functions as F
 from attesta import lexicon as lx
 from attesta.functions.text import let
 
-# The phrases that state a headcount, by priority and measure. A scanner
-# may have read a zero as the letter O.
-NUMBER = r"((?-i:\b[0-9O][0-9O .,-]{0,8}))"
-YEARS = r"(?:aarsverk|arsverk|årsverk)"
+# The phrases that state a headcount, by priority and measure. A scanner may have read a zero as the letter O.
 PHRASES = [
-    (0, "full_time_equivalents", rf"(?i)(?:antall|tal\s+p[aå])\s+{YEARS}\s+i\s+(?:regnskapsaret|rekneskapsaret)\s*(?:er|:|=)?\s*{NUMBER}"),
-    (0, "full_time_equivalents", rf"(?i)antall\s+{YEARS}(?:\s+sysselsatt\s+i\s+regnskapsaret)?\s*(?:er|:|=)?\s*{NUMBER}"),
-    (0, "full_time_equivalents", rf"(?i)selskapet\s+har(?:\s+[i1]\s+\d{{4}})?\s+sysselsatt\s+{NUMBER}\s+{YEARS}"),
-    (0, "full_time_equivalents", rf"(?i)selskapet\s+har\s+{NUMBER}\s+{YEARS}"),
-    (0, "full_time_equivalents", rf"(?i)antall\s+{YEARS}\s+(?:sysselsatt|syssetsatt)\s+i\s+regnskapsaret\s*(?:er|:|=)?\s*{NUMBER}"),
-    (1, "employees", rf"(?i)gjennomsnittlig(?:e)?\s+antall\s+ansatte(?:\s+i\s+regnskapsaret)?\s*(?:er|:|=)?\s*{NUMBER}"),
-    (1, "employees", rf"(?i)antall\s+ansatte\s*(?:er|:|=)?\s*{NUMBER}"),
-    (2, "employees", rf"(?i){NUMBER}\s+(?:heltids)?ansatte\b"),
+    (0, "full_time_equivalents", r"(?i)(?:antall|tal\s+p[aå])\s+(?:aarsverk|arsverk|årsverk)\s+i\s+(?:regnskapsaret|rekneskapsaret)\s*(?:er|:|=)?\s*((?-i:\b[0-9O][0-9O .,-]{0,8}))"),
+    (0, "full_time_equivalents", r"(?i)antall\s+(?:aarsverk|arsverk|årsverk)(?:\s+sysselsatt\s+i\s+regnskapsaret)?\s*(?:er|:|=)?\s*((?-i:\b[0-9O][0-9O .,-]{0,8}))"),
+    (0, "full_time_equivalents", r"(?i)selskapet\s+har(?:\s+[i1]\s+\d{4})?\s+sysselsatt\s+((?-i:\b[0-9O][0-9O .,-]{0,8}))\s+(?:aarsverk|arsverk|årsverk)"),
+    (0, "full_time_equivalents", r"(?i)selskapet\s+har\s+((?-i:\b[0-9O][0-9O .,-]{0,8}))\s+(?:aarsverk|arsverk|årsverk)"),
+    (0, "full_time_equivalents", r"(?i)antall\s+(?:aarsverk|arsverk|årsverk)\s+(?:sysselsatt|syssetsatt)\s+i\s+regnskapsaret\s*(?:er|:|=)?\s*((?-i:\b[0-9O][0-9O .,-]{0,8}))"),
+    (1, "employees", r"(?i)gjennomsnittlig(?:e)?\s+antall\s+ansatte(?:\s+i\s+regnskapsaret)?\s*(?:er|:|=)?\s*((?-i:\b[0-9O][0-9O .,-]{0,8}))"),
+    (1, "employees", r"(?i)antall\s+ansatte\s*(?:er|:|=)?\s*((?-i:\b[0-9O][0-9O .,-]{0,8}))"),
+    (2, "employees", r"(?i)((?-i:\b[0-9O][0-9O .,-]{0,8}))\s+(?:heltids)?ansatte\b"),
 ]
 WORDED = r"(?i)\b(?:det\s+er|selskapet\s+har)\s+(ingen|en|ett|to|tre|fire|fem)\s+ansatte\b"
 ZERO = (
@@ -35,22 +32,23 @@ def _all(text: Column, pattern: str, group: int) -> Column:
 
 
 def number_value(raw: Column) -> Column:
-    """Norwegian number text: comma is the decimal sign, a lone point groups thousands."""
-    clean = F.regexp_replace(F.replace(F.replace(raw, F.lit(" "), F.lit("")), F.lit("O"), F.lit("0")), r"^[.,\-]+|[.,\-]+$", "")
-    no_points = F.replace(clean, F.lit("."), F.lit(""))
-    plain = F.when(F.contains(clean, F.lit(",")), F.replace(no_points, F.lit(","), F.lit("."))).when(clean.rlike(r"\.\d{1,2}$"), clean).otherwise(no_points)
-    value = F.round(plain.try_cast("double"), 2)
-    return F.when(value.between(0, MOST), value)
+    """The number that text states the Norwegian way: blanks and points group digits, a comma is the decimal sign, and so is a point before one or two last digits."""
+    bare = F.regexp_replace(F.translate(raw, "O ", "0"), r"^[.,\-]+|[.,\-]+$", "")
+    # A point before the last one or two digits of a number without comma is read as a comma.
+    marked = F.when(~F.contains(bare, F.lit(",")), F.regexp_replace(bare, r"\.(\d{1,2})$", ",$1")).otherwise(bare)
+    value = F.round(F.translate(marked, ",.", ".").try_cast("double"), 2)
+    return F.when(value >= 0, value)
 
 
 def workforce_from_text(text: Column) -> Column:
     """struct(value, measure, span, status): the best-placed phrase, or why there is none.
 
     Lines about the whole group are blanked first. Phrases of one priority that give
-    different numbers cancel each other.
+    different numbers cancel each other. A number above MOST is no headcount; a text that states nothing else is refused for it.
     """
     body = F.regexp_replace(F.regexp_replace(text, r"[\t\r ]+", " "), GROUP_LINE, "")
-    return let(body, lambda lines: let(_phrases(lines), lambda every: _verdict(lines, every)))
+    plausible = lambda every: F.filter(every, lambda h: h["value"] <= MOST)
+    return let(body, lambda lines: let(_phrases(lines), lambda every: let(plausible(every), lambda kept: _verdict(lines, kept, F.size(kept) < F.size(every)))))
 
 
 def _phrases(body: Column) -> Column:
@@ -74,14 +72,14 @@ def _phrases(body: Column) -> Column:
     return F.array_sort(F.concat(*hits))
 
 
-def _verdict(body: Column, every: Column) -> Column:
+def _verdict(body: Column, every: Column, too_large: Column) -> Column:
     first = F.try_element_at(every, F.lit(1))
-    best = F.filter(every, lambda h: h["priority"] == every[0]["priority"])
+    best = F.filter(every, lambda h: h["priority"] == first["priority"])
     agreed = F.size(F.array_distinct(F.transform(best, lambda h: h["value"]))) == 1
     # The line, or lines, the chosen phrase stands in.
     patterns = [p for _, _, p in PHRASES] + [WORDED, ZERO]
     span = F.coalesce(*[F.when(first["place"] == i, F.trim(F.regexp_extract(body, "[^\\n]*(?:" + p + ")[^\\n]*", 0))) for i, p in enumerate(patterns)])
-    status = F.when(F.size(every) == 0, "no_employee_phrase").when(~agreed, "conflicting_employee_counts").otherwise("accepted")
+    status = F.when((F.size(every) == 0) & too_large, "employee_count_out_of_range").when(F.size(every) == 0, "no_employee_phrase").when(~agreed, "conflicting_employee_counts").otherwise("accepted")
     good = (F.size(every) > 0) & agreed
     return F.struct(
         F.when(good, first["value"]).alias("value"), F.when(good, first["measure"]).alias("measure"), F.when(good, span).alias("span"), status.alias("status")

@@ -266,7 +266,7 @@ def evaluate_answers(specs: DataFrame, answers: DataFrame, unsupported: DataFram
 # ---- cards ----
 
 
-def company_cards(profiles: DataFrame, observations: DataFrame, roles: DataFrame, sites: DataFrame, posts: int = 10, people: int = 30) -> DataFrame:
+def company_cards(profiles: DataFrame, observations: DataFrame, roles: DataFrame, sites: DataFrame, posts: int, people: int) -> DataFrame:
     """One bounded card per entity: header, newest posts and jobs, first roles, site view.
 
     Lists are cut by a rank filter before they are gathered, so a card never grows with

@@ -111,7 +111,7 @@ def queue_inputs(origins: DataFrame, links: DataFrame) -> DataFrame:
     return both.filter(F.lower(F.regexp_replace("url", "/+$", "")) != F.col("_own")).drop("_own")
 
 
-def diverse_links(links: DataFrame, keep: int = 4) -> DataFrame:
+def diverse_links(links: DataFrame, keep: int) -> DataFrame:
     """Second generation: one link per section first, then the rest by section rank, ``keep`` per page."""
     from pyspark.sql import Window as W
 

@@ -164,7 +164,7 @@ def crawl_queue(links: DataFrame, cap: int) -> DataFrame:
     return unique.withColumn("place", place).filter(F.col("place") <= cap).select("org", "place", "x.url", "x.family")
 
 
-def operating_names(profiles: DataFrame, subunits: DataFrame, keep: int = 2) -> DataFrame:
+def operating_names(profiles: DataFrame, subunits: DataFrame, keep: int) -> DataFrame:
     """The ``keep`` distinct subunit names with most staff that are not the parent's own name."""
     def key(column: Column) -> Column:
         return F.array_join(lead_words(column), " ")

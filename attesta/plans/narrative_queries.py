@@ -70,7 +70,12 @@ def _facts(spark, sf):
     profiles = screen_profiles(spark, sf)
     newest = official.normalize_accounts(views.accounts(spark, sf), keep=1).withColumn("period", F.col("period_to").cast("string"))
     none = F.lit(None).cast("string")
-    roles = profiles.limit(0).select("org", F.lit(1).alias("pos"), none.alias("name"), none.alias("holder_org"), none.alias("role"), none.alias("group_name"), F.lit(False).alias("inactive"))
+    supplier, own = table(spark, sf, "supplier"), views.padded(F.col("s_suppkey"))
+    held = F.array(
+        F.struct(F.lit(1).alias("pos"), F.col("s_name").alias("name"), none.alias("holder_org"), F.lit("Styreleder").alias("role"), F.lit(False).alias("inactive")),
+        F.struct(F.lit(2).alias("pos"), none.alias("name"), views.padded(F.col("s_nationkey")).alias("holder_org"), F.when(F.col("s_acctbal") > 5000, "Regnskapsfører").alias("role"), (F.col("s_acctbal") < 0).alias("inactive")),
+    )
+    roles = supplier.select(own.alias("org"), F.inline(held), F.lit("Andre roller").alias("group_name"))
     locations = table(spark, sf, "orders").select(views.padded(F.col("o_custkey")).alias("org"), views.padded(F.col("o_orderkey")).alias("subunit_org"), F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("name"))
     links = F.array().cast("array<struct<platform:string,url:string>>")
     sites = profiles.filter("website IS NOT NULL").select("org", (F.col("annual_result") > 7000).alias("publishable"), F.col("name").alias("description"), links.alias("links"))
@@ -81,13 +86,14 @@ def _facts(spark, sf):
 
 
 def _questions(profiles):
-    """One question per profile, on a topic chosen by its legal form."""
+    """Two questions per profile: on a topic chosen by its legal form, and on its roles."""
     form = F.col("legal_form")
     text = (
         F.when(form == "AS", "What revenue did it report?").when(form == "BRL", "Where is it located?").when(form == "ASA", "Any news or reviews?")
         .when(form == "ENK", "How many employees are there?").otherwise("Tell me about sentiment")
     )
-    return profiles.select(F.concat(F.lit("q"), "org").alias("qid"), "org", text.alias("question"))
+    asked = F.array(F.struct(F.concat(F.lit("q"), "org").alias("qid"), text.alias("question")), F.struct(F.concat(F.lit("r"), "org").alias("qid"), F.lit("Who has a leading role?").alias("question")))
+    return profiles.select("org", F.inline(asked)).select("qid", "org", "question")
 
 
 ANSWER_SQL = f"""
@@ -106,7 +112,12 @@ fx AS (
 """
 
 
-@bind("answer_questions", "D24", ANSWER_SQL + "SELECT 'q' || org AS qid, topic, claim, value FROM fx")
+ROLES_SQL = """, ro AS (SELECT 'r' || org AS qid, org, 'roles' AS topic, claim, value FROM (SELECT lpad(s_suppkey::VARCHAR, 9, '0') AS org, 'Styreleder' AS claim, s_name AS value FROM supplier
+  UNION ALL SELECT lpad(s_suppkey::VARCHAR, 9, '0'), CASE WHEN s_acctbal > 5000 THEN 'Regnskapsfører' ELSE 'Andre roller' END, lpad(s_nationkey::VARCHAR, 9, '0') FROM supplier WHERE s_acctbal >= 0) JOIN profiles USING (org))
+"""
+
+
+@bind("answer_questions", "D24", ANSWER_SQL + ROLES_SQL + "SELECT 'q' || org AS qid, topic, claim, value FROM fx UNION ALL SELECT qid, topic, claim, value FROM ro")
 def answer_questions(spark, sf):
     facts, _, profiles = _facts(spark, sf)
     answers = op.answer_questions(_questions(profiles), facts)
@@ -117,7 +128,8 @@ def answer_questions(spark, sf):
     "unsupported_answers",
     "D24",
     ANSWER_SQL
-    + """SELECT 'q' || org AS qid, 'sentiment' AS topic FROM profiles WHERE legal_form = 'NUF' UNION ALL SELECT 'q' || org, 'external' FROM profiles WHERE legal_form = 'ASA' AND org NOT IN (SELECT org FROM fx WHERE topic = 'external')
+    + ROLES_SQL
+    + """SELECT 'r' || org AS qid, 'roles' AS topic FROM profiles WHERE org NOT IN (SELECT org FROM ro) UNION ALL SELECT 'q' || org AS qid, 'sentiment' AS topic FROM profiles WHERE legal_form = 'NUF' UNION ALL SELECT 'q' || org, 'external' FROM profiles WHERE legal_form = 'ASA' AND org NOT IN (SELECT org FROM fx WHERE topic = 'external')
 UNION ALL SELECT 'q' || org, 'locations' FROM profiles WHERE legal_form = 'BRL' AND org NOT IN (SELECT org FROM fx WHERE topic = 'locations') UNION ALL SELECT 'q' || org, 'financials' FROM profiles WHERE legal_form = 'AS' AND org NOT IN (SELECT org FROM latest)""",
 )
 def unsupported_answers(spark, sf):
@@ -133,14 +145,16 @@ def unsupported_answers(spark, sf):
 t AS (SELECT org, count(*) AS n, count(DISTINCT platform) AS p FROM k GROUP BY org),
 r AS (SELECT *, row_number() OVER (PARTITION BY org, signal_type ORDER BY retrieved_at DESC, id) AS place FROM k WHERE signal_type IN ('public_post', 'job_posting')),
 l AS (SELECT org, string_agg(id, ',' ORDER BY place) FILTER (signal_type = 'public_post') AS posts, string_agg(id, ',' ORDER BY place) FILTER (signal_type = 'job_posting') AS jobs FROM r WHERE place <= 10 GROUP BY org)
-SELECT p.org, bankrupt OR liquidating AS adverse, coalesce(t.n, 0) AS observations, coalesce(t.p, 0) AS platforms, coalesce(l.posts, '') AS posts, coalesce(l.jobs, '') AS jobs,
-  CASE WHEN website IS NOT NULL THEN revenue <= 7000 END AS site_quarantined FROM profiles p LEFT JOIN t USING (org) LEFT JOIN l USING (org)""",
+SELECT p.org, bankrupt OR liquidating AS adverse, coalesce(t.n, 0) AS observations, coalesce(t.p, 0) AS platforms, coalesce(l.posts, '') AS posts, coalesce(l.jobs, '') AS jobs, coalesce(w.people, '') AS people,
+  CASE WHEN website IS NOT NULL THEN revenue <= 7000 END AS site_quarantined FROM profiles p LEFT JOIN t USING (org) LEFT JOIN l USING (org)
+LEFT JOIN (SELECT org, string_agg('Person ' || event_id, ',' ORDER BY event_id) AS people FROM (SELECT lpad(user_id::VARCHAR, 9, '0') AS org, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events WHERE event_type = 'signup') WHERE place <= 30 GROUP BY org) w USING (org)""",
 )
 def company_cards(spark, sf):
     profiles = views.profiles(spark, sf)
-    none = F.lit(None).cast("string")
-    roles = profiles.limit(0).select("org", F.lit(1).alias("pos"), none.alias("name"), none.alias("role_code"))
+    events = table(spark, sf, "events").filter("event_type = 'signup'")
+    roles = events.select(views.padded(F.col("user_id")).alias("org"), F.col("event_id").alias("pos"), F.concat(F.lit("Person "), F.col("event_id").cast("string")).alias("name"), F.lit("LEDE").alias("role_code"))
     sites = profiles.filter("website IS NOT NULL").select("org", (F.col("revenue") > 7000).alias("publishable"), F.col("name").alias("title"))
-    cards = op.company_cards(profiles, views.observations(spark, sf), roles, sites)
+    cards = op.company_cards(profiles, views.observations(spark, sf), roles, sites, posts=10, people=30)
     ids = lambda c: F.coalesce(F.array_join(F.transform(c, lambda x: x["id"]), ","), F.lit(""))
-    return cards.select("org", "adverse", "observations", "platforms", ids("posts").alias("posts"), ids("jobs").alias("jobs"), "site_quarantined")
+    people = F.coalesce(F.array_join(F.transform("roles", lambda x: x["name"]), ","), F.lit(""))
+    return cards.select("org", "adverse", "observations", "platforms", ids("posts").alias("posts"), ids("jobs").alias("jobs"), people.alias("people"), "site_quarantined")

@@ -32,25 +32,26 @@ def harvest_links(spark, sf):
     return op.harvest_links(table(spark, sf, "pages"), "page_id").select("page_id", "pos", "link", "score")
 
 
+FAMILY_WORDS = [["karriere", "career", "stilling", "jobb", "job", "ledige", "vacan"], ["nyhet", "news", "aktuelt", "presse", "press", "blog"], ["kontakt", "contact", "om-oss", "about"]]
+
+
 @bind(
     "crawl_queue",
     "E11",
-    f"""WITH {LINK_SQL}, fam AS (SELECT page_id::VARCHAR AS org, pos, link AS url, CASE WHEN length(link) % 4 = 0 THEN 'career' WHEN length(link) % 4 = 1 THEN 'news' WHEN length(link) % 4 = 2 THEN 'contact' ELSE 'link' END AS family FROM hv),
+    f"""WITH {LINK_SQL}, fam AS (SELECT page_id::VARCHAR AS org, pos, link AS url, CASE WHEN {_any("lower(link)", FAMILY_WORDS[0])} THEN 'career' WHEN {_any("lower(link)", FAMILY_WORDS[1])} THEN 'news' WHEN {_any("lower(link)", FAMILY_WORDS[2])} THEN 'contact' ELSE 'link' END AS family FROM hv),
 g AS (SELECT page_id::VARCHAR AS org, i AS pos, regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) || p AS url, f AS family FROM pages, (VALUES ('career', '/karriere', 0), ('career', '/careers', 1), ('career', '/stillinger', 2), ('career', '/jobb', 3), ('career', '/ledige-stillinger', 4),
   ('news', '/nyheter', 0), ('news', '/aktuelt', 1), ('news', '/presse', 2), ('news', '/news', 3), ('news', '/blogg', 4), ('contact', '/kontakt', 0), ('contact', '/om-oss', 1), ('contact', '/contact', 2), ('contact', '/about', 3)) t(f, p, i)),
-b AS (SELECT *, 0 AS guess FROM fam UNION ALL SELECT org, pos, url, family, 1 FROM g), r AS (SELECT *, row_number() OVER (PARTITION BY org, family ORDER BY guess, pos, url) AS rk, CASE family WHEN 'career' THEN 0 WHEN 'news' THEN 1 WHEN 'contact' THEN 2 ELSE 3 END AS turn FROM b),
+og AS (SELECT page_id::VARCHAR AS org, lower(regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1)) AS own FROM pages),
+b AS (SELECT a.* FROM (SELECT *, 0 AS guess FROM fam UNION ALL SELECT org, pos, url, family, 1 FROM g) a JOIN og USING (org) WHERE lower(regexp_replace(url, '/+$', '')) <> own), r AS (SELECT *, row_number() OVER (PARTITION BY org, family ORDER BY guess, pos, url) AS rk, CASE family WHEN 'career' THEN 0 WHEN 'news' THEN 1 WHEN 'contact' THEN 2 ELSE 3 END AS turn FROM b),
 u AS (SELECT org, lower(regexp_replace(url, '/+$', '')) AS key, arg_min(url, (turn = 3, rk, turn)) AS url, arg_min(family, (turn = 3, rk, turn)) AS family, min((turn = 3, rk, turn)) AS o FROM r GROUP BY ALL)
 SELECT org, place, url, family FROM (SELECT *, row_number() OVER (PARTITION BY org ORDER BY o, key) AS place FROM u) WHERE place <= 6""",
 )
 def crawl_queue(spark, sf):
     pages = table(spark, sf, "pages")
     found = op.harvest_links(pages, "page_id")
-    left = F.length("link") % 4
-    family = F.when(left == 0, "career").when(left == 1, "news").when(left == 2, "contact").otherwise("link")
-    own = found.select(F.col("page_id").cast("string").alias("org"), F.col("link").alias("url"), family.alias("family"), F.lit(True).alias("harvested"), F.col("pos").cast("int").alias("pos"))
+    own = found.select(F.col("page_id").cast("string").alias("org"), "link", "pos")
     origins = pages.select(F.col("page_id").cast("string").alias("org"), F.regexp_extract("url", "^([a-zA-Z]+://[^/?#]*)", 1).alias("origin"))
-    none = own.limit(0).select("org", F.col("url").alias("link"), "pos")
-    return ranking.crawl_queue(own.unionByName(op.queue_inputs(origins, none)), cap=6)
+    return ranking.crawl_queue(op.queue_inputs(origins, own), cap=6)
 
 
 def _events(spark, sf):
@@ -211,7 +212,7 @@ def diverse_links(spark, sf):
     found = op.harvest_links(pages, "page_id")
     words = F.array(*[F.lit(w) for w in ("kontakt", "jobs", "news", "about", "team")])
     renamed = F.concat("link", F.lit("/"), F.element_at(words, (F.length("link") % 5 + 1).cast("int")))
-    return op.diverse_links(found.select(F.col("page_id").cast("string").alias("org"), renamed.alias("link"), F.lit("").alias("anchor")))
+    return op.diverse_links(found.select(F.col("page_id").cast("string").alias("org"), renamed.alias("link"), F.lit("").alias("anchor")), keep=4)
 
 
 @bind(

@@ -93,7 +93,7 @@ def operating_names(spark, sf):
     org = views.padded(F.col("p_size")).alias("org")
     parents = part.groupBy(org).agg(F.concat(F.min_by("p_name", "p_partkey"), F.lit(" AS")).alias("name"))
     units = part.select(org.alias("parent_org"), F.col("p_name").alias("name"), F.floor(F.col("p_retailprice") / 10).alias("employees"))
-    return op.operating_names(parents, units)
+    return op.operating_names(parents, units, keep=2)
 
 
 @bind(

@@ -216,7 +216,7 @@ l AS (SELECT p_partkey, ['https://' || j || '.no/', 'https://' || j || '.com/',
 
 @bind("domain_guesses", "G13", f"WITH {GUESS_SQL} SELECT p_partkey, array_to_string(u, ' ') AS guesses FROM l")
 def domain_guesses(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", F.array_join(labels.domain_guesses(F.concat("p_name", F.lit(" AS")), F.lit("Oslo")), " ").alias("guesses"))
+    return table(spark, sf, "part").select("p_partkey", F.array_join(labels.domain_guesses(F.concat("p_name", F.lit(" AS")), F.lit("Oslo"), 14), " ").alias("guesses"))
 
 
 @bind(
