@@ -177,8 +177,8 @@ def test_needs_ocr(value):
 
 
 def test_fuzzy_ratio(spark):
-    rows = spark.createDataFrame([("alfa bygg", "alfa bygg"), ("alfa", "beta"), (None, None)], "a string, b string")
-    assert [round(r[0], 3) for r in rows.select(text.fuzzy_ratio("a", "b")).collect()] == [1.0, 0.25, 1.0]
+    rows = spark.createDataFrame([("alfa bygg", "alfa bygg"), ("alfa", "beta"), (None, None), ("", "")], "a string, b string")
+    assert [r[0] and round(r[0], 3) for r in rows.select(text.fuzzy_ratio("a", "b")).collect()] == [1.0, 0.25, None, 1.0]
 
 
 def test_polarity(value):
