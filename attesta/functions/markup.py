@@ -124,7 +124,7 @@ def extract_contacts(html: Column) -> list[Column]:
 # ---- JSON-LD ----
 
 NODE = "array<struct<path: array<int>, v: variant>>"
-LEVELS = 12  # of nesting walked in one pass
+LEVELS = 8  # of nesting walked in one pass
 
 
 def jsonld_scripts(html: Column) -> Column:
