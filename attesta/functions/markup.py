@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from attesta.functions.text import digits, let, valid_org_numbers
+from attesta.functions.text import digits, let
 from attesta.functions.urls import SOCIAL_URL, normalize_social_url
 from attesta.session import stored
 
@@ -112,15 +112,6 @@ def social_links(html: Column) -> Column:
     return F.array_distinct(F.array_compact(F.transform(likely, lambda u: normalize_social_url(unescape(u)))))
 
 
-def extract_contacts(html: Column) -> list[Column]:
-    text = strip_tags(html)
-    hay = F.concat(text, F.lit("\n"), html)
-    return [
-        emails(hay).alias("emails"), phones(text).alias("phones"), social_links(html).alias("social_links"),
-        F.array_sort(valid_org_numbers(hay)).alias("organisation_numbers"),
-    ]
-
-
 # ---- JSON-LD ----
 
 NODE = "array<struct<path: array<int>, v: variant>>"
@@ -195,13 +186,3 @@ def node_has_type(*names: str) -> Column:
 
 
 ORGANISATION_TYPES = ["Organization", "Corporation", "LocalBusiness", "Store", "Restaurant"]
-
-
-def organisation_struct(node: Column) -> Column:
-    identifier = F.coalesce(F.get_json_object(node, "$.identifier.value"), F.get_json_object(node, "$.identifier"))
-    return F.struct(
-        F.get_json_object(node, "$.name").alias("name"), F.get_json_object(node, "$.legalName").alias("legal_name"),
-        F.get_json_object(node, "$.alternateName").alias("alternate_name"),
-        F.coalesce(F.get_json_object(node, "$.url"), F.get_json_object(node, "$['@id']")).alias("url"),
-        F.get_json_object(node, "$.taxID").alias("tax_id"), F.get_json_object(node, "$.vatID").alias("vat_id"), identifier.alias("identifier"),
-    )

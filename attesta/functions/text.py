@@ -133,10 +133,6 @@ def exact_name_tokens(name: Column) -> Column:
     return _without(words(name), [w for w in lx.OWNER_GENERIC if w not in ("b", "v")])
 
 
-def search_tokens(text: Column) -> Column:
-    return long_words(text)
-
-
 def lead_words(text: Column, double: bool = False) -> Column:
     found = F.regexp_extract_all(fold_lead(text, double), F.lit("([a-z0-9]+)"), F.lit(1))
     return _without(found, lx.LEAD_LEGAL + ["og", "and", "the"])

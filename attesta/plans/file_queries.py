@@ -6,13 +6,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from attesta.operators import claims as claim_op
+from attesta.functions import labels
+from attesta.operators import claims as claim_op, observations
 from attesta.plans import views
 from attesta.plans.catalog import bind, table
 from attesta.plans.claim_queries import BEST_SQL, _held
 from attesta.plans.views import ACCOUNTS_SQL, PROFILES_SQL
 from attesta.session import checkpoint_folder
-from attesta.sources import captures, official, registry
+from attesta.sources import captures, feeds, official, registry
 
 
 def _fresh(spark, name):
@@ -121,3 +122,60 @@ def written_envelopes(spark, sf):
     headers = spark.read.schema("org string, disposition string, total long").json(f"{folder}/headers")
     body = spark.read.schema("org string, disposition string, place long, claim struct<claim_key:string,availability:string>").json(f"{folder}/claims")
     return body.join(headers, ["org", "disposition"]).select("org", "claim.claim_key", "claim.availability", "place", "total")
+
+
+@bind(
+    "subunit_file",
+    "A1 A3",
+    "SELECT lpad(o_orderkey::VARCHAR, 9, '0') AS subunit_org, lpad(o_custkey::VARCHAR, 9, '0') AS parent_org, 'Enhet ' || o_orderkey AS name, CASE WHEN o_orderkey % 4 > 0 THEN (o_orderkey % 90)::INTEGER END AS employees FROM orders WHERE o_orderstatus <> 'P'",
+)
+def subunit_file(spark, sf):
+    """Orders as the subunit export: separated files with quoted names; pending ones have no usable parent."""
+    folder, key = _fresh(spark, "subunits"), F.col("o_orderkey")
+    parent = F.when(F.col("o_orderstatus") == "P", F.col("o_custkey").cast("string")).otherwise(views.padded(F.col("o_custkey")))
+    parent = F.when(F.col("o_orderstatus") == "P", F.substring(parent, 1, 8)).otherwise(parent)
+    rows = table(spark, sf, "orders").select(
+        views.padded(key).alias("Organisasjonsnummer"), parent.alias("Overordnet enhet"), F.concat(F.lit("Enhet "), key.cast("string")).alias("Navn"), F.when(key % 4 > 0, key % 90).cast("string").alias("Antall ansatte")
+    )
+    rows.write.option("header", True).option("sep", ",").option("quoteAll", True).csv(folder)
+    return registry.build_subunit_table(registry.read_subunits(spark, folder)).select("subunit_org", "parent_org", "name", "employees")
+
+
+@bind("filing_years", "A14", "SELECT lpad(o_custkey::VARCHAR, 9, '0') AS org, year(o_orderdate)::VARCHAR AS year FROM orders")
+def filing_years(spark, sf):
+    """Customers' order years as the answer of the filing register, a list each."""
+    years = table(spark, sf, "orders").groupBy("o_custkey").agg(F.collect_list(F.year("o_orderdate").cast("string")).alias("years"))
+    return official.filing_years(years.select(views.padded(F.col("o_custkey")).alias("org"), F.to_json("years").alias("body")))
+
+
+@bind(
+    "subunit_rows",
+    "A12",
+    "SELECT lpad(o_custkey::VARCHAR, 9, '0') AS parent_org, lpad(o_orderkey::VARCHAR, 9, '0') AS subunit_org, 'Enhet ' || o_orderkey AS name, (o_orderkey % 90)::INTEGER AS employees, 'www.enhet-' || o_orderkey || '.no' AS website FROM orders",
+)
+def subunit_rows(spark, sf):
+    """Orders as the subunits of a customer's answer, read back into rows."""
+    key = F.col("o_orderkey")
+    unit = F.struct(
+        views.padded(key).alias("organisasjonsnummer"), F.concat(F.lit("Enhet "), key.cast("string")).alias("navn"), (key % 90).cast("int").alias("antallAnsatte"),
+        F.concat(F.lit("www.enhet-"), key.cast("string"), F.lit(".no")).alias("hjemmeside"),
+    )
+    body = F.to_json(F.struct(F.struct(F.array(unit).alias("underenheter")).alias("_embedded")))
+    answers = table(spark, sf, "orders").select(views.padded(F.col("o_custkey")).alias("org"), body.alias("body"))
+    return official.subunit_rows(answers).select("parent_org", "subunit_org", "name", "employees", "website")
+
+
+@bind("discovery_query", "G18", f"""WITH {PROFILES_SQL} SELECT org, '"' || name || '" ' || org || ' ' || municipality AS query FROM profiles""")
+def discovery_query(spark, sf):
+    p = views.profiles(spark, sf)
+    return p.select("org", labels.discovery_query(F.concat(F.lit(" "), F.replace("name", F.lit(" "), F.lit("  "))), F.concat(F.substring("org", 1, 3), F.lit(" "), F.substring("org", 4, 6)), F.col("municipality")).alias("query"))
+
+
+@bind("duplicate_ids", "D9", "SELECT o_custkey::VARCHAR AS id, count(*) AS copies FROM orders GROUP BY 1 HAVING count(*) > 1")
+def duplicate_ids(spark, sf):
+    return observations.duplicate_ids(table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("id")))
+
+
+@bind("map_priority", "A9", "SELECT page_id, CASE WHEN regexp_matches(lower(url), 'news|nyhet|post|artik|blog|press|aktuelt') THEN 0 ELSE 1 END AS priority FROM pages")
+def map_priority(spark, sf):
+    return views.pages(spark, sf).select("page_id", feeds.map_priority(F.col("url")).alias("priority"))

@@ -295,7 +295,3 @@ def seed_coverage(sources: dict[str, DataFrame]) -> DataFrame:
         columns.append(F.count_if(F.col("mask").bitwiseAND(1 << bit) != 0).alias(f"in_{name}"))
         columns.append(F.count_if(F.col("mask") == (1 << bit)).alias(f"only_{name}"))
     return masks.agg(*columns)
-
-
-def free_mail_hosts() -> Column:
-    return lit_strings(lx.FREE_MAIL_HOSTS)
