@@ -204,9 +204,11 @@ class Pieces:
         return self.joined(ids).replace(MARK, " ")[1:]
 
     def joined(self, ids) -> str:
-        texts = [self.text_of[i] for i in ids]
-        if not any(isinstance(t, int) for t in texts):
-            return "".join(t or "" for t in texts)
+        texts = list(map(self.text_of.__getitem__, ids))
+        try:
+            return "".join(texts)
+        except TypeError:
+            pass  # there are byte pieces or control ids
         out, raw = [], bytearray()
         for t in texts:
             if isinstance(t, int):
