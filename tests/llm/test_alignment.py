@@ -112,7 +112,7 @@ def test_parts_against_whole_texts(whole, monkeypatch, window, known):
         assert (n_a, n_b) == (sum(len(a) for a, _, _ in want), sum(len(b) for _, b, _ in want))
 
 
-@pytest.mark.parametrize("block", [1, 50, 1 << 22])
+@pytest.mark.parametrize("block", [3, 1 << 22])
 def test_odd_rows_in_blocks(session, whole, monkeypatch, block):
     monkeypatch.setattr(alignment, "BLOCK", block)
     rows = list(enumerate(ODD)) + [(None, "no id here"), (3, "a b a b"), (3, "a b a b"), (900, " ".join(["the long text"] * 4000))]
