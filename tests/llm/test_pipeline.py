@@ -22,7 +22,14 @@ def passes(t):
     n, chars, symbols, _, covered = plain_measures(t)
     lines = [x for x in (t or "").split("\n") if SPACE.search(x)]
     again = sum(len(SPACE.findall(x)) for k, x in enumerate(lines) if x in lines[:k])
-    return n >= 50 and symbols * 10 <= n and n * 2 <= chars <= n * 12 and again * 5 <= n and len(re.findall("[A-Z]{2,}", t)) * 10 <= n * 3 and covered * 2 <= n
+    lines = [x for x in t.split("\n") if SPACE.search(x)]
+    repeats = len(lines) - len(set(lines))
+    shouted = len(re.findall("[A-Z]{2,}", t))
+    once = plain_measures("\n".join(dict.fromkeys(t.split("\n"))))[4]
+    words = SPACE.findall(t)
+    beside = sum(a == b for a, b in zip(words, words[1:])) if n < 50 else 0
+    sound = n > 0 and symbols * 10 <= n and n * 2 <= chars <= n * 12 and not (repeats >= 3 and again * 5 > n) and not (shouted >= 4 and shouted * 10 > n * 3)
+    return sound and once * 2 <= n and not (beside >= 3 and beside * 4 > n)
 
 
 def hidden(t):
