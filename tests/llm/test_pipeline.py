@@ -19,7 +19,8 @@ KINDS = ("EMAIL", "IP", "CARD", "PHONE")
 
 
 def passes(t):
-    n, chars, symbols, _, covered = plain_measures(t)
+    t = t or ""
+    n, chars, symbols, _, _ = plain_measures(t)
     lines = [x for x in (t or "").split("\n") if SPACE.search(x)]
     again = sum(len(SPACE.findall(x)) for k, x in enumerate(lines) if x in lines[:k])
     lines = [x for x in t.split("\n") if SPACE.search(x)]
