@@ -160,7 +160,9 @@ def read_manifest(spark: SparkSession, path: str, strict: bool = False) -> DataF
     parsed = lines.withColumn("v", F.try_parse_json("text"))
     wrapped = [F.try_variant_get("v", f"$.{k}", "array<variant>") for k in LIST_KEYS]
     items = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), *wrapped, F.array("v"))
-    rows = parsed.select("line", "text", F.posexplode(items).alias("place", "item"))
+    # Only a line that is no JSON is read as text; the text of a list would come with each of its entries.
+    opened = parsed.select("line", F.when(F.col("v").isNull(), F.col("text")).alias("text"), items.alias("items"))
+    rows = opened.select("line", "text", F.posexplode("items").alias("place", "item"))
 
     fields = [F.nullif(F.try_variant_get("item", f"$.{k}", "string"), F.lit("")) for k in ORG_KEYS]
     names = [F.nullif(F.try_variant_get("item", f"$.{k}", "string"), F.lit("")) for k in NAME_KEYS]

@@ -221,3 +221,12 @@ def test_bodies_are_fetched_by_row_without_a_shuffle(spark, tmp_path):
     assert sorted(r.body for r in found.collect()) == [f"body {k}" for k in range(7)]
     assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.body for r in captures.new_captures(spark.read.parquet(path), captures.capture_rows(spark.read.parquet(path).filter("html > 'body 2'"), "html"), "html").collect()) == ["body 0", "body 1", "body 2"]
+
+
+def test_the_text_of_a_list_is_not_copied_to_its_entries(spark, tmp_path):
+    (tmp_path / "m").write_text('[{"orgnr": "100000001", "name": "A"}, "100000002"]\n100000003,C\n')
+    read = registry.read_manifest(spark, str(tmp_path / "m"))
+    assert sorted((r.org, r.name) for r in read.collect()) == [("100000001", "A"), ("100000002", None), ("100000003", "C")]
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Generate posexplode"):]
+    assert "isnull(v#" in below and "isnull(v#" not in plan[: plan.index("Generate posexplode")]  # the choice is made before a line is split
