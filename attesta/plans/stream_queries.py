@@ -86,7 +86,7 @@ def resume_pending(spark, sf):
     return pending(views.profiles(spark, sf), _modules(spark, sf), ["view", "signup"], priority="revenue").select("org", "revenue")
 
 
-EVERY = 400
+EVERY, TICKS = 400, 12
 
 
 @bind(
@@ -99,7 +99,7 @@ SELECT org, legal_form, CAST(place AS BIGINT) AS place, CAST((place - 1) // {EVE
 def resume_run(spark, sf):
     """A run over the pending entities in priority order that is stopped after a step and started again."""
     waiting = pending(views.profiles(spark, sf), _modules(spark, sf), ["view", "signup"], priority="revenue")
-    run = ResumableRun(spark, _fresh(spark, "resume"), EVERY)
+    run = ResumableRun(spark, _fresh(spark, "resume"), EVERY, TICKS)
     run.enqueue(waiting.select("org", "legal_form", "order_key"))
     process = lambda rows: rows.select("org", "legal_form", F.col("place").cast("long").alias("place"), "step")
     run.run(process, most=1)

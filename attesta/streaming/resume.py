@@ -35,13 +35,16 @@ class GoalReached(Exception):
 class ResumableRun:
     """A queue of entities in priority order, processed a step of ``every`` entities at a time.
 
-    The queue is written once, a folder per step. A stream ticks one step per micro-batch; its checkpoint is the place the run has
-    reached. A step reads its own folder and writes its own result folder, so the queue is scanned once in all, a stopped run goes on
-    where it was, and the step it was in is written again and not twice.
+    The queue is written once, a folder per tick. A stream takes one tick per micro-batch; its checkpoint is the place the run has
+    reached. A tick reads its own folder and writes its own result folder, so the queue is scanned once in all, a stopped run goes on
+    where it was, and the tick it was in is written again and not twice.
+
+    A tick is one step. With ``ticks`` the queue is dealt into at most so many ticks of as many whole steps each, so that a long queue
+    costs no more micro-batches than a short one; steps are then counted in ticks throughout.
     """
 
-    def __init__(self, spark: SparkSession, path: str, every: int):
-        self.spark, self.path, self.every = spark, path.rstrip("/"), every
+    def __init__(self, spark: SparkSession, path: str, every: int, ticks: int | None = None):
+        self.spark, self.path, self.every, self.ticks = spark, path.rstrip("/"), every, ticks
 
     def enqueue(self, waiting: DataFrame) -> None:
         """Write the queue from rows with an ``order_key``; a run that has its queue keeps it."""
@@ -51,9 +54,12 @@ class ResumableRun:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             placed = number_within(waiting, [], ["order_key"], "place").withColumn("step", F.floor((F.col("place") - 1) / self.every).cast("long"))
-            placed.drop("order_key").write.mode("overwrite").partitionBy("step").parquet(f"{self.path}/queue")
-            last = 0 if waiting.isEmpty() else self.spark.read.parquet(f"{self.path}/queue").agg(F.max("step")).first()[0] + 1
-            self.spark.range(last).write.parquet(f"{self.path}/steps")  # written last: a queue that broke off is written again
+            last = placed.agg(F.max("step")).first()[0]
+            steps = 0 if last is None else last + 1
+            together = 1 if self.ticks is None else max(1, -(-steps // self.ticks))
+            ticked = placed.drop("order_key").withColumn("tick", F.floor(F.col("step") / together).cast("long"))
+            ticked.write.mode("overwrite").partitionBy("tick").parquet(f"{self.path}/queue")
+            self.spark.range(-(-steps // together)).write.parquet(f"{self.path}/steps")  # written last: a queue that broke off is written again
 
     def steps(self) -> int:
         """How many steps the queue has."""
@@ -73,7 +79,7 @@ class ResumableRun:
             if batch_id >= goal:
                 # Failing the batch keeps it out of the checkpoint, so its step is the first of the next run.
                 raise GoalReached(f"step {batch_id} is left for another run")
-            rows = self.spark.read.parquet(f"{self.path}/queue").filter(F.col("step") == batch_id)
+            rows = self.spark.read.parquet(f"{self.path}/queue/tick={batch_id}")
             write_batch(process(rows), f"{self.path}/results", batch_id)
             write_batch(self.spark.range(batch_id, batch_id + 1).coalesce(1), f"{self.path}/done", batch_id)
 

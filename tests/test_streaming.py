@@ -178,6 +178,18 @@ def test_a_stopped_run_goes_on_in_priority_order(spark, tmp_path):
     assert [r.org for r in found] == wanted and [r.step for r in found] == [k // 8 for k in range(50)]
 
 
+def test_a_long_queue_takes_no_more_ticks(spark, tmp_path):
+    waiting = spark.range(1000).select(F.col("id").cast("string").alias("org"), F.struct(F.col("id").alias("p")).alias("order_key"))
+    run = ResumableRun(spark, str(tmp_path / "run"), every=8, ticks=3)
+    run.enqueue(waiting)
+    process = lambda rows: rows.select("org", "place", "step")
+    assert run.steps() == 3 and run.run(process, most=1) == 1
+    assert run.results("org string, place long, step long").agg(F.max("step")).first()[0] == 41  # whole steps
+    assert run.run(process) == 3
+    found = run.results("org string, place long, step long").orderBy("place").collect()
+    assert [(r.org, r.place, r.step) for r in found] == [(str(k), k + 1, k // 8) for k in range(1000)]
+
+
 def test_an_empty_queue_is_done(spark, tmp_path):
     run = ResumableRun(spark, str(tmp_path / "run"), every=8)
     run.enqueue(spark.createDataFrame([], "org string, order_key struct<p:int,o:string>"))
