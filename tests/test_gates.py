@@ -172,6 +172,18 @@ def test_places_follow_their_channels(spark):
     assert resolve.resolve_places(resolve.assess_places(profiles, tied)).first().status == "ambiguous_exact_match"
 
 
+def test_a_shared_word_at_one_address_is_no_key(spark):
+    names = spark.range(200).select(F.col("id").cast("string").alias("k"), F.concat(F.lit("Maskin unit7 kust"), "id").alias("name"))
+    profiles = names.select(
+        "k", "name", F.lit(None).cast("string").alias("street"), F.lit("7011").alias("postcode"), F.lit(None).cast("string").alias("city"), F.lit(None).cast("string").alias("phone"),
+        F.lit(None).cast("string").alias("site")).withColumnRenamed("k", "org")
+    places = names.select(
+        F.concat(F.lit("p"), "k").alias("place_id"), F.col("name").alias("title"), F.lit("Storgata 1, 7011 Trondheim").alias("address"), F.lit(None).cast("string").alias("phone"),
+        F.lit(None).cast("string").alias("web_site"), F.lit(1).alias("review_count"))
+    found = resolve.candidate_places(profiles, places)
+    assert sorted((r.org, r.place_id) for r in found.collect()) == sorted((str(k), f"p{k}") for k in range(200))
+
+
 def test_keys_find_every_place_that_all_pairs_find(spark):
     generator = random.Random(12)
     pick = lambda *values: generator.choice(values)
