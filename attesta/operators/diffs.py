@@ -20,9 +20,9 @@ def unpivot_fields(profiles: DataFrame, fields: dict[str, Column]) -> DataFrame:
 
 def membership_difference(previous: DataFrame, current: DataFrame) -> DataFrame:
     """Entities in one snapshot only."""
-    old, new = previous.select("org").distinct(), current.select("org").distinct()
-    gone = old.join(new, "org", "left_anti").withColumn("side", F.lit("previous_only"))
-    return gone.unionAll(new.join(old, "org", "left_anti").withColumn("side", F.lit("current_only")))
+    both = previous.select("org", F.lit(False).alias("new")).unionAll(current.select("org", F.lit(True).alias("new")))
+    seen = both.groupBy("org").agg(F.bool_or("new").alias("new"), F.bool_or(~F.col("new")).alias("old"))
+    return seen.filter("old <> new").select("org", F.when(F.col("old"), "previous_only").otherwise("current_only").alias("side"))
 
 
 def require_same_membership(previous: DataFrame, current: DataFrame) -> None:

@@ -34,3 +34,12 @@ def captured_again(tmp_path_factory):
 def test_captures_of_one_address_are_pages_of_their_own(spark, captured_again, name):
     report = compare(spark, oracle(captured_again), CATALOG[name], captured_again)
     assert report["status"] == "match" and report["rows"], report
+
+
+def test_membership_reads_no_facts(spark):
+    from attesta.operators import diffs
+
+    old, new = (spark.createDataFrame([(o,) for o in rows], "org string") for rows in (["1", "1", "2", "3"], ["2", "2", "4"]))
+    assert sorted(tuple(r) for r in diffs.membership_difference(old, new).collect()) == [("1", "previous_only"), ("3", "previous_only"), ("4", "current_only")]
+    plan = CATALOG["membership_difference"].run(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 and "Generate" not in plan and "max_by" not in plan  # each snapshot once, entities only
