@@ -37,8 +37,8 @@ SELECT uuid, business_name, url, CASE WHEN business_name = 'error' THEN 'INACTIV
 START, LOADS, LOAD_DAYS, FEED_WINDOW = "2024-01-01", 5, 6, "11 days"  # the last read is 11 days after SINCE
 
 
-def _loads(spark, sf, folder):
-    """The events as reads of a feed, one file each: late entries, repeated ones, and one read that broke off before its retry."""
+def _loads(spark, sf):
+    """The events as numbered reads of a feed: late entries, repeated ones, and one read that broke off before its retry."""
     rows = _entries(table(spark, sf, "events").withColumn("k", views.props_k(F.col("props"))))
     own = F.floor(F.datediff("modified", F.lit(START)) / LOAD_DAYS).cast("int") + F.when(F.col("arrival") % 7 == 0, 1).otherwise(0)
     load = F.least(F.lit(LOADS - 1), own)
@@ -47,26 +47,24 @@ def _loads(spark, sf, folder):
     # The broken read: half of one load, as versions that must never be seen.
     broken = placed.filter((F.col("load") == 2) & (F.col("arrival") % 2 == 0)).withColumns({"complete": F.lit(False), "status": F.lit("inactive"), "modified": F.col("modified") + F.expr("INTERVAL 1 DAY")})
     clock = F.lit(START).cast("timestamp") + F.make_dt_interval(days=(F.col("load") + 1) * LOAD_DAYS)
-    every = stored(placed.unionByName(broken).withColumn("retrieved_at", clock), "loads")
-    for number in range(LOADS):
-        every.filter(F.col("load") == number).drop("load").coalesce(1).write.mode("append").parquet(folder)
-    return every.drop("load").schema
+    return stored(placed.unionByName(broken).withColumn("retrieved_at", clock), "loads")
 
 
 def _feed(spark, sf):
-    """An index that has drained the reads one by one, and its stream."""
-    base = _fresh(spark, "feed")
-    schema = _loads(spark, sf, f"{base}/loads")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/loads")
+    """An index that has drained the reads one by one as they arrive."""
+    base, loads = _fresh(spark, "feed"), _loads(spark, sf)
     index = FeedIndex(spark, f"{base}/index")
-    return index, index.run(stream, f"{base}/checkpoint", FEED_WINDOW, compact_every=3)
+    for number in range(LOADS):
+        loads.filter(F.col("load") == number).drop("load").write.mode("append").parquet(f"{base}/loads")
+        stream = spark.readStream.schema(loads.drop("load").schema).parquet(f"{base}/loads")
+        index.run(stream, f"{base}/checkpoint", FEED_WINDOW, compact_every=3)
+    return index
 
 
 @bind("feed_index_stream", "I1", f"WITH {FEED_SQL}")
 def feed_index_stream(spark, sf):
     """The index after streaming the events through keyed state: late, repeated and broken reads, a window and a compaction."""
-    index, _ = _feed(spark, sf)
-    return index.current(since=SINCE).select("uuid", "business_name", "url", "status")
+    return _feed(spark, sf).current(since=SINCE).select("uuid", "business_name", "url", "status")
 
 
 @bind("feed_index_batch", "I1", f"WITH {FEED_SQL}")
@@ -120,11 +118,10 @@ SELECT org, field, ol.v AS old_value, nl.v AS new_value, ol.h AS old_content_sha
 )
 def change_stream(spark, sf):
     """Events between two snapshots of the orders, the first as initial state, the second replayed and an older one after it."""
-    base = _fresh(spark, "changes")
-    for number, cut in ((1, NEW), (1, NEW), (0, OLD)):
-        _snapshot(spark, sf, cut).withColumn("snapshot", F.lit(number).cast("long")).coalesce(1).write.mode("append").parquet(f"{base}/snapshots")
-    schema = spark.read.parquet(f"{base}/snapshots").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/snapshots")
+    base, baseline = _fresh(spark, "changes"), _snapshot(spark, sf, OLD).withColumn("snapshot", F.lit(0))
     log = ChangeLog(spark, f"{base}/log", ["registry.legal_form", "registry.employees", "registry.latest_submitted_accounts"])
-    log.run(stream, f"{base}/checkpoint", baseline=_snapshot(spark, sf, OLD).withColumn("snapshot", F.lit(0)))
+    for number, cut in ((1, NEW), (1, NEW), (0, OLD)):
+        arrived = _snapshot(spark, sf, cut).withColumn("snapshot", F.lit(number).cast("long"))
+        arrived.write.mode("append").parquet(f"{base}/snapshots")
+        log.run(spark.readStream.schema(arrived.schema).parquet(f"{base}/snapshots"), f"{base}/checkpoint", baseline=baseline)
     return log.events().select("org", "field", "old_value", "new_value", "old_content_sha256", "new_content_sha256")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from attesta import lexicon as lx
 from attesta.operators.diffs import CARRIED
-from attesta.streaming.batches import arbitrary_state, read_if_present, write_batch
+from attesta.streaming.batches import arbitrary_state, in_buckets, packed, read_if_present, rows_in, unpacked, write_batch
 
 FACT = "snapshot long, value string, source_url string, retrieved_at string, effective_at string, content_sha256 string, status string"
 EVENT = (
@@ -27,43 +28,58 @@ def facts_of(rows: DataFrame) -> DataFrame:
 
 
 class LastFact(StatefulProcessor):
-    """Holds the last fact of an (org, field) and emits the old and the new value where a later snapshot differs."""
+    """Holds the last facts of a bucket of (org, field) and emits the old and the new value where a later snapshot differs."""
 
-    names = [part.split()[0] for part in FACT.split(", ")]
+    names = ["org", "field"] + [part.split()[0] for part in FACT.split(", ")]
 
     def __init__(self, after_baseline: bool):
         # With a baseline, a fact it does not have is new; without one, the first snapshot of a fact is what later ones are compared with.
         self.after_baseline = after_baseline
 
     def init(self, handle) -> None:
-        self.held = handle.getValueState("fact", FACT)
+        self.state = handle.getValueState("facts", "facts binary")
 
-    def _facts(self, rows: pd.DataFrame) -> list[tuple]:
-        found = [tuple(None if pd.isna(v) else v for v in r) for r in rows[self.names].itertuples(index=False)]
+    def _held(self) -> dict[tuple, tuple]:
+        return {row[:2]: row[2:] for row in unpacked(bytes(self.state.get()[0]))} if self.state.exists() else {}
+
+    def _hold(self, held: dict[tuple, tuple]) -> None:
+        schema = pa.schema([(n, pa.int64() if n == "snapshot" else pa.string()) for n in self.names])
+        self.state.update((packed([key + fact for key, fact in held.items()], schema),))
+
+    @staticmethod
+    def _order(fact: tuple) -> tuple:
         # Of facts of one snapshot that differ the last in order counts, whatever order they come in.
-        return sorted(found, key=lambda f: (f[0], *[(v is not None, v or "") for v in f[1:]]))
+        return fact[0], *[(v is not None, v or "") for v in fact[1:]]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = tuple(self.held.get()) if self.held.exists() else None
-        events, before = [], last
-        newest: dict[int, tuple] = {}
-        for fact in self._facts(pd.concat(list(rows))):
-            newest[fact[0]] = fact
-        for snapshot, fact in newest.items():
+        newest: dict[tuple, tuple] = {}
+        for part in rows:
+            for org, field, *rest in rows_in(part, self.names):
+                place, fact = (org, field, rest[0]), tuple(rest)
+                known = newest.get(place)
+                if known is None or known != fact and self._order(fact) > self._order(known):
+                    newest[place] = fact
+        held, events, later = self._held(), [], False
+        for (org, field, snapshot), fact in sorted(newest.items(), key=lambda item: item[0][2]):
+            last = held.get((org, field))
             if last is not None and snapshot <= last[0]:
                 continue  # a replay
             old = last if last is not None else (None,) * len(fact) if self.after_baseline else fact
             if old[1] != fact[1]:
-                events.append((key[0], key[1], snapshot, old[1], fact[1], fact[2], fact[3], fact[4], old[5], fact[5], fact[6]))
-            last = fact
-        if last != before:
-            self.held.update(last)
+                events.append((org, field, snapshot, old[1], fact[1], fact[2], fact[3], fact[4], old[5], fact[5], fact[6]))
+            held[org, field], later = fact, True
+        if later:
+            self._hold(held)
         if events:
             yield pd.DataFrame(events, columns=[part.split()[0] for part in EVENT.split(", ")])
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        for fact in self._facts(initialState):
-            self.held.update(fact)
+        held = self._held()
+        for org, field, *rest in rows_in(initialState, self.names):
+            fact, known = tuple(rest), held.get((org, field))
+            if known is None or self._order(fact) > self._order(known):
+                held[org, field] = fact
+        self._hold(held)
 
     def close(self) -> None:
         pass
@@ -74,12 +90,13 @@ def change_events(snapshots: DataFrame, baseline: DataFrame | None = None, field
 
     Each fact is compared with the last one of its (org, field), which Spark's state store holds; ``baseline`` fills it before the
     first batch. NULL to 0 is a change. A snapshot with a number that is not above the last one is a replay and gives nothing. An absent
-    entity or field is no change. Without ``fields`` the tracked ones are compared, with an empty list all.
+    entity or field is no change. Without ``fields`` the tracked ones are compared, with an empty list all. The state's keys are buckets
+    of (org, field), so a call of the processor handles many facts.
     """
     fields = lx.TRACKED_FIELDS if fields is None else fields
     wanted = F.col("field").isin(fields) if fields else F.lit(True)
-    keyed = facts_of(snapshots.filter(wanted)).groupBy("org", "field")
-    start = None if baseline is None else facts_of(baseline.filter(wanted)).groupBy("org", "field")
+    keyed = in_buckets(facts_of(snapshots.filter(wanted)), "org", "field")
+    start = None if baseline is None else in_buckets(facts_of(baseline.filter(wanted)), "org", "field")
     return keyed.transformWithStateInPandas(LastFact(baseline is not None), EVENT, "Update", "None", initialState=start)
 
 

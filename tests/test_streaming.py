@@ -201,3 +201,18 @@ def test_entries_without_an_id_are_left_out(spark, tmp_path):
     index.merge(entries(spark, [(None, "2026-01-01", "ACTIVE", "x", "/", 1)]), 0)
     assert index.current().count() == 0
     assert ChangeLog(spark, str(tmp_path / "nothing")).events().count() == 0
+
+
+def test_the_state_of_many_keys_takes_few_calls(spark, tmp_path):
+    """A call of a processor costs milliseconds, so the state's rows grow with the buckets and not with the keys."""
+    first = [(f"{k}", "registry.name", 0, "A", "h1") for k in range(6000)]
+    second = [(f"{k}", "registry.name", 1, "B" if k % 3 else "A", "h2") for k in range(7000)]
+    log = ChangeLog(spark, str(tmp_path / "log"), [])
+    query = log.run(snapshots(spark, tmp_path / "s", [second]), str(tmp_path / "c"), baseline=spark.createDataFrame(first, FACTS))
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 1024
+    assert log.events().count() == sum(k % 3 > 0 or k >= 6000 for k in range(7000))
+    index = FeedIndex(spark, str(tmp_path / "index"))
+    rows = [(f"u{k}", "2026-01-20", "ACTIVE", "F", "/", k) for k in range(6000)]
+    query = index.run(reads(spark, tmp_path / "source", [("2026-01-21", True, rows)]), str(tmp_path / "checkpoint"))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 1024
+    assert index.current().count() == 6000
