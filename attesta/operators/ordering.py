@@ -20,10 +20,11 @@ def dealt(rows: DataFrame, order: list, out: str) -> DataFrame:
 
 def number_within(rows: DataFrame, keys: list[str], order: list, out: str) -> DataFrame:
     """Row number from 1 per ``keys`` in ``order``."""
-    return _numbered(dealt(rows, [*keys, *order], "_bucket"), keys, order, out)
+    return number_in_ranges(dealt(rows, [*keys, *order], "_bucket"), keys, order, out)
 
 
-def _numbered(placed: DataFrame, keys: list[str], order: list, out: str) -> DataFrame:
+def number_in_ranges(placed: DataFrame, keys: list[str], order: list, out: str) -> DataFrame:
+    """``number_within`` for rows whose ``_bucket`` is the number of their range in ``order``."""
     sizes = placed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     shifts = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
@@ -34,7 +35,7 @@ def _numbered(placed: DataFrame, keys: list[str], order: list, out: str) -> Data
 
 def number_by_hash(rows: DataFrame, hashed: str, out: str, digits: int = 3) -> DataFrame:
     """Row number over the whole table by a hex hash column; its prefix spreads rows evenly."""
-    return _numbered(rows.withColumn("_bucket", F.substring(hashed, 1, digits)), [], [hashed], out)
+    return number_in_ranges(rows.withColumn("_bucket", F.substring(hashed, 1, digits)), [], [hashed], out)
 
 
 def running_totals(rows: DataFrame, order: list, values: list[str]) -> DataFrame:

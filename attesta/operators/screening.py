@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from attesta.operators.ordering import number_within
+from attesta.operators.ordering import dealt, number_in_ranges, number_within
+from attesta.session import stored
 
 # Screen fields, the column each reads and the evidence module behind it.
 FIELD_MODULES = {
@@ -175,84 +176,118 @@ def answer_screen(profiles: DataFrame, question: str) -> DataFrame:
 BINS = 64
 NUMERIC = ("employees", "revenue", "annual_result")
 COMPARED = (">", ">=", "<", "<=", "=")
+SPREAD = 16  # parts of a common value's entities
 
 
-def long_facts(profiles: DataFrame) -> DataFrame:
-    """(org, field, text, number) of every screen field; NULL numbers have no row, as they pass no comparison."""
+def fact_lists(profiles: DataFrame) -> DataFrame:
+    """Profiles with ``facts``: (field, text, number) of every screen field; NULL numbers have no entry, as they pass no comparison."""
     text = lambda f: F.lower(F.coalesce(screen_column(f).cast("string"), F.lit("")))
     number = lambda f: screen_column(f).cast("double") if f in NUMERIC else F.lit(None).cast("double")
-    entries = [F.struct(F.lit(f).alias("field"), text(f).alias("text"), number(f).alias("number")) for f in FIELD_MODULES]
-    facts = profiles.select("org", F.inline(F.array(*entries)))
-    return facts.filter(~F.col("field").isin(*NUMERIC) | F.col("number").isNotNull())
+    entry = lambda f: F.struct(F.lit(f).alias("field"), text(f).alias("text"), number(f).alias("number"))
+    entries = [F.when(number(f).isNotNull(), entry(f)) if f in NUMERIC else entry(f) for f in FIELD_MODULES]
+    return profiles.select("org", F.col("revenue").cast("double").alias("_revenue"), F.col("employees").cast("double").alias("_employees"), F.array_compact(F.array(*entries)).alias("facts"))
 
 
 def rules_of(planned: DataFrame) -> DataFrame:
-    """(query, field, operator, value, number) of every filter of the screens that can run."""
+    """(query, rule, field, operator, value, number) of every filter of the screens that can run, each once; ``rule`` stands for the rest."""
     rows = planned.filter("executable").select("query", F.explode("filters").alias("f"))
-    return rows.select("query", "f.field", "f.operator", F.lower("f.value").alias("value"), F.col("f.value").try_cast("double").alias("number"))
+    rows = rows.select("query", "f.field", "f.operator", F.lower("f.value").alias("value"), F.col("f.value").try_cast("double").alias("number"))
+    return rows.withColumn("rule", F.to_json(F.struct("field", "operator", "value"))).distinct()
 
 
-def _bins(facts: DataFrame) -> DataFrame:
-    """(field, edges): cut points of each numeric field, one row per field."""
+def _bins(values: DataFrame) -> DataFrame:
+    """(field, edges, total): cut points of each numeric field and its number of facts, one row per field."""
     shares = F.array(*[F.lit(k / BINS) for k in range(1, BINS)])
-    return facts.filter("number IS NOT NULL").groupBy("field").agg(F.array_distinct(F.percentile_approx("number", shares, F.lit(1000))).alias("edges"))
+    edges = F.array_distinct(F.percentile_approx("number", shares, F.lit(1000)))
+    return values.filter("number IS NOT NULL").groupBy("field").agg(edges.alias("edges"), F.sum("n").alias("total"))
 
 
 def _bin(edges: Column, number: Column) -> Column:
     return F.size(F.filter(edges, lambda e: e <= number))
 
 
-def satisfied(facts: DataFrame, rules: DataFrame) -> DataFrame:
-    """(field, operator, value, org): which distinct rule each entity's fact satisfies.
-
-    Rules meet distinct values, not entities. Text rules join by value; a comparison joins by the bins of the field that can satisfy
-    it, so a rule meets only values that pass, and those of one bin that may not. Values then lead to their entities.
-    """
-    distinct = rules.select("field", "operator", "value", "number").distinct()
-    values = facts.select("field", "text", "number").distinct()
-    rule = ["field", "operator", "value"]
-    compared = F.col("operator").isin(*COMPARED)
-    named = distinct.filter(F.col("operator") == "eq").select(*rule).join(values.select("field", "text"), (distinct["field"] == values["field"]) & (F.col("value") == F.col("text"))).drop(values["field"])
-    flags = distinct.filter(F.col("operator").isin("present", "available")).select(*rule, F.col("value").cast("boolean").cast("string").alias("text"))
-    flagged = flags.join(values.select("field", "text"), ["field", "text"])
-    parts = distinct.filter(F.col("operator") == "contains").select(*rule).join(values.select("field", "text"), "field").filter(F.contains("text", "value"))
-    bins = _bins(facts)
-    placed = values.filter("number IS NOT NULL").join(bins, "field").select("field", "text", F.col("number").alias("actual"), _bin(F.col("edges"), F.col("number")).alias("bin"))
+def _reach() -> Column:
+    """The bins of its field that hold values a comparison can accept."""
     low, high = _bin(F.col("edges"), F.col("number")), F.size("edges")
-    reach = (
+    return (
         F.when(F.col("operator").isin(">", ">="), F.sequence(low, high)).when(F.col("operator").isin("<", "<="), F.sequence(F.lit(0), low)).otherwise(F.array(low))
     )
-    spread = distinct.filter(compared & F.col("number").isNotNull()).join(bins, "field").select(*rule, "number", F.explode(reach).alias("bin"))
-    actual, wanted = F.col("actual"), F.col("number")
-    tests = {">": actual > wanted, ">=": actual >= wanted, "<": actual < wanted, "<=": actual <= wanted, "=": actual == wanted}
-    passes = reduce(lambda a, b: a | b, [(F.col("operator") == o) & t for o, t in tests.items()])
-    ranged = spread.join(placed, ["field", "bin"]).filter(passes)
-    met = reduce(DataFrame.unionByName, [x.select(*rule, "text") for x in (named, flagged, parts, ranged)])
-    return met.join(facts.select("org", "field", "text"), ["field", "text"]).select(*rule, "org")
+
+
+def passes(operator: Column, value: Column, wanted: Column, text: Column, actual: Column) -> Column:
+    """Whether a fact's text or number satisfies a rule; what is unknown does not."""
+    compare = {">": actual > wanted, ">=": actual >= wanted, "<": actual < wanted, "<=": actual <= wanted, "=": actual == wanted}
+    test = F.when(operator == "eq", text == value).when(operator.isin("present", "available"), text == value.cast("boolean").cast("string")).when(operator == "contains", F.contains(text, value))
+    for name, holds in compare.items():
+        test = test.when(operator == name, holds)
+    return F.coalesce(test, F.lit(False))
+
+
+RULE = ["rule", "field", "operator", "value", "number"]
+
+
+def _named(rules: DataFrame, values: DataFrame) -> DataFrame:
+    """(rule, text, n): the distinct values that satisfy a rule on texts."""
+    mine = values.select("field", "text", "n")
+    eq = rules.filter(F.col("operator") == "eq").withColumn("text", F.col("value"))
+    flags = rules.filter(F.col("operator").isin("present", "available")).withColumn("text", F.col("value").cast("boolean").cast("string"))
+    parts = rules.filter(F.col("operator") == "contains").join(mine, "field").filter(F.contains("text", "value"))
+    return eq.unionByName(flags).join(mine, ["field", "text"]).unionByName(parts)
+
+
+def _ranged(rules: DataFrame, values: DataFrame, bins: DataFrame) -> DataFrame:
+    """(rule, text): the distinct values that satisfy a comparison; a rule meets values of the bins it reaches only."""
+    placed = values.filter("number IS NOT NULL").join(bins, "field").select("field", "text", F.col("number").alias("actual"), _bin(F.col("edges"), F.col("number")).alias("bin"))
+    spread = rules.filter(F.col("operator").isin(*COMPARED) & F.col("number").isNotNull()).join(bins, "field").select(*RULE, F.explode(_reach()).alias("bin"))
+    return spread.join(placed, ["field", "bin"]).filter(passes(F.col("operator"), F.col("value"), F.col("number"), F.col("text"), F.col("actual")))
+
+
+def rarest_rules(rules: DataFrame, values: DataFrame, bins: DataFrame) -> DataFrame:
+    """(query, rule): of each query the rule that the fewest entities satisfy. Comparisons are estimated by their bins; one that nothing satisfies is rarest."""
+    distinct = rules.select(*RULE).distinct()
+    named = _named(distinct, values).groupBy("rule").agg(F.sum("n").cast("double").alias("weight"))
+    share = F.size(_reach()) / (F.size("edges") + 1) * F.col("total")
+    ranged = distinct.filter(F.col("operator").isin(*COMPARED) & F.col("number").isNotNull()).join(bins, "field").select("rule", share.alias("weight"))
+    weighed = rules.join(named.unionByName(ranged), "rule", "left")
+    best = F.struct(F.coalesce("weight", F.lit(0.0)), "rule")
+    return weighed.groupBy("query").agg(F.min_by(F.struct(*RULE), best).alias("r")).select("query", "r.*")
 
 
 def screen_many(profiles: DataFrame, planned: DataFrame) -> DataFrame:
     """(query, org, place) of all screens in one job; ``place`` counts from 1 in the screen's order.
 
-    ``planned`` is a table of plans as ``plan_screens`` makes it. An entity is in a screen when it satisfies as many of its rules as
-    the screen has. Order and limit are those of ``screen``. A screen without rules is a plain top list, at most MAX_ROWS long.
+    ``planned`` is a table of plans as ``plan_screens`` makes it. The rarest rule of a screen leads through the distinct values that
+    satisfy it to their entities, and these are tested on its other rules; so the work grows with the rarest rules' entities and not
+    with those of all rules. Order and limit are those of ``screen``. A screen without rules is a plain top list, at most MAX_ROWS long.
     """
-    facts, rules = long_facts(profiles), rules_of(planned).distinct()
-    plans = planned.filter("executable").select("query", "sort").dropDuplicates(["query"])
-    need = rules.groupBy("query").agg(F.count(F.lit(1)).alias("need"))
-    met = satisfied(facts, rules).join(rules.select("query", "field", "operator", "value"), ["field", "operator", "value"])
-    hits = met.groupBy("query", "org").agg(F.count(F.lit(1)).alias("met")).join(need, "query").filter(F.col("met") == F.col("need")).select("query", "org")
-    sizes = profiles.select("org", F.col("revenue").cast("double").alias("_revenue"), F.col("employees").cast("double").alias("_employees"))
-    rows = hits.join(plans, "query").join(sizes, "org")
+    # Entities by ranges of their id: a screen without a sort counts its places by them.
+    listed = dealt(fact_lists(profiles), ["org"], "_bucket")
+    facts = listed.select("*", F.inline("facts"))
+    values = stored(facts.groupBy("field", "text", "number").agg(F.count(F.lit(1)).alias("n")), "screen-values")
+    rules, bins = rules_of(planned), _bins(values)
+    plans = stored(planned.filter("executable").select("query", "sort").dropDuplicates(["query"]).withColumn("_q", F.monotonically_increasing_id()), "screen-plans")
+    own = rules.groupBy("query").agg(F.collect_list(F.struct(*RULE)).alias("rules"))
+    led = rarest_rules(rules, values, bins)
+    distinct = led.select(*RULE).distinct()
+    met = _named(distinct, values).select("rule", "text").unionByName(_ranged(distinct, values, bins).select("rule", "text"))
+    leads = led.select("query", "rule", "field").join(met, "rule").drop("rule").join(own, "query").join(plans, "query").drop("query")
+    leads = leads.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    spread = facts.withColumn("_part", F.pmod(F.xxhash64("org"), F.lit(SPREAD)).cast("int"))
+    fact = lambda r: F.get(F.filter("facts", lambda x: x["field"] == r["field"]), 0)
+    tested = F.forall("rules", lambda r: passes(r["operator"], r["value"], r["number"], fact(r)["text"], fact(r)["number"]))
     by = F.when(F.col("sort.field") == "revenue", F.col("_revenue")).when(F.col("sort.field") == "employees", F.col("_employees"))
-    rows = rows.select("query", "org", (F.col("sort").isNotNull() & by.isNull()).alias("_last"), F.coalesce(-by, F.lit(0.0)).alias("_down"), F.col("sort.limit").alias("_limit"))
-    placed = number_within(rows, ["query"], ["_last", "_down", "org"], "place")
-    found = placed.filter(F.col("_limit").isNull() | (F.col("place") <= F.col("_limit"))).select("query", "org", "place")
-    bare = plans.join(need, "query", "left_anti").select("query", F.col("sort.field").alias("_field"), F.col("sort.limit").alias("_limit"))
+    hits = leads.join(spread, ["field", "text", "_part"]).filter(tested).select(
+        "_q", "org", "_bucket", F.col("sort").isNotNull().alias("_sorted"), (F.col("sort").isNotNull() & by.isNull()).alias("_last"), F.coalesce(-by, F.lit(0.0)).alias("_down"), F.col("sort.limit").alias("_limit")
+    )
+    hits = stored(hits, "screen-hits")
+    plain = number_in_ranges(hits.filter("NOT _sorted").select("_q", "org", "_bucket"), ["_q"], ["org"], "place")
+    ranked = number_within(hits.filter("_sorted").drop("_bucket"), ["_q"], ["_last", "_down", "org"], "place").filter(F.col("_limit").isNull() | (F.col("place") <= F.col("_limit")))
+    found = plain.select("_q", "org", "place").unionByName(ranked.select("_q", "org", "place")).join(plans.select("_q", "query"), "_q")
+    bare = plans.join(own, "query", "left_anti").select("query", F.col("sort.field").alias("_field"), F.col("sort.limit").alias("_limit"))
     order = lambda f: W.partitionBy("_field").orderBy(F.col(f).desc_nulls_last(), "org")
     tops = [top_screen(profiles, f, MAX_ROWS).withColumn("_field", F.lit(f)).select("org", "_field", F.row_number().over(order(f)).alias("place")) for f in ("revenue", "employees")]
     lists = bare.join(tops[0].unionByName(tops[1]), "_field").filter(F.col("place") <= F.col("_limit"))
-    return found.unionByName(lists.select("query", "org", "place"))
+    return found.select("query", "org", "place").unionByName(lists.select("query", "org", "place"))
 
 
 def cite_many(hits: DataFrame, planned: DataFrame, module_evidence: DataFrame) -> DataFrame:

@@ -269,6 +269,16 @@ def test_many_screens_give_what_each_gives_alone(spark):
     assert len(got) >= 9 and screening.screen_many(profiles.limit(0), planned).count() == 0 and screening.screen_many(profiles, planned.limit(0)).count() == 0
 
 
+def test_the_rarest_rule_of_a_screen_leads(spark):
+    """Entities are tested where a screen's rarest rule leads to them, not once for each of its rules."""
+    rows = [(f"{k:03d}", "OSLO" if k < 3 else "BERGEN", "AS", k, 1e6 * k, 1.0, None, "fishing" if k % 2 else "building", True, True) for k in range(200)]
+    values = screening.fact_lists(spark.createDataFrame(rows, PROFILE)).selectExpr("inline(facts)").groupBy("field", "text", "number").agg(F.count(F.lit(1)).alias("n"))
+    asked = ["legal form AS in oslo with a website", "legal form AS, over 195 employees", "revenue at least 2 million, industry contains 'fish'", "legal form DA with a website"]
+    rules = screening.rules_of(screening.plan_screens(spark.createDataFrame([(q,) for q in asked], "query string")))
+    found = {r.query: (r.field, r.operator) for r in screening.rarest_rules(rules, values, screening._bins(values)).collect()}
+    assert found == {asked[0]: ("municipality", "eq"), asked[1]: ("employees", ">"), asked[2]: ("industry", "contains"), asked[3]: ("legal_form", "eq")}
+
+
 def test_screens_are_evaluated_row_by_row(spark):
     profiles = spark.createDataFrame([("1", "OSLO", "AS", 5, 1.0, 1.0, None, None, True, True), ("2", "OSLO", "AS", 9, 2.0, 1.0, None, None, True, True), ("3", "OSLO", "ENK", 9, 2.0, 1.0, None, None, True, None)], PROFILE)
     questions = ["legal form AS, top 5 by revenue", "legal form AS with over 1 employees", "legal form ENK", "legal form DA", "legal form AS by buzz"]
