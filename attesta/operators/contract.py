@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from attesta.functions.text import format_address
 from attesta.operators.diffs import MULTI_VALUED, REFRESH_FIELDS, diff_envelopes
+from attesta.session import stored
 
 # Contract fields, the claim fields each is made of (the first with an available claim counts), and how its value reads.
 FIELDS = {
@@ -81,6 +82,9 @@ def rendered(kind: Column, source: Column, value: Column) -> Column:
 def contract(claims: DataFrame, orgs: DataFrame) -> DataFrame:
     """The contract of every entity of ``orgs`` (org, tier), from claims (org, field, value, availability, confidence, first_pos, claim_key)."""
     spark = claims.sparkSession
+    # Every part below reads them, so they are made once.
+    claims = stored(claims.select("org", "field", "value", "availability", "confidence", "first_pos", "claim_key"), "contract-claims")
+    orgs = stored(orgs.select("org", "tier").distinct(), "contract-orgs")
     listed = [(target, source, i, kind, target in SEVERAL) for target, (sources, kind) in FIELDS.items() for i, source in enumerate(sources)]
     mapping = spark.createDataFrame(listed, "target string, field string, preference int, kind string, several boolean")  # a fixed list
     held = claims.join(F.broadcast(mapping), "field").filter(F.col("availability").isNotNull())
@@ -93,9 +97,10 @@ def contract(claims: DataFrame, orgs: DataFrame) -> DataFrame:
     many = from_best.filter("several").withColumn("place", F.row_number().over(order)).select("org", "target", "place", "kind", "field", "value", "confidence", "claim_key")
     source = F.concat_ws("|", "target", "field")
     found = single.unionByName(many).select("org", F.col("target").alias("field"), "place", rendered(F.col("kind"), source, F.col("value")).alias("value"), F.lit("available").alias("availability"), "confidence", "claim_key")
+    found = stored(found, "contract-found")
     doubtful = [(F.col("target") == t) & F.col("availability").isin(states) for t, states in UNCERTAIN.items()]
     doubts = held.filter(reduce(lambda a, b: a | b, doubtful)).groupBy("org", "target").agg(F.min_by(F.struct("availability", "confidence", "claim_key"), F.struct("preference", "first_pos")).alias("d"))
-    wanted = orgs.select("org", "tier").distinct().withColumn("field", F.explode(F.array(*[F.lit(f) for f in FIELDS if f not in OPTIONAL])))
+    wanted = orgs.withColumn("field", F.explode(F.array(*[F.lit(f) for f in FIELDS if f not in OPTIONAL])))
     staff = claims.filter(F.col("field").isin("employees", "employee_count") & (F.col("availability") == "available")).groupBy("org").agg(F.min_by("value", "first_pos").try_cast("double").alias("staff"))
     site = stated.filter(F.col("target") == "official_website").select("org").distinct().withColumn("site", F.lit(True))
     gaps = wanted.join(found.select("org", "field").distinct(), ["org", "field"], "left_anti").join(doubts.withColumnRenamed("target", "field"), ["org", "field"], "left").join(staff, "org", "left").join(site, "org", "left")
@@ -107,7 +112,7 @@ def contract(claims: DataFrame, orgs: DataFrame) -> DataFrame:
     sure = F.coalesce("d.confidence", F.when(idle, 1.0).otherwise(0.6))
     none = F.lit(None).cast("string")
     empty = gaps.select("org", "field", F.lit(1).alias("place"), none.alias("value"), state.alias("availability"), sure.alias("confidence"), F.col("d.claim_key").alias("claim_key"))
-    return found.unionByName(empty).join(orgs.select("org", "tier").distinct(), "org")
+    return found.unionByName(empty).join(orgs, "org")
 
 
 def contract_evidence(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -118,4 +123,4 @@ def contract_evidence(rows: DataFrame, links: DataFrame) -> DataFrame:
 def contract_changes(previous: DataFrame, current: DataFrame) -> DataFrame:
     """What a refresh changed in the contract fields it compares, of entities that both contracts cover."""
     rows = lambda df: df.filter(F.col("field").isin(REFRESH_FIELDS) & (~F.col("field").isin(MULTI_VALUED) | F.col("value").isNotNull())).select("org", "field", "value", F.col("place").alias("pos"))
-    return diff_envelopes(rows(previous), rows(current))
+    return diff_envelopes(stored(rows(previous), "contract-previous"), stored(rows(current), "contract-current"))

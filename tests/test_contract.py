@@ -51,3 +51,19 @@ def test_two_contracts_differ_in_the_same_vocabulary(spark):
     assert op.contract_changes(make(after), make(after)).count() == 0
     links = spark.createDataFrame([("1", "revenue|1", "e1"), ("1", "revenue|1", "e2"), ("2", "revenue|1", "e3")], "org string, claim_key string, evidence_id string")
     assert sorted((r.field, r.evidence_id) for r in op.contract_evidence(make(before), links).collect()) == [("latest_annual_revenue", "e1"), ("latest_annual_revenue", "e2")]
+
+
+def test_the_claims_are_made_once(spark):
+    """Every part of a contract reads the same claims, which may be costly to make."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            made.add(1)
+            yield row
+
+    rows = [claim(f"{k}", field, "x") for k in range(20) for field in ("legal_name", "website")]
+    claims = spark.createDataFrame(spark.createDataFrame(rows, CLAIM).rdd.mapPartitions(count), CLAIM)
+    orgs = spark.createDataFrame([(f"{k}", "full") for k in range(20)], ORGS)
+    contract = op.contract(claims, orgs)
+    assert op.contract_changes(contract, contract).count() == 0 and made.value == len(rows)
