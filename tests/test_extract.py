@@ -1,9 +1,12 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from attesta.operators import extract, observations as obs, pages as page_ops
+from attesta.operators.resolve import legal_proof
+from attesta.session import checkpoint_folder
 
 AS_OF = "2026-03-10 12:00:00"
 ORG = "974760673"
@@ -210,3 +213,19 @@ def test_links_families_and_roles(spark):
     assert [r.link for r in page_ops.role_links(links).collect()] == ["https://a.no/karriere/kokk"]
     many = spark.createDataFrame([("1", f"https://a.no/{p}", "") for p in ("kontakt", "contact-us", "jobs", "news/a", "about", "team", "x")], "org string, link string, anchor string")
     assert [r.link for r in page_ops.diverse_links(many, 5).orderBy("place").collect()] == ["https://a.no/kontakt", "https://a.no/jobs", "https://a.no/about", "https://a.no/news/a", "https://a.no/contact-us"]
+
+
+def test_documents_of_one_file_reach_every_core(spark):
+    rows = [("news", f"https://avis.no/{k}", script(job()), "Blåbær Teknikk AS i Trondheim", "2026-02-01", "Ny kontrakt") for k in range(200)]
+    folder = Path(checkpoint_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("document-*"))
+    found = extract.document_observations(documents(spark, rows).coalesce(1), profiles(spark), AS_OF)
+    (facts,) = [f for f in set(folder.glob("document-*")) - before if f.name.startswith("document-facts")]
+    assert len(list(facts.glob("*.parquet"))) >= 4 and found.count() == 400
+
+
+def test_proof_by_number_folds_no_text(spark):
+    proof = legal_proof(*[F.col(c) for c in ("org", "name", "municipality", "own_domain", "street")], F.col("people"), F.col("text"), F.lit("blabaer.no"))
+    assert str(proof).startswith("Column<'CASE WHEN")
+    texts = profiles(spark).crossJoin(spark.createDataFrame([("Org.nr. 974 760 673",), ("Om oss",)], "text string"))
+    assert sorted(r[0] for r in texts.select(proof).collect()) == ["captured_exact_organisation_number", "verified_own_domain"]
