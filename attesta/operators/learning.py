@@ -12,7 +12,7 @@ from attesta.functions.labels import CATEGORICAL_FEATURES, NUMERIC_FEATURES, can
 from attesta.functions.urls import host
 from attesta.operators.ordering import running_totals, with_totals
 from attesta.operators.sampling import grouped_split
-from attesta.session import settle
+from attesta.session import fixed, settle, spread
 
 
 def ranker_dataset(register: DataFrame, resolvable: DataFrame, variants: int = 6) -> DataFrame:
@@ -22,11 +22,11 @@ def ranker_dataset(register: DataFrame, resolvable: DataFrame, variants: int = 6
     same entity, so it is marked as no fair negative.
     """
     truth = host(F.when(F.contains("website", F.lit("://")), F.col("website")).otherwise(F.concat(F.lit("http://"), "website")))
-    known = register.withColumn("truth", truth).filter(F.col("truth") != "")
+    known = spread(register, "org").withColumn("truth", truth).filter(F.col("truth") != "")
     guesses = known.select("*", F.posexplode(candidate_labels(F.col("name"), variants)).alias("turn", "label_text"))
     hosts = guesses.select("*", F.posexplode(F.array(F.lit(".no"), F.lit(".com"))).alias("ending_turn", "ending"))
     hosts = hosts.withColumns({"candidate": F.concat("label_text", "ending"), "listed_rank": F.col("turn") * 2 + F.col("ending_turn") + 1})
-    alive = hosts.join(resolvable.select(F.col("host").alias("candidate")).distinct(), "candidate")
+    alive = fixed(hosts).join(resolvable.select(F.col("host").alias("candidate")).distinct(), "candidate")
     positive = F.col("candidate") == F.col("truth")
     truth_label = F.substring_index("truth", ".", 1)
     made = candidate_features(F.col("name"), F.col("candidate"), F.col("employees"), F.col("legal_form"), F.col("bankrupt"), F.col("latest_submitted_accounts"))
@@ -84,9 +84,9 @@ def train_ranker(dataset: DataFrame, seed: int = 20260925, test_share: float = 0
     )
     # Training reads its rows many times; one reliable copy keeps those reads cheap.
     flat = settle(flat)
-    split = grouped_split(flat, seed, test_share)
+    split = settle(grouped_split(flat, seed, test_share))
     test = split.filter("is_test").drop("is_test")
-    inner = grouped_split(split.filter("NOT is_test").drop("is_test"), seed + 1, calibration_share)
+    inner = settle(grouped_split(split.filter("NOT is_test").drop("is_test"), seed + 1, calibration_share))
     fit, calibration = inner.filter("NOT is_test").drop("is_test"), inner.filter("is_test").drop("is_test")
 
     balance = fit.agg(F.count(F.lit(1)).alias("n"), F.greatest(F.lit(1.0), F.sum("label")).alias("pos"), F.greatest(F.lit(1.0), F.sum(1 - F.col("label"))).alias("neg"))

@@ -31,6 +31,6 @@ def test_names_are_folded_once():
     assert str(names_match(F.col("a"), F.col("b"))).count("translate(") == 2
 
 
-@pytest.mark.parametrize("name", ["employer_search_claims", "promote_leads", "handle_observations"])
+@pytest.mark.parametrize("name", ["employer_search_claims", "promote_leads", "handle_observations", "score_candidates"])
 def test_searches_are_spread(spark, name):
     assert "REPARTITION_BY_NUM" in plan(spark, name)
