@@ -31,6 +31,11 @@ def test_names_are_folded_once():
     assert str(names_match(F.col("a"), F.col("b"))).count("translate(") == 2
 
 
-@pytest.mark.parametrize("name", ["employer_search_claims", "promote_leads", "handle_observations", "score_candidates"])
+@pytest.mark.parametrize("name", ["employer_search_claims", "promote_leads", "handle_observations", "score_candidates", "ats_listings"])
 def test_searches_are_spread(spark, name):
     assert "REPARTITION_BY_NUM" in plan(spark, name)
+
+
+@pytest.mark.parametrize("name", ["profile_page_metrics", "site_jobs"])
+def test_pages_are_spread(spark, name):
+    assert "REPARTITION_BY_NUM" in plan(spark, name)
