@@ -41,6 +41,25 @@ NONE = -math.inf
 MARK = "▁"
 
 
+def tree(scores: dict[str, float]) -> dict:
+    """Pieces by their characters: a node leads from a character to the next node and the score of the piece that ends there, if one does."""
+    root: dict = {}
+    for piece, score in scores.items():
+        node = root
+        for ch in piece[:-1]:
+            node = node.setdefault(ch, [{}, None])[0]
+        node.setdefault(piece[-1], [{}, None])[1] = score
+    leaf: dict = {}  # one for all: most nodes lead nowhere
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        for ch, (after, score) in node.items():
+            node[ch] = (after or leaf, score)
+            if after:
+                waiting.append(after)
+    return root
+
+
 class Pieces:
     """A piece file: vocabulary, scores, byte pieces and the points no piece spans."""
 
@@ -68,7 +87,7 @@ class Pieces:
                 self.text_of.append(None)
         self.unknown_score, self.unknown = low - 10, model.trainer_spec.unk_id
         self.longest = max(map(len, self.by_text))
-        self.starts = {p[:k] for p in self.by_text for k in range(1, len(p) + 1)}
+        self.tree = tree({p: score for p, (_, score) in self.by_text.items()})
         spans = {p[k : k + 2] for p in self.by_text for k in range(len(p) - 1)}
         self.spans = spans
         # Points that a search can find: before a mark, and around characters that no longer piece holds.
@@ -90,37 +109,44 @@ class Pieces:
         best, back = [NONE] * (size + 1), [-1] * (size + 1)
         for k, v in enumerate(entry[: size + 1]):
             best[k] = v
-        by_text, starts, longest, unknown = self.by_text, self.starts, self.longest, self.unknown_score
+        root, longest, unknown = self.tree, self.longest, self.unknown_score
         for i in range(min(n, size)):
             here = best[i]
             if here == NONE:
                 continue
-            single = False
-            for e in range(i + 1, min(size, i + longest) + 1):
-                piece = s[i:e]
-                if piece not in starts:
+            node, e = root, i
+            for ch in s[i : i + longest]:
+                found = node.get(ch)
+                if found is None:
                     break
-                found = by_text.get(piece)
-                if found is not None:
-                    if e == i + 1:
-                        single = True
-                    score = here + found[1]
+                node, score = found
+                e += 1
+                if score is not None:
+                    score += here
                     if score > best[e]:
-                        best[e], back[e] = score, i
-            if not single and here + unknown > best[i + 1]:
+                        best[e] = score
+                        back[e] = i
+                if not node:
+                    break
+            # Below every piece's score, so it counts only where no piece holds the character alone.
+            if here + unknown > best[i + 1]:
                 best[i + 1], back[i + 1] = here + unknown, i
         return best, back
 
     def trace(self, s: str, back: list[int], end: int) -> tuple[list[int], int]:
         """Ids of the path that ends at ``end``, and the entry state it comes from."""
-        out: list[list[int]] = []
-        while back[end] >= 0:
-            begin = back[end]
+        out: list[int] = []  # from the back
+        by_text = self.by_text
+        while (begin := back[end]) >= 0:
             piece = s[begin:end]
-            found = self.by_text.get(piece)
-            out.append([found[0]] if found else [self.bytes_.get(b, self.unknown) for b in piece.encode("utf-8", "surrogatepass")] if self.bytes_ else [self.unknown])
+            found = by_text.get(piece)
+            if found is not None:
+                out.append(found[0])
+            else:
+                out += [self.bytes_.get(b, self.unknown) for b in reversed(piece.encode("utf-8", "surrogatepass"))] if self.bytes_ else [self.unknown]
             end = begin
-        return [i for ids in reversed(out) for i in ids], end
+        out.reverse()
+        return out, end
 
     def run(self, s: str) -> tuple[int, ...]:
         """Ids of a run between two points that no piece spans, not remembered in ``known`` yet."""
@@ -290,7 +316,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
 
     def lists(found: list[list[int]]) -> pa.Array:
         ends = np.cumsum([0, *map(len, found)])
-        flat = np.fromiter((i for x in found for i in x), np.int32, int(ends[-1]))
+        flat = np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]))
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
 
     def short(batches):
