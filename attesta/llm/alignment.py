@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import re
 from functools import cache
-from itertools import repeat
+from hashlib import sha256
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from attesta.llm.pieces import MARK
 from attesta.llm.tokenids import _byte_marks
 from attesta.session import stored
 
-KNOWN = 300_000  # parts a worker remembers
+KNOWN = 800_000  # parts a worker remembers, some 350 bytes each
 KNOWN_BYTES = 64 << 20  # and the characters of their groups
 WINDOW = 1 << 19  # characters worked on at a time
 TOGETHER = 128  # parts tokenized as one text
@@ -106,9 +107,9 @@ class Aligner:
 
     def ends_a(self, text: str, ids: np.ndarray, offsets: list[tuple[int, int]]) -> np.ndarray:
         """The byte where each token of A ends."""
-        spans = np.array(offsets, dtype=np.int64).reshape(-1, 2)
         if text.isascii():
-            return spans[:, 1]  # characters are bytes, so the offsets are exact
+            return np.array([end for _, end in offsets], dtype=np.int64)  # characters are bytes, so the offsets are exact
+        spans = np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(offsets)).reshape(-1, 2)
         point = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
         width = 1 + (point > 0x7F).astype(np.int64) + (point > 0x7FF) + (point > 0xFFFF)
         ends = np.concatenate([[0], np.cumsum(width)])[spans[:, 1]]
@@ -116,10 +117,10 @@ class Aligner:
         split = np.append(spans[1:, 0] < spans[:-1, 1], False)
         return np.where(split, np.cumsum(self.a_sizes[ids]), ends)
 
-    def ends_b(self, bounds: np.ndarray) -> np.ndarray:
-        """The byte where each piece (id, begin, end) of B ends; the library's spans lack the blank before the text."""
-        inside = bounds[:, 1] == bounds[:, 2]  # byte pieces, all but the last of a character
-        return np.where(inside, np.cumsum(self.b_sizes[bounds[:, 0]]), bounds[:, 2] + 1)
+    def ends_b(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The byte where each piece of B ends, of the ends of the spans; these lack the blank before the text."""
+        inside = ends == np.concatenate([[0], ends[:-1]])  # byte pieces, all but the last of a character: a span begins where the last one ended
+        return np.where(inside, np.cumsum(self.b_sizes[ids]), ends + 1) if inside.any() else ends + 1
 
     def tokenized(self, texts: list[str]):
         """Per text: ids of A's tokens and B's pieces and the bytes where they end; None where their bytes are not the text's."""
@@ -127,15 +128,16 @@ class Aligner:
         bytes_a, bytes_b = self.a_bytes, self.b_bytes
         for text, proto in zip(texts, protos, strict=True):
             encoding = self.a.encode(text, add_special_tokens=False)
-            list_a, spans_b = encoding.ids, [(p.id, p.begin, p.end) for p in proto.pieces]
+            list_a, spans_b = encoding.ids, [(p.id, p.end) for p in proto.pieces]
             if not spans_b:
-                spans_b = [(self.blank, 0, 0)]  # the blank alone, at the end of a text
+                spans_b = [(self.blank, 0)]  # the blank alone, at the end of a text
             raw = text.encode()
-            if b"".join([bytes_a[i] for i in list_a]) != raw or b"".join([bytes_b[p[0]] for p in spans_b]) != raw:
+            if b"".join([bytes_a[i] for i in list_a]) != raw or b"".join([bytes_b[i] for i, _ in spans_b]) != raw:
                 yield None
                 continue
-            ids_a, bounds = np.array(list_a, dtype=np.int64), np.array(spans_b, dtype=np.int64)
-            yield ids_a, bounds[:, 0], self.ends_a(text, ids_a, encoding.offsets), self.ends_b(bounds)
+            ids_a = np.array(list_a, dtype=np.int64)
+            ids_b, ends_b = np.fromiter(chain.from_iterable(spans_b), np.int64, 2 * len(spans_b)).reshape(-1, 2).T
+            yield ids_a, ids_b, self.ends_a(text, ids_a, encoding.offsets), self.ends_b(ids_b, ends_b)
 
     def learn(self, parts: list[str]) -> None:
         """Tokenize and align parts, some together as one text."""
@@ -151,12 +153,15 @@ class Aligner:
 
     def remember(self, parts: list[str], ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> None:
         """Cut the tokens of parts that stand one after the other into groups."""
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        last_a, last_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+        # Which tokens end where one of the other tokenizer ends.
+        stop = np.zeros((2, int(ends_a[-1]) + 1), bool)
+        stop[0, ends_a] = stop[1, ends_b] = True
+        both_a, both_b = stop[1, ends_a], stop[0, ends_b]
+        cuts, last_a, last_b = ends_a[both_a], np.flatnonzero(both_a), np.flatnonzero(both_b)
         self.links.add(ids_a[last_a] << SHIFT | ids_b[last_b])
         self.sizes.add(np.diff(cuts, prepend=0))
         # A group's A ids, then its B ids, each with what follows it: a comma, a bar, or a semicolon after the group.
-        place = np.concatenate([2 * np.searchsorted(cuts, ends_a), 2 * np.searchsorted(cuts, ends_b) + 1])
+        place = np.concatenate([2 * (np.cumsum(both_a) - both_a), 2 * (np.cumsum(both_b) - both_b) + 1])
         order = np.argsort(place, kind="stable")
         place, ids = place[order], np.concatenate([ids_a, ids_b])[order]
         follows = np.where(place == np.append(place[1:], -1), ord(","), np.where(place % 2 == 0, ord("|"), ord(";")))
@@ -268,7 +273,7 @@ def lists(values: list, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate([*values, np.zeros(0, kind)]).astype(kind)))
 
 
-def align(docs: DataFrame, byte_level: str, piece_model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def align(docs: DataFrame, byte_level: str, piece_model: str, key: str = "doc_id", text: str = "text", then=None, schema: str = "") -> DataFrame:
     """One row per row of ``docs``: (id, n_a, n_b, groups, sizes, links).
 
     ``groups`` lists the ids of both in each group, ``a1,a2|b1;a3|b2,b3``; ``sizes`` the bytes of each group of the text with a
@@ -276,6 +281,9 @@ def align(docs: DataFrame, byte_level: str, piece_model: str, key: str = "doc_id
     empty, or whose decoded tokens are not their bytes, have no tokens. Rows with a null or repeated id are documents of
     their own. Only the two named columns are read, so no other name can clash; empty tables give no rows. A worker holds a
     few documents and its memory of parts; a text without blanks is one part.
+
+    ``then`` is a function from batches of these rows to batches of ``schema``. It runs in the same worker, so that neither groups nor links,
+    which are several times the texts, go through the JVM to another one.
     """
     names = ["id", "n_a", "n_b", "groups", "sizes", "links"]
 
@@ -296,24 +304,35 @@ def align(docs: DataFrame, byte_level: str, piece_model: str, key: str = "doc_id
                 first = last
 
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if then is not None:
+        return rows.mapInArrow(lambda batches: then(run(batches)), schema)
     return rows.mapInArrow(run, f"id {docs.schema[key].dataType.simpleString()}, n_a long, n_b long, groups string, sizes array<int>, links array<long>")
 
 
-def link_counts(aligned: DataFrame, facts: list[str]) -> DataFrame:
-    """The ``facts`` columns of every row with n_links, n_best and count_sum, from its ``links``.
+def block_schema(kinds: str) -> str:
+    return f"block long, {kinds}, places array<int>, pairs array<long>, times array<long>"
 
-    A link's count is how many links of the whole table have its pair; ``n_best`` counts the links whose count is the highest of their
-    B id, ``count_sum`` adds the counts. A row's links are in one block: a block ends when it has BLOCK links.
+
+def gathered(facts: list[str]):
+    """A function that puts batches of the ``facts`` columns and ``links`` into blocks.
+
+    A row's links are in one block: a block ends when it has BLOCK links. It has its rows, with the places of their links' pairs, and one row of its
+    distinct pairs with their counts.
     """
-    kinds = ", ".join(f"{c} {aligned.schema[c].dataType.simpleString()}" for c in facts)
+    names = ["block", *facts, "places", "pairs", "times"]
 
     def gather(batches):
         block, held, count, empty = TaskContext.get().partitionId() << 32, [], 0, None
 
         def close():
-            pairs, at, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+            found = pa.array(np.concatenate(held)).dictionary_encode()
+            pairs = found.dictionary.to_numpy()
+            order = np.argsort(pairs)
+            place = np.empty(len(pairs), np.int32)
+            place[order] = np.arange(len(pairs), dtype=np.int32)
+            at = place[found.indices.to_numpy()]
             sizes = np.cumsum([0, *map(len, held)])
-            return pairs, times, [np.sort(at[a:b]).astype(np.int32) for a, b in zip(sizes[:-1], sizes[1:], strict=True)]
+            return pairs[order], np.bincount(at, minlength=len(pairs)), [np.sort(at[a:b]) for a, b in zip(sizes[:-1], sizes[1:], strict=True)]
 
         waiting: list = []
 
@@ -345,8 +364,23 @@ def link_counts(aligned: DataFrame, facts: list[str]) -> DataFrame:
         if held:
             yield from out()
 
-    names = ["block", *facts, "places", "pairs", "times"]
-    kept = stored(aligned.select(*facts, "links").mapInArrow(gather, f"block long, {kinds}, places array<int>, pairs array<long>, times array<long>"), "alignment-blocks")
+    return gather
+
+
+def link_counts(aligned: DataFrame, facts: list[str]) -> DataFrame:
+    """The ``facts`` columns of every row with n_links, n_best and count_sum, from its ``links``.
+
+    A link's count is how many links of the whole table have its pair; ``n_best`` counts the links whose count is the highest of their
+    B id, ``count_sum`` adds the counts.
+    """
+    kinds = ", ".join(f"{c} {aligned.schema[c].dataType.simpleString()}" for c in facts)
+    return block_counts(aligned.select(*facts, "links").mapInArrow(gathered(facts), block_schema(kinds)), facts)
+
+
+def block_counts(blocks: DataFrame, facts: list[str]) -> DataFrame:
+    """``link_counts`` of rows that are in blocks."""
+    kinds = ", ".join(f"{c} {blocks.schema[c].dataType.simpleString()}" for c in facts)
+    kept = stored(blocks, "alignment-blocks")
     held = kept.filter("pairs IS NOT NULL").select("block", F.posexplode(F.arrays_zip("pairs", "times")).alias("place", "p")).select("block", "place", F.col("p.pairs").alias("pair"), F.col("p.times").alias("times"))
     totals = stored(held.groupBy("pair").agg(F.sum("times").alias("n")), "pair-counts")
     low = F.col("pair").bitwiseAND(F.lit((1 << SHIFT) - 1))
@@ -355,6 +389,7 @@ def link_counts(aligned: DataFrame, facts: list[str]) -> DataFrame:
     back = held.select("block", "place", "pair").join(judged, "pair").select(F.col("block").alias("of"), "place", "n", "best")
 
     def add(key, rows, counts):
+        _aligner.cache_clear()  # a worker that has aligned texts needs its memory no more
         n, best = np.zeros(counts.num_rows, np.int64), np.zeros(counts.num_rows, np.int64)
         place = counts["place"].to_numpy()
         n[place], best[place] = counts["n"].to_numpy(), counts["best"].to_numpy()
@@ -369,13 +404,22 @@ def link_counts(aligned: DataFrame, facts: list[str]) -> DataFrame:
     return rows.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(add, f"{kinds}, n_links long, n_best long, count_sum long")
 
 
+FACTS = ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256"]
+
+
 @query("op11_token_alignment")
 def op11_token_alignment(spark, sf_dir):
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    aligned = align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
-    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
-    facts = aligned.select(F.col("id").alias("doc_id"), "n_a", "n_b", F.size("sizes").cast("long").alias("n_groups"), digest.alias("groups_sha256"), "links")
-    found = link_counts(facts, ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256"])
-    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    gather = gathered(FACTS)
+
+    def digests(batches):
+        for batch in batches:
+            id_, n_a, n_b, groups, sizes, links = batch.columns
+            digest = [sha256(g).hexdigest() if n else "" for g, n in zip(groups.cast(pa.binary()).to_pylist(), n_a.to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([id_, n_a, n_b, sizes.value_lengths().cast(pa.int64()), pa.array(digest, pa.string()), links], names=[*FACTS, "links"])
+
+    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_a long, n_b long, n_groups long, groups_sha256 string"
+    blocks = align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), then=lambda batches: gather(digests(batches)), schema=block_schema(kinds))
+    return block_counts(blocks, FACTS).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

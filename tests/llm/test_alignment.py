@@ -129,3 +129,19 @@ def test_query_over_whole_documents(session, whole):
     got = QUERIES["op11_token_alignment"](session, folder)
     assert got.columns == NAMES
     assert sorted((tuple(r) for r in got.collect()), key=str) == expected(rows, whole)
+
+
+def test_texts_meet_one_python_worker_before_their_blocks(session):
+    """Groups and links, several times the texts, do not go through the JVM from one worker to another."""
+    docs = make(session, list(enumerate(ODD)))
+    facts, kinds = ["id", "n_a"], "id long, n_a long"
+    gather = alignment.gathered(facts)
+
+    def chosen(batches):
+        for b in batches:
+            yield b.select(["id", "n_a", "links"])
+
+    blocks = alignment.align(docs, A, B, then=lambda batches: gather(chosen(batches)), schema=alignment.block_schema(kinds))
+    assert blocks._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    want = alignment.link_counts(alignment.align(docs, A, B), facts).collect()
+    assert sorted(map(tuple, alignment.block_counts(blocks, facts).collect())) == sorted(map(tuple, want))
