@@ -39,3 +39,8 @@ def test_searches_are_spread(spark, name):
 @pytest.mark.parametrize("name", ["profile_page_metrics", "site_jobs"])
 def test_pages_are_spread(spark, name):
     assert "REPARTITION_BY_NUM" in plan(spark, name)
+
+
+def test_matched_names_are_dealt_at_each_step(spark):
+    """Ads, their keys and the pairs found, so no task makes all pairs distinct, however few bytes the ads have."""
+    assert plan(spark, "match_employer_names").count("REPARTITION_BY_NUM") >= 3
