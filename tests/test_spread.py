@@ -44,3 +44,14 @@ def test_pages_are_spread(spark, name):
 def test_matched_names_are_dealt_at_each_step(spark):
     """Ads, their keys and the pairs found, so no task makes all pairs distinct, however few bytes the ads have."""
     assert plan(spark, "match_employer_names").count("REPARTITION_BY_NUM") >= 3
+
+
+def test_scripts_of_pages_are_spread_for_the_walk(spark):
+    """Scripts, not pages, are dealt by number; a page without one is not dealt."""
+    from attesta.functions import markup
+
+    pages = spark.createDataFrame([(f"p{i}", f'<script type="application/ld+json">{{"@type": "Thing", "x": [1, {{"@type": ["a/B"], "y": null}}], "n": {i}}}</script>') for i in range(400)] + [("q", "<p>none</p>")], "url string, html string").coalesce(1)
+    nodes = markup.jsonld_nodes(pages, "url")
+    assert len(nodes.inputFiles()) >= 8
+    rows = sorted(nodes.select("page_key", "pos", "types").collect())
+    assert rows == sorted((f"p{i}", pos, types) for i in range(400) for pos, types in ((0, ["Thing"]), (1, ["B"])))
