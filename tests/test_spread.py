@@ -55,3 +55,21 @@ def test_scripts_of_pages_are_spread_for_the_walk(spark):
     assert len(nodes.inputFiles()) >= 8
     rows = sorted(nodes.select("page_key", "pos", "types").collect())
     assert rows == sorted((f"p{i}", pos, types) for i in range(400) for pos, types in ((0, ["Thing"]), (1, ["B"])))
+
+
+def test_words_that_no_name_has_are_left_out_once(spark, tmp_path):
+    """Articles are dealt, folded as whole texts, and their words that meet no name are dropped before the joins."""
+    from pathlib import Path
+
+    from attesta.operators import resolve
+    from attesta.session import checkpoint_folder
+
+    rows = [(1, "Blåbær", "og Teknikk samarbeider " + "annet ord her"), (2, "", "BLABAER TEKNIKK 974760673 x"), (3, None, "½ … teknikk Blåbær"), (4, "t", None)]
+    articles = spark.createDataFrame(rows, "item int, title string, text string")
+    profiles = spark.createDataFrame([("974760673", "Blåbær Teknikk AS")], "org string, name string")
+    folder = Path(checkpoint_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("shared-words-*"))
+    found = resolve.news_proximity(profiles, articles).collect()
+    (shared,) = set(folder.glob("shared-words-*")) - before
+    assert sorted((r.item, r.org, r.score) for r in found) == [(1, "974760673", 0.95), (2, "974760673", 1.0), (3, "974760673", 0.95)]
+    assert {r.token for r in spark.read.parquet(str(shared)).collect()} == {"blabaer", "teknikk"}
