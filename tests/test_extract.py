@@ -4,8 +4,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from attesta.operators import extract, observations as obs, pages as page_ops
 from attesta.operators.resolve import legal_proof
+from attesta.plans.catalog import CATALOG
 from attesta.session import checkpoint_folder
 
 AS_OF = "2026-03-10 12:00:00"
@@ -229,3 +231,22 @@ def test_proof_by_number_folds_no_text(spark):
     assert str(proof).startswith("Column<'CASE WHEN")
     texts = profiles(spark).crossJoin(spark.createDataFrame([("Org.nr. 974 760 673",), ("Om oss",)], "text string"))
     assert sorted(r[0] for r in texts.select(proof).collect()) == ["captured_exact_organisation_number", "verified_own_domain"]
+
+
+def test_posts_of_a_profile_page(spark):
+    """An author in a post is not the page's organisation; an activity's last card counts; a post shown twice counts once."""
+    org_node = {"@type": "Organization", "name": "Blåbær Teknikk", "url": "https://www.linkedin.com/company/Blabaer", "numberOfEmployees": {"value": 12}}
+    post = {"@type": "DiscussionForumPosting", "url": "https://linkedin.com/posts/x-activity-555-a", "text": "Hei", "author": {"@type": "Organization", "name": "Forfatter", "url": "https://linkedin.com/company/blabaer"}}
+    html = script(org_node, {"@graph": [post, {**post, "url": "https://linkedin.com/posts/x-activity-556-a"}]}, post) + CARD.replace('"7"', '"1"') + CARD
+    pages = spark.createDataFrame([(ORG, "https://linkedin.com/company/blabaer", "https://linkedin.com/company/blabaer", html)], "org string, requested_url string, url string, html string").withColumn("content_sha256", F.sha2("html", 256))
+    nodes = extract.profile_page_nodes(pages)
+    metrics = extract.profile_page_metrics(pages, nodes)
+    assert [(r.page_name, r.visible_employees) for r in metrics.collect()] == [("Blåbær Teknikk", 12)]
+    posts = extract.profile_page_posts(pages, metrics, nodes)
+    assert sorted((r.activity, r.likes, r.comments) for r in posts.collect()) == [("555", 7, 2), ("556", 0, 0)]
+
+
+def test_profile_page_query_joins_posts_with_engagement(spark):
+    entry.queries()
+    rows = CATALOG["profile_page_metrics"].run(spark, "/root/testdata/sf0.001").collect()
+    assert {r.posts for r in rows} == {0, 1, 2} and any(r.likes for r in rows) and {r.employee_size_label for r in rows} == {None, "11-50", "51-200"} and any(r.observations == 4 for r in rows)
