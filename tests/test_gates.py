@@ -202,6 +202,25 @@ def test_keys_find_every_place_that_all_pairs_find(spark):
     assert resolve.candidate_places(profiles, places.limit(0), trade).count() == 0 and resolve.candidate_places(profiles.limit(0), places).count() == 0
 
 
+def test_part_of_a_name_needs_two_words_and_the_rarest_street_word(spark):
+    """Places that share a phone number, one word of a name and a common street word are no candidates; entities listed twice keep their own names."""
+    number = lambda c: F.concat(F.lit("place-"), c.cast("string"))
+    null = F.lit(None).cast("string")
+    profiles = spark.range(60).select(
+        F.col("id").cast("string").alias("org"), F.concat(F.lit("maskin unit"), F.col("id") % 10, F.lit(" kust"), "id").alias("name"), F.concat(F.lit("Gata "), F.col("id") % 30).alias("street"),
+        null.alias("postcode"), null.alias("city"), F.lit("73001122").alias("phone"), null.alias("site"))
+    places = spark.range(60).select(
+        number(F.col("id")).alias("place_id"), F.concat(F.lit("maskin unit"), F.col("id") % 10).alias("title"), F.concat(F.lit("Gata "), F.col("id") % 30, F.lit(", By")).alias("address"),
+        F.lit("73001122").alias("phone"), null.alias("web_site"), F.lit(1).alias("review_count"))
+    same = sorted((str(o), f"place-{p}") for o in range(60) for p in range(60) if o % 30 == p % 30)
+    found = resolve.candidate_places(profiles, places)
+    assert sorted((r.org, r.place_id) for r in found.collect()) == same
+    assert sorted((r.org, r.place_id) for r in resolve.assess_places(profiles, found).filter("accepted").collect()) == same
+    renamed = profiles.unionAll(profiles.withColumn("name", F.concat(F.lit("annen butikk kjede"), "org")))
+    shop = places.limit(1).select(F.lit("shop").alias("place_id"), F.lit("annen butikk kjede7").alias("title"), F.lit("Gata 7").alias("address"), null.alias("phone"), null.alias("web_site"), F.lit(1).alias("review_count"))
+    assert ("7", "shop") in {(r.org, r.place_id) for r in resolve.candidate_places(renamed, places.unionAll(shop)).collect()}
+
+
 @pytest.mark.parametrize("title,address,town,expected", [
     ("Blåbær Teknikk", "Storgata 1, Oslo", "Oslo", True), ("Blåbær Teknikk", "Storgata 1, Bergen", "Oslo", False), ("Annen", "Oslo", "Oslo", False), ("Blåbær Teknikk AS", "Bergen", "", True)])
 def test_simple_place_match(value, title, address, town, expected):
