@@ -2,7 +2,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from attesta.operators import gates, resolve
+from attesta.plans.catalog import CATALOG
 
 PROFILE_V1 = "org string, name string, former_names array<string>, postcode string, city string, streets array<string>, phones array<string>"
 PAGE_V1 = (
@@ -221,6 +223,15 @@ def test_part_of_a_name_needs_two_words_and_the_rarest_street_word(spark):
     assert ("7", "shop") in {(r.org, r.place_id) for r in resolve.candidate_places(renamed, places.unionAll(shop)).collect()}
 
 
+def test_places_are_assessed_without_another_shuffle(spark):
+    """Pairs of found places are dealt once, by entity: neither their assessment nor the choice of the best one shuffles them again."""
+    entry.queries()
+    judged = CATALOG["resolve_unclaimed_places"].run(spark, "/root/testdata/sf0.001")
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("REPARTITION_BY_NUM")]  # of the pairs, the topmost one
+    assert "Exchange hashpartitioning(org" in above and above.count("Exchange ") <= 3  # two of scores by entity, and the pairs
+
+
 @pytest.mark.parametrize("title,address,town,expected", [
     ("Blåbær Teknikk", "Storgata 1, Oslo", "Oslo", True), ("Blåbær Teknikk", "Storgata 1, Bergen", "Oslo", False), ("Annen", "Oslo", "Oslo", False), ("Blåbær Teknikk AS", "Bergen", "", True)])
 def test_simple_place_match(value, title, address, town, expected):
