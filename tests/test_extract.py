@@ -250,3 +250,20 @@ def test_profile_page_query_joins_posts_with_engagement(spark):
     entry.queries()
     rows = CATALOG["profile_page_metrics"].run(spark, "/root/testdata/sf0.001").collect()
     assert {r.posts for r in rows} == {0, 1, 2} and any(r.likes for r in rows) and {r.employee_size_label for r in rows} == {None, "11-50", "51-200"} and any(r.observations == 4 for r in rows)
+
+
+def test_documents_give_their_nodes_without_a_shuffle(spark):
+    """Nodes stay in the row of their document; only repeated addresses and nodes below one pass are stored and joined by address."""
+    folder = Path(checkpoint_folder(spark).removeprefix("file:"))
+    names = lambda: {f.name.split("-")[0] + "-" + f.name.split("-")[1] for f in set(folder.glob("*")) - before}
+    before = set(folder.glob("*"))
+    row = lambda url, *nodes: ("careers", url, script(*nodes), "Jobb", None, "")
+    plain = [row(f"https://blabaer.no/jobb/{k}", job()) for k in range(4)]
+    seen = lambda rows: sorted(r.source_url for r in extract.document_observations(documents(spark, rows), profiles(spark), AS_OF).filter("signal_type = 'job_posting'").collect())
+    assert seen(plain) == [r[1] for r in plain] and names() == {"document-facts", "document-keys"}
+    deep = job()
+    for _ in range(20):
+        deep = {"x": [deep]}
+    assert seen([*plain, row("https://blabaer.no/jobb/dyp", deep)]) == [*(r[1] for r in plain), "https://blabaer.no/jobb/dyp"]
+    assert seen([*plain, plain[0], row("https://blabaer.no/om", {"@type": "Thing"})]) == [plain[0][1]] * 4 + [r[1] for r in plain[1:]]
+    assert {"markup-nodes", "document-nodes"} <= names()
